@@ -6,8 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strophe.llm.skeleton import look_alike_pairs, skeletons
+from strophe.llm.turns import TurnRules, alias_numbers, fit_boundaries, fit_fillers, read_segments, speaker_turns
 from strophe.operators.current import current_rows
-from strophe.session import table
+from strophe.session import cut_lineage, table
+
+
+def _read_talk(spark: SparkSession, sf_dir: str, with_text: bool) -> DataFrame:
+    """Current segments of all songs but music, with their labels read. Texts are read before the shuffle, so that they needn't move."""
+    rules = TurnRules()
+    segments = table(spark, sf_dir, "segments")
+    aliases = alias_numbers(table(spark, sf_dir, "voices"), rules.aliases)
+    read = read_segments(segments, aliases, fit_fillers(segments, aliases, rules), with_text)
+    names = [c for c in read.columns if c not in ("segment_id", "loaded_at")]
+    current = current_rows(read, "segment_id", "loaded_at", **{c: c for c in names})
+    songs = current_rows(table(spark, sf_dir, "songs"), "song_id", "loaded_at", media="media")
+    return current.join(songs.filter("media = 'music'").select("song_id"), "song_id", "left_anti")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = cut_lineage(_read_talk(spark, sf_dir, with_text=False))
+    return speaker_turns(read, fit_boundaries(read))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,5 +39,5 @@ def p5_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skeletons(segments, "segment_id", "text")
 
 
-QUERIES = {"p5_found": p5_found, "p5_forms": p5_forms}
+QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p5_forms": p5_forms}
 ORACLE: dict[str, str] = {}
