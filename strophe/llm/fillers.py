@@ -106,10 +106,11 @@ def filler_examples(lines: list[tuple[str, int | None]]) -> dict[str, tuple[floa
     """From cleaned lines with their counts of words: units of lines without any word are fillers, those of other short lines are not."""
     counts: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0])
     for words, number in lines:
-        units = [k for u in _UNIT.findall(words) if (k := _key(u)) and len(k) <= LONGEST and _WORDY.search(k)]
+        whole = [k for u in _UNIT.findall(words) if (k := _key(u)) and _WORDY.search(k)]
+        units = [k for k in whole if len(k) <= LONGEST]
         if number == 0:
             for unit in units:
                 counts[unit][0] += 1
-        elif number and len(words) <= 60 and len(units) == 1:
+        elif number and len(words) <= 60 and len(units) == len(whole) == 1:
             counts[units[0]][1] += 1
     return {u: (a, b) for u, (a, b) in counts.items()}

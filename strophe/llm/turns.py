@@ -15,6 +15,7 @@ from strophe.llm.fillers import FillerModel, filler_examples
 from strophe.llm.markup import label_number, read_line
 from strophe.llm.skeleton import skeleton
 from strophe.operators.keyed import map_groups
+from strophe.operators.sample import bounded_sample
 
 
 @dataclass(frozen=True)
@@ -40,10 +41,10 @@ def alias_numbers(voices: DataFrame, most: int) -> dict[str, int]:
 
 
 def fit_fillers(segments: DataFrame, aliases: dict[str, int], rules: TurnRules = TurnRules()) -> FillerModel:
-    """A filler model from a bounded sample of short rows with a count of words; the sample is the rows with the smallest hashes."""
-    short = segments.filter("is_lyric is distinct from false and lyric_count is not null and length(text) between 1 and 90")
-    rows = short.select("text", "lyric_count", F.xxhash64("segment_id", "text").alias("h")).orderBy("h").limit(rules.sample).collect()
-    return FillerModel().fit(filler_examples([(read_line(text, aliases)[1], count) for text, count, _ in rows]))
+    """A filler model from a bounded sample of rows, chosen by their hashes, of which short ones with a count of words are used."""
+    short = "is_lyric is distinct from false and lyric_count is not null and length(text) between 1 and 90"
+    rows = bounded_sample(segments, ["segment_id"], rules.sample).filter(short).select("text", "lyric_count").limit(2 * rules.sample).collect()
+    return FillerModel().fit(filler_examples([(read_line(text, aliases)[1], count) for text, count in rows]))
 
 
 def read_segments(segments: DataFrame, aliases: dict[str, int], fillers: FillerModel, with_text: bool = False) -> DataFrame:
@@ -98,12 +99,11 @@ def fit_boundaries(read: DataFrame, rules: TurnRules = TurnRules()) -> BoostedTr
     """Boundary decisions fitted on a bounded sample of adjacent spoken segments.
 
     Where both labels are known they say whether the speaker changed. A segment without a label is no evidence of a change and
-    counts as going on. The sample is the blocks of songs with the smallest hashes.
+    counts as going on. The sample is whole blocks of songs, chosen by their hashes.
     """
-    rows = (
-        read.filter("spoken").select(F.xxhash64("song_id", F.floor(F.col("start") / rules.block)).alias("h"), "start", "seg_no", "who", "in_text")
-        .orderBy("h", "start", "seg_no").limit(rules.sample).collect()
-    )
+    part = F.floor(F.col("start") / rules.block)
+    sample = bounded_sample(read.withColumn("part", part), ["song_id", "part"], rules.sample).filter("spoken")
+    rows = sample.select(F.xxhash64("song_id", "part").alias("h"), "start", "seg_no", "who", "in_text").orderBy("h", "start", "seg_no").limit(2 * rules.sample).collect()
     fresh = np.array([i == 0 or rows[i][0] != rows[i - 1][0] for i in range(len(rows))], dtype=bool)
     start = np.array([np.nan if r[1] is None else r[1] for r in rows], dtype=float)
     who = np.array([-1 if r[3] is None else r[3] for r in rows], dtype=np.int64)
