@@ -5,12 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strophe.llm.language import fit_languages, label_code, with_languages
 from strophe.llm.skeleton import look_alike_pairs, skeletons
 from strophe.llm.turns import TurnRules, alias_numbers, fit_boundaries, fit_fillers, read_segments, speaker_turns
 from strophe.operators.current import current_rows
 from strophe.session import cut_lineage, table
 
 
+_FAMILY = {"de": "western", "en": "western", "es": "western", "fr": "western", "ru": "western", "ja": "cjk", "ko": "cjk", "th": "cjk", "zh": "cjk"}
+
+
+def _languages(spark: SparkSession, sf_dir: str, kept: list[str], texts: bool = False) -> DataFrame:
+    raw = table(spark, sf_dir, "segments")
+    aliases = frozenset(alias_numbers(table(spark, sf_dir, "voices"), TurnRules().aliases))
+    model = fit_languages(raw, aliases)
+    columns = {c: c for c in ("song_id", "text", "lang_type", "is_lyric") if c in kept or c == "text"}
+    return with_languages(current_rows(raw, "segment_id", "loaded_at", **columns), kept, model, aliases, texts)
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments whose language is missing, wrong or not the only one, with the language of each stretch."""
+    found = _languages(spark, sf_dir, ["segment_id", "lang_type", "is_lyric"]).filter("is_lyric is distinct from false and enough")
+    code = label_code(F.col("lang_type"))
+    family = F.element_at(F.create_map(*[F.lit(x) for pair in _FAMILY.items() for x in pair]), F.col("lang"))
+    wrong = code.isNull() | ((code != F.col("lang")) & (code != family)) | F.col("mixed")
+    return found.filter(wrong).select("segment_id", "lang").distinct()
+
+
+def p1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every segment with words: its language, or the languages of its stretches, with confidences."""
+    return _languages(spark, sf_dir, ["segment_id", "song_id"], texts=True).select("segment_id", "song_id", "stretch_no", "part", "lang", "confidence")
+
+
+def p1_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every song's main language: the one of most stretches, weighted by confidence, with its share. Of equal ones the first by name."""
+    weight = _languages(spark, sf_dir, ["segment_id", "song_id"]).groupBy("song_id", "lang").agg(F.sum("confidence").alias("w"))
+    top = F.max(F.struct(F.round("w", 6).alias("w"), (-F.ascii("lang")).alias("o"), (-F.ascii(F.substring("lang", 2, 1))).alias("o2"), "lang"))
+    return weight.groupBy("song_id").agg(top.alias("m"), F.sum("w").alias("all")).select("song_id", F.col("m.lang").alias("lang"), F.try_divide("m.w", "all").alias("confidence"))
+
+
 def _read_talk(spark: SparkSession, sf_dir: str, with_text: bool) -> DataFrame:
     """Current segments of all songs but music, with their labels read. Texts are read before the shuffle, so that they needn't move."""
     rules = TurnRules()
@@ -39,5 +72,5 @@ def p5_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skeletons(segments, "segment_id", "text")
 
 
-QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p5_forms": p5_forms}
+QUERIES = {"p1_found": p1_found, "p1_segments": p1_segments, "p1_songs": p1_songs, "p4_found": p4_found, "p5_found": p5_found, "p5_forms": p5_forms}
 ORACLE: dict[str, str] = {}
