@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strophe.llm.language import fit_languages, label_code, with_languages
+from strophe.llm.packing import pack_texts
 from strophe.llm.skeleton import look_alike_pairs, skeletons
+from strophe.llm.splitting import split_long
 from strophe.llm.turns import TurnRules, alias_numbers, fit_boundaries, fit_fillers, read_segments, speaker_turns
 from strophe.operators.current import current_rows
 from strophe.session import cut_lineage, table
@@ -72,5 +74,23 @@ def p5_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skeletons(segments, "segment_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p1_segments": p1_segments, "p1_songs": p1_songs, "p4_found": p4_found, "p5_found": p5_found, "p5_forms": p5_forms}
+def p6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every long segment."""
+    columns = {c: c for c in ("song_id", "seg_no", "start", "end")}
+    long = F.when(F.col("end") - F.col("start") > 30, F.col("text"))  # no other text need move
+    segments = current_rows(table(spark, sf_dir, "segments"), "segment_id", "loaded_at", **columns, text=long)
+    return split_long(segments, table(spark, sf_dir, "vad"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = p6_pieces(spark, sf_dir).groupBy("segment_id").agg(F.max(F.when(F.col("cut_kind") == "forced", 1).otherwise(0)).alias("forced"))
+    return kinds.select("segment_id", F.when(F.col("forced") == 1, "forced").otherwise("natural").alias("cut_kind"))
+
+
+def p7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The container of each document, or of each piece of a document longer than a container."""
+    return pack_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+QUERIES = {"p6_found": p6_found, "p6_pieces": p6_pieces, "p7_pack": p7_pack, "p1_found": p1_found, "p1_segments": p1_segments, "p1_songs": p1_songs, "p4_found": p4_found, "p5_found": p5_found, "p5_forms": p5_forms}
 ORACLE: dict[str, str] = {}
