@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strophe.llm.language import fit_languages, label_code, with_languages
+from strophe.llm.leaks import find_leaks
 from strophe.llm.packing import pack_texts
 from strophe.llm.skeleton import look_alike_pairs, skeletons
 from strophe.llm.splitting import split_long
@@ -92,5 +93,14 @@ def p7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p6_found": p6_found, "p6_pieces": p6_pieces, "p7_pack": p7_pack, "p1_found": p1_found, "p1_segments": p1_segments, "p1_songs": p1_songs, "p4_found": p4_found, "p5_found": p5_found, "p5_forms": p5_forms}
+def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the items that leaked into them, with the share of the item and where it begins."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+QUERIES = {"p8_found": p8_found, "p8_leaks": p8_leaks, "p6_found": p6_found, "p6_pieces": p6_pieces, "p7_pack": p7_pack, "p1_found": p1_found, "p1_segments": p1_segments, "p1_songs": p1_songs, "p4_found": p4_found, "p5_found": p5_found, "p5_forms": p5_forms}
 ORACLE: dict[str, str] = {}
