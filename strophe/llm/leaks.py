@@ -25,13 +25,14 @@ from strophe.session import cut_lineage
 class LeakRules:
     """stride: units between passages, in spaced and unspaced scripts; a passage is two strides long. rank: of a latent space. sample: documents
     that the latent spaces are fitted on, besides all items. near: least cosine of a candidate. share: least part of an item's units that must be
-    matched, in order, in one passage. items: how many items there may be at most."""
+    matched, in order, in one passage. pairs: least part of an item's pairs of neighbouring units that must occur in line before anything is aligned. items: how many items there may be at most."""
 
     stride: tuple[int, int] = (12, 32)
     rank: int = 128
     sample: int = 5_000
     near: float = 0.42
     share: float = 0.5
+    pairs: float = 0.3
     items: int = 20_000
     seed: int = 7
 
@@ -57,6 +58,7 @@ class LeakIndex:
     local: np.ndarray
     spaces: list[Space]
     item_group: np.ndarray
+    pairs: list[tuple[np.ndarray, np.ndarray]]
     idf: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.float32))
     unseen: float = 1.0
     slots: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int32))
@@ -111,7 +113,7 @@ def make_index(rows: list[tuple], rules: LeakRules) -> LeakIndex:
     size = 1 << max(10, int(np.ceil(np.log2(max(1, len(keys)) * 8))))
     slots = np.full(size, -1, dtype=np.int32)
     slots[(keys & np.uint64(size - 1)).astype(np.int64)[::-1]] = np.arange(len(keys))[::-1]
-    return LeakIndex(ids, units, keys, group, local, [Space(rules.stride[int(x[1])]) for x in names], item_group, slots=slots)
+    return LeakIndex(ids, units, keys, group, local, [Space(rules.stride[int(x[1])]) for x in names], item_group, [np.unique(p, return_index=True) for p in pairs], slots=slots)
 
 
 def _unit_table(df: DataFrame, row: str, text: str) -> DataFrame:
@@ -158,7 +160,7 @@ def _blocks(at: np.ndarray, units: np.ndarray, first: np.ndarray, stride: int) -
 
 
 def _frequencies(table: DataFrame, shared) -> DataFrame:
-    """feature, passages: in how many blocks of a stride each item feature occurs, over all documents; feature -1 counts the blocks."""
+    """feature, passages: how often each item feature occurs, over all documents; feature -1 counts stretches of 16 units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
@@ -167,10 +169,8 @@ def _frequencies(table: DataFrame, shared) -> DataFrame:
             units, first = _read(batch)
             if not len(units):
                 continue
-            at, found = _hits(index, units, first)
-            block, _, _ = _blocks(at, units, first, 16)
-            pairs = np.unique(block * np.int64(len(index.keys) + 1) + found)
-            total[:-1] += np.bincount(pairs % (len(index.keys) + 1), minlength=len(index.keys) + 1)[:-1]
+            _, found = _hits(index, units, first)
+            total[:-1] += np.bincount(found, minlength=len(index.keys))
             total[-1] += len(units) // 16 + len(first)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.where(seen == len(total) - 1, -1, seen), pa.int64()), pa.array(total[seen], pa.int64())], ["feature", "n"])
@@ -210,8 +210,7 @@ def _passage_sums(index: LeakIndex, g: int, units: np.ndarray, first: np.ndarray
     compact = np.full(len(numbers), -1, dtype=np.int64)
     compact[wanted] = np.arange(len(wanted))
     keep = np.repeat(need, hits)
-    sub_begin = np.concatenate(([0], np.cumsum(hits[wanted])[:-1]))
-    sums = np.add.reduceat(weights[index.local[found[keep]]], sub_begin, axis=0)
+    sums = _sum_runs(weights, index.local[found[keep]], hits[wanted])
     vectors = sums[compact[good]]
     double = follows[good]
     vectors[double] += sums[compact[nxt[good[double]]]]
@@ -219,6 +218,20 @@ def _passage_sums(index: LeakIndex, g: int, units: np.ndarray, first: np.ndarray
     return start, row[good], vectors, np.sqrt(total[good])
 
 
+def _sum_runs(weights: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of `weights` over runs of rows, each run counts[i] long: the j-th rows of all runs are added at once."""
+    begin = np.concatenate(([0], np.cumsum(counts)[:-1]))
+    order = np.argsort(-counts, kind="stable")
+    begin, left = begin[order], counts[order]
+    sums = weights[rows[begin]]
+    for j in range(1, int(left[0])):
+        live = int(np.searchsorted(-left, -j, side="left"))
+        sums[:live] += weights[rows[begin[:live] + j]]
+    out = np.empty_like(sums)
+    out[order] = sums
+    return out
+
+
 def index_near(index: LeakIndex) -> float:
     return getattr(index, "near", 0.0)
 
@@ -249,9 +262,15 @@ def _fit_spaces(table: DataFrame, index: LeakIndex, rules: LeakRules) -> None:
                 vectors = vectors / np.maximum(norm, 1e-9)[:, None].astype(np.float32)
                 at, found = _hits(index, units, first, g)
                 low = np.searchsorted(at, start)
-                high = np.searchsorted(at, start + 2 * index.spaces[g].stride)
-                for a, b, v, n in zip(low.tolist(), high.tolist(), vectors, norm, strict=True):
-                    np.add.at(out[g], index.local[found[a:b]], v * (index.idf[found[a:b]] / max(n, 1e-9))[:, None])
+                count = np.searchsorted(at, start + 2 * index.spaces[g].stride) - low
+                width = len(weights)
+                for i in range(0, len(start), 2048):
+                    n = count[i : i + 2048]
+                    passage = np.repeat(np.arange(len(n)), n)
+                    taken = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[i : i + 2048], n)
+                    feature = found[taken]
+                    a = np.bincount(passage * width + index.local[feature], index.idf[feature] / np.maximum(norm[i : i + 2048], 1e-9)[passage], len(n) * width)
+                    out[g] += a.reshape(len(n), width).astype(np.float32).T @ vectors[i : i + 2048]
         yield pa.RecordBatch.from_arrays([pa.array(list(range(len(out))), pa.int32()), pa.array([x.tobytes() for x in out], pa.binary())], ["g", "sums"])
 
     sample = bounded_sample(table, ["row"], rules.sample).repartition(4)
@@ -296,20 +315,36 @@ def _fit_spaces(table: DataFrame, index: LeakIndex, rules: LeakRules) -> None:
         space.item_of = np.array(items, dtype=np.int64)
 
 
+def pairs_in_line(item: tuple[np.ndarray, np.ndarray], part: np.ndarray) -> int:
+    """How many of the part's pairs the item has at about the same distance. item: its pairs in order of value and where each is first."""
+    keys, place = item
+    if not len(keys):
+        return 0
+    at = np.minimum(np.searchsorted(keys, part), len(keys) - 1)
+    hit = np.flatnonzero(keys[at] == part)
+    if not len(hit):
+        return 0
+    off = (hit - place[at[hit]] + len(place)) // max(16, len(place) // 4)
+    count = np.bincount(np.maximum(off, 0))
+    return int(max(count.max(), (count[1:] + count[:-1]).max() if len(count) > 1 else 0))
+
+
 def aligned_share(item: np.ndarray, part: np.ndarray) -> float:
     """The part of the item's units that the best local alignment matches. Each unit more or less and each other unit costs what a match earns."""
     n, m = len(item), len(part)
     if not n or not m:
         return 0.0
-    place = np.arange(m + 1)
+    place = np.arange(1, m + 1, dtype=np.int32)
     table = np.zeros((n + 1, m + 1), dtype=np.int32)
-    row = table[0]
+    score = np.where(item[:, None] == part[None, :], 1, -1).astype(np.int32)
     for i in range(n):
-        step = np.where(part == item[i], 1, -1)
-        best = np.maximum(row - 1, 0)
-        best[1:] = np.maximum(best[1:], row[:-1] + step)
-        row = np.maximum(np.maximum.accumulate(best + place) - place, 0)
-        table[i + 1] = row
+        above, best = table[i], score[i]
+        best += above[:-1]
+        np.maximum(best, above[1:] - 1, out=best)
+        np.maximum(best, 0, out=best)
+        best += place
+        np.maximum.accumulate(best, out=best)
+        np.subtract(best, place, out=table[i + 1, 1:])
     i, j = np.unravel_index(int(table.argmax()), table.shape)
     matched = 0
     while i and j and table[i, j] > 0:
@@ -324,21 +359,6 @@ def aligned_share(item: np.ndarray, part: np.ndarray) -> float:
     return matched / n
 
 
-def common_length(item: np.ndarray, part: np.ndarray) -> int:
-    """Length of the longest common subsequence, with one integer of as many bits as the item has units."""
-    places: dict[int, int] = {}
-    for k, unit in enumerate(item.tolist()):
-        places[unit] = places.get(unit, 0) | (1 << k)
-    mask = (1 << len(item)) - 1
-    state = mask
-    for unit in part.tolist():
-        hit = places.get(unit)
-        if hit:
-            both = state & hit
-            state = ((state + both) | (state - both)) & mask
-    return bin(mask & ~state).count("1")
-
-
 def find_leaks(documents: DataFrame, items: DataFrame, rules: LeakRules = LeakRules()) -> DataFrame:
     """doc_id, item_id, share, from_unit: documents that hold, as one passage and in order, at least rules.share of an item's units.
 
@@ -386,22 +406,23 @@ def find_leaks(documents: DataFrame, items: DataFrame, rules: LeakRules = LeakRu
                         if not places or places[-1] != int(start[i + a]):
                             places.append(int(start[i + a]))
             out: list[tuple] = []
+            pairs = unit_pairs(units, first)
             for (r, i), places in sorted(found.items()):
                 item = index.units[i]
-                best, where, until = 0.0, 0, -1
+                until = -1
                 for p in sorted(set(places)):
                     if p <= until:
                         continue
                     low = max(int(first[r]), p - len(item) - len(item) // 4)
                     high = min(int(ends[r]), p + 2 * len(item) + len(item) // 4)
                     until = p + len(item) // 2
-                    part = units[low:high]
-                    if common_length(item, part) >= rules.share * len(item):
-                        share = aligned_share(item, part)
-                        if share > best:
-                            best, where = share, low - int(first[r])
-                if best >= rules.share - 1e-9:
-                    out.append((r, i, best, where))
+                    # One passage in order with few altered units leaves most of its pairs whole, at about one distance from the item's.
+                    if pairs_in_line(index.pairs[i], pairs[low:high]) < rules.pairs * (len(item) - 1):
+                        continue
+                    share = aligned_share(item, units[low:high])
+                    if share >= rules.share - 1e-9:
+                        out.append((r, i, share, low - int(first[r])))
+                        break
             if out:
                 ids = batch.column(0).take(pa.array([o[0] for o in out]))
                 yield pa.RecordBatch.from_arrays([ids, pa.array([index.ids[o[1]] for o in out]), pa.array([o[2] for o in out]), pa.array([o[3] for o in out], pa.int32())], ["doc_id", "item_id", "share", "from_unit"])
