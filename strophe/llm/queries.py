@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strophe.llm.language import fit_languages, label_code, with_languages
 from strophe.llm.leaks import find_leaks
 from strophe.llm.packing import pack_texts
+from strophe.llm.sentences import find_sentences
 from strophe.llm.skeleton import look_alike_pairs, skeletons
 from strophe.llm.splitting import split_long
 from strophe.llm.turns import TurnRules, alias_numbers, fit_boundaries, fit_fillers, read_segments, speaker_turns
@@ -102,5 +103,18 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_leaks(spark, sf_dir).select("doc_id", "item_id")
 
 
-QUERIES = {"p8_found": p8_found, "p8_leaks": p8_leaks, "p6_found": p6_found, "p6_pieces": p6_pieces, "p7_pack": p7_pack, "p1_found": p1_found, "p1_segments": p1_segments, "p1_songs": p1_songs, "p4_found": p4_found, "p5_found": p5_found, "p5_forms": p5_forms}
+def _names(spark: SparkSession, sf_dir: str) -> frozenset[str]:
+    return frozenset(alias_numbers(table(spark, sf_dir, "voices"), TurnRules().aliases))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_sentences(table(spark, sf_dir, "documents"), _names(spark, sf_dir))
+
+
+def p9_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sentence of every document, with its number, position and text."""
+    return find_sentences(table(spark, sf_dir, "documents"), _names(spark, sf_dir), with_text=True)
+
+
+QUERIES = {"p9_found": p9_found, "p9_sentences": p9_sentences, "p8_found": p8_found, "p8_leaks": p8_leaks, "p6_found": p6_found, "p6_pieces": p6_pieces, "p7_pack": p7_pack, "p1_found": p1_found, "p1_segments": p1_segments, "p1_songs": p1_songs, "p4_found": p4_found, "p5_found": p5_found, "p5_forms": p5_forms}
 ORACLE: dict[str, str] = {}
