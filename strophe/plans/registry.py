@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strophe.plans import quality
+from strophe.plans import lyrics, quality
 
-_MODULES = [quality]
+_MODULES = [lyrics, quality]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
