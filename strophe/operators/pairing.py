@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strophe.functions.text import file_name, file_stem, file_suffix
 
 # Audio formats, best first.
-AUDIO_FORMATS = (".flac", ".wav", ".mp3", ".m4a", ".aac", ".ogg", ".opus", ".wma", ".webm")
+AUDIO_FORMATS = (".flac", ".wav", ".mp3", ".ogg", ".m4a", ".aac", ".wma", ".opus", ".aiff", ".ape", ".alac", ".webm")
 MANIFEST = "audio_path string, lyric_path string, language string, url string, name string"
 
 

@@ -157,7 +157,8 @@ ratios AS (SELECT *, is_duration_ill_cnt / total_seg_num AS r FROM counts),
 audit AS (SELECT *, total_seg_num > 15 AND (NOT has_unresolved OR (is_duration_ill_cnt <= 2 AND r < 0.1)) AS passes FROM ratios),
 routed AS (SELECT *, CASE WHEN has_reset THEN 'reset' ELSE 'ori' END || '/' || CASE WHEN passes THEN 'filtered' ELSE 'filtered_out' END AS route FROM audit)"""
 _HAN = r"[\x{4e00}-\x{9fff}]"
-_SPACED = rf"regexp_replace(text, '({_HAN})', '\1 ', 'g')"
+_PAIRS = rf"regexp_replace(text, '({_HAN})({_HAN})', '\1 \2', 'g')"
+_SPACED = rf"regexp_replace({_PAIRS}, '({_HAN})({_HAN})', '\1 \2', 'g')"
 _KEPT = rf"regexp_replace({_SPACED}, '[^\p{{L}}\p{{N}}_{_NOT_WS}'']', '', 'g')"
 _SQUEEZED = f"regexp_replace({_KEPT}, '{_WS}+', ' ', 'g')"
 _SPOKEN = f"lower({_trim(_SQUEEZED)})"
