@@ -8,6 +8,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.sql import types as t
 from pyspark.sql.functions import pandas_udf
 
 from strophe.functions.text import LATIN_LETTERS
@@ -19,9 +20,9 @@ def comparable(text: str, keep_space: bool = False) -> str:
     return unicodedata.normalize("NFKC", "".join(kept).lower())
 
 
-@pandas_udf("string")
+@pandas_udf(t.StringType())
 def comparable_text(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else comparable(t))
+    return texts.map(lambda x: None if x is None else comparable(x))
 
 
 _TOKEN = re.compile(rf"[一-鿿]|[{LATIN_LETTERS}0-9']+|\S")
@@ -64,7 +65,10 @@ def word_errors(reference: list[str], heard: list[str]) -> dict[str, float | boo
     return {"wer": errors / n, "ins": added / n, "del": missing / n, "sub": wrong / n, "hallucinated": n > 2 and (added / n > 0.5 or missing / n > 0.5)}
 
 
-@pandas_udf("wer double, ins double, del double, sub double, hallucinated boolean")
+_RATES = t.StructType([*(t.StructField(n, t.DoubleType()) for n in ("wer", "ins", "del", "sub")), t.StructField("hallucinated", t.BooleanType())])
+
+
+@pandas_udf(_RATES)
 def word_error_rates(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     for reference, heard in pairs:
         yield pd.DataFrame([word_errors((a or "").split(), (b or "").split()) for a, b in zip(reference, heard, strict=True)], columns=["wer", "ins", "del", "sub", "hallucinated"])

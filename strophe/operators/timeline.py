@@ -132,3 +132,25 @@ def viewer_rows(segments: DataFrame) -> DataFrame:
     return segments.filter("start < end").select("song_id", "seg_no", style.alias("style"))
 
 
+
+
+def adjust_bounds(segments: DataFrame, voiced: DataFrame | None = None, edge: float = 0.2, wide: float = 1.0, part: float = 0.5) -> DataFrame:
+    """song_id, seg_no, new_from, new_to: speech segments with their bounds moved into the gaps beside them.
+
+    The first starts `edge` earlier (not before 0), the last ends as much later. A gap of up to `wide` seconds is shared half and half, a wider
+    one gives each side `part`; a wider one that voice reaches across (a stretch of `voiced` from before its start to after its end) is shared too.
+    An overlap ends with the later segment's start. A bound depends on its two neighbours only, so lag and lead are enough.
+    """
+    song = _song()
+    rows = segments.withColumn("before", F.lag("end").over(song)).withColumn("after", F.lead("start").over(song))
+    if voiced is not None:
+        v = voiced.select(F.col("song_id").alias("vs"), F.col("start").alias("va"), F.col("end").alias("vb"))
+        across = rows.join(v, F.expr("song_id = vs and va < before and vb > start"), "left_semi").select("song_id", "seg_no", F.lit(True).alias("voice_before"))
+        rows = rows.join(across, ["song_id", "seg_no"], "left").withColumn("voice_after", F.lead("voice_before").over(song))
+    else:
+        rows = rows.withColumn("voice_before", F.lit(False)).withColumn("voice_after", F.lit(False))
+    move = lambda gap, voice: F.when((gap > 0) & F.coalesce(voice, F.lit(False)), gap / 2).when(gap > wide, part).when(gap >= 0, gap / 2)
+    left, right = F.col("start") - F.col("before"), F.col("after") - F.col("end")
+    start = F.when(F.col("before").isNull(), F.greatest(F.lit(0.0), F.col("start") - edge)).otherwise(F.col("start") - F.coalesce(move(left, F.col("voice_before")), F.lit(0.0)))
+    end = F.when(F.col("after").isNull(), F.col("end") + edge).when(right < 0, F.col("after")).otherwise(F.col("end") + F.coalesce(move(right, F.col("voice_after")), F.lit(0.0)))
+    return rows.select("song_id", "seg_no", start.alias("new_from"), end.alias("new_to"))

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strophe.plans import lyrics, quality, songs
+from strophe.plans import folding, lyrics, quality, songs
 
-_MODULES = [lyrics, songs, quality]
+_MODULES = [lyrics, songs, folding, quality]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -149,12 +149,45 @@ def narrow_dump(spark, d):
     return S.narrow_dump(segments_now(spark, d))
 
 
+def boundary_adjust(spark, d):
+    rows = L.adjust_bounds(segments_now(spark, d).filter("end > start"))
+    return rows.select("song_id", "seg_no", F.round("new_from", 4).alias("new_from"), F.round("new_to", 4).alias("new_to"))
+
+
+def context_pad(spark, d):
+    rows = L.pad_context(segments_now(spark, d).filter("end > start"), songs_now(spark, d).filter("audio_length is not null"))
+    return rows.select("song_id", "seg_no", F.round("padded_from", 4).alias("padded_from"), F.round("padded_to", 4).alias("padded_to"))
+
+
+def viewer_rows(spark, d):
+    rows = segments_now(spark, d, "song_id", "seg_no", "start", "end", "is_duration_ill").withColumn("reset_end_time", F.lit(False)).withColumn("vad_anomaly", F.lit(False))
+    return L.viewer_rows(rows)
+
+
+def shards(spark, d):
+    """Output folder and job of each manifest line."""
+    rows = P.numbered_lines(table(spark, d, "manifest"))
+    return rows.select("idx", P.shard(F.col("idx"), 50, 7).alias("shard"), P.even_share(F.col("idx"), 200, 1, 3).alias("mine"))
+
+
+def seeded_sample(spark, d):
+    """A hundred documents of a seeded shuffle; the limit is the feature."""
+    return table(spark, d, "documents").select("doc_id", F.xxhash64("doc_id", F.lit(42)).alias("h")).orderBy("h", "doc_id").limit(100).select("doc_id")
+
+
+def sentences_of_words(spark, d):
+    """Words of prose put together again as sentences."""
+    rows = table(spark, d, "documents").filter("doc_kind = 'prose'").select(F.col("doc_id").alias("item"), F.posexplode(F.split("text", r"\s+")).alias("word_no", "word"))
+    rows = rows.withColumn("start", F.col("word_no").cast("double")).withColumn("end", F.col("word_no") + F.lit(1.0))
+    return L.words_to_sentences(rows).select("item", F.col("sentence_no").cast("long").alias("sentence_no"), F.md5("sentence").alias("digest"), "start", "end")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         lrc_parse_restart, manifest_slice, best_audio_pair, pair_counts, audio_by_stem, missing_songs, resumed_songs, output_paths, singer_parse, top_singers, singer_totals, vad_windows,
         gap_fill, short_segments, continuity, end_time_audit, overlap_label, label_runs, vad_consistency, length_report, song_durations, effective_speakers, speaker_classes,
-        speaker_histogram, speaker_relabel, speaker_runs, turn_stats, narrow_dump,
+        speaker_histogram, speaker_relabel, speaker_runs, turn_stats, narrow_dump, boundary_adjust, context_pad, viewer_rows, shards, seeded_sample, sentences_of_words,
     )
 }
 
@@ -227,5 +260,13 @@ tu AS (SELECT *, CASE WHEN who IS DISTINCT FROM lag(who) OVER (PARTITION BY song
 pt AS (SELECT song_id, who, sum(e - s) AS ms, sum(turn) AS turns FROM tu GROUP BY ALL), su AS (SELECT *, sum(ms) OVER (PARTITION BY song_id) AS total FROM pt),
 q AS (SELECT song_id, CAST(any_value(total) AS BIGINT) AS speech_ms, CAST(sum(turns) AS BIGINT) AS turns, count_if(ms >= total * 0.1) AS num_effective FROM su GROUP BY song_id)
 SELECT song_id, speech_ms, audio_ms, turns, num_effective, speech_ms >= audio_ms * 0.6 AND num_effective BETWEEN 1 AND 4 AND speech_ms >= turns * 3000 AS is_valid FROM q JOIN a USING (song_id)""",
+    "boundary_adjust": f"""WITH {_LAST}, o AS (SELECT song_id, seg_no, "start" AS a, "end" AS e, lag("end") OVER w AS p, lead("start") OVER w AS n FROM last_rows WHERE "end" > "start" WINDOW w AS (PARTITION BY song_id ORDER BY "start", seg_no))
+SELECT song_id, seg_no, round(CASE WHEN p IS NULL THEN greatest(0.0, a - 0.2) WHEN a - p > 1 THEN a - 0.5 WHEN a - p >= 0 THEN a - (a - p) / 2 ELSE a END, 4) AS new_from, round(CASE WHEN n IS NULL THEN e + 0.2 WHEN n - e < 0 THEN n WHEN n - e > 1 THEN e + 0.5 ELSE e + (n - e) / 2 END, 4) AS new_to FROM o""",
+    "context_pad": f"""WITH {_LAST}, {_SONGS} SELECT song_id, seg_no, round(greatest(0.0, "start" - (0.2 + CASE WHEN "end" - "start" < 0.5 THEN 0.1 ELSE 0.0 END)), 4) AS padded_from, round(least(audio_length, "end" + (0.2 + CASE WHEN "end" - "start" < 0.5 THEN 0.1 ELSE 0.0 END)), 4) AS padded_to FROM last_rows JOIN songs_now USING (song_id) WHERE "end" > "start" AND audio_length IS NOT NULL""",
+    "viewer_rows": f"""WITH {_LAST} SELECT song_id, seg_no, CASE WHEN coalesce(is_duration_ill, false) THEN 'ill' ELSE 'normal' END AS style FROM last_rows WHERE "start" < "end" """,
+    "shards": f"WITH {_JSON} SELECT idx, (idx + 7) // 50 AS shard, idx // 67 = 1 AS mine FROM lines",
+    "sentences_of_words": r"""WITH w AS (SELECT doc_id AS item, generate_subscripts(l, 1) - 1 AS i, unnest(l) AS word FROM (SELECT doc_id, regexp_split_to_array(text, '[\s\x{0b}]+') AS l FROM documents WHERE doc_kind = 'prose')),
+c AS (SELECT *, coalesce(regexp_matches(lag(word) OVER (PARTITION BY item ORDER BY i), '[.!?]$'), false) AS k FROM w), s AS (SELECT *, sum(k::INT) OVER (PARTITION BY item ORDER BY i ROWS UNBOUNDED PRECEDING) AS sentence_no FROM c)
+SELECT item, CAST(sentence_no AS BIGINT) AS sentence_no, md5(string_agg(word, ' ' ORDER BY i)) AS digest, min(i)::DOUBLE AS "start", max(i)::DOUBLE + 1 AS "end" FROM s GROUP BY ALL""",
     "narrow_dump": f"WITH {_LAST} SELECT song_id, seg_no, CASE WHEN speaker <> '' THEN speaker ELSE 'N/A' END AS speaker, text FROM last_rows",
 }
