@@ -27,11 +27,14 @@ def _key(unit: str) -> str:
 
 @dataclass
 class FillerModel:
-    """Logistic regression over a unit's character n-grams, length and seed. A unit is what stands between commas, or a word before a comma."""
+    """Logistic regression over a unit's character n-grams, length and seed; a unit that wasn't seen must be
+    one word of at most `sound` letters and score above margin. A unit is what stands between commas, or a word before a comma."""
 
     size: int = 4096
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     seeds: frozenset[str] = frozenset(skeleton(s).casefold() for s in SEEDS)
+    margin: float = 1.5
+    sound: int = 6
     known: dict[str, bool] = field(default_factory=dict)
 
     def features(self, unit: str) -> list[int]:
@@ -73,11 +76,14 @@ class FillerModel:
             return False
         found = self.known.get(unit)
         if found is None:
-            found = bool(self.weights[self.features(unit)].sum() > 0) if len(self.weights) else unit in self.seeds
-            if len(self.known) < 100_000:
-                self.known[unit] = found
+            found = unit in self.seeds or bool(len(self.weights) and " " not in unit and len(unit) <= self.sound and self.weights[self.features(unit)].sum() > self.margin)
         return found
 
+    def is_sure(self, word: str) -> bool:
+        """Whether a word was seen to be a filler or is a seed; for words that don't stand alone."""
+        word = _key(word)
+        return word in self.seeds or self.known.get(word) is True
+
     def without(self, words: str) -> str:
         """The words without fillers: whole units between commas, and a word or two at the end of a unit that goes on after a comma."""
         kept = []
@@ -99,7 +105,7 @@ class FillerModel:
         """Whether anything but fillers is left."""
         if len(words) > 60:
             return bool(_WORDY.search(words))
-        return any(_WORDY.search(u) and not self.is_filler(u) for u in _UNIT.findall(words) if not all(self.is_filler(p) or not _WORDY.search(p) for p in u.split()))
+        return any(_WORDY.search(u) and not self.is_filler(u) and not all(self.is_sure(p) or not _WORDY.search(p) for p in u.split()) for u in _UNIT.findall(words))
 
 
 def filler_examples(lines: list[tuple[str, int | None]]) -> dict[str, tuple[float, float]]:
