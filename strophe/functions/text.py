@@ -65,7 +65,7 @@ def count_words(text: Column) -> Column:
     parts = F.size(F.split(bare, r"(?U)\s+"))
     latin = F.regexp_count(bare, F.lit(f"[{LATIN_LETTERS}]+"))
     rest = F.char_length(F.regexp_replace(bare, LOOSE_MARKS, ""))
-    return F.when(bare == "", 0).when(parts > 1, parts).when(latin > 0, latin).otherwise(F.greatest(rest, F.lit(1)))
+    return F.when(bare == "", 0).when(parts > 1, parts).when(latin > 0, latin).when(bare.isNotNull(), F.greatest(rest, F.lit(1)))
 
 
 def count_characters(text: Column) -> Column:
