@@ -86,20 +86,22 @@ class FillerModel:
 
     def without(self, words: str) -> str:
         """The words without fillers: whole units between commas, and a word or two at the end of a unit that goes on after a comma."""
-        kept = []
+        out, glue = "", ""
         units = _UNIT.findall(words)
         for i, unit in enumerate(units):
             unit = unit.strip()
             if not unit or self.is_filler(unit):
                 continue
+            comma = ", "
             if i + 1 < len(units):
                 parts = unit.split(" ")
                 for n in (2, 1):
                     if len(parts) > n and self.is_filler(" ".join(parts[-n:])):
-                        unit = " ".join(parts[:-n])
+                        unit, comma = " ".join(parts[:-n]), " "
                         break
-            kept.append(unit)
-        return ", ".join(kept)
+            out += glue + unit
+            glue = comma
+        return out
 
     def has_words(self, words: str) -> bool:
         """Whether anything but fillers is left."""

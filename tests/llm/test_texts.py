@@ -64,7 +64,7 @@ def test_fillers():
     model = FillerModel().fit(filler_examples(lines))
     assert model.is_filler("hrmf") and model.is_filler("uh") and not model.is_filler("good point") and not model.is_filler("yes")
     assert not model.has_words("uh, um") and model.has_words("uh, good point") and not model.has_words("") and not model.has_words("嗯，呃")
-    assert model.without("um, We kept the uh, door") == "We kept the, door"
+    assert model.without("um, We kept the uh, door") == "We kept the door" and model.without("um") == "" and model.without("a, b") == "a, b"
 
 
 def test_boosted_trees():
