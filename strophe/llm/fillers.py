@@ -50,7 +50,7 @@ class FillerModel:
             out.append(2)
         return out
 
-    def fit(self, units: dict[str, tuple[float, float]], steps: int = 40) -> FillerModel:
+    def fit(self, units: dict[str, tuple[float, float]], steps: int = 20) -> FillerModel:
         """units: for each unit how often it was a filler and how often it was not. The seeds are examples too."""
         examples = defaultdict(lambda: [0.0, 0.0], {u: list(c) for u, c in units.items()})
         for seed in self.seeds:
@@ -111,7 +111,8 @@ class FillerModel:
 
 
 def filler_examples(lines: list[tuple[str, int | None]]) -> dict[str, tuple[float, float]]:
-    """From cleaned lines with their counts of words: units of lines without any word are fillers, those of other short lines are not."""
+    """From cleaned lines with their counts of words: units of lines without any word are fillers, those of other short lines are not,
+    and words inside longer units count a little as such (but for the seeds, which may stand in a sentence)."""
     counts: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0])
     for words, number in lines:
         whole = [k for u in _UNIT.findall(words) if (k := _key(u)) and _WORDY.search(k)]
@@ -121,4 +122,9 @@ def filler_examples(lines: list[tuple[str, int | None]]) -> dict[str, tuple[floa
                 counts[unit][0] += 1
         elif number and len(words) <= 60 and len(units) == len(whole) == 1:
             counts[units[0]][1] += 1
+        if number:
+            for unit in whole:
+                for word in unit.split(" ")[1:-1]:
+                    if 0 < len(word) <= LONGEST and _WORDY.search(word) and word not in FillerModel.seeds:
+                        counts[word][1] += 0.2
     return {u: (a, b) for u, (a, b) in counts.items()}

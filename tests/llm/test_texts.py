@@ -60,7 +60,7 @@ def test_lines(line, who, words):
 
 
 def test_fillers():
-    lines = [("uh, um", 0), ("hrmf", 0), ("hrmf", 0), ("hrmf", 0), ("exactly right", 2), ("good point", 2), ("yes", 1), ("yes", 1)] * 3
+    lines = [("uh, um", 0), ("hrmf", 0), ("hrmf", 0), ("hrmf", 0), ("exactly right", 2), ("good point", 2), ("yes", 1), ("yes", 1), ("We keep every old house near that green door today", 10), ("some large boats sail past this small town at noon", 10)] * 6
     model = FillerModel().fit(filler_examples(lines))
     assert model.is_filler("hrmf") and model.is_filler("uh") and not model.is_filler("good point") and not model.is_filler("yes")
     assert not model.has_words("uh, um") and model.has_words("uh, good point") and not model.has_words("") and not model.has_words("嗯，呃")
