@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strophe.functions import text as T
 from strophe.operators import rates as R
 from strophe.operators.current import current_rows
-from strophe.session import table
+from strophe.session import cut_lineage, table
 
 COLUMNS = ("song_id", "seg_no", "text", "start", "end", "is_lyric", "speaker")
 
@@ -22,8 +22,13 @@ def _rated(spark: SparkSession, d: str) -> DataFrame:
     return R.with_rates(segments_now(spark, d))
 
 
+def _rated_once(spark: SparkSession, d: str) -> DataFrame:
+    """The rated segments written once: the statistics of a song pass over them several times."""
+    return cut_lineage(_rated(spark, d).drop("text_ori", "speaker"))
+
+
 def _flagged(spark: SparkSession, d: str) -> DataFrame:
-    return R.with_ill_flags(_rated(spark, d))
+    return R.with_ill_flags(_rated_once(spark, d))
 
 
 def _audit(spark: SparkSession, d: str) -> DataFrame:
@@ -60,7 +65,7 @@ def segment_rows(spark, d):
 
 
 def segment_rate(spark, d):
-    return R.song_rates(_rated(spark, d)).select("song_id", "lang_type", "number", F.round("total_dur", 3).alias("total_dur"), F.round("average_duration", 6).alias("average_duration"))
+    return R.song_rates(_rated_once(spark, d)).select("song_id", "lang_type", "number", F.round("total_dur", 3).alias("total_dur"), F.round("average_duration", 6).alias("average_duration"))
 
 
 def ill_flag(spark, d):
@@ -82,7 +87,7 @@ def route_lines(spark, d):
 
 
 def corpus_totals(spark, d):
-    return R.song_rates(_rated(spark, d)).groupBy("lang_type").agg(F.sum("number").alias("number"), F.round(F.sum("total_dur"), 1).alias("total_dur"))
+    return R.song_rates(_rated_once(spark, d)).groupBy("lang_type").agg(F.sum("number").alias("number"), F.round(F.sum("total_dur"), 1).alias("total_dur"))
 
 
 def duration_histogram(spark, d):
