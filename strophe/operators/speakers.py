@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strophe.operators.neighbours import time_bucket, with_neighbours, with_run_numbers
+
 
 def plain_label(label: Column) -> Column:
     """A cluster label without its outlier mark; null for none."""
@@ -50,10 +52,9 @@ def relabel_by_appearance(segments: DataFrame) -> DataFrame:
 
 def same_speaker_runs(segments: DataFrame) -> DataFrame:
     """song_id, run_no, speaker, first_seg, last_seg, start, end: neighbouring segments of one label as one."""
-    order = Window.partitionBy("song_id").orderBy("start", "seg_no")
-    before = F.lag(F.struct("speaker")).over(order)
-    new = (before.isNull() | ~before["speaker"].eqNullSafe(F.col("speaker"))).cast("int")
-    rows = segments.withColumn("new", new).withColumn("run_no", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = with_neighbours(segments, "song_id", ["start", "seg_no"], ["start", "seg_no", "speaker"], time_bucket())
+    new = F.col("before").isNull() | ~F.col("before.speaker").eqNullSafe(F.col("speaker"))
+    rows = with_run_numbers(rows, "song_id", ["start", "seg_no"], new, time_bucket())
     place = F.struct("start", "seg_no")
     return rows.groupBy("song_id", "run_no").agg(F.first("speaker").alias("speaker"), F.min_by("seg_no", place).alias("first_seg"), F.max_by("seg_no", place).alias("last_seg"), F.min("start").alias("start"), F.max_by("end", place).alias("end"))
 
@@ -79,10 +80,10 @@ def talk_quality(segments: DataFrame, rules: TalkRules = TalkRules()) -> DataFra
     ms = lambda c: F.round(F.col(c) * 1000).cast("long")
     rows = segments.withColumn("s", ms("start")).withColumn("e", ms("end"))
     audio = rows.groupBy("song_id").agg(F.max_by("e", F.struct("start", "seg_no")).alias("audio_ms"))
-    spoken = rows.filter(F.col("speaker").isNotNull() & ~F.col("text").contains(rules.silence) & (F.col("e") > F.col("s"))).withColumn("speaker", plain_label(F.col("speaker")))
-    order = Window.partitionBy("song_id").orderBy("start", "seg_no")
-    turn = (~F.col("speaker").eqNullSafe(F.lag("speaker").over(order))).cast("int")
-    parts = spoken.withColumn("turn", turn).groupBy("song_id", "speaker").agg(F.sum(F.col("e") - F.col("s")).alias("ms"), F.sum("turn").alias("turns"))
+    spoken = rows.filter(F.col("speaker").isNotNull() & ~F.col("text").contains(rules.silence) & (F.col("e") > F.col("s"))).withColumn("speaker", plain_label(F.col("speaker"))).filter("speaker is not null")
+    beside = with_neighbours(spoken, "song_id", ["start", "seg_no"], ["start", "seg_no", "speaker"], time_bucket())
+    turn = (F.col("before").isNull() | ~F.col("speaker").eqNullSafe(F.col("before.speaker"))).cast("int")
+    parts = beside.withColumn("turn", turn).groupBy("song_id", "speaker").agg(F.sum(F.col("e") - F.col("s")).alias("ms"), F.sum("turn").alias("turns"))
     sums = parts.groupBy("song_id").agg(F.sum("ms").alias("speech_ms"), F.sum("turns").alias("turns"))
     enough = parts.join(sums.select("song_id", "speech_ms"), "song_id").groupBy("song_id").agg(F.count_if(F.col("ms") >= F.col("speech_ms") * rules.share).alias("num_effective"))
     out = sums.join(enough, "song_id").join(audio, "song_id")

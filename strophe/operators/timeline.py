@@ -6,18 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strophe.functions.text import without_brackets
+from strophe.operators.neighbours import time_bucket, with_neighbours, with_run_numbers
 
-_ORDER = ("start", "seg_no")
+_ORDER = ["start", "seg_no"]
 
 
-def _song() -> object:
-    return Window.partitionBy("song_id").orderBy(*_ORDER)
+def _beside(segments: DataFrame, *columns: str) -> DataFrame:
+    """Segments with the named columns of those before and after them in their song."""
+    return with_neighbours(segments, "song_id", _ORDER, list(dict.fromkeys([*_ORDER, *columns])), time_bucket())
 
 
 def vad_windows(segments: DataFrame, songs: DataFrame) -> DataFrame:
     """song_id, seg_no, window_from, window_to: each line's voice activity is looked for up to the next line's start, the last one's up to the audio's end."""
-    rows = segments.join(songs.select("song_id", "audio_length"), "song_id", "left")
-    return rows.select("song_id", "seg_no", F.col("start").alias("window_from"), F.coalesce(F.lead("start").over(_song()), F.col("audio_length")).alias("window_to"))
+    rows = _beside(segments).join(songs.select("song_id", "audio_length"), "song_id", "left")
+    return rows.select("song_id", "seg_no", F.col("start").alias("window_from"), F.coalesce("after.start", "audio_length").alias("window_to"))
 
 
 def fill_gaps(segments: DataFrame, songs: DataFrame, short: float = 0.3, gap: float = 1.5) -> DataFrame:
@@ -29,8 +31,8 @@ def fill_gaps(segments: DataFrame, songs: DataFrame, short: float = 0.3, gap: fl
     ms = lambda c: F.round(F.col(c) * 1000).cast("long")
     kept = segments.select("song_id", "seg_no", "text", ms("start").alias("s"), ms("end").alias("e")).filter(F.col("e") - F.col("s") >= int(short * 1000))
     lengths = songs.select("song_id", ms("audio_length").alias("total")).filter("total is not null")
-    order = Window.partitionBy("song_id").orderBy("s", "seg_no")
-    rows = kept.join(lengths, "song_id").withColumn("before", F.coalesce(F.lag("e").over(order), F.lit(0))).withColumn("following", F.lead("s").over(order))
+    beside = with_neighbours(kept, "song_id", ["s", "seg_no"], ["s", "seg_no", "e"], F.floor(F.col("s") / 3_600_000))
+    rows = beside.join(lengths, "song_id").withColumn("following", F.col("after.s")).withColumn("before", F.coalesce("before.e", F.lit(0)))
     wide = int(gap * 1000)
     until = F.coalesce("following", "total")
     blank = F.when(F.col("s") - F.col("before") >= wide, F.struct(F.col("before").alias("s"), F.col("s").alias("e"), F.lit("").alias("text")))
@@ -48,8 +50,8 @@ def short_segments(segments: DataFrame, short: float = 0.3) -> DataFrame:
 
 def continuity(segments: DataFrame, songs: DataFrame, slack: float = 0.01) -> DataFrame:
     """song_id, first_gap_seg, overruns: the first segment that doesn't begin where the one before ends, and whether the last one ends after the audio."""
-    gap = F.abs(F.col("start") - F.lag("end").over(_song())) > slack
-    rows = segments.withColumn("gap", F.coalesce(gap, F.lit(False)))
+    gap = F.abs(F.col("start") - F.col("before.end")) > slack
+    rows = _beside(segments, "end").withColumn("gap", F.coalesce(gap, F.lit(False)))
     place = F.struct(*_ORDER)
     found = rows.groupBy("song_id").agg(F.min(F.when(F.col("gap"), place)).alias("g"), F.max_by("end", place).alias("last_end"))
     return found.join(songs.select("song_id", "audio_length"), "song_id", "left").select("song_id", F.col("g.seg_no").alias("first_gap_seg"), F.coalesce(F.col("last_end") > F.col("audio_length") + slack, F.lit(False)).alias("overruns"))
@@ -80,10 +82,9 @@ def label_runs(structures: DataFrame) -> DataFrame:
     """song_id, run_no, label, start, end: neighbouring stretches of one label (small, without digits) as one."""
     label = F.regexp_replace(F.lower("label"), r"\d+", "")
     rows = structures.withColumn("label", label)
-    order = Window.partitionBy("song_id").orderBy("start", "st_no")
-    before = F.lag(F.struct("label")).over(order)
-    new = (before.isNull() | ~before["label"].eqNullSafe(F.col("label"))).cast("int")
-    rows = rows.withColumn("new", new).withColumn("run_no", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = with_neighbours(rows, "song_id", ["start", "st_no"], ["start", "st_no", "label"], time_bucket())
+    new = F.col("before").isNull() | ~F.col("before.label").eqNullSafe(F.col("label"))
+    rows = with_run_numbers(rows, "song_id", ["start", "st_no"], new, time_bucket())
     return rows.groupBy("song_id", "run_no").agg(F.first("label").alias("label"), F.min("start").alias("start"), F.max("end").alias("end"))
 
 
@@ -141,12 +142,12 @@ def adjust_bounds(segments: DataFrame, voiced: DataFrame | None = None, edge: fl
     one gives each side `part`; a wider one that voice reaches across (a stretch of `voiced` from before its start to after its end) is shared too.
     An overlap ends with the later segment's start. A bound depends on its two neighbours only, so lag and lead are enough.
     """
-    song = _song()
-    rows = segments.withColumn("before", F.lag("end").over(song)).withColumn("after", F.lead("start").over(song))
+    rows = _beside(segments, "end").withColumn("before", F.col("before.end")).withColumn("following", F.col("after.seg_no")).withColumn("after", F.col("after.start"))
     if voiced is not None:
         v = voiced.select(F.col("song_id").alias("vs"), F.col("start").alias("va"), F.col("end").alias("vb"))
         across = rows.join(v, F.expr("song_id = vs and va < before and vb > start"), "left_semi").select("song_id", "seg_no", F.lit(True).alias("voice_before"))
-        rows = rows.join(across, ["song_id", "seg_no"], "left").withColumn("voice_after", F.lead("voice_before").over(song))
+        following = across.select("song_id", F.col("seg_no").alias("following"), F.lit(True).alias("voice_after"))
+        rows = rows.join(across, ["song_id", "seg_no"], "left").join(following, ["song_id", "following"], "left")
     else:
         rows = rows.withColumn("voice_before", F.lit(False)).withColumn("voice_after", F.lit(False))
     move = lambda gap, voice: F.when((gap > 0) & F.coalesce(voice, F.lit(False)), gap / 2).when(gap > wide, part).when(gap >= 0, gap / 2)

@@ -255,7 +255,7 @@ m AS (SELECT media, CAST(round(coalesce(audio_length, le, 0) * 1000) AS BIGINT)
     "speaker_runs": f"""WITH {_LAST}, m AS (SELECT *, lag(speaker) OVER w AS p, row_number() OVER w AS i FROM last_rows WINDOW w AS (PARTITION BY song_id ORDER BY "start", seg_no)), r AS (SELECT *, sum(CASE WHEN i = 1 OR speaker IS DISTINCT FROM p THEN 1 ELSE 0 END) OVER (PARTITION BY song_id ORDER BY "start", seg_no ROWS UNBOUNDED PRECEDING) AS run_no FROM m)
 SELECT song_id, CAST(run_no AS BIGINT) AS run_no, any_value(speaker) AS speaker, arg_min(seg_no, ROW("start", seg_no)) AS first_seg, arg_max(seg_no, ROW("start", seg_no)) AS last_seg FROM r GROUP BY song_id, run_no""",
     "turn_stats": rf"""WITH {_TIMES}, a AS (SELECT song_id, e AS audio_ms FROM (SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY "start" DESC, seg_no DESC) AS k FROM t WHERE e IS NOT NULL) WHERE k = 1),
-sp AS (SELECT *, CASE WHEN speaker <> '' THEN regexp_replace(trim(speaker), '_OUTLIER$', '') END AS who FROM t WHERE speaker IS NOT NULL AND text NOT LIKE '%<非语音>%' AND e > s),
+sp AS (SELECT *, CASE WHEN speaker <> '' THEN regexp_replace(trim(speaker), '_OUTLIER$', '') END AS who FROM t WHERE speaker <> '' AND text NOT LIKE '%<非语音>%' AND e > s),
 tu AS (SELECT *, CASE WHEN who IS DISTINCT FROM lag(who) OVER (PARTITION BY song_id ORDER BY "start", seg_no) THEN 1 ELSE 0 END AS turn FROM sp),
 pt AS (SELECT song_id, who, sum(e - s) AS ms, sum(turn) AS turns FROM tu GROUP BY ALL), su AS (SELECT *, sum(ms) OVER (PARTITION BY song_id) AS total FROM pt),
 q AS (SELECT song_id, CAST(any_value(total) AS BIGINT) AS speech_ms, CAST(sum(turns) AS BIGINT) AS turns, count_if(ms >= total * 0.1) AS num_effective FROM su GROUP BY song_id)

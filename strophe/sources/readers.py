@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strophe.functions.text import file_name, file_stem, trim_all
+from strophe.operators.neighbours import with_neighbours
 
 SEGMENT = (
     "text string, start double, end double, speaker string, is_lyric boolean, lang_type string, lyric_count int, average_duration double, is_duration_ill boolean, "
@@ -45,9 +46,8 @@ def lrc_rows(lines: DataFrame, restart: float = 10.0) -> DataFrame:
     tags = F.regexp_extract_all(raw, F.lit(pattern), F.lit(0))
     seconds = F.transform(tags, lambda t: F.regexp_extract(t, pattern, 1).cast("int") * 60 + F.regexp_extract(t, pattern, 2).cast("double"))
     rows = lines.select("song_id", "line_no", text.alias("text"), seconds.alias("times")).filter("text <> '' and size(times) > 0")
-    first = F.array_min("times")
-    order = Window.partitionBy("song_id").orderBy("line_no")
-    jump = first < F.lag(first).over(order) - restart
+    rows = with_neighbours(rows.withColumn("first", F.array_min("times")), "song_id", ["line_no"], ["line_no", "first"], F.floor(F.col("line_no") / 4096))
+    jump = F.col("first") < F.col("before.first") - restart
     cut = rows.withColumn("jump", F.coalesce(jump, F.lit(False))).groupBy("song_id").agg(F.min(F.when(F.col("jump"), F.col("line_no"))).alias("cut"))
     rows = rows.join(cut, "song_id").select("song_id", "line_no", "text", "cut", F.posexplode("times").alias("tag_no", "start"))
     return rows.select("song_id", "line_no", "tag_no", "start", "text", F.coalesce(F.col("line_no") >= F.col("cut"), F.lit(False)).alias("strange"))

@@ -283,3 +283,22 @@ def test_clusters(spark):
     assert rows_of(vectors.merge_clusters(df, "k", "l", "v"), "k", "l", "merged_label") == [(0, 1, 1), (0, 2, 1), (0, 3, 3), (1, 3, 3)]
     zero = spark.createDataFrame([([0.0], [1.0]), (None, [1.0])], "a array<double>, b array<double>").select(vectors.cosine(F.col("a"), F.col("b"))).collect()
     assert [r[0] for r in zero] == [None, None]
+
+
+def test_neighbours_and_runs_over_buckets(spark):
+    from strophe.operators.neighbours import time_bucket, with_neighbours, with_run_numbers
+
+    random.seed(9)
+    data = [(k, float(random.randrange(300)), i, random.choice("xy")) for k in "abc" for i in range(80)] + [("a", None, 99, "x"), (None, 1.0, 0, "x"), (None, 2.0, 1, "x")]
+    df = spark.createDataFrame(data, "k string, start double, no int, v string")
+    rows = with_neighbours(df, "k", ["start", "no"], ["start", "no", "v"], time_bucket(seconds=20))
+    runs = with_run_numbers(rows, "k", ["start", "no"], F.col("before").isNull() | (F.col("before.v") != F.col("v")), time_bucket(seconds=20))
+    got = {(r.k, r.no): (r.before and r.before.no, r.after and r.after.no, r.run_no) for r in runs.collect()}
+    want = {}
+    for k in {d[0] for d in data}:
+        own = sorted((d for d in data if d[0] == k), key=lambda d: (d[1] is not None, d[1] or 0, d[2]))
+        run = 0
+        for i, d in enumerate(own):
+            run += i == 0 or own[i - 1][3] != d[3]
+            want[k, d[2]] = (own[i - 1][2] if i else None, own[i + 1][2] if i + 1 < len(own) else None, run)
+    assert got == want
