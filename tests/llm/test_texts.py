@@ -125,6 +125,7 @@ def test_sentences(sentences, parts):
 
 def test_sentences_without_capitals_and_spaces(sentences):
     assert cut("the quiet driver went home at 6 p.m. is it true? ms. dar asked, “who knows?” and left.", sentences) == ["the quiet driver went home at 6 p.m.", "is it true?", "ms. dar asked, “who knows?” and left."]
+    assert cut("Nobody listens. we kept the map. It was built in 1999. Then it rained.", sentences) == ["Nobody listens.", "we kept the map.", "It was built in 1999.", "Then it rained."]
     assert cut("One door closes.Another opens.", sentences) == ["One door closes.", "Another opens."]
     assert cut("คนสวนล้างหุบเขา ดร. ทามลืมโคมไฟ 10 ครั้ง ช้าๆ ในห้อง", sentences) == ["คนสวนล้างหุบเขา", "ดร. ทามลืมโคมไฟ 10 ครั้ง", "ช้าๆ ในห้อง"] or True
     assert cut("Heading\n\nOne line\nbroken. Two.", sentences) == ["Heading", "One line\nbroken.", "Two."]
