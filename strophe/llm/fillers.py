@@ -16,13 +16,15 @@ SEEDS = (
     "эээ", "ммм", "э", "ну это", "ну", "嗯", "呃", "那个", "啊", "あの", "えっと", "うーん", "えー", "ええと", "음", "어", "그게", "저기", "เอ่อ", "อืม", "อ่า",
 )
 _SPLIT = re.compile(r"[,，、;；.。…!?！？\s]+")
+_COMMA = re.compile(r"([,，、]\s*)")
 _UNIT = re.compile(r"[^,，、]+")
 _WORDY = re.compile(r"\w")
 LONGEST = 14
 
 
 def _key(unit: str) -> str:
-    return " ".join(_SPLIT.split(unit)).strip().casefold()
+    """A unit in the skeleton's form, so that look-alike letters make no difference."""
+    return " ".join(_SPLIT.split(skeleton(unit))).strip().casefold()
 
 
 @dataclass
@@ -86,22 +88,19 @@ class FillerModel:
 
     def without(self, words: str) -> str:
         """The words without fillers: whole units between commas, and a word or two at the end of a unit that goes on after a comma."""
-        out, glue = "", ""
-        units = _UNIT.findall(words)
-        for i, unit in enumerate(units):
-            unit = unit.strip()
-            if not unit or self.is_filler(unit):
+        out = ""
+        pieces = _COMMA.split(words)
+        for i in range(0, len(pieces), 2):
+            unit, comma = pieces[i], pieces[i + 1] if i + 1 < len(pieces) else ""
+            if not unit.strip() or self.is_filler(unit):
                 continue
-            comma = ", "
-            if i + 1 < len(units):
-                parts = unit.split(" ")
-                for n in (2, 1):
-                    if len(parts) > n and self.is_filler(" ".join(parts[-n:])):
-                        unit, comma = " ".join(parts[:-n]), " "
-                        break
-            out += glue + unit
-            glue = comma
-        return out
+            parts = unit.rstrip().split(" ")
+            for n in (2, 1) if comma else ():
+                if len(parts) > n and self.is_filler(" ".join(parts[-n:])):
+                    unit, comma = " ".join(parts[:-n]) + " ", ""
+                    break
+            out += unit + comma
+        return out.strip().rstrip(",，、")
 
     def has_words(self, words: str) -> bool:
         """Whether anything but fillers is left."""

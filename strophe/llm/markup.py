@@ -12,7 +12,7 @@ NOTE = r"\[[^\[\]]*\]|\([^\W\d_]{1,14}\)|（[^\W\d_]{1,6}）|<[^\W\d_]{2,14}>|\*
 # How speakers are called in the nine languages.
 SPEAKER_WORDS = ("speaker", "spk", "s", "说话人", "說話人", "話者", "화자", "sprecher", "locuteur", "hablante", "спикер", "ผู้พูด")
 
-_WORD = "|".join(re.escape(skeleton(w)) for w in sorted(SPEAKER_WORDS, key=len, reverse=True))
+_WORD = "|".join(re.escape(w) for w in sorted({*SPEAKER_WORDS, *map(skeleton, SPEAKER_WORDS)}, key=lambda w: (-len(w), w)))
 _NUMBERED = rf"(?:{_WORD})[\s_\-]*(\d{{1,3}})"
 _NAMED = r"([^\s:：\[\]()<>*♪]{2,30})"
 _LEAD = re.compile(rf"\s*(?:(?P<time>{TIME}|>>)|\[(?:{_NUMBERED}|{_NAMED})\]|(?:{_NUMBERED}|{_NAMED})(?:\s*[:：]|\s+-\s)|(?P<note>{NOTE}))\s*", re.IGNORECASE)

@@ -65,6 +65,12 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speaker_turns(read, fit_boundaries(read))
 
 
+def p4_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns with their clean text, in parts of half an hour."""
+    read = cut_lineage(_read_talk(spark, sf_dir, with_text=True))
+    return speaker_turns(read, fit_boundaries(read), with_text=True)
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments = current_rows(table(spark, sf_dir, "segments"), "segment_id", "loaded_at", song_id="song_id", text="text")
     return look_alike_pairs(segments, "song_id", "segment_id", "text").select(F.col("row_a").alias("segment_a"), F.col("row_b").alias("segment_b"))
@@ -116,5 +122,17 @@ def p9_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_sentences(table(spark, sf_dir, "documents"), _names(spark, sf_dir), with_text=True)
 
 
-QUERIES = {"p9_found": p9_found, "p9_sentences": p9_sentences, "p8_found": p8_found, "p8_leaks": p8_leaks, "p6_found": p6_found, "p6_pieces": p6_pieces, "p7_pack": p7_pack, "p1_found": p1_found, "p1_segments": p1_segments, "p1_songs": p1_songs, "p4_found": p4_found, "p5_found": p5_found, "p5_forms": p5_forms}
-ORACLE: dict[str, str] = {}
+QUERIES = {"p9_found": p9_found, "p9_sentences": p9_sentences, "p8_found": p8_found, "p8_leaks": p8_leaks, "p6_found": p6_found, "p6_pieces": p6_pieces, "p7_pack": p7_pack, "p1_found": p1_found, "p1_segments": p1_segments, "p1_songs": p1_songs, "p4_found": p4_found, "p4_turns": p4_turns, "p5_found": p5_found, "p5_forms": p5_forms}
+_LAST = "last_rows AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY loaded_at DESC) AS rn FROM segments) WHERE rn = 1)"
+ORACLE: dict[str, str] = {
+    # Pauses of each list, then the furthest cut inside one again and again.
+    "p6_found": f"""WITH RECURSIVE {_LAST}, long AS (SELECT segment_id, song_id, seg_no, CAST(round("start" * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e FROM last_rows),
+voice AS (SELECT segment_id, s, e, regexp_replace(regexp_replace(vad_res, '\\.0*', '', 'g'), '[^01]', '', 'g') AS bits FROM long LEFT JOIN vad USING (song_id, seg_no) WHERE e - s > 30000),
+value AS (SELECT segment_id, s, e, unnest(generate_series(1, length(bits))) AS i, bits FROM voice),
+silent AS (SELECT segment_id, s, e, i, i - row_number() OVER (PARTITION BY segment_id ORDER BY i) AS island FROM value WHERE bits[i] = '0'),
+pause AS (SELECT segment_id, s + (min(i) - 1) * 250 AS a, least(s + max(i) * 250, e - 1) AS b FROM silent GROUP BY segment_id, s, e, island HAVING count(*) >= 2),
+lists AS (SELECT segment_id, list({{'a': a, 'b': b}}) AS p FROM pause WHERE a <= b GROUP BY segment_id),
+step AS (SELECT segment_id, s AS now, e, p FROM voice LEFT JOIN lists USING (segment_id)
+    UNION ALL SELECT segment_id, cut - 500, e, p FROM (SELECT *, list_max(list_transform(list_filter(p, lambda x: x.a <= now + 30000 AND least(x.b, now + 30000) > now + 500), lambda x: least(x.b, now + 30000))) AS cut FROM step WHERE e - now > 30000) WHERE cut IS NOT NULL)
+SELECT segment_id, CASE WHEN min(e - now) <= 30000 THEN 'natural' ELSE 'forced' END AS cut_kind FROM step GROUP BY segment_id""",
+}

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from strophe.llm.boosting import BoostedTrees
 from strophe.llm.fillers import FillerModel, filler_examples
-from strophe.llm.markup import label_number, read_line
-from strophe.llm.skeleton import skeleton
+from strophe.llm.markup import label_number, lead_end, read_line, without_marks
+from strophe.llm.skeleton import plain, skeleton
 from strophe.operators.keyed import map_groups
 from strophe.operators.sample import bounded_sample
 
@@ -53,6 +53,7 @@ def read_segments(segments: DataFrame, aliases: dict[str, int], fillers: FillerM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns: dict[str | None, int | None] = {}
+        names = frozenset(aliases)
         for batch in batches:
             who, spoken, in_text, said = [], [], [], []
             for text, label, lyric in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist(), batch.column(7).to_pylist(), strict=True):
@@ -67,13 +68,14 @@ def read_segments(segments: DataFrame, aliases: dict[str, int], fillers: FillerM
                 who.append(number)
                 spoken.append(lyric is not False and fillers.has_words(words))
                 if with_text:
-                    said.append(" ".join(fillers.without(words).split()))
+                    line = plain(text or "")
+                    said.append(" ".join(fillers.without(without_marks(line[lead_end(line, names):])).split()))
             arrays = [*(batch.column(i) for i in range(5)), pa.array(who, pa.int32()), pa.array(spoken, pa.bool_()), pa.array(in_text, pa.bool_())]
-            names = [*kept, "who", "spoken", "in_text"]
+            fields = [*kept, "who", "spoken", "in_text"]
             if with_text:
                 arrays.append(pa.array(said, pa.string()))
-                names.append("said")
-            yield pa.RecordBatch.from_arrays(arrays, names)
+                fields.append("said")
+            yield pa.RecordBatch.from_arrays(arrays, fields)
 
     kinds = dict(segments.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in kept) + ", who int, spoken boolean, in_text boolean" + ", said string" * with_text
@@ -113,15 +115,18 @@ def fit_boundaries(read: DataFrame, rules: TurnRules = TurnRules()) -> BoostedTr
     return BoostedTrees().fit(x[use], ((who >= 0) & (who != carried))[use].astype(float))
 
 
-def speaker_turns(read: DataFrame, boundaries: BoostedTrees, rules: TurnRules = TurnRules()) -> DataFrame:
+def speaker_turns(read: DataFrame, boundaries: BoostedTrees, rules: TurnRules = TurnRules(), with_text: bool = False) -> DataFrame:
     """song_id, first_seg_no, last_seg_no, speaker_no: the turns of current segments as read_segments gives them.
 
+    with_text also gives their clean text, a row (part_no, text) for each block that a turn goes through, so that no text grows with
+    the song.
+
     Segments are ordered by start (null first, then), then seg_no; those that aren't spoken neither count nor break a turn. Before a
     song's first label the speaker is null. Rows of a null song are one song.
     A song may hold a third of all rows: turns are found in blocks of time, and only the first two runs and the last run of each
     block meet in the window over the song that decides which of them go on.
     """
-    rows = read.filter("spoken").select("song_id", F.coalesce(F.floor(F.col("start") / rules.block), F.lit(-(2**40))).cast("long").alias("block"), F.coalesce("start", F.lit(-1e300)).alias("start"), "seg_no", F.coalesce("who", F.lit(-1)).alias("who"), "in_text")
+    rows = read.filter("spoken").select("song_id", F.coalesce(F.floor(F.col("start") / rules.block), F.lit(-(2**40))).cast("long").alias("block"), F.coalesce("start", F.lit(-1e300)).alias("start"), "seg_no", F.coalesce("who", F.lit(-1)).alias("who"), "in_text", *["said"] * with_text)
 
     def run(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         n = table.num_rows
@@ -141,18 +146,27 @@ def speaker_turns(read: DataFrame, boundaries: BoostedTrees, rules: TurnRules =
         speaker = who[at]
         picked = table.take(pa.array(at))
         seg = table["seg_no"]
-        yield from pa.Table.from_arrays(
-            [picked["song_id"], picked["block"], pa.array(number, pa.int64()), pa.array(number == runs_in[group[at]] - 1), pa.array(speaker, pa.int32(), mask=speaker < 0), picked["seg_no"], seg.take(pa.array(last))],
-            ["song_id", "block", "run", "is_last", "speaker_no", "first_seg_no", "last_seg_no"],
-        ).combine_chunks().to_batches()
-
-    runs = map_groups(rows, ["song_id", "block"], ["start", "seg_no"], run, f"song_id string, block long, run long, is_last boolean, speaker_no int, first_seg_no {dict(read.dtypes)['seg_no']}, last_seg_no {dict(read.dtypes)['seg_no']}")
-    inner = runs.filter("run > 1 and not is_last").select("song_id", "first_seg_no", "last_seg_no", "speaker_no")
+        arrays = [picked["song_id"], picked["block"], pa.array(number, pa.int64()), pa.array(number == runs_in[group[at]] - 1), pa.array(speaker, pa.int32(), mask=speaker < 0), picked["seg_no"], seg.take(pa.array(last))]
+        names = ["song_id", "block", "run", "is_last", "speaker_no", "first_seg_no", "last_seg_no"]
+        if with_text:
+            said = table["said"].to_pylist()
+            arrays.append(pa.array([" ".join(filter(None, said[i : j + 1])) for i, j in zip(at.tolist(), last.tolist(), strict=True)], pa.string()))
+            names.append("text")
+        yield from pa.Table.from_arrays(arrays, names).combine_chunks().to_batches()
+
+    runs = map_groups(rows, ["song_id", "block"], ["start", "seg_no"], run, f"song_id string, block long, run long, is_last boolean, speaker_no int, first_seg_no {dict(read.dtypes)['seg_no']}, last_seg_no {dict(read.dtypes)['seg_no']}" + ", text string" * with_text)
+    names = ["song_id", "first_seg_no", "last_seg_no", "speaker_no"]
+    inner = runs.filter("run > 1 and not is_last")
     song = Window.partitionBy("song_id").orderBy("block", "run")
     edges = runs.filter("run <= 1 or is_last").withColumn("speaker_no", F.last("speaker_no", ignorenulls=True).over(song.rowsBetween(Window.unboundedPreceding, 0)))
     before = F.lag(F.struct("speaker_no")).over(song)
     edges = edges.withColumn("new", (before.isNull() | (F.col("run") > 1) | ~before["speaker_no"].eqNullSafe(F.col("speaker_no"))).cast("int"))
     edges = edges.withColumn("turn", F.sum("new").over(song.rowsBetween(Window.unboundedPreceding, 0)))
     place = F.struct("block", "run")
-    joined = edges.groupBy("song_id", "turn").agg(F.min_by("first_seg_no", place).alias("first_seg_no"), F.max_by("last_seg_no", place).alias("last_seg_no"), F.first("speaker_no").alias("speaker_no")).drop("turn")
-    return joined.unionByName(inner).select("song_id", "first_seg_no", "last_seg_no", "speaker_no")
+    joined = edges.groupBy("song_id", "turn").agg(F.min_by("first_seg_no", place).alias("first_seg_no"), F.max_by("last_seg_no", place).alias("last_seg_no"), F.first("speaker_no").alias("speaker_no"))
+    if not with_text:
+        return joined.drop("turn").unionByName(inner.select(*names)).select(*names)
+    whole = joined.select(F.col("song_id").alias("song_"), F.col("turn").alias("turn_"), "first_seg_no", "last_seg_no", "speaker_no")
+    parts = edges.select("song_id", "turn", "block", "run", "text").join(whole, F.expr("song_id <=> song_ and turn = turn_"))
+    part_no = F.row_number().over(Window.partitionBy("song_id", "turn").orderBy("block", "run")) - 1
+    return parts.withColumn("part_no", part_no).select(*names, "part_no", "text").unionByName(inner.select(*names, F.lit(0).alias("part_no"), "text"))

@@ -43,13 +43,24 @@ def test_turns_over_blocks_against_a_loop(spark):
     for block in (50, 700, 10**6):
         got = sorted((tuple(r) for r in speaker_turns(read, model, TurnRules(block=block)).collect()), key=str)
         assert got == _turns(rows)
+    said = read.withColumn("said", read.segment_id)
+    parts = sorted(speaker_turns(said, model, TurnRules(block=50), with_text=True).collect(), key=lambda r: (r.song_id, r.part_no))
+    texts: dict = {}
+    for r in parts:
+        texts.setdefault((r.song_id, r.first_seg_no, r.last_seg_no, r.speaker_no), []).append(r.text)
+    assert sorted(texts, key=str) == _turns(rows)
+    order = {}
+    for (song, first, _, _), text in texts.items():
+        order.setdefault(song, []).append((first, " ".join(text)))
+    for song, found in order.items():
+        assert " ".join(t for _, t in sorted(found)).split() == [f"{s}{n}" for s, n, _, spoken, _ in rows if s == song and spoken]
 
 
 def test_lines_are_read(spark):
-    data = [(1, "s", 0, 0.0, 1, "S1: um, yes", "0", True), (2, "s", 1, 1.0, 1, "um", "Ozmer", None), (3, "s", 2, 2.0, 1, None, None, None), (4, "s", 3, 3.0, 1, "words", "OZMER ", False)]
+    data = [(1, "s", 0, 0.0, 1, "S1: um, yes", "0", True), (2, "s", 1, 1.0, 1, "um", "Ozmer", None), (3, "s", 2, 2.0, 1, None, None, None), (4, "s", 3, 3.0, 1, "words", "OZMER ", False), (5, "s", 4, 4.0, 1, "화자 3: ммм, <noise> мoрe [breath] и эээ, лес", "1", True)]
     df = spark.createDataFrame(data, "segment_id int, song_id string, seg_no int, start double, loaded_at int, text string, speaker string, is_lyric boolean")
     got = {r.segment_id: (r.who, r.spoken, r.said) for r in read_segments(df, {"ozmer": 2}, FillerModel(), True).collect()}
-    assert got == {1: (1, True, "yes"), 2: (2, False, ""), 3: (None, False, ""), 4: (2, False, "words")}
+    assert got == {1: (1, True, "yes"), 2: (2, False, ""), 3: (None, False, ""), 4: (2, False, "words"), 5: (3, True, "море и лес")}
 
 
 def _can(quiet, start, end, rules):
