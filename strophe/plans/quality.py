@@ -48,7 +48,12 @@ _COVER = f"""
 points AS (SELECT song_id, s, e FROM spans WHERE e > s
     UNION ALL SELECT song_id, min(s), min(s) FROM spans GROUP BY song_id UNION ALL SELECT song_id, max(e), max(e) FROM spans GROUP BY song_id),
 reach AS (SELECT *, max(e) OVER (PARTITION BY song_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM points)"""
+# The same by medians of whole songs instead of charts: what isn't implausible lies far from the limits.
 ORACLE = {
+    "p2_found": rf"""WITH {_LAST}, f AS (SELECT segment_id, song_id, seg_no, average_duration AS v, coalesce(regexp_matches(regexp_replace(text, '\[[^\]]*\]', '', 'g'), '[\x{{4e00}}-\x{{9fff}}\x{{3040}}-\x{{30ff}}\x{{ac00}}-\x{{d7af}}\x{{0e00}}-\x{{0e7f}}]'), false) AS cjk FROM last_rows WHERE average_duration IS NOT NULL),
+g AS (SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY seg_no) - row_number() OVER (PARTITION BY song_id, v ORDER BY seg_no) AS k FROM f),
+r AS (SELECT *, count(*) OVER (PARTITION BY song_id, v, k) AS n, median(CASE WHEN v > 0 AND isfinite(v) THEN v END) OVER (PARTITION BY song_id, cjk) AS m FROM g)
+SELECT segment_id FROM r WHERE v <= 0 OR NOT isfinite(v) OR v >= 3 * m OR v <= m / 3 OR n >= 5""",
     "p3_found": f"WITH {_COVER} SELECT song_id, r AS gap_from_ms, s AS gap_to_ms FROM reach WHERE s > r AND s - r <= {BREAK_MS}",
     "p3_periods": f"""WITH {_LAST}, spans AS (SELECT song_id, CAST(round("start" * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e FROM last_rows),
 reach AS (SELECT *, max(e) OVER (PARTITION BY song_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM spans WHERE e > s),
