@@ -38,6 +38,7 @@ class FillerModel:
     margin: float = 1.5
     sound: int = 6
     known: dict[str, bool] = field(default_factory=dict)
+    seen: dict[str, bool] = field(default_factory=dict, repr=False)
 
     def features(self, unit: str) -> list[int]:
         import zlib
@@ -69,11 +70,25 @@ class FillerModel:
                     p = 1 / (1 + np.exp(-np.clip(self.weights[at].sum(), -30, 30)))
                     weight = min(total, 5) / 5 * (min(more, 20) if yes > no else 1)
                     self.weights[at] += rate / (1 + step / 10) * weight * (yes / total - p) / len(at) ** 0.5
+        self.seen = {}
         self.known = {u: yes > no for u, (yes, no) in examples.items() if yes + no >= 2}
         return self
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"seen": {}}
+
     def is_filler(self, unit: str) -> bool:
-        unit = _key(unit)
+        """Whether a unit as written is a filler; answers are kept for short units."""
+        if len(unit) > 4 * LONGEST:
+            return False
+        found = self.seen.get(unit)
+        if found is None:
+            found = self._decide(_key(unit))
+            if len(self.seen) < 100_000:
+                self.seen[unit] = found
+        return found
+
+    def _decide(self, unit: str) -> bool:
         if not unit or len(unit) > LONGEST:
             return False
         found = self.known.get(unit)
@@ -104,8 +119,6 @@ class FillerModel:
 
     def has_words(self, words: str) -> bool:
         """Whether anything but fillers is left."""
-        if len(words) > 60:
-            return bool(_WORDY.search(words))
         return any(_WORDY.search(u) and not self.is_filler(u) and not all(self.is_sure(p) or not _WORDY.search(p) for p in u.split()) for u in _UNIT.findall(words))
 
 
