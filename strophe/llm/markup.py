@@ -7,8 +7,10 @@ import re
 from strophe.llm.skeleton import skeleton
 
 TIME = r"\[\d{1,3}:\d{2}(?:[:.,]\d+)*\]|\(\d{1,3}:\d{2}(?:[:.,]\d+)*\)|<\d+(?:\.\d+)?s>|\d{1,2}:\d{2}:\d{2}(?:[.,]\d{1,3})?(?:\s*-->\s*\d{1,2}:\d{2}:\d{2}(?:[.,]\d{1,3})?)?"
+#: One word, short enough to be no clause in scripts without spaces (hangul may be decomposed).
+_ONE = "(?:[^\\W\\d_\u0e00-\u0e7f\u1100-\u11ff\u3040-\u9fff\uac00-\ud7af]{1,14}|[\u3040-\u9fff\uac00-\ud7af]{1,4}|[\u1100-\u11ff]{1,10}|[\u0e00-\u0e7f]{1,10})"
 #: Words in brackets, one word in parentheses, <noise>, *coughs*, notes of music.
-NOTE = r"\[[^\[\]]*\]|\([^\W\d_]{1,14}\)|（[^\W\d_]{1,6}）|<[^\W\d_]{2,14}>|\*[^*\n]{1,30}\*|[♪♫♬]+"
+NOTE = rf"\[[^\[\]]*\]|\({_ONE}\)|（{_ONE}）|<[^\W\d_]{{2,14}}>|\*[^*\n]{{1,30}}\*|[♪♫♬]+"
 # How speakers are called in the nine languages.
 SPEAKER_WORDS = ("speaker", "spk", "s", "说话人", "說話人", "話者", "화자", "sprecher", "locuteur", "hablante", "спикер", "ผู้พูด")
 

@@ -52,7 +52,7 @@ def test_labels(label, number):
 
 @pytest.mark.parametrize(("line", "who", "words"), [
     ("S2: er, We talked", 2, "er, We talked"), ("[03:19.45] TIVKA: And then", 1, "And then"), ("00:01:11,051 --> 00:01:14,051 >> Ozmer: hi", 0, "hi"), ("(04:53) you know", None, "you know"),
-    ("♪♪ [Speaker 3] so [breath] it", 3, "so   it"), ("Yorrick-B - uh", 3, "uh"), ("说话人1：我们", 1, "我们"), ("[music]", None, ""), ("<1.7s> <noise> (applause)", None, ""), ("Nobody: said", None, "Nobody: said"), ("", None, ""),
+    ("♪♪ [Speaker 3] so [breath] it", 3, "so   it"), ("Yorrick-B - uh", 3, "uh"), ("说话人1：我们", 1, "我们"), ("[music]", None, ""), ("<1.7s> <noise> (applause)", None, ""), ("Nobody: said", None, "Nobody: said"), ("(我们失去了低沉的楼梯)", None, "(我们失去了低沉的楼梯)"), ("(笑) a (laughs)", None, "a"), ("", None, ""),
 ])
 def test_lines(line, who, words):
     got = read_line(line, ALIASES)
