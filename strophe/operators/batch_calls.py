@@ -195,13 +195,30 @@ def call_checked(rows: Sequence[dict], processor: Processor, client: Client, rul
     return {"success": False, "reply": reply, "attempts": attempts, "error": feedback}
 
 
+def _pieces(rows: Iterable[tuple], longest: float) -> Iterator[tuple]:
+    """Rows (row, speaker, start, end) with (speaker, piece) for the speaker: a run of one speaker, or of none, is cut between its rows so that a piece lasts at most `longest`. A row without an end takes no time."""
+    last, piece, first, reach = object(), 0, 0.0, 0.0
+    for row, speaker, start, end in rows:
+        start = reach if start is None else start
+        end = start if end is None else max(start, end)
+        if speaker != last or max(reach, end) - first > longest:
+            last, piece, first, reach = speaker, piece + 1, start, end
+        reach = max(reach, end)
+        yield row, (speaker, piece), start, reach
+
+
 def plan_batches(segments: DataFrame, by_speaker: bool, longest: float) -> DataFrame:
-    """segments (file, seg_no, text, speaker, start, end) with batch_id: by time, or by time at changes of speaker."""
-    if by_speaker:
-        numbers = fold_rows(segments, "file", ["start", "seg_no"], ["seg_no", "speaker", "start", "end"], lambda rows: speaker_batches(rows, longest), [("seg_no", "int"), ("batch_id", "int")])
-    else:
-        numbers = fold_rows(segments, "file", ["start", "seg_no"], ["seg_no", "start"], lambda rows: duration_batches(rows, longest), [("seg_no", "int"), ("batch_id", "int")])
-    return segments.join(numbers, ["file", "seg_no"])
+    """file, seg_no, text, speaker, start, end, batch_id of all segments: by time, or by time at changes of speaker (no label is a speaker of its own; a run longer than `longest` is cut).
+
+    The rows pass through the fold whole, so one without a file or with another's number is neither lost nor doubled.
+    """
+    columns, kinds = ["seg_no", "text", "speaker", "start", "end"], dict(segments.dtypes)
+
+    def number(rows: Iterator[tuple]) -> Iterator[tuple]:
+        numbered = speaker_batches(_pieces(((r, *r[2:]) for r in rows), longest), longest) if by_speaker else duration_batches(((r, r[3]) for r in rows), longest)
+        return ((*r, n) for r, n in numbered)
+
+    return fold_rows(segments, "file", ["start", "seg_no"], columns, number, [*((c, "long" if kinds[c] == "bigint" else kinds[c]) for c in columns), ("batch_id", "int")])
 
 
 def plan_tasks(batched: DataFrame) -> DataFrame:

@@ -106,13 +106,9 @@ def success_weight(spark, d):
     return B.success_weights(rows, "user_id", "at", F.col("event_type") == "purchase").select("event_id", F.round("weight", 9).alias("weight"))
 
 
-def _talk(spark, d):
-    return segments_now(spark, d).filter("end > start and speaker is not null").withColumnRenamed("song_id", "file")
-
-
 def service_tasks(spark, d):
-    """How segments would be sent: batches of two minutes, cut where the speaker changes."""
-    return B.plan_tasks(B.plan_batches(_talk(spark, d), True, 120.0)).select("file", "batch_id", F.size("segments").alias("n"), F.aggregate("segments", F.lit(0), lambda a, s: a + F.coalesce(F.char_length(s["text"]), F.lit(0))).alias("characters"))
+    """How all segments would be sent: batches of two minutes, cut where the speaker changes or a run is longer."""
+    return B.plan_tasks(B.plan_batches(segments_now(spark, d).withColumnRenamed("song_id", "file"), True, 120.0)).select("file", "batch_id", F.size("segments").alias("n"), F.aggregate("segments", F.lit(0), lambda a, s: a + F.coalesce(F.char_length(s["text"]), F.lit(0))).alias("characters"))
 
 
 def reply_checks(spark, d):

@@ -97,6 +97,18 @@ def test_files_are_kept_whole(spark):
     assert B.run_summary(results).first().batches == 4
 
 
+def test_every_segment_has_a_task(spark, small):
+    from strophe.plans import folding
+    from strophe.plans.lyrics import segments_now
+
+    rows = [("x", i, "t", None, 50.0 * i, 50.0 * i + 50) for i in range(7)] + [("x", 7, "t", "a", 350.0, 400.0), ("x", 8, "t", "a", 400.0, None), ("y", 0, "t", None, 5.0, 5.0), (None, 0, "t", "a", 1.0, 2.0)]
+    seg = spark.createDataFrame(rows, "file string, seg_no int, text string, speaker string, start double, end double")
+    got = {(r.file, r.seg_no): r.batch_id for r in B.plan_batches(seg, True, 120.0).collect()}
+    assert [got["x", i] for i in range(9)] == [0, 0, 1, 1, 2, 2, 3, 3, 3] and got["y", 0] == got[None, 0] == 0
+    tasks = {r[0]: r[1] for r in folding.service_tasks(spark, small).groupBy("file").agg(F.sum("n")).collect()}
+    assert tasks == {r[0]: r[1] for r in segments_now(spark, small).groupBy("song_id").count().collect()}
+
+
 def test_documents_round_trip(spark, tmp_path):
     songs = spark.createDataFrame([("a", 9.0), ("b", 1.0)], "song_id string, audio_length double")
     seg = spark.createDataFrame([("a", 1, "y", 1.0, 2.0), ("a", 0, "x", 0.0, 1.0)], "song_id string, seg_no int, text string, start double, end double")
