@@ -96,7 +96,6 @@ def shard(index: Column, size: int, offset: int = 0) -> Column:
     return F.floor((index + offset) / size)
 
 
-def even_share(index: Column, total: int, job: int, jobs: int) -> Column:
-    """Whether a line belongs to a job of an even split."""
-    each = -(-total // jobs)
-    return F.floor(index / each) == job
+def even_share(index: Column, total: Column, job: int, jobs: int) -> Column:
+    """Whether a line belongs to a job of an even split of `total` lines."""
+    return F.floor(index / F.ceil(total / jobs)) == job

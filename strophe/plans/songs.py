@@ -166,8 +166,10 @@ def viewer_rows(spark, d):
 
 def shards(spark, d):
     """Output folder and job of each manifest line."""
-    rows = P.numbered_lines(table(spark, d, "manifest"))
-    return rows.select("idx", P.shard(F.col("idx"), 50, 7).alias("shard"), P.even_share(F.col("idx"), 200, 1, 3).alias("mine"))
+    lines = table(spark, d, "manifest")
+    total = lines.filter(F.trim("raw") != "").agg(F.count("*").alias("total"))
+    rows = P.numbered_lines(lines).crossJoin(F.broadcast(total))
+    return rows.select("idx", P.shard(F.col("idx"), 50, 7).alias("shard"), P.even_share(F.col("idx"), F.col("total"), 1, 3).alias("mine"))
 
 
 def seeded_sample(spark, d):

@@ -302,3 +302,16 @@ def test_neighbours_and_runs_over_buckets(spark):
             run += i == 0 or own[i - 1][3] != d[3]
             want[k, d[2]] = (own[i - 1][2] if i else None, own[i + 1][2] if i + 1 < len(own) else None, run)
     assert got == want
+
+
+@pytest.mark.parametrize("lines", [1, 7, 21, 500])
+def test_each_line_has_one_job(spark, lines, tmp_path):
+    from strophe.plans import songs
+
+    df = spark.range(lines).withColumn("total", F.lit(lines))
+    shares = [pairing.even_share(F.col("id"), F.col("total"), job, 3).cast("int") for job in range(3)]
+    assert {r[0] for r in df.select(shares[0] + shares[1] + shares[2]).collect()} == {1}
+    spark.range(lines).select(F.col("id").alias("line_no"), F.lit("{}").alias("raw")).union(spark.sql("SELECT 9999L, ' '")).write.parquet(str(tmp_path / "manifest.parquet"))
+    each = -(-lines // 3)
+    got = {r.idx: r.mine for r in songs.shards(spark, str(tmp_path)).collect()}
+    assert got == {i: i // each == 1 for i in range(lines)}
