@@ -6,8 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from strophe.session import cut_lineage
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -46,15 +52,52 @@ def assign_outliers(df: DataFrame, label: str, vector: str, near: float = 0.35,
     return rows.withColumn("outlier", F.coalesce(far & (length >= brief) if length is not None else far, F.lit(True)))
 
 
-def prompt_likeness(df: DataFrame, vector: str, prompts: DataFrame, prompt: str, most: int = 1000) -> DataFrame:
-    """prompt_score: each vector's best cosine with a stated set of at most `most` prompt vectors. Without prompts it is null."""
-    stated = [list(map(float, r[0])) for r in prompts.select(prompt).filter(F.col(prompt).isNotNull()).limit(most + 1).collect()]
-    if len(stated) > most:
-        raise ValueError(f"more than {most} prompts")
-    if not stated:
-        return df.withColumn("prompt_score", F.lit(None).cast("double"))
-    scores = [cosine(F.col(vector), F.array(*map(F.lit, p))) for p in stated]
-    return df.withColumn("prompt_score", F.greatest(*scores) if len(scores) > 1 else scores[0])
+def _unit_rows(column: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Positions and unit vectors by length; null and zero vectors and those with null elements have none."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    found = {}
+    for size in np.unique(sizes[sizes > 0]):
+        at = np.flatnonzero(sizes == size)
+        flat = column.take(pa.array(at)).flatten()
+        whole = pc.is_valid(flat).to_numpy(zero_copy_only=False).reshape(-1, size).all(axis=1)
+        rows = pc.fill_null(flat.cast(pa.float64()), 0.0).to_numpy(zero_copy_only=False).reshape(-1, size)
+        length = np.sqrt((rows * rows).sum(axis=1))
+        whole &= length != 0
+        found[int(size)] = (at[whole], rows[whole] / length[whole, None])
+    return found
+
+
+def _blocks(prompts: DataFrame, prompt: str, block: int) -> Iterator[pa.Array]:
+    """The prompts as arrays of `block` vectors, read a partition at a time; those without a cosine (null elements) are left out."""
+    known = prompts.select(prompt).filter(F.col(prompt).isNotNull() & ~F.exists(prompt, lambda x: x.isNull()))
+    for held in batches_of((np.array(r[0], dtype=float) for r in known.toLocalIterator()), block):
+        yield pa.array(held, pa.list_(pa.float64()))
+
+
+def prompt_likeness(df: DataFrame, vector: str, prompts: DataFrame, prompt: str, block: int = 65_536) -> DataFrame:
+    """prompt_score: each vector's best cosine with all prompt vectors. Without prompts it is null.
+
+    Each block of prompts is a broadcast matrix and a pass over the vectors; the driver holds one block, and between passes the best scores are kept as a checkpoint.
+    """
+    schema = StructType([*df.schema.fields, StructField("prompt_score", DoubleType())])
+    out = df.withColumn("prompt_score", F.lit(None).cast("double"))
+    for i, held in enumerate(_blocks(prompts, prompt, block)):
+        sent = df.sparkSession.sparkContext.broadcast({n: rows for n, (_, rows) in _unit_rows(held).items()})
+
+        def run(batches: Iterator[pa.RecordBatch], sent: Broadcast = sent) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                best = pc.fill_null(batch["prompt_score"], -np.inf).to_numpy(zero_copy_only=False).copy()
+                for size, (at, rows) in _unit_rows(batch[vector]).items():
+                    stated = sent.value.get(size, np.empty((0, size)))
+                    for r in range(0, len(at), 1024):
+                        for p in range(0, len(stated), 4096):
+                            like = (rows[r : r + 1024] @ stated[p : p + 4096].T).max(axis=1)
+                            best[at[r : r + 1024]] = np.maximum(best[at[r : r + 1024]], like)
+                score = pa.array(best, mask=best == -np.inf)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], score], names=batch.schema.names)
+
+        out = (cut_lineage(out) if i else out).mapInArrow(run, schema)
+    return out
 
 
 def merge_plan(labels: list[int], sums: np.ndarray, counts: np.ndarray, near: float) -> dict[int, int]:

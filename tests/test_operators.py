@@ -315,3 +315,20 @@ def test_each_line_has_one_job(spark, lines, tmp_path):
     each = -(-lines // 3)
     got = {r.idx: r.mine for r in songs.shards(spark, str(tmp_path)).collect()}
     assert got == {i: i // each == 1 for i in range(lines)}
+
+
+def test_prompts_are_all_searched(spark, small, tmp_path):
+    from strophe.plans import folding
+    from tests.oracle import assert_same
+
+    cosine = "list_dot_product(e.v, p.v) / (sqrt(list_dot_product(e.v, e.v)) * sqrt(list_dot_product(p.v, p.v)))"
+    assert_same(spark, small, folding.prompt_scores, f"WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) SELECT e.vec_id, round(max({cosine}), 5) AS prompt_score FROM e CROSS JOIN e p WHERE p.vec_id % 20 = 0 GROUP BY e.vec_id")
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.standard_normal(3).tolist()) for i in range(1200)] + [(1200, None), (1201, [0.0, 0.0, 0.0]), (1202, [1.0, None, 1.0]), (1203, [1.0])]
+    df = spark.createDataFrame(rows, "id int, v array<double>")
+    m = np.array([v for _, v in rows[:1200]])
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    for block in (500, 65_536):
+        got = {r.id: r.prompt_score for r in vectors.prompt_likeness(df, "v", df.filter("id % 1203 > 50"), "v", block).collect()}
+        assert np.allclose([got[i] for i in range(1200)], (unit @ unit[51:].T).max(axis=1)) and {got[i] for i in (1200, 1201, 1202, 1203)} == {None}
+    assert {r.prompt_score for r in vectors.prompt_likeness(df, "v", df.filter("id < 0"), "v").collect()} == {None}
