@@ -110,12 +110,13 @@ def pad_context(segments: DataFrame, songs: DataFrame, pad: float = 0.2, least:
 
 
 def words_to_sentences(words: DataFrame) -> DataFrame:
-    """Rows (item, word_no, word, start, end) as sentences: each ends with a word that ends in . ! or ?, or with the item."""
+    """Rows (item, word_no, word, start, end) as sentences: each ends with a word that ends in . ! or ?, or with the item. Words without times (no start and end) last from their number to the next."""
     order = Window.partitionBy("item").orderBy("word_no")
     closed = F.coalesce(F.lag(F.col("word").rlike(r"[.!?]$")).over(order), F.lit(False)).cast("int")
     rows = words.withColumn("closed", closed).withColumn("sentence_no", F.sum("closed").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("word_no", "word"))), lambda x: x["word"]), " ")
-    return rows.groupBy("item", "sentence_no").agg(text.alias("sentence"), F.min("start").alias("start"), F.max("end").alias("end"))
+    times = (F.min("start"), F.max("end")) if "start" in words.columns else (F.min("word_no").cast("double"), F.max("word_no") + F.lit(1.0))
+    return rows.groupBy("item", "sentence_no").agg(text.alias("sentence"), times[0].alias("start"), times[1].alias("end"))
 
 
 def length_report(segments: DataFrame, threshold: float = 30.0) -> DataFrame:

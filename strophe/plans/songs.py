@@ -178,9 +178,8 @@ def seeded_sample(spark, d):
 
 
 def sentences_of_words(spark, d):
-    """Words of prose put together again as sentences."""
-    rows = table(spark, d, "documents").filter("doc_kind = 'prose'").select(F.col("doc_id").alias("item"), F.posexplode(F.split("text", r"\s+")).alias("word_no", "word"))
-    rows = rows.withColumn("start", F.col("word_no").cast("double")).withColumn("end", F.col("word_no") + F.lit(1.0))
+    """Words of all documents put together again as sentences."""
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("item"), F.posexplode(F.split("text", r"\s+")).alias("word_no", "word"))
     return L.words_to_sentences(rows).select("item", F.col("sentence_no").cast("long").alias("sentence_no"), F.md5("sentence").alias("digest"), "start", "end")
 
 

@@ -332,3 +332,14 @@ def test_prompts_are_all_searched(spark, small, tmp_path):
         got = {r.id: r.prompt_score for r in vectors.prompt_likeness(df, "v", df.filter("id % 1203 > 50"), "v", block).collect()}
         assert np.allclose([got[i] for i in range(1200)], (unit @ unit[51:].T).max(axis=1)) and {got[i] for i in (1200, 1201, 1202, 1203)} == {None}
     assert {r.prompt_score for r in vectors.prompt_likeness(df, "v", df.filter("id < 0"), "v").collect()} == {None}
+
+
+def test_sentences_of_all_documents(spark, small):
+    from strophe.plans import songs
+    from tests.oracle import assert_same
+
+    words = r"SELECT doc_id AS item, generate_subscripts(l, 1) - 1 AS i, unnest(l) AS word FROM (SELECT doc_id, regexp_split_to_array(text, '[\s\x{0b}]+') AS l FROM documents)"
+    closed = "SELECT *, coalesce(regexp_matches(lag(word) OVER (PARTITION BY item ORDER BY i), '[.!?]$'), false) AS k FROM w"
+    numbered = "SELECT *, sum(k::INT) OVER (PARTITION BY item ORDER BY i ROWS UNBOUNDED PRECEDING) AS sentence_no FROM c"
+    sql = f"""WITH w AS ({words}), c AS ({closed}), s AS ({numbered}) SELECT item, CAST(sentence_no AS BIGINT) AS sentence_no, md5(string_agg(word, ' ' ORDER BY i)) AS digest, min(i)::DOUBLE AS "start", max(i)::DOUBLE + 1 AS "end" FROM s GROUP BY ALL"""
+    assert_same(spark, small, songs.sentences_of_words, sql)
