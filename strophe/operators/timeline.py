@@ -95,6 +95,16 @@ def voiced_share(vad_res: Column) -> Column:
     return F.coalesce(F.try_divide(voiced, F.size(values).cast("double")), F.lit(0.0))
 
 
+def voiced_stretches(vad: DataFrame, step: float = 0.25) -> DataFrame:
+    """song_id, start, end: stretches of voice within each segment in absolute time, from a written list with a value for each `step` seconds."""
+    rows = vad.select("song_id", F.col("start").alias("at"), F.col("end").alias("to"), F.from_json("vad_res", "array<double>").alias("v")).filter("size(v) > 0 and at is not null")
+    place = F.expr("sequence(0, size(v) - 1)")
+    sung = lambda i: F.coalesce(F.get("v", i), F.lit(0.0)) > 0
+    first, last = F.filter(place, lambda i: sung(i) & ~sung(i - 1)), F.filter(place, lambda i: sung(i) & ~sung(i + 1))
+    rows = rows.select("song_id", "at", "to", F.explode(F.arrays_zip(first.alias("a"), last.alias("b"))).alias("x"))
+    return rows.select("song_id", (F.col("at") + F.col("x.a") * step).alias("start"), F.least(F.col("to"), F.col("at") + (F.col("x.b") + 1) * step).alias("end"))
+
+
 def voice_audit(segments: DataFrame, vad: DataFrame, quiet: float = 0.5, loud: float = 0.3) -> DataFrame:
     """song_id, seg_no, share, vad_anomaly: lyric lines with little voice, other lines with much. Only segments with a row of voice activity."""
     rows = segments.join(vad.select("song_id", "seg_no", voiced_share(F.col("vad_res")).alias("share")), ["song_id", "seg_no"])
@@ -145,8 +155,11 @@ def adjust_bounds(segments: DataFrame, voiced: DataFrame | None = None, edge: fl
     """
     rows = _beside(segments, "end").withColumn("before", F.col("before.end")).withColumn("following", F.col("after.seg_no")).withColumn("after", F.col("after.start"))
     if voiced is not None:
-        v = voiced.select(F.col("song_id").alias("vs"), F.col("start").alias("va"), F.col("end").alias("vb"))
-        across = rows.join(v, F.expr("song_id = vs and va < before and vb > start"), "left_semi").select("song_id", "seg_no", F.lit(True).alias("voice_before"))
+        # A hot recording's gaps meet the stretches of their minute only.
+        minute = lambda c: F.floor(F.col(c) / 60)
+        v = voiced.filter(F.col("end") - F.col("start") > wide).select(F.col("song_id").alias("vs"), F.col("start").alias("va"), F.col("end").alias("vb"), F.explode(F.sequence(minute("start"), minute("end"))).alias("vm"))
+        wider = rows.filter(F.col("start") - F.col("before") > wide).select("song_id", "seg_no", "start", "before", minute("before").alias("m"))
+        across = wider.join(v, F.expr("song_id = vs and m = vm and va < before and vb > start"), "left_semi").select("song_id", "seg_no", F.lit(True).alias("voice_before"))
         following = across.select("song_id", F.col("seg_no").alias("following"), F.lit(True).alias("voice_after"))
         rows = rows.join(across, ["song_id", "seg_no"], "left").join(following, ["song_id", "following"], "left")
     else:

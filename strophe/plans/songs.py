@@ -150,7 +150,7 @@ def narrow_dump(spark, d):
 
 
 def boundary_adjust(spark, d):
-    rows = L.adjust_bounds(segments_now(spark, d).filter("end > start"))
+    rows = L.adjust_bounds(segments_now(spark, d).filter("end > start"), L.voiced_stretches(table(spark, d, "vad")))
     return rows.select("song_id", "seg_no", F.round("new_from", 4).alias("new_from"), F.round("new_to", 4).alias("new_to"))
 
 

@@ -343,3 +343,16 @@ def test_sentences_of_all_documents(spark, small):
     numbered = "SELECT *, sum(k::INT) OVER (PARTITION BY item ORDER BY i ROWS UNBOUNDED PRECEDING) AS sentence_no FROM c"
     sql = f"""WITH w AS ({words}), c AS ({closed}), s AS ({numbered}) SELECT item, CAST(sentence_no AS BIGINT) AS sentence_no, md5(string_agg(word, ' ' ORDER BY i)) AS digest, min(i)::DOUBLE AS "start", max(i)::DOUBLE + 1 AS "end" FROM s GROUP BY ALL"""
     assert_same(spark, small, songs.sentences_of_words, sql)
+
+
+def test_bounds_see_the_voice_activity(spark, tmp_path):
+    from strophe.plans import songs
+
+    vad = spark.createDataFrame([("a", 0, 50.0, 71.0, str([1] * 84)), ("a", 1, 51.0, 53.1, "[0, 1, 1, 0, 0, 1, 0, 1, 1]"), ("a", 2, 1.0, 2.0, None), ("a", 3, 1.0, 2.0, "no")], "song_id string, seg_no int, start double, end double, vad_res string")
+    assert rows_of(timeline.voiced_stretches(vad), "start", "end") == [(50.0, 71.0), (51.25, 51.75), (52.25, 52.5), (52.75, 53.1)]
+    rows = [(i, "a", i, "t", s, e, True, None, 1) for i, (s, e) in enumerate([(50.0, 71.0), (51.0, 53.1), (61.1, 62.0), (80.0, 81.0)])]
+    seg = spark.createDataFrame(rows, "segment_id long, song_id string, seg_no int, text string, start double, end double, is_lyric boolean, speaker string, loaded_at int")
+    seg.write.parquet(str(tmp_path / "segments.parquet"))
+    vad.write.parquet(str(tmp_path / "vad.parquet"))
+    got = {r.seg_no: (r.new_from, r.new_to) for r in songs.boundary_adjust(spark, str(tmp_path)).collect()}
+    assert got[1][1] == got[2][0] == 57.1 and got[2][1] == 62.5 and got[3][0] == 79.5
