@@ -107,18 +107,34 @@ def success_weight(spark, d):
     return B.success_weights(rows, "user_id", "at", F.col("event_type") == "purchase").select("event_id", F.round("weight", 9).alias("weight"))
 
 
+def _tasks(spark, d):
+    return B.plan_tasks(B.plan_batches(segments_now(spark, d).withColumnRenamed("song_id", "file"), True, 120.0))
+
+
 def service_tasks(spark, d):
     """How all segments would be sent: batches of two minutes, cut where the speaker changes or a run is longer."""
-    return B.plan_tasks(B.plan_batches(segments_now(spark, d).withColumnRenamed("song_id", "file"), True, 120.0)).select("file", "batch_id", F.size("segments").alias("n"), F.aggregate("segments", F.lit(0), lambda a, s: a + F.coalesce(F.char_length(s["text"]), F.lit(0))).alias("characters"))
+    return _tasks(spark, d).select("file", "batch_id", F.size("segments").alias("n"), F.aggregate("segments", F.lit(0), lambda a, s: a + F.coalesce(F.char_length(s["text"]), F.lit(0))).alias("characters"))
+
+
+def checked_replies(tasks):
+    """file, batch_id, id, problem: nine replies to each task, made of its rows, and what the checks say: 1 faithful, 2 a changed text, 3 no list, 4 a wrong flag; 5 texts cut short, 6 faithful, 9 no rows; 7 with marks, 8 with another word."""
+    said = lambda text, flag="true": F.to_json(F.transform("segments", lambda s: F.struct(text(s["text"]).alias("text"), F.expr(flag).alias("is_lyric"))))
+    text = lambda t: F.coalesce(t, F.lit(""))
+    replies = [
+        ("lyric", said(lambda t: t)), ("lyric", said(lambda t: F.concat(text(t), F.lit("b")))), ("lyric", F.lit("no")), ("lyric", said(lambda t: t, "'x'")),
+        ("number", said(lambda t: F.substring(text(t), F.lit(1), F.floor(F.char_length(text(t)) * 0.3).cast("int")))), ("number", said(text)),
+        ("punct", said(lambda t: F.concat(text(t), F.lit(".")))), ("punct", said(lambda t: F.concat(text(t), F.lit(" me")))), ("number", F.lit("[]")),
+    ]
+    rows = tasks.withColumn("r", F.explode(F.array(*[F.struct(F.lit(i + 1).alias("id"), F.lit(kind).alias("kind"), reply.alias("reply")) for i, (kind, reply) in enumerate(replies)])))
+    problem = F.lit(None).cast("string")
+    for kind in ("lyric", "number", "punct"):
+        problem = F.when(F.col("r.kind") == kind, B.reply_problem(kind, F.col("r.reply"), F.col("segments"))).otherwise(problem)
+    return rows.select("file", "batch_id", "r.id", problem.alias("problem"))
 
 
 def reply_checks(spark, d):
-    """The checks of replies over given tasks."""
-    rows = spark.sql("""SELECT * FROM VALUES (1, 'lyric', '[{"text":"a","is_lyric":true}]', array('a')), (2, 'lyric', '[{"text":"b","is_lyric":true}]', array('a')), (3, 'lyric', 'no', array('a')), (4, 'lyric', '[{"text":"a","is_lyric":"x"}]', array('a')),
-        (5, 'number', '[{"text":"abc"}]', array('abcdefghij')), (6, 'number', '[{"text":"abcd"}]', array('abcdefghij')), (7, 'punct', '[{"text":"Hi, you."}]', array('hi you')), (8, 'punct', '[{"text":"Hi, me."}]', array('hi you')), (9, 'number', '[]', array('a')) AS t(id, kind, reply, texts)""")
-    seg = F.transform("texts", lambda t: F.struct(t.alias("text")))
-    problem = F.when(F.col("kind") == "lyric", B.reply_problem("lyric", F.col("reply"), seg)).when(F.col("kind") == "number", B.reply_problem("number", F.col("reply"), seg)).otherwise(B.reply_problem("punct", F.col("reply"), seg))
-    return rows.select("id", problem.alias("problem"))
+    """The checks of replies over the planned tasks of all segments."""
+    return checked_replies(_tasks(spark, d))
 
 
 def comparable_texts(spark, d):

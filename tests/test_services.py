@@ -109,6 +109,23 @@ def test_every_segment_has_a_task(spark, small):
     assert tasks == {r[0]: r[1] for r in segments_now(spark, small).groupBy("song_id").count().collect()}
 
 
+def test_replies_of_all_tasks_are_checked(spark, small):
+    from strophe.plans import folding
+
+    rows = spark.sql("""SELECT * FROM VALUES (1, 'lyric', '[{"text":"a","is_lyric":true}]', array('a')), (2, 'lyric', '[{"text":"b","is_lyric":true}]', array('a')), (3, 'lyric', 'no', array('a')), (4, 'lyric', '[{"text":"a","is_lyric":"x"}]', array('a')),
+        (5, 'number', '[{"text":"abc"}]', array('abcdefghij')), (6, 'number', '[{"text":"abcd"}]', array('abcdefghij')), (7, 'punct', '[{"text":"Hi, you."}]', array('hi you')), (8, 'punct', '[{"text":"Hi, me."}]', array('hi you')), (9, 'number', '[]', array('a')) AS t(id, kind, reply, texts)""")
+    want = {1: None, 2: "changed text", 3: "not a list", 4: "is_lyric is no boolean", 5: "changed length", 6: None, 7: None, 8: "changed words", 9: "wrong length"}
+    seg = F.transform("texts", lambda t: F.struct(t.alias("text")))
+    for kind in ("lyric", "number", "punct"):
+        got = rows.filter(F.col("kind") == kind).select("id", B.reply_problem(kind, F.col("reply"), seg).alias("problem")).collect()
+        assert got and all(r.problem == want[r.id] for r in got)
+    tasks = {(r.file, r.batch_id): [s.text for s in r.segments] for r in folding._tasks(spark, small).collect()}
+    found = folding.reply_checks(spark, small).collect()
+    assert len(found) == 9 * len(tasks) > 0 and {(r.file, r.batch_id) for r in found} == set(tasks)
+    for r in found:
+        assert r.problem == (want[r.id] if r.id != 5 or any(tasks[r.file, r.batch_id]) else None)
+
+
 def test_documents_round_trip(spark, tmp_path):
     songs = spark.createDataFrame([("a", 9.0), ("b", 1.0)], "song_id string, audio_length double")
     seg = spark.createDataFrame([("a", 1, "y", 1.0, 2.0), ("a", 0, "x", 0.0, 1.0)], "song_id string, seg_no int, text string, start double, end double")
