@@ -45,9 +45,7 @@ QUERIES = {"p2_found": p2_found, "p2_spikes": p2_spikes, "p3_found": p3_found, "
 _LAST = "last_rows AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY loaded_at DESC) AS rn FROM segments) WHERE rn = 1)"
 _COVER = f"""
 {_LAST}, spans AS (SELECT song_id, CAST(round("start" * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e FROM last_rows),
-points AS (SELECT song_id, s, e FROM spans WHERE e > s
-    UNION ALL SELECT song_id, min(s), min(s) FROM spans GROUP BY song_id UNION ALL SELECT song_id, max(e), max(e) FROM spans GROUP BY song_id),
-reach AS (SELECT *, max(e) OVER (PARTITION BY song_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM points)"""
+reach AS (SELECT *, max(e) OVER (PARTITION BY song_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM spans WHERE e > s)"""
 # The same by medians of whole songs instead of charts: what isn't implausible lies far from the limits.
 ORACLE = {
     "p2_found": rf"""WITH {_LAST}, f AS (SELECT segment_id, song_id, seg_no, average_duration AS v, coalesce(regexp_matches(regexp_replace(text, '\[[^\]]*\]', '', 'g'), '[\x{{4e00}}-\x{{9fff}}\x{{3040}}-\x{{30ff}}\x{{ac00}}-\x{{d7af}}\x{{0e00}}-\x{{0e7f}}]'), false) AS cjk FROM last_rows WHERE average_duration IS NOT NULL),

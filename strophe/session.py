@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,13 +27,15 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g")
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from the files.
 
-    The cluster names the folder in spark.checkpoint.dir. Only where that is unset (tests, one
-    machine) a temporary folder is taken.
+    The cluster names the folder in spark.checkpoint.dir. Only where that is unset and all tasks run in this
+    process (a local master) a temporary folder is taken; executors on other machines couldn't read it.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="strophe-checkpoint-"))
     return df.checkpoint(eager=True)
 
