@@ -1,9 +1,10 @@
-"""Evaluation texts inside documents: latent semantic retrieval, then local alignment.
+"""Evaluation texts inside documents: latent semantic retrieval, then alignment.
 
-Passages are TF-IDF vectors over the pairs of neighbouring units that test items hold. A randomised
-decomposition gives each language a latent space. Every passage of every document is compared there with the
-passages of all items of its language by cosine; what is near enough is checked by aligning the document's
-units with the item's.
+Passages are TF-IDF vectors over the pairs of neighbouring units that test items hold. Items are worked on in
+batches of bounded size, a batch in blocks, and each block has a latent space from a randomised singular value
+decomposition of the passages of documents and items: sums over documents are made in the executors, block by
+block. A passage is compared by cosine with the passages of those blocks that hold enough of its weight; what is
+near is checked by its longest common subsequence with the item, a local alignment, and the item's rarest units.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,28 +22,40 @@ from strophe.llm.units import hashed_units
 from strophe.operators.sample import bounded_sample
 from strophe.session import cut_lineage
 
+_ONE = np.zeros(1, dtype=np.int64)
+
 
 @dataclass(frozen=True)
 class LeakRules:
-    """stride: units between passages, in spaced and unspaced scripts; a passage is two strides long. rank: of a latent space. sample: documents
-    that the latent spaces are fitted on, besides all items. near: least cosine of a candidate. share: least part of an item's units that must be
-    matched, in order, in one passage. pairs: least part of an item's pairs of neighbouring units that must occur in line before anything is aligned. items: how many items there may be at most."""
+    """stride: units between passages at most, in spaced and unspaced scripts; a passage is two strides long, and a stride at most a quarter of the shortest item
+    of its block. rank: of a latent space, fitted with `extra` more. sample: documents that the spaces are fitted on besides all items, summed in `tasks` tasks; corpus: their
+    weight against the items'. near: least cosine of a candidate. share: least part of an item's units that must be matched, in order, in one
+    passage. reworded, answer: least common subsequence and least share of the rarest units of a reworded item. batch, block: items in one pass over the documents and in one latent space. tiny: items of
+    fewer units are looked for unit by unit."""
 
     stride: tuple[int, int] = (12, 32)
     rank: int = 128
-    sample: int = 5_000
+    extra: int = 16
+    sample: int = 10_000
+    tasks: int = 8
+    corpus: float = 0.3
     near: float = 0.42
     share: float = 0.5
-    pairs: float = 0.3
-    items: int = 20_000
+    reworded: float = 0.35
+    answer: float = 0.8
+    batch: int = 1_000
+    block: int = 32
+    tiny: int = 4
     seed: int = 7
 
 
 @dataclass
 class Space:
-    """One language: item passages in its latent space, and the rows of `basis` for its features (already weighted)."""
+    """A block of items: the rows of `basis` for its features (weighted), and its passages in the latent space."""
 
     stride: int
+    items: list[int]
+    features: np.ndarray
     basis: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), dtype=np.float32))
     passages: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), dtype=np.float32))
     item_of: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
@@ -49,26 +63,27 @@ class Space:
 
 @dataclass
 class LeakIndex:
-    """Items and their features. slots, rows: a hash table from pairs of units to features. group, local: a feature's language and its row there."""
+    """Items and their features. slots: a hash table from pairs of units to features; member_*: the blocks that have a feature, and its row there."""
 
     ids: list
     units: list[np.ndarray]
     keys: np.ndarray
-    group: np.ndarray
-    local: np.ndarray
+    slots: np.ndarray
     spaces: list[Space]
-    item_group: np.ndarray
-    pairs: list[tuple[np.ndarray, np.ndarray]]
+    member_first: np.ndarray
+    member_count: np.ndarray
+    member_block: np.ndarray
+    member_local: np.ndarray
+    tiny: dict[int, list[int]]
     idf: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.float32))
     unseen: float = 1.0
-    slots: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int32))
+    answers: list[np.ndarray] = field(default_factory=list)
 
     def features(self, pairs: np.ndarray) -> np.ndarray:
         """The feature of each pair, -1 if no item has it."""
-        mask = np.uint64(len(self.slots) - 1)
-        at = (pairs & mask).astype(np.int64)
+        at = (pairs & np.uint64(len(self.slots) - 1)).astype(np.int64)
         found = self.slots[at]
-        out = np.where((found >= 0) & (self.keys[np.maximum(found, 0)] == pairs), found, -1)
+        out = np.where((found >= 0) & (self.keys[np.maximum(found, 0)] == pairs), found, -1) if len(self.keys) else np.full(len(pairs), -1)
         crowded = np.flatnonzero((found >= 0) & (out < 0))
         if len(crowded):
             place = np.minimum(np.searchsorted(self.keys, pairs[crowded]), len(self.keys) - 1)
@@ -90,30 +105,43 @@ def unit_pairs(units: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def make_index(rows: list[tuple], rules: LeakRules) -> LeakIndex:
-    """Items as (id, text, lang). Items without units can't leak."""
-    ids, units, langs, loose = [], [], [], []
+    """Items as (id, text, lang). Items without units can't leak. lang only says which items share a latent space; a pair of units counts in every block that has it."""
+    ids, units, sort = [], [], []
     for item, text, lang in rows:
         found, _, single = hashed_units([text])
         if len(found):
+            sort.append((bool(single.mean() > 0.5), len(found).bit_length(), (lang or "").strip().lower()[:2], len(ids)))
             ids.append(item)
             units.append(found)
-            langs.append((lang or "").strip().lower()[:2])
-            loose.append(single.mean() > 0.5)
-    names = sorted(set(zip(langs, loose, strict=True)))
-    item_group = np.array([names.index(x) for x in zip(langs, loose, strict=True)], dtype=np.int64)
-    pairs = [unit_pairs(u, np.zeros(1, dtype=np.int64))[:-1] for u in units]
-    keys, back = np.unique(np.concatenate([*pairs, np.zeros(0, dtype=np.uint64)]), return_inverse=True)
-    owner = np.repeat(item_group, [len(p) for p in pairs]) if len(units) else np.zeros(0, dtype=np.int64)
-    votes = np.zeros((len(keys), max(1, len(names))), dtype=np.int32)
-    np.add.at(votes, (back, owner), 1)
-    group = votes.argmax(axis=1)
-    local = np.zeros(len(keys), dtype=np.int64)
-    for g in range(len(names)):
-        local[group == g] = np.arange((group == g).sum())
+    tiny: dict[int, list[int]] = {}
+    blocks: list[list[int]] = []
+    last = None
+    for loose, length, _, i in sorted(sort):
+        if len(units[i]) < rules.tiny:
+            for unit in set(units[i].tolist()):
+                tiny.setdefault(unit, []).append(i)
+            continue
+        if last != (loose, length) or len(blocks[-1]) >= rules.block:
+            blocks.append([])
+        blocks[-1].append(i)
+        last = (loose, length)
+    pairs = {i: unit_pairs(units[i], _ONE)[:-1] for block in blocks for i in block}
+    keys = np.unique(np.concatenate([*pairs.values(), np.zeros(0, dtype=np.uint64)]))
+    spaces, feature, owner, local = [], [], [], []
+    for b, block in enumerate(blocks):
+        own = np.searchsorted(keys, np.unique(np.concatenate([pairs[i] for i in block])))
+        most = rules.stride[next(int(s[0]) for s in sort if s[3] == block[0])]
+        spaces.append(Space(max(1, min(most, min(len(units[i]) for i in block) // 4)), block, own))
+        feature.append(own)
+        owner.append(np.full(len(own), b, dtype=np.int16))
+        local.append(np.arange(len(own)))
+    feature, owner, local = (np.concatenate([*x, np.zeros(0, dtype=np.int64)]).astype(t) for x, t in ((feature, np.int64), (owner, np.int16), (local, np.int64)))
+    order = np.argsort(feature, kind="stable")
+    count = np.bincount(feature, minlength=len(keys)).astype(np.int64)
     size = 1 << max(10, int(np.ceil(np.log2(max(1, len(keys)) * 8))))
     slots = np.full(size, -1, dtype=np.int32)
     slots[(keys & np.uint64(size - 1)).astype(np.int64)[::-1]] = np.arange(len(keys))[::-1]
-    return LeakIndex(ids, units, keys, group, local, [Space(rules.stride[int(x[1])]) for x in names], item_group, [np.unique(p, return_index=True) for p in pairs], slots=slots)
+    return LeakIndex(ids, units, keys, slots, spaces, np.cumsum(count) - count, count, owner[order], local[order], tiny)
 
 
 def _unit_table(df: DataFrame, row: str, text: str) -> DataFrame:
@@ -139,59 +167,72 @@ def _read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(rows), dtype=np.uint32), np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
 
 
-def _hits(index: LeakIndex, units: np.ndarray, first: np.ndarray, group: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    pairs = unit_pairs(units, first)
-    found = index.features(pairs)
+def _hits(index: LeakIndex, units: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found = index.features(unit_pairs(units, first))
     at = np.flatnonzero(found >= 0)
-    found = found[at]
-    if group is not None:
-        own = index.group[found] == group
-        at, found = at[own], found[own]
-    return at, found
+    return at, found[at]
 
 
-def _blocks(at: np.ndarray, units: np.ndarray, first: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Blocks of `stride` units, numbered over all rows with a free number after each row: of each position, each row's first number, all."""
-    lengths = np.diff(np.concatenate((first, [len(units)])))
-    count = lengths // stride + 2
-    base = np.concatenate(([0], np.cumsum(count)[:-1]))
-    row = np.searchsorted(first, at, side="right") - 1
-    return base[row] + (at - first[row]) // stride, base, np.array([int(count.sum())])
+def _by_block(index: LeakIndex, at: np.ndarray, found: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Block, positions and local features, for each block that has any of the features found."""
+    count = index.member_count[found]
+    total = int(count.sum())
+    if not total:
+        return
+    hit = np.repeat(np.arange(len(found)), count)
+    member = index.member_first[found[hit]] + np.arange(total) - np.repeat(np.cumsum(count) - count, count)
+    block = index.member_block[member]
+    order = np.argsort(block, kind="stable")
+    bounds = np.searchsorted(block[order], np.arange(len(index.spaces) + 1))
+    for b in np.flatnonzero(np.diff(bounds)).tolist():
+        part = order[bounds[b] : bounds[b + 1]]
+        yield b, at[hit[part]], index.member_local[member[part]]
 
 
-def _frequencies(table: DataFrame, shared) -> DataFrame:
-    """feature, passages: how often each item feature occurs, over all documents; feature -1 counts stretches of 16 units."""
+def _frequencies(table: DataFrame, shared: Broadcast) -> DataFrame:
+    """feature, n: how often each item feature occurs, over all documents; feature -1 counts stretches of 16 units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         total = np.zeros(len(index.keys) + 1, dtype=np.int64)
         for batch in batches:
             units, first = _read(batch)
-            if not len(units):
-                continue
-            _, found = _hits(index, units, first)
-            total[:-1] += np.bincount(found, minlength=len(index.keys))
-            total[-1] += len(units) // 16 + len(first)
+            if len(units):
+                _, found = _hits(index, units, first)
+                total[:-1] += np.bincount(found, minlength=len(index.keys))
+                total[-1] += len(units) // 16 + len(first)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.where(seen == len(total) - 1, -1, seen), pa.int64()), pa.array(total[seen], pa.int64())], ["feature", "n"])
 
-    return table.mapInArrow(run, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("passages"))
+    return table.mapInArrow(run, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+
+
+@dataclass
+class Passages:
+    """Passages of two strides: first positions, rows, products with the weights, lengths of their vectors, and the runs of hits that are theirs."""
+
+    start: np.ndarray
+    row: np.ndarray
+    vectors: np.ndarray
+    norm: np.ndarray
+
 
+def _passages(index: LeakIndex, space: Space, at: np.ndarray, local: np.ndarray, size: int, first: np.ndarray, weights: np.ndarray, near: float) -> Passages:
+    """The passages of documents that have at least near² of their squared weight in the block's features: no other can have a cosine of `near` with any of its items.
 
-def _passage_sums(index: LeakIndex, g: int, units: np.ndarray, first: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Passages of two strides that hold features of language g: their start positions, rows, sums of `weights` (a row for each local feature) and shares of TF-IDF mass in the items' features."""
-    stride = index.spaces[g].stride
-    at, found = _hits(index, units, first, g)
-    none = np.zeros(0, dtype=np.int64)
-    if not len(at):
-        return none, none, np.zeros((0, weights.shape[1]), dtype=np.float32), np.zeros(0)
-    block, base, _ = _blocks(at, units, first, stride)
+    Blocks of a stride are numbered over all rows, with a free number after each row.
+    """
+    stride, idf = space.stride, index.idf[space.features]
+    lengths = np.diff(np.concatenate((first, [size])))
+    count = lengths // stride + 2
+    base = np.concatenate(([0], np.cumsum(count)[:-1]))
+    of = np.searchsorted(first, at, side="right") - 1
+    block = base[of] + (at - first[of]) // stride
     begin = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
     numbers = block[begin]
-    square = np.add.reduceat(index.idf[found].astype(np.float64) ** 2, begin)
+    square = np.add.reduceat(idf[local].astype(np.float64) ** 2, begin)
     hits = np.diff(np.concatenate((begin, [len(at)])))
     row = np.searchsorted(base, numbers, side="right") - 1
-    lengths = np.diff(np.concatenate((first, [len(units)])))
     inside = np.minimum(stride, lengths[row] - (numbers - base[row]) * stride)
     mass = square + np.maximum(inside - hits, 0) * index.unseen**2
     follows = np.concatenate((numbers[1:] == numbers[:-1] + 1, [False]))
@@ -199,23 +240,21 @@ def _passage_sums(index: LeakIndex, g: int, units: np.ndarray, first: np.ndarray
     # A next block without any feature still has its mass.
     left = np.clip(lengths[row] - (numbers - base[row] + 1) * stride, 0, stride)
     total = mass + np.where(follows, mass[nxt], left * index.unseen**2)
-    own = square + np.where(follows, square[nxt], 0.0)
-    good = np.flatnonzero(own >= index_near(index) ** 2 * total)
+    good = np.flatnonzero(square + np.where(follows, square[nxt], 0.0) >= near**2 * total)
     if not len(good):
-        return none, none, np.zeros((0, weights.shape[1]), dtype=np.float32), np.zeros(0)
+        none = np.zeros(0, dtype=np.int64)
+        return Passages(none, none, np.zeros((0, weights.shape[1]), dtype=np.float32), np.zeros(0))
     need = np.zeros(len(numbers), dtype=bool)
     need[good] = True
     need[nxt[good]] |= follows[good]
     wanted = np.flatnonzero(need)
     compact = np.full(len(numbers), -1, dtype=np.int64)
     compact[wanted] = np.arange(len(wanted))
-    keep = np.repeat(need, hits)
-    sums = _sum_runs(weights, index.local[found[keep]], hits[wanted])
+    sums = _sum_runs(weights, local[np.repeat(need, hits)], hits[wanted])
     vectors = sums[compact[good]]
     double = follows[good]
     vectors[double] += sums[compact[nxt[good[double]]]]
-    start = first[row[good]] + (numbers[good] - base[row[good]]) * stride
-    return start, row[good], vectors, np.sqrt(total[good])
+    return Passages(first[row[good]] + (numbers[good] - base[row[good]]) * stride, row[good], vectors, np.sqrt(total[good]))
 
 
 def _sum_runs(weights: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -232,101 +271,124 @@ def _sum_runs(weights: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> np.n
     return out
 
 
-def index_near(index: LeakIndex) -> float:
-    return getattr(index, "near", 0.0)
-
-
-def _fit_spaces(table: DataFrame, index: LeakIndex, rules: LeakRules) -> None:
-    """A latent space for each language: the range of the passages' Gram matrix times random vectors, orthogonalised.
-
-    The Gram matrix is that of all item passages and of the passages of a bounded sample of documents, whose part is summed in the executors.
-    """
-    random = np.random.default_rng(rules.seed)
-    sizes = [int((index.group == g).sum()) for g in range(len(index.spaces))]
-    starts = [random.standard_normal((n, min(rules.rank, max(1, n)))).astype(np.float32) for n in sizes]
-    weighted = []
-    for g, omega in enumerate(starts):
-        weighted.append(omega * index.idf[index.group == g][:, None])
-    index.near = 0.3
-    shared = table.sparkSession.sparkContext.broadcast((index, weighted))
+def _summed(sample: DataFrame, shared: Broadcast, outer: bool) -> dict[int, np.ndarray]:
+    """For each block a sum over the sample's passages a and their products z with the block's weights: of a zᵀ (outer), or of z zᵀ. Tasks send a block's sums one by one, and they are added before they reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, weighted = shared.value
-        out = [np.zeros_like(w) for w in weighted]
+        index, weights, near = shared.value
+        out: dict[int, np.ndarray] = {}
         for batch in batches:
             units, first = _read(batch)
-            for g, weights in enumerate(weighted):
-                if not len(units) or not len(weights):
+            if not len(units):
+                continue
+            for b, at, local in _by_block(index, *_hits(index, units, first)):
+                space = index.spaces[b]
+                p = _passages(index, space, at, local, len(units), first, weights[b], near)
+                if not len(p.start):
                     continue
-                start, _, vectors, norm = _passage_sums(index, g, units, first, weights)
-                vectors = vectors / np.maximum(norm, 1e-9)[:, None].astype(np.float32)
-                at, found = _hits(index, units, first, g)
-                low = np.searchsorted(at, start)
-                count = np.searchsorted(at, start + 2 * index.spaces[g].stride) - low
-                width = len(weights)
-                for i in range(0, len(start), 2048):
-                    n = count[i : i + 2048]
-                    passage = np.repeat(np.arange(len(n)), n)
-                    taken = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[i : i + 2048], n)
-                    feature = found[taken]
-                    a = np.bincount(passage * width + index.local[feature], index.idf[feature] / np.maximum(norm[i : i + 2048], 1e-9)[passage], len(n) * width)
-                    out[g] += a.reshape(len(n), width).astype(np.float32).T @ vectors[i : i + 2048]
-        yield pa.RecordBatch.from_arrays([pa.array(list(range(len(out))), pa.int32()), pa.array([x.tobytes() for x in out], pa.binary())], ["g", "sums"])
-
-    sample = bounded_sample(table, ["row"], rules.sample).repartition(4)
-    parts = sample.mapInArrow(run, "g int, sums binary").collect()
-    shared.unpersist()
-    for g, space in enumerate(index.spaces):
-        own = np.flatnonzero(index.group == g)
-        if not len(own):
-            continue
-        corpus = np.zeros_like(starts[g])
-        for part in parts:
-            if part.g == g:
-                corpus += np.frombuffer(bytes(part.sums), dtype=np.float32).reshape(corpus.shape)
-        rows, columns, values, items = [], [], [], []
-        for i in np.flatnonzero(index.item_group == g).tolist():
-            units = index.units[i]
-            pairs = index.features(unit_pairs(units, np.zeros(1, dtype=np.int64))[:-1])
-            width, step = 2 * space.stride, max(1, space.stride // 2)
-            for a in range(0, max(1, len(units) - width + step), step):
-                got = pairs[a : a + width]
-                got = got[(got >= 0) & (index.group[np.maximum(got, 0)] == g)]
-                if len(got):
-                    columns.append(index.local[got])
-                    weight = index.idf[got]
-                    values.append(weight / np.sqrt((weight**2).sum()))
-                    rows.append(np.full(len(got), len(items)))
-                    items.append(i)
-        if not items:
-            continue
-        a = np.zeros((len(items), len(own)), dtype=np.float32)
-        np.add.at(a, (np.concatenate(rows), np.concatenate(columns)), np.concatenate(values))
-        gram = a.T @ (a @ starts[g])
-        scale = np.linalg.norm(gram) / max(float(np.linalg.norm(corpus)), 1e-9)
-        y = gram + np.float32(min(1.0, 0.3 * scale)) * corpus
-        for _ in range(2):
-            y, _ = np.linalg.qr(y)
-            y = a.T @ (a @ y) + np.float32(1e-3) * y
-        basis, _ = np.linalg.qr(y)
-        space.basis = (basis * index.idf[own][:, None]).astype(np.float32)
-        latent = a @ basis
+                z = p.vectors / np.maximum(p.norm, 1e-9)[:, None].astype(np.float32)
+                if b not in out:
+                    out[b] = np.zeros(weights[b].shape if outer else (z.shape[1],) * 2, dtype=np.float32)
+                if not outer:
+                    out[b] += z.T @ z
+                    continue
+                low = np.searchsorted(at, p.start)
+                n = np.searchsorted(at, p.start + 2 * space.stride) - low
+                taken = np.repeat(low - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+                passage, feature = np.repeat(np.arange(len(n)), n), local[taken]
+                order = np.argsort(feature, kind="stable")
+                for i in range(0, len(order), 16_384):
+                    part = order[i : i + 16_384]
+                    f = feature[part]
+                    edge = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
+                    share = index.idf[space.features[f]] / np.maximum(p.norm[passage[part]], 1e-9)
+                    out[b][f[edge]] += np.add.reduceat(share[:, None].astype(np.float32) * z[passage[part]], edge)
+        for b, sums in out.items():
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([sums.tobytes()], pa.binary())], ["block", "sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for b, sums in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                one = np.frombuffer(sums.as_buffer(), dtype=np.float32)
+                total[b] = total[b] + one if b in total else one.copy()
+        for b, sums in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([sums.tobytes()], pa.binary())], ["block", "sums"])
+
+    schema = "block int, sums binary"
+    rows = sample.mapInArrow(run, schema).repartition("block").mapInArrow(add, schema).collect()
+    return {r.block: np.frombuffer(bytes(r.sums), dtype=np.float32) for r in rows}
+
+
+def _item_passages(index: LeakIndex, space: Space) -> tuple[np.ndarray, np.ndarray]:
+    """The block's passages as unit vectors over its features, half a stride apart, and their items."""
+    rows, items = [], []
+    width, step = 2 * space.stride, max(1, space.stride // 2)
+    for i in space.items:
+        pairs = np.searchsorted(space.features, index.features(unit_pairs(index.units[i], _ONE)[:-1]))
+        for a in range(0, max(1, len(index.units[i]) - width + step), step):
+            got = pairs[a : a + width]
+            if len(got):
+                vector = np.bincount(got, index.idf[space.features[got]], len(space.features))
+                rows.append((vector / max(float(np.linalg.norm(vector)), 1e-9)).astype(np.float32))
+                items.append(i)
+    return np.stack(rows), np.array(items, dtype=np.int64)
+
+
+def fit_spaces(table: DataFrame, index: LeakIndex, rules: LeakRules) -> None:
+    """A latent space for each block: a randomised singular value decomposition of the passages of a bounded sample of documents and of all items.
+
+    The first pass multiplies random vectors with the passages' Gram matrix and gives a basis of its range, the second one gives
+    the Gram matrix within that basis, whose leading eigenvectors stay. Both are sums over documents made in the executors.
+    """
+    random = np.random.default_rng(rules.seed)
+    context = table.sparkSession.sparkContext
+    sample = cut_lineage(bounded_sample(table, ["row"], rules.sample).repartition(rules.tasks))
+    near = 0.3
+    passages = [_item_passages(index, s) for s in index.spaces]
+    start = [random.standard_normal((len(s.features), min(rules.rank + rules.extra, len(s.features)))).astype(np.float32) for s in index.spaces]
+
+    def joint(own: np.ndarray, corpus: np.ndarray | None) -> np.ndarray:
+        if corpus is None:
+            return own
+        corpus = corpus.reshape(own.shape)
+        return own + np.float32(min(1.0, rules.corpus * float(np.linalg.norm(own)) / max(float(np.linalg.norm(corpus)), 1e-9))) * corpus
+
+    def corpus_sums(weights: list[np.ndarray], outer: bool) -> dict[int, np.ndarray]:
+        shared = context.broadcast((index, [w * index.idf[s.features][:, None] for w, s in zip(weights, index.spaces, strict=True)], near))
+        sums = _summed(sample, shared, outer)
+        shared.unpersist()
+        return sums
+
+    sums = corpus_sums(start, True)
+    basis = [np.linalg.qr(joint(a.T @ (a @ omega), sums.get(b)))[0] for b, ((a, _), omega) in enumerate(zip(passages, start, strict=True))]
+    # Once more over the items alone: their own directions must not be lost among the documents'.
+    basis = [np.linalg.qr(a.T @ (a @ q) + np.float32(1e-3) * q)[0] for (a, _), q in zip(passages, basis, strict=True)]
+    sums = corpus_sums(basis, False)
+    for b, (space, (a, items), q) in enumerate(zip(index.spaces, passages, basis, strict=True)):
+        z = a @ q
+        values, vectors = np.linalg.eigh(joint(z.T @ z, sums.get(b)).astype(np.float64))
+        kept = q @ vectors[:, np.argsort(-values)[: rules.rank]].astype(np.float32)
+        latent = a @ kept
+        space.basis = (kept * index.idf[space.features][:, None]).astype(np.float32)
         space.passages = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).astype(np.float32)
-        space.item_of = np.array(items, dtype=np.int64)
+        space.item_of = items
 
 
-def pairs_in_line(item: tuple[np.ndarray, np.ndarray], part: np.ndarray) -> int:
-    """How many of the part's pairs the item has at about the same distance. item: its pairs in order of value and where each is first."""
-    keys, place = item
-    if not len(keys):
-        return 0
-    at = np.minimum(np.searchsorted(keys, part), len(keys) - 1)
-    hit = np.flatnonzero(keys[at] == part)
-    if not len(hit):
-        return 0
-    off = (hit - place[at[hit]] + len(place)) // max(16, len(place) // 4)
-    count = np.bincount(np.maximum(off, 0))
-    return int(max(count.max(), (count[1:] + count[:-1]).max() if len(count) > 1 else 0))
+def common_length(item: np.ndarray, part: np.ndarray) -> int:
+    """Length of the longest common subsequence, by sums of whole bit rows."""
+    masks: dict[int, int] = {}
+    for i, unit in enumerate(item.tolist()):
+        masks[unit] = masks.get(unit, 0) | 1 << i
+    full = (1 << len(item)) - 1
+    row = full
+    get = masks.get
+    for unit in part.tolist():
+        mask = get(unit)
+        if mask:
+            both = row & mask
+            row = (row + both | row - both) & full
+    return len(item) - row.bit_count()
 
 
 def aligned_share(item: np.ndarray, part: np.ndarray) -> float:
@@ -359,34 +421,42 @@ def aligned_share(item: np.ndarray, part: np.ndarray) -> float:
     return matched / n
 
 
-def find_leaks(documents: DataFrame, items: DataFrame, rules: LeakRules = LeakRules()) -> DataFrame:
-    """doc_id, item_id, share, from_unit: documents that hold, as one passage and in order, at least rules.share of an item's units.
-
-    documents needs doc_id and text, items item_id, text and lang. Null and empty texts neither leak nor hold leaks; an item given
-    twice is reported under each of its ids, a document under each of its. Statistics are counted over all documents.
-    The items must not be more than rules.items; documents are read once, kept as hashed units, and never shuffled.
-    """
-    rows = items.select("item_id", "text", "lang").orderBy("item_id", "text").limit(rules.items + 1).collect()
-    if len(rows) > rules.items:
-        raise ValueError(f"more than {rules.items} test items")
-    schema = f"doc_id {dict(documents.dtypes)['doc_id']}, item_id {dict(items.dtypes)['item_id']}, share double, from_unit int"
-    index = make_index([tuple(r) for r in rows], rules)
-    spark = documents.sparkSession
-    if not index.ids:
-        return spark.createDataFrame([], schema)
-    table = cut_lineage(_unit_table(documents, "doc_id", "text"))
-    context = spark.sparkContext
-    counts = {r[0]: r[1] for r in _frequencies(table, context.broadcast(index)).collect()}
-    total = max(1, counts.pop(-1, 1))
-    frequency = np.zeros(len(index.keys))
-    for feature, n in counts.items():
-        frequency[feature] = n
-    index.idf = np.log((total + 1) / (frequency + 1)).astype(np.float32) + 0.1
-    index.unseen = float(np.quantile(index.idf, 0.5)) if len(index.idf) else 1.0
-    _fit_spaces(table, index, rules)
-    index.near = rules.near
-    shared = context.broadcast(index)
-
+def _rarest(index: LeakIndex, i: int) -> np.ndarray:
+    """The quarter of an item's units (three at least) whose pairs are the rarest: what an answer would hold."""
+    units = index.units[i]
+    if len(units) < 2:
+        return np.unique(units)
+    found = index.features(unit_pairs(units, _ONE)[:-1])
+    weight = np.where(found >= 0, index.idf[np.maximum(found, 0)], index.unseen) if len(index.idf) else np.ones(len(found))
+    mean = (np.concatenate((weight[:1], weight)) + np.concatenate((weight, weight[-1:]))) / 2
+    names, back = np.unique(units, return_inverse=True)
+    rare = np.bincount(back, mean) / np.bincount(back)
+    return names[np.argsort(-rare, kind="stable")[: max(3, len(names) // 4)]]
+
+
+def _candidates(index: LeakIndex, units: np.ndarray, first: np.ndarray, rules: LeakRules) -> dict[tuple[int, int], list[int]]:
+    """For each (row, item) the positions where a passage is near one of the item's."""
+    found: dict[tuple[int, int], list[int]] = {}
+    for b, at, local in _by_block(index, *_hits(index, units, first)):
+        space = index.spaces[b]
+        p = _passages(index, space, at, local, len(units), first, space.basis, rules.near)
+        for i in range(0, len(p.start), 4096):
+            cosine = (p.vectors[i : i + 4096] @ space.passages.T) / p.norm[i : i + 4096, None]
+            for a, c in zip(*np.nonzero(cosine >= rules.near), strict=True):
+                places = found.setdefault((int(p.row[i + a]), int(space.item_of[c])), [])
+                if not places or places[-1] != int(p.start[i + a]):
+                    places.append(int(p.start[i + a]))
+    if index.tiny:
+        names = np.array(sorted(index.tiny), dtype=np.uint32)
+        place = np.minimum(np.searchsorted(names, units), len(names) - 1)
+        at = np.flatnonzero(names[place] == units)
+        for p, row in zip(at.tolist(), (np.searchsorted(first, at, side="right") - 1).tolist(), strict=True):
+            for i in index.tiny[int(units[p])]:
+                found.setdefault((row, i), []).append(p)
+    return found
+
+
+def _search(table: DataFrame, shared: Broadcast, rules: LeakRules, schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
@@ -394,21 +464,10 @@ def find_leaks(documents: DataFrame, items: DataFrame, rules: LeakRules = LeakRu
             if not len(units):
                 continue
             ends = np.concatenate((first[1:], [len(units)]))
-            found: dict[tuple[int, int], list[int]] = {}
-            for g, space in enumerate(index.spaces):
-                if not len(space.item_of):
-                    continue
-                start, row, vectors, norm = _passage_sums(index, g, units, first, space.basis)
-                for i in range(0, len(start), 4096):
-                    cosine = (vectors[i : i + 4096] @ space.passages.T) / norm[i : i + 4096, None]
-                    for a, b in zip(*np.nonzero(cosine >= rules.near), strict=True):
-                        places = found.setdefault((int(row[i + a]), int(space.item_of[b])), [])
-                        if not places or places[-1] != int(start[i + a]):
-                            places.append(int(start[i + a]))
             out: list[tuple] = []
-            pairs = unit_pairs(units, first)
-            for (r, i), places in sorted(found.items()):
+            for (r, i), places in sorted(_candidates(index, units, first, rules).items()):
                 item = index.units[i]
+                best: tuple | None = None
                 until = -1
                 for p in sorted(set(places)):
                     if p <= until:
@@ -416,15 +475,67 @@ def find_leaks(documents: DataFrame, items: DataFrame, rules: LeakRules = LeakRu
                     low = max(int(first[r]), p - len(item) - len(item) // 4)
                     high = min(int(ends[r]), p + 2 * len(item) + len(item) // 4)
                     until = p + len(item) // 2
-                    # One passage in order with few altered units leaves most of its pairs whole, at about one distance from the item's.
-                    if pairs_in_line(index.pairs[i], pairs[low:high]) < rules.pairs * (len(item) - 1):
+                    common = common_length(item, units[low:high]) / len(item)
+                    if common < rules.reworded:
                         continue
-                    share = aligned_share(item, units[low:high])
+                    # An alignment matches no more than the longest common subsequence has.
+                    share = aligned_share(item, units[low:high]) if common >= rules.share - 1e-9 else 0.0
                     if share >= rules.share - 1e-9:
-                        out.append((r, i, share, low - int(first[r])))
+                        best = ("verbatim", share, low)
                         break
+                    near = units[max(low, p - len(item) // 2) : min(high, p + len(item))]
+                    if best is None and common_length(item, near) >= rules.reworded * len(item) and np.isin(index.answers[i], near).mean() >= rules.answer:
+                        best = ("reworded", common, low)
+                if best is not None:
+                    out.append((r, i, best[0], best[1], best[2] - int(first[r])))
             if out:
                 ids = batch.column(0).take(pa.array([o[0] for o in out]))
-                yield pa.RecordBatch.from_arrays([ids, pa.array([index.ids[o[1]] for o in out]), pa.array([o[2] for o in out]), pa.array([o[3] for o in out], pa.int32())], ["doc_id", "item_id", "share", "from_unit"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array([index.ids[o[1]] for o in out]), pa.array([o[2] for o in out]), pa.array([o[3] for o in out]), pa.array([o[4] for o in out], pa.int32())], ["doc_id", "item_id", "kind", "share", "from_unit"])
 
     return table.mapInArrow(run, schema)
+
+
+def _batches(items: DataFrame, size: int) -> Iterator[list[tuple]]:
+    """The items in batches of at most `size`, of which the driver holds one at a time."""
+    held: list[tuple] = []
+    for row in items.select("item_id", "text", "lang").orderBy("lang", "item_id", "text").toLocalIterator():
+        held.append(tuple(row))
+        if len(held) == size:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
+def find_leaks(documents: DataFrame, items: DataFrame, rules: LeakRules = LeakRules()) -> DataFrame:
+    """doc_id, item_id, kind, share, from_unit: documents that hold test items.
+
+    kind is verbatim if the document holds, as one passage and in order, at least rules.share of the item's units; reworded if that is
+    not so but a passage near the item has rules.reworded of them in order and rules.answer of its rarest ones. documents needs doc_id and
+    text, items item_id, text and lang. Null and empty texts neither leak nor hold leaks; an item given twice is reported under each of
+    its ids, a document under each of its. lang needn't be right or known. Statistics are counted over all documents. There may be any
+    number of items: each batch of rules.batch is a pass over the documents' hashed units, which are written once and never shuffled.
+    """
+    schema = f"doc_id {dict(documents.dtypes)['doc_id']}, item_id {dict(items.dtypes)['item_id']}, kind string, share double, from_unit int"
+    spark = documents.sparkSession
+    context = spark.sparkContext
+    table: DataFrame | None = None
+    found: DataFrame | None = None
+    for rows in _batches(items, rules.batch):
+        index = make_index(rows, rules)
+        if not index.ids:
+            continue
+        if table is None:
+            table = cut_lineage(_unit_table(documents, "doc_id", "text"))
+        if len(index.keys):
+            counts = {r[0]: r[1] for r in _frequencies(table, context.broadcast(index)).collect()}
+            total = max(1, counts.pop(-1, 1))
+            frequency = np.zeros(len(index.keys))
+            frequency[list(counts)] = list(counts.values())
+            index.idf = np.log((total + 1) / (frequency + 1)).astype(np.float32) + 0.1
+            index.unseen = float(np.quantile(index.idf, 0.5))
+            fit_spaces(table, index, rules)
+        index.answers = [_rarest(index, i) for i in range(len(index.ids))]
+        part = _search(table, context.broadcast(index), rules, schema)
+        found = part if found is None else found.unionByName(part)
+    return spark.createDataFrame([], schema) if found is None else found

@@ -9,7 +9,7 @@ from strophe.llm.language import fit_languages, label_code, with_languages
 from strophe.llm.leaks import find_leaks
 from strophe.llm.packing import pack_texts
 from strophe.llm.sentences import find_sentences
-from strophe.llm.skeleton import look_alike_pairs, skeletons
+from strophe.llm.skeleton import look_alike_pairs, look_classes, skeletons
 from strophe.llm.splitting import split_long
 from strophe.llm.turns import TurnRules, alias_numbers, fit_boundaries, fit_fillers, read_segments, speaker_turns
 from strophe.operators.current import current_rows
@@ -82,6 +82,12 @@ def p5_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skeletons(segments, "segment_id", "text")
 
 
+def p5_looks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The looks of each song's lines, with their numbers of rows and spellings."""
+    segments = current_rows(table(spark, sf_dir, "segments"), "segment_id", "loaded_at", song_id="song_id", text="text")
+    return look_classes(segments, "song_id", "segment_id", "text")
+
+
 def p6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of every long segment."""
     columns = {c: c for c in ("song_id", "seg_no", "start", "end")}
@@ -95,18 +101,34 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kinds.select("segment_id", F.when(F.col("forced") == 1, "forced").otherwise("natural").alias("cut_kind"))
 
 
+def p6_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for the pieces of every long segment: they reach from its start to its end, none is too long, and each later one overlaps the one before by half a second."""
+    rows = p6_pieces(spark, sf_dir).groupBy("segment_id").agg(F.min("from_ms").alias("from_ms"), F.max("to_ms").alias("to_ms"), F.max(F.col("to_ms") - F.col("from_ms")).alias("most"), F.sum(F.col("to_ms") - F.col("from_ms")).alias("all"), F.count("*").alias("n"))
+    overlaps = F.col("all") - (F.col("n") - 1) * 500 == F.col("to_ms") - F.col("from_ms")
+    return rows.select("segment_id", "from_ms", "to_ms", (F.col("most") <= 30_000).alias("fits"), overlaps.alias("overlaps"))
+
+
 def p7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The container of each document, or of each piece of a document longer than a container."""
     return pack_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def p7_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for the containers: how many documents are placed, containers over their capacity, and documents cut though they would fit."""
+    placed = cut_lineage(p7_pack(spark, sf_dir).select("doc_id", "container", "tokens"))
+    over = placed.groupBy("container").agg(F.sum("tokens").alias("n")).agg(F.count_if(F.col("n") > 2048).alias("over"))
+    pieces = placed.groupBy("doc_id").agg(F.sum("tokens").alias("n"), F.count("*").alias("pieces"))
+    docs = pieces.agg(F.count("*").alias("documents"), F.count_if((F.col("pieces") > 1) & (F.col("n") <= 2048)).alias("cut"))
+    return docs.join(over, F.lit(True)).select("documents", "over", "cut")
+
+
 def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents and the items that leaked into them, with the share of the item and where it begins."""
+    """Documents and the items that leaked into them, whole or reworded, with the share of the item and where to look."""
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p8_leaks(spark, sf_dir).select("doc_id", "item_id")
+    return p8_leaks(spark, sf_dir).filter("kind = 'verbatim'").select("doc_id", "item_id")
 
 
 def _names(spark: SparkSession, sf_dir: str) -> frozenset[str]:
@@ -122,9 +144,11 @@ def p9_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_sentences(table(spark, sf_dir, "documents"), _names(spark, sf_dir), with_text=True)
 
 
-QUERIES = {"p9_found": p9_found, "p9_sentences": p9_sentences, "p8_found": p8_found, "p8_leaks": p8_leaks, "p6_found": p6_found, "p6_pieces": p6_pieces, "p7_pack": p7_pack, "p1_found": p1_found, "p1_segments": p1_segments, "p1_songs": p1_songs, "p4_found": p4_found, "p4_turns": p4_turns, "p5_found": p5_found, "p5_forms": p5_forms}
+QUERIES = {"p9_found": p9_found, "p9_sentences": p9_sentences, "p8_found": p8_found, "p8_leaks": p8_leaks, "p6_found": p6_found, "p6_pieces": p6_pieces, "p6_audit": p6_audit, "p7_pack": p7_pack, "p7_audit": p7_audit, "p5_looks": p5_looks, "p1_found": p1_found, "p1_segments": p1_segments, "p1_songs": p1_songs, "p4_found": p4_found, "p4_turns": p4_turns, "p5_found": p5_found, "p5_forms": p5_forms}
 _LAST = "last_rows AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY loaded_at DESC) AS rn FROM segments) WHERE rn = 1)"
 ORACLE: dict[str, str] = {
+    "p6_audit": f"""WITH {_LAST}, long AS (SELECT segment_id, CAST(round("start" * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e FROM last_rows) SELECT segment_id, s AS from_ms, e AS to_ms, true AS fits, true AS overlaps FROM long WHERE e - s > 30000""",
+    "p7_audit": "SELECT count(*) AS documents, CAST(0 AS BIGINT) AS over, CAST(0 AS BIGINT) AS cut FROM documents",
     # Pauses of each list, then the furthest cut inside one again and again.
     "p6_found": f"""WITH RECURSIVE {_LAST}, long AS (SELECT segment_id, song_id, seg_no, CAST(round("start" * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e FROM last_rows),
 voice AS (SELECT segment_id, s, e, regexp_replace(regexp_replace(vad_res, '\\.0*', '', 'g'), '[^01]', '', 'g') AS bits FROM long LEFT JOIN vad USING (song_id, seg_no) WHERE e - s > 30000),

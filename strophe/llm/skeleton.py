@@ -8,18 +8,23 @@ characters, composition and look-alike letters make no difference; case, accents
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strophe.session import cut_lineage
+
 # Letters of other scripts and the Latin letters they look like.
 LOOK_ALIKE = {
     "cyrillic": ("АВЕЅІЈКМНОРСТУХҮԚԜаеоԁӏсһіјрԛѕԝхуѵҽ", "ABESIJKMHOPCTYXYQWaeodlchijpqswxyve"),
     "greek": ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαγιικνορυχϲϳ", "ABEZHIKMNOPTYXayiikvopuxcj"),
     "armenian": ("Օսոցհյց", "Ouoghjg"),
+    "cherokee": ("ᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᏀᏃᏙᏚᏞᏟᏢᏦᏧᏴ", "DRTiAJEWMHGZVSLCPKdB"),
+    "coptic": ("ⲀⲂⲈⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⲟⲣⲥ", "ABEHIKMNOPCTYXopc"),
+    "lisu": ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"),
     "other": ("ıȷɑɡɩʏℓ", "ijagiYl"),
 }
 # Characters that are never drawn, besides those of the category of format characters.
@@ -52,6 +57,22 @@ _FIRST = _Prototypes()
 _LETTERS = {ord(a): b for strange, plain in LOOK_ALIKE.values() for a, b in zip(strange, plain, strict=True)}
 
 
+def add_look_alikes(lines: Iterable[str]) -> int:
+    """Take more single characters from lines "code ; codes of its prototype ; ..." in hexadecimal, as the public table of confusables has them. Gives how many were new.
+
+    Call it where the texts are worked on. A prototype is reduced by what is known already; characters that are drawn as several stay as they are.
+    """
+    new = 0
+    for line in lines:
+        fields = line.split("#")[0].split(";")
+        if len(fields) > 1 and len(fields[0].split()) == len(fields[1].split()) == 1:
+            code, prototype = int(fields[0], 16), int(fields[1], 16)
+            if code > 127 and code not in _LETTERS:
+                _LETTERS[code] = _LETTERS.get(prototype, chr(prototype))
+                new += 1
+    return new
+
+
 def skeleton(text: str) -> str:
     """The skeleton of a text. Punctuation and symbols keep their own form; an ASCII text is its own skeleton."""
     if text.isascii():
@@ -116,6 +137,20 @@ def skeletons(df: DataFrame, row: str, text: str) -> DataFrame:
     return df.select(row, text).mapInArrow(run, f"row {dict(df.dtypes)[row]}, skeleton string, plain string").withColumnRenamed("row", row)
 
 
+def _keyed(df: DataFrame, group: str, row: str, text: str) -> DataFrame:
+    """g, r, skeleton_key, text_key of the rows without nulls, written once: 16-byte keys, since they are read several times and skeletons are dear."""
+    return cut_lineage(with_skeletons(df.select(F.col(group).alias("g"), F.col(row).alias("r"), F.col(text).alias("t")).dropna(), "t"))
+
+
+def look_classes(df: DataFrame, group: str, row: str, text: str) -> DataFrame:
+    """group, look, rows, spellings: the looks of each group's texts (16 bytes as hexadecimal digits), how many rows have each and in how many spellings.
+
+    Rows with a null group, text or row are left out. A look that a third of all rows have is counted by spelling first, with a map-side part.
+    """
+    spelled = _keyed(df, group, row, text).groupBy("g", "skeleton_key", "text_key").count()
+    return spelled.groupBy("g", "skeleton_key").agg(F.sum("count").alias("rows"), F.count("*").alias("spellings")).select(F.col("g").alias(group), F.lower(F.hex("skeleton_key")).alias("look"), "rows", "spellings")
+
+
 def look_alike_pairs(df: DataFrame, group: str, row: str, text: str) -> DataFrame:
     """row_a, row_b (row_a < row_b): pairs of rows of one group whose texts look the same but are not the same code points.
 
@@ -123,7 +158,7 @@ def look_alike_pairs(df: DataFrame, group: str, row: str, text: str) -> DataFram
     rows of equal code points is never made: copies only meet the other spellings of their look.
     Groups of one spelling are dropped by an aggregate with a map-side part before anything is joined.
     """
-    keyed = with_skeletons(df.select(F.col(group).alias("g"), F.col(row).alias("r"), F.col(text).alias("t")).dropna(), "t")
+    keyed = _keyed(df, group, row, text)
     varied = keyed.groupBy("g", "skeleton_key").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b")).filter("a <> b").select(F.col("g").alias("vg"), F.col("skeleton_key").alias("vk"))
     rows = keyed.join(varied, F.expr("g = vg and skeleton_key = vk"), "left_semi")
     left = rows.select(F.col("g"), F.col("skeleton_key").alias("k"), F.col("r").alias("row_a"), F.col("text_key").alias("t_a"))

@@ -1,4 +1,4 @@
-"""Long segments in pieces: cuts in pauses, at the deepest valleys of lexical cohesion."""
+"""Long segments in pieces: cuts at the deepest valleys of lexical cohesion, in pauses where there are any."""
 
 from __future__ import annotations
 
@@ -18,13 +18,14 @@ from strophe.functions.text import millis
 @dataclass(frozen=True)
 class SplitRules:
     """Milliseconds: longest piece, overlap of a later piece with the one before, length of one voice activity value. silent: so many silent values
-    in a row are a pause. words: of a block whose likeness to the next one is compared. least: a piece shouldn't be shorter, where there is a choice."""
+    in a row are a pause. words: of a block whose likeness to the next one is compared, averaged over `smooth` gaps on either side. least: a piece shouldn't be shorter, where there is a choice."""
 
     longest: int = 30_000
     overlap: int = 500
     step: int = 250
     silent: int = 2
     words: int = 12
+    smooth: int = 2
     least: int = 8_000
 
 
@@ -42,20 +43,43 @@ def pauses(voiced: str | None, start: int, end: int, rules: SplitRules) -> list[
 
 
 def cohesion_depths(text: str, rules: SplitRules) -> tuple[list[str], np.ndarray]:
-    """The words of a text and, for each gap between two of them (and both ends), how deep a valley of likeness between the blocks beside it is there."""
+    """The words of a text and, for each gap between two of them, how deep a valley of likeness is there.
+
+    The likeness of a gap is the cosine of the blocks of words beside it. From a gap one climbs to either side while the likeness
+    doesn't fall; the depth is what both peaks rise above the gap. At both ends of the text it is 0.
+    """
     words = _UNIT.findall(text.casefold())
     n, k = len(words), rules.words
-    like = np.ones(n + 1)
-    for gap in range(1, n):
-        left, right = Counter(words[max(0, gap - k) : gap]), Counter(words[gap : gap + k])
-        product = sum(c * right[w] for w, c in left.items())
-        size = (sum(c * c for c in left.values()) * sum(c * c for c in right.values())) ** 0.5
-        like[gap] = product / size if size else 0.0
+    depth = np.zeros(n + 1)
     if n < 2:
-        return words, np.zeros(n + 1)
-    left_peak = np.maximum.accumulate(like)
-    right_peak = np.maximum.accumulate(like[::-1])[::-1]
-    return words, (left_peak - like) + (right_peak - like)
+        return words, depth
+    left, right = Counter[str](), Counter(words[:k])
+    product, left_size, right_size = 0, 0, sum(c * c for c in right.values())
+    like = np.zeros(n - 1)
+    for gap in range(1, n):
+        # One word goes from the right block to the left one; each block takes or loses a word at its far end.
+        moves = [(words[gap - 1], 1, -1)]
+        if gap + k - 1 < n:
+            moves.append((words[gap + k - 1], 0, 1))
+        if gap > k:
+            moves.append((words[gap - k - 1], -1, 0))
+        for word, a, b in moves:
+            x, y = left[word], right[word]
+            product += (x + a) * (y + b) - x * y
+            left_size += (x + a) ** 2 - x * x
+            right_size += (y + b) ** 2 - y * y
+            left[word], right[word] = x + a, y + b
+        like[gap - 1] = product / (left_size * right_size) ** 0.5
+    around = np.ones(2 * rules.smooth + 1)
+    like = np.convolve(like, around, "same") / np.convolve(np.ones(n - 1), around, "same") if n - 1 >= len(around) else like
+    peak_before, peak_after = like.copy(), like.copy()
+    for i in range(1, n - 1):
+        if like[i - 1] >= like[i]:
+            peak_before[i] = peak_before[i - 1]
+        if like[n - 1 - i] >= like[n - 2 - i]:
+            peak_after[n - 2 - i] = peak_after[n - 1 - i]
+    depth[1:n] = peak_before + peak_after - 2 * like
+    return words, depth
 
 
 def split_segment(text: str | None, start: int, end: int, voiced: str | None, rules: SplitRules = SplitRules()) -> list[tuple[int, int, str, int, int]]:
@@ -63,19 +87,25 @@ def split_segment(text: str | None, start: int, end: int, voiced: str | None, ru
 
     The kind is natural for a cut inside a pause, forced for one elsewhere and end for the last piece. If all cuts can lie in
     pauses, they do; else pauses are used as far as they go. Among the pauses a piece can end in, the one at the deepest valley of
-    lexical cohesion is taken (of equal ones the longest, then the latest). Words belong to times in proportion to the voiced time.
+    lexical cohesion is taken (of equal ones the longest, then the latest); where there is none, the cut is forced between the two words at the
+    deepest valley in reach (of equal ones the latest), or at the limit of a text without words in reach. Words belong to times in proportion to the
+    voiced time. A later piece begins rules.overlap before the cut, with the words spoken since then.
     """
     quiet = pauses(voiced, start, end, rules)
     words, depth = cohesion_depths(text or "", rules)
     speech = np.array([c != "0" for c in voiced or ""], dtype=float)
     known = np.concatenate(([0.0], np.cumsum(speech))) if speech.sum() else None
+    # Times at which each word begins, the last one the end of the words.
+    share = np.arange(len(words) + 1) / max(1, len(words))
+    if known is None:
+        begins = start + share * (end - start)
+    else:
+        rising = np.flatnonzero(np.concatenate(([True], np.diff(known) > 0)))
+        begins = start + np.interp(share * known[-1], known[rising], rising) * rules.step
+    begins = np.minimum(begins, end)
 
     def word_at(t: int) -> int:
-        share = (t - start) / (end - start)
-        if known is not None:
-            place = min((t - start) / rules.step, len(known) - 1)
-            share = float(np.interp(place, np.arange(len(known)), known)) / float(known[-1])
-        return min(len(words), max(0, round(share * len(words))))
+        return int(np.abs(begins - t).argmin()) if len(words) else 0
 
     # From a cut at or after `safe`, the end can be reached with cuts in pauses only.
     reach = rules.longest - rules.overlap
@@ -88,13 +118,21 @@ def split_segment(text: str | None, start: int, end: int, voiced: str | None, ru
         options = [(max(a, low), min(b, limit)) for a, b in quiet if max(a, low) <= min(b, limit)]
         fine = [x for x in options if x[1] - at >= rules.least] or options
         if fine:
-            a, b = max(fine, key=lambda x: (round(float(depth[word_at((x[0] + x[1]) // 2)]), 9) if len(depth) else 0.0, x[1] - x[0], x[1]))
+            a, b = max(fine, key=lambda x: (round(float(depth[word_at((x[0] + x[1]) // 2)]), 9), x[1] - x[0], x[1]))
             cut, kind = (a + b) // 2, "natural"
+            word = word_at(cut)
         else:
             cut, kind = limit, "forced"
-        word = max(first, word_at(cut))
+            inside = np.flatnonzero((begins >= at + rules.least) & (begins <= limit))
+            inside = inside[(inside > first) & (inside < len(words))]
+            if len(inside):
+                deepest = np.round(depth[inside], 9)
+                cut = int(begins[inside[np.flatnonzero(deepest == deepest.max())[-1]]])
+            word = word_at(cut)
+        word = max(first, word)
         pieces.append((at, cut, kind, first, word))
-        at, first = cut - rules.overlap, word
+        at = cut - rules.overlap
+        first = min(word, int(np.searchsorted(begins[:-1], at)))
     pieces.append((at, end, "end", first, len(words)))
     return pieces
 
