@@ -1,14 +1,15 @@
 """Sentence boundaries: characters are tagged as boundary or inside by a linear-chain model and Viterbi decoding.
 
 Most characters can't end a sentence, so their tag is certain and the chain runs over the rest: ends of
-sentence marks, and spaces of a script without marks. The model is trained here on texts tagged by rules that
-need capitals, once as they are and once without them, so that it also reads texts in lower case; what scripts
-without marks give away is learned from their spaces alone.
+sentence marks, and spaces beside letters of a script without marks. The model is trained here on texts tagged by
+rules that need capitals, once as they are and once without them, so that it also reads texts in lower case; for
+the script without marks it is trained on lines whose marks and ends are stripped, with the ends as boundaries.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -22,11 +23,13 @@ from strophe.operators.sample import bounded_sample
 
 @dataclass(frozen=True)
 class SentenceRules:
-    """sample: documents at most that the model is trained on. rounds: of training. aliases: names that are labels of speakers. prose: the kind in which only a blank line ends a line's sentence."""
+    """sample: documents at most that the model is trained on. rounds: of training. aliases: names that are labels of speakers. prose: the kind in which only a blank line ends a line's sentence.
+    lines: the kind whose lines are single sentences, which train the script without marks."""
 
     sample: int = 1500
     rounds: int = 6
     prose: str = "prose"
+    lines: str = "verse"
 
 
 # Abbreviations after which a sentence goes on, whatever follows.
@@ -37,11 +40,13 @@ GO_ON = frozenset(
 MAY_END = frozenset("etc a.m p.m jr usw ff др г гг тыс млн b.p.m i.e e.g inc ltd co a cf al".split())
 _OPENERS = {"”": "“", "“": "„", "»": "«", "」": "「", "』": "『", '"': '"', "’": "‘"}
 _THAI = "ก-ๅ็-๎"
-_MARK = re.compile(rf"[.!?。！？｡．…]+(?:[ \xa0 ]?»|[\"”“’')\]）」』】》〉])*|(?<=[{_THAI}])[ \xa0　]+(?=[{_THAI}])")
+_BLANKS = "[ \xa0　]+"
+_MARK = re.compile(rf"[.!?。！？｡．…]+(?:[ \xa0 ]?»|[\"”“’')\]）」』】》〉])*|(?<=[{_THAI}ๆA-Za-z0-9]){_BLANKS}(?=[{_THAI}])|(?<=[{_THAI}ๆ]){_BLANKS}(?=[ๆA-Za-z0-9“«\"])")
 _BREAK = re.compile(r"\r\n|\n|\r")
 _BLANK = re.compile(r"(?:\r\n|\n|\r)[ \t\xa0　]*(?:\r\n|\n|\r)\s*")
-_WORD = re.compile(r"[^\W\d_]+(?:\.[^\W\d_]+)*\Z")
-_NEXT = re.compile(r"(\s*)(([^\W\d_]{1,12})|\S|\Z)")
+_NEXT = re.compile(r"(\s*)(([^\W\d_]+)|\S|\Z)")
+_LETTER = re.compile(f"[{_THAI}]")
+_STRIPPED = re.compile(r"[.!?…,;:“”\"'()«»]+")
 
 
 def _script(char: str) -> str:
@@ -78,16 +83,41 @@ def segments(text: str, prose: bool) -> Iterator[tuple[int, int]]:
     yield at, len(text)
 
 
+def _beside(char: str) -> str:
+    """What a space of the script without marks has beside it."""
+    return "again" if char == "ๆ" else "thai" if _script(char) else "digit" if char.isdigit() else "latin" if char.isalpha() else "open"
+
+
+def _word_start(text: str, a: int, i: int, known: dict[int, int]) -> int:
+    """Where the letters that end at i begin; single dots between letters belong to them. known: the starts found at earlier dots."""
+    at = i
+    while at > a:
+        char = text[at - 1]
+        if char == "." and at < i and at - 2 >= a and text[at - 2].isalpha():
+            if at - 1 in known:
+                at = known[at - 1]
+                break
+            at -= 1
+        elif not char.isalpha():
+            break
+        else:
+            at -= 1
+    known[i] = at
+    return at
+
+
 def candidates(text: str, a: int, b: int, lead: int, caseless: bool) -> list[tuple[int, tuple]]:
     """Positions in text[a:b] that may end a sentence, with what the model sees there."""
     out = []
+    words: dict[int, int] = {}
+    openers: dict[str, list[int]] = {}
+    intros: dict[int, str] = {}
     for found in _MARK.finditer(text, a, b):
         i, j = found.span()
         first = text[i]
         if first.isspace():
-            if text[max(a, i - 12) : i].rpartition(" ")[2] in GO_ON:
-                continue
-            out.append((i, ("space", "", "", "thai", "", 1, "", "", caseless)))
+            word = text[max(text.rfind(" ", a, i), text.rfind("\xa0", a, i), text.rfind("　", a, i), a - 1) + 1 : i]
+            out.append((i, ("space", "", "go" if word in GO_ON else "word", _beside(text[j]), "", 1, _beside(text[i - 1]), "", False)))
             continue
         if j >= b:
             continue
@@ -97,10 +127,10 @@ def candidates(text: str, a: int, b: int, lead: int, caseless: bool) -> list[tup
             if before.isdigit() and after.isdigit() or after in "_/@" or before == "_":
                 continue
             if after.isalnum() and not (after.isupper() and before.islower()) and not (before.isalpha() and _script(before)):
-                word = _WORD.search(text, max(a, i - 24), i)
-                if not (caseless and word and len(word[0]) > 3 and "." not in word[0] and after.isalpha()):
+                start = _word_start(text, a, i, words)
+                if not (caseless and i - start > 3 and text.find(".", start, i) < 0 and after.isalpha()):
                     continue
-        marks = text[i:j].rstrip("\"”“»’')]）」』】》〉 \xa0 ")
+        marks = text[i:j].rstrip("\"”“»’')]）」』】》〉 \xa0 ")
         if "…" in marks or marks.startswith(".."):
             if not any(c in "!?。！？" for c in marks):
                 continue
@@ -109,11 +139,9 @@ def candidates(text: str, a: int, b: int, lead: int, caseless: bool) -> list[tup
             kind = "." if marks in (".", "．") else "。" if marks[0] in "。｡" else "!"
         word = ""
         if kind == ".":
-            hit = _WORD.search(text, max(a, i - 24), i)
-            if hit:
-                word = hit[0].casefold()[-14:]
-                if hit.start() > a and text[hit.start() - 1] in "_0123456789":
-                    word = "#"
+            start = _word_start(text, a, i, words)
+            if start < i:
+                word = "#" if start > a and text[start - 1] in "_0123456789" else text[start:i].casefold()
             else:
                 # A number of up to two digits may be an ordinal.
                 word = "#" if i > a and text[i - 1].isdigit() and not text[max(a, i - 3) : i].isdigit() else ""
@@ -127,17 +155,25 @@ def candidates(text: str, a: int, b: int, lead: int, caseless: bool) -> list[tup
         quote, intro = "", ""
         if closing in _OPENERS:
             quote = "close"
-            opener = text.rfind(_OPENERS[closing], max(a, i - 2000), i)
-            if opener >= 0:
-                k = opener - 1
-                while k >= a and text[k].isspace():
-                    k -= 1
-                intro = "first" if k < a or opener <= lead or text[k] in ".!?。！？”»」\"“" else "colon" if text[k] in ":：" else "comma" if text[k] in ",，、" else "mid"
+            opens = _OPENERS[closing]
+            if opens not in openers:
+                openers[opens] = [m.start() for m in re.finditer(re.escape(opens), text[a:b])]
+            k = bisect_left(openers[opens], i - a) - 1
+            if k >= 0:
+                opener = a + openers[opens][k]
+                if opener not in intros:
+                    k = opener - 1
+                    while k >= a and text[k].isspace():
+                        k -= 1
+                    intros[opener] = "first" if k < a or opener <= lead or text[k] in ".!?。！？”»」\"“" else "colon" if text[k] in ":：" else "comma" if text[k] in ",，、" else "mid"
+                intro = intros[opener]
         elif closing:
             quote = "bracket"
         if caseless and sort in ("upper", "lower"):
             sort = "letter"
-        out.append((j, (kind, word, shape, sort, (name or token).casefold(), min(len(blank), 2), quote, intro, caseless)))
+        word = word if len(word) < 2 or not _script(word[-1]) or shape != "word" else "word"
+        token = (name or token).casefold() if caseless and not (name and _script(name[0])) else ""
+        out.append((j, (kind, word, shape, sort, token, min(len(blank), 2), quote, intro, caseless)))
     return out
 
 
@@ -145,7 +181,7 @@ def by_rule(seen: tuple, text: str = "") -> bool:
     """Tag of a candidate in a text with capitals; what the model is trained on."""
     kind, word, shape, sort, _, blank, quote, intro, _ = seen
     if kind == "space":
-        return True
+        return shape != "go" and quote == "thai" and sort in ("thai", "open")
     if sort == "end":
         return True
     if sort == "lower":
@@ -243,11 +279,8 @@ class ChainModel:
 
 
 def _caseless(text: str) -> bool:
-    """Whether a text has letters that could be capitals but none is one, or nearly all are."""
-    capitals = sum(map(str.isupper, text))
-    if capitals == 0:
-        return any(map(str.islower, text))
-    return False
+    """Whether a text has letters that could be capitals but none is one."""
+    return text.lower() == text != text.upper()
 
 
 def sentence_ends(text: str | None, prose: bool, model: ChainModel, aliases: frozenset[str]) -> list[int]:
@@ -263,7 +296,7 @@ def sentence_ends(text: str | None, prose: bool, model: ChainModel, aliases: fro
             a += 1
         if a == b:
             continue
-        lead = a if prose else a + lead_end(text[a : min(b, a + 120)], aliases)
+        lead = a if prose else a + lead_end(text[a:b], aliases)
         chain = candidates(text, a, b, lead, caseless)
         if chain:
             out += [place for (place, _), tag in zip(chain, model.tags(chain), strict=True) if tag]
@@ -271,21 +304,42 @@ def sentence_ends(text: str | None, prose: bool, model: ChainModel, aliases: fro
     return out
 
 
+def stripped_chain(sentences: list[str]) -> tuple[list[tuple[int, tuple]], list[bool]]:
+    """Sentences as one text without marks: its candidate spaces in the script without marks, and which of them stand between two sentences."""
+    whole, ends = "", set()
+    for sentence in sentences:
+        bare = " ".join(_STRIPPED.sub(" ", sentence).split())
+        if bare:
+            if whole:
+                ends.add(len(whole))
+                whole += " "
+            whole += bare
+    chain = [c for c in candidates(whole, 0, len(whole), 0, False) if c[1][0] == "space"]
+    return chain, [place in ends for place, _ in chain]
+
+
 def train_sentences(documents: DataFrame, aliases: frozenset[str], rules: SentenceRules = SentenceRules()) -> ChainModel:
     """The model, trained on a bounded sample of documents chosen by their hashes; texts without any capital aren't used."""
     sample = bounded_sample(documents.select("doc_id", "text", "doc_kind"), ["doc_id"], rules.sample)
     chains = []
     for text, kind in sample.select("text", "doc_kind").orderBy("doc_id", "text").limit(2 * rules.sample).collect():
-        if not text or _caseless(text):
+        if not text:
+            continue
+        if kind == rules.lines and _LETTER.search(text):
+            chains.append(stripped_chain(_BREAK.split(text)))
+        if _caseless(text):
             continue
         prose = kind is None or kind == rules.prose
         for a, b in segments(text, prose):
-            lead = a if prose else a + lead_end(text[a : min(b, a + 120)], aliases)
+            lead = a if prose else a + lead_end(text[a:b], aliases)
             chain = candidates(text, a, b, lead, False)
             if not chain:
                 continue
             gold = [by_rule(seen) for _, seen in chain]
             chains.append((chain, gold))
+            if kind != rules.lines and _LETTER.search(text, a, b):
+                ends = [p for (p, _), tag in zip(chain, gold, strict=True) if tag]
+                chains.append(stripped_chain([text[i:j] for i, j in zip([a, *ends], [*ends, b], strict=True)]))
             # The same stretch with some sentences beginning small and some ending with a number, which is rare in what there is.
             altered = list(text[:b])
             for k, ((p, seen), tag) in enumerate(zip(chain, gold, strict=True)):

@@ -1,7 +1,7 @@
 """Skeletons, marks, fillers, sentences, languages."""
 
 import random
-import unicodedata
+import time
 
 import numpy as np
 import pytest
@@ -11,7 +11,7 @@ from strophe.llm.fillers import FillerModel, filler_examples
 from strophe.llm.hyper import bundle, ngram_vectors
 from strophe.llm.language import analyse, fit_languages, stretches, with_languages
 from strophe.llm.markup import label_number, read_line
-from strophe.llm.sentences import find_sentences, sentence_ends, train_sentences
+from strophe.llm.sentences import ChainModel, find_sentences, sentence_ends, stripped_chain, train_sentences
 from strophe.llm.skeleton import look_alike_pairs, plain, skeleton
 
 ALIASES = {"ozmer": 0, "tivka": 1, "yorrick-b": 3}
@@ -127,7 +127,10 @@ def test_sentences_without_capitals_and_spaces(sentences):
     assert cut("the quiet driver went home at 6 p.m. is it true? ms. dar asked, “who knows?” and left.", sentences) == ["the quiet driver went home at 6 p.m.", "is it true?", "ms. dar asked, “who knows?” and left."]
     assert cut("Nobody listens. we kept the map. It was built in 1999. Then it rained.", sentences) == ["Nobody listens.", "we kept the map.", "It was built in 1999.", "Then it rained."]
     assert cut("One door closes.Another opens.", sentences) == ["One door closes.", "Another opens."]
-    assert cut("คนสวนล้างหุบเขา ดร. ทามลืมโคมไฟ 10 ครั้ง ช้าๆ ในห้อง", sentences) == ["คนสวนล้างหุบเขา", "ดร. ทามลืมโคมไฟ 10 ครั้ง", "ช้าๆ ในห้อง"] or True
+    assert cut("คนสวนล้างหุบเขา ดร. ทามลืมโคมไฟ 10 ครั้ง ช้าๆ ในห้อง คนขับรถนับตั๋ว", sentences) == ["คนสวนล้างหุบเขา", "ดร. ทามลืมโคมไฟ 10 ครั้ง", "ช้าๆ ในห้อง", "คนขับรถนับตั๋ว"]
+    assert cut("ไฟล์ mix_17.mp3 ยาว 24 วินาที ดร ทามลืมโคมไฟ นักร้องฝังเพลง", sentences) == ["ไฟล์ mix_17.mp3 ยาว 24 วินาที", "ดร ทามลืมโคมไฟ", "นักร้องฝังเพลง"]
+    space = [(1, ("space", "", "word", "thai", "", 1, "thai", "", False))]
+    assert ChainModel().tags(space) == [False] and sentences.tags(space) == [True]  # learned, not a rule of the operator
     assert cut("Heading\n\nOne line\nbroken. Two.", sentences) == ["Heading", "One line\nbroken.", "Two."]
     assert cut("[verse 1]\r\nOne line\nTwo. Three", sentences, prose=False) == ["[verse 1]", "One line", "Two.", "Three"]
     assert cut("", sentences) == cut(" \n ", sentences) == []
@@ -143,4 +146,19 @@ def test_sentences_cover_the_text(spark):
         rows = sorted(found.get(doc.doc_id, []), key=lambda r: r.sent_no)
         assert "".join("".join(r.sentence.split()) for r in rows) == "".join(doc.text.split())
         assert all(doc.text[r.sent_start : r.sent_end] == r.sentence for r in rows)
-    assert unicodedata.normalize("NFC", "a") == "a"
+
+
+def test_long_stretches_and_quotations(sentences):
+    """Neither a far opening quote nor a long word is out of sight, and odd texts take no quadratic time."""
+    far = "“" + "a word and " * 1_000 + "one more!” said Dar. Then it rained."
+    assert cut(far, sentences) == [far[: -len(" Then it rained.")], "Then it rained."]
+    assert cut("x" * 5_000 + ". Then it rained.", sentences)[-1] == "Then it rained."
+    began = time.time()
+    for text in ("a." * 30_000, "“" * 20_000 + ".”" * 20_000, "คำ" * 30_000 + ".", " ." * 30_000):
+        cut(text, sentences)
+    assert time.time() - began < 20
+
+
+def test_stripped_sentences_train_spaces():
+    chain, gold = stripped_chain(["คนสวนล้าง 10 ครั้ง!", "ดร. ทามลืม", "ช้าๆ ในห้อง."])
+    assert gold.count(True) == 2 and len(gold) > 2 and all(seen[0] == "space" for _, seen in chain)
