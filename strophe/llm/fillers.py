@@ -19,7 +19,6 @@ _SPLIT = re.compile(r"[,，、;；.。…!?！？\s]+")
 _COMMA = re.compile(r"([,，、]\s*)")
 _UNIT = re.compile(r"[^,，、]+")
 _WORDY = re.compile(r"\w")
-LONGEST = 14
 
 
 def _key(unit: str) -> str:
@@ -29,8 +28,10 @@ def _key(unit: str) -> str:
 
 @dataclass
 class FillerModel:
-    """Logistic regression over a unit's character n-grams, length and seed; a unit that wasn't seen must be
-    one word of at most `sound` letters and score above margin. A unit is what stands between commas, or a word before a comma."""
+    """What is known of units that were seen, of whatever length, and for others a logistic regression over character n-grams, length and seed.
+
+    An unseen filler is a sound: one word of at most `sound` letters that scores above margin. A unit is what stands between commas, or a word before a comma.
+    """
 
     size: int = 4096
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -60,7 +61,8 @@ class FillerModel:
             examples[seed][0] += 3
         self.weights = np.zeros(self.size)
         self.weights[2] = 1.0
-        rows = [(self.features(u), yes, no) for u, (yes, no) in sorted(examples.items())]
+        # The regression decides on sounds only; all others are known or no fillers.
+        rows = [(self.features(u), yes, no) for u, (yes, no) in sorted(examples.items()) if u in self.seeds or yes > no or " " not in u and len(u) <= 2 * self.sound]
         rate = 0.5
         more = max(1.0, sum(no > yes for _, yes, no in rows) / max(1, sum(yes > no for _, yes, no in rows)))
         for step in range(steps):
@@ -78,18 +80,16 @@ class FillerModel:
         return self.__dict__ | {"seen": {}}
 
     def is_filler(self, unit: str) -> bool:
-        """Whether a unit as written is a filler; answers are kept for short units."""
-        if len(unit) > 4 * LONGEST:
-            return False
+        """Whether a unit as written is a filler. Answers are kept, but for those to sentences, which don't come again."""
         found = self.seen.get(unit)
         if found is None:
             found = self._decide(_key(unit))
-            if len(self.seen) < 100_000:
+            if (found or len(unit) < 32) and len(self.seen) < 100_000:
                 self.seen[unit] = found
         return found
 
     def _decide(self, unit: str) -> bool:
-        if not unit or len(unit) > LONGEST:
+        if not unit:
             return False
         found = self.known.get(unit)
         if found is None:
@@ -123,20 +123,19 @@ class FillerModel:
 
 
 def filler_examples(lines: list[tuple[str, int | None]]) -> dict[str, tuple[float, float]]:
-    """From cleaned lines with their counts of words: units of lines without any word are fillers, those of other short lines are not,
+    """From cleaned lines with their counts of words: units of lines without any word are fillers, the only unit of another line is none,
     and words inside longer units count a little as such (but for the seeds, which may stand in a sentence)."""
     counts: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0])
     for words, number in lines:
-        whole = [k for u in _UNIT.findall(words) if (k := _key(u)) and _WORDY.search(k)]
-        units = [k for k in whole if len(k) <= LONGEST]
+        units = [k for u in _UNIT.findall(words) if (k := _key(u)) and _WORDY.search(k)]
         if number == 0:
             for unit in units:
                 counts[unit][0] += 1
-        elif number and len(words) <= 60 and len(units) == len(whole) == 1:
+        elif number and len(units) == 1:
             counts[units[0]][1] += 1
         if number:
-            for unit in whole:
+            for unit in units:
                 for word in unit.split(" ")[1:-1]:
-                    if 0 < len(word) <= LONGEST and _WORDY.search(word) and word not in FillerModel.seeds:
+                    if _WORDY.search(word) and word not in FillerModel.seeds:
                         counts[word][1] += 0.2
     return {u: (a, b) for u, (a, b) in counts.items()}

@@ -2,8 +2,8 @@
 
 Every letter has a random vector of +1 and -1. An n-gram's vector binds the vectors of its letters, each
 permuted by its place; a language's prototype bundles the vectors of its n-grams. Texts are compared with
-the prototypes by cosine. A text's product with a prototype is the sum of its n-grams' products, so these
-are worked out once for each n-gram and kept.
+the prototypes by cosine. A text's vector bundles those of its n-grams too, so its product with a prototype is the
+sum of its n-grams' products: these are worked out once for each n-gram and kept.
 """
 
 from __future__ import annotations
@@ -95,7 +95,7 @@ _kept: dict[int, dict] = {}
 
 @dataclass
 class LanguageModel:
-    """prototypes: one unit vector for each language, less their mean. sharp: turns cosines into confidences. split: how much two languages must explain better than one."""
+    """prototypes: one unit vector for each language, of what differs from their mean. sharp: turns cosines into confidences. split: how much two languages must explain better than one."""
 
     languages: list[str]
     prototypes: np.ndarray
@@ -115,9 +115,9 @@ class LanguageModel:
     def _lookup(self, keys: np.ndarray) -> np.ndarray:
         """Row of each n-gram in the kept table of products."""
         cache = self._rows
-        if "slots" not in cache or len(cache["scores"]) > 600_000:
+        if "slots" not in cache or cache["used"] > 600_000:
             cache.clear()
-            cache.update(slots=np.zeros(_SLOTS, dtype=np.uint64), row=np.zeros(_SLOTS, dtype=np.int32), scores=np.zeros((1, len(self.languages)), dtype=np.float32))
+            cache.update(slots=np.zeros(_SLOTS, dtype=np.uint64), row=np.zeros(_SLOTS, dtype=np.int32), scores=np.zeros((4096, len(self.languages)), dtype=np.float32), used=1)
         slot = (_mix(keys) & np.uint64(_SLOTS - 1)).astype(np.int64)
         rows = cache["row"][slot]
         missing = np.flatnonzero(cache["slots"][slot] != keys)
@@ -129,8 +129,13 @@ class LanguageModel:
                 part = fresh[i : i + 2048]
                 scores[i : i + 2048] = ngram_vectors(part) @ self.prototypes.T
             scores[~known] = 0
-            base = len(cache["scores"])
-            cache["scores"] = np.concatenate([cache["scores"], scores])
+            base = cache["used"]
+            cache["used"] = base + len(scores)
+            if cache["used"] > len(cache["scores"]):
+                room = np.zeros((2 * cache["used"], len(self.languages)), dtype=np.float32)
+                room[:base] = cache["scores"][:base]
+                cache["scores"] = room
+            cache["scores"][base : base + len(scores)] = scores
             at = (_mix(fresh) & np.uint64(_SLOTS - 1)).astype(np.int64)
             free = cache["slots"][at] == 0
             cache["slots"][at[free]] = fresh[free]
@@ -138,13 +143,25 @@ class LanguageModel:
             rows[missing] = base + back
         return rows
 
-    def position_scores(self, small: np.ndarray) -> np.ndarray:
-        """At each letter the products of the n-grams ending there with the prototypes."""
+    def position_scores(self, small: np.ndarray, lengths: np.ndarray | None = None) -> np.ndarray:
+        """At each letter the products of the n-grams ending there with the prototypes. lengths, one for each text, is filled with the lengths of the texts' bundled vectors.
+
+        N-grams' vectors are all of one length and nearly at right angles, so a bundle's squared length is the dimensions times the sum of its squared counts.
+        """
         total = np.zeros((len(small), len(self.languages)), dtype=np.float32)
+        text = np.cumsum(np.concatenate(([0], small[:-1] == 10))) if lengths is not None else None
+        square = np.zeros(len(lengths)) if lengths is not None else None
         for keys in ngram_keys(small):
             use = np.flatnonzero(keys)
             rows = self._lookup(keys[use])
             total[use] += self._rows["scores"][rows]  # a position has each length once
+            if text is not None:
+                pairs = np.sort(text[use] << 32 | rows)
+                begin = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1]))) if len(pairs) else np.zeros(0, dtype=np.int64)
+                count = np.diff(np.concatenate((begin, [len(pairs)])))
+                square += np.bincount(pairs[begin] >> 32, count.astype(float) ** 2, len(square))
+        if lengths is not None:
+            lengths[:] = np.sqrt(square * DIMENSIONS)
         return total
 
 
@@ -166,4 +183,7 @@ def bundle(by_language: dict[str, list[str]], dampen: float = 0.5) -> LanguageMo
     for j in range(0, len(keys), 2048):
         prototypes += weight[:, j : j + 2048] @ ngram_vectors(keys[j : j + 2048])
     prototypes /= np.maximum(np.linalg.norm(prototypes, axis=1, keepdims=True), 1e-9)
-    return LanguageModel(languages, prototypes - prototypes.mean(axis=0))
+    if len(languages) > 1:
+        prototypes -= prototypes.mean(axis=0)
+        prototypes /= np.maximum(np.linalg.norm(prototypes, axis=1, keepdims=True), 1e-9)
+    return LanguageModel(languages, prototypes)

@@ -16,20 +16,16 @@ from strophe.llm.markup import lead_end, without_marks
 from strophe.llm.skeleton import plain
 from strophe.operators.sample import bounded_sample
 
-LANGUAGES = ("de", "en", "es", "fr", "ja", "ko", "ru", "th", "zh")
-#: Languages written without spaces: their length counts in characters.
-UNSPACED = ("ja", "th", "zh")
-
-
 @dataclass(frozen=True)
 class LanguageRules:
     """sample: how many rows at most the prototypes are fitted on. words, characters: a stretch's least length in spaced and unspaced scripts.
-    lone: how many labelled rows at least a language needs to get a prototype."""
+    lone: how many labelled rows at least a language needs to get a prototype. languages: codes of labels that may train one."""
 
     sample: int = 30_000
     words: int = 3
     characters: int = 4
     lone: int = 5
+    languages: tuple[str, ...] = ("de", "en", "es", "fr", "ja", "ko", "ru", "th", "zh")
 
 
 def label_code(label: Column) -> Column:
@@ -42,9 +38,7 @@ def _bare(text: str, aliases: frozenset[str], fillers: FillerModel) -> str:
     """The words of a line in one consistent form, without marks, label and fillers."""
     text = plain(text)
     text = without_marks(text[lead_end(text, aliases) :])
-    if len(text) < 80 and ("," in text or "，" in text or "、" in text or len(text) < 14):
-        text = fillers.without(text)
-    return text
+    return fillers.without(text)
 
 
 def _tokens(small: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -61,14 +55,14 @@ def _tokens(small: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begins, weight
 
 
-def analyse(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, ...]:
-    """For each text: product with each prototype, least stretches it is long, best place to split it in two, gain of doing so, the two languages.
+def analyse(texts: list[str], model: LanguageModel, norms: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """For each text: product with each prototype, least stretches it is long, best place to split it in two, gain of doing so, the two languages. norms is filled with the lengths of the texts' vectors.
 
     The gain says how much better the best language on each side of the split explains the text than one language. Both sides
     must be as long as a least stretch.
     """
     small, begin = letters(texts)
-    scores = model.position_scores(small)
+    scores = model.position_scores(small, norms)
     begins, weight = _tokens(small)
     token = np.add.reduceat(scores, begins, axis=0).astype(np.float64)
     n = len(texts)
@@ -93,11 +87,18 @@ def analyse(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, ...]:
     return total, size, at, best, prefix[place].argmax(axis=1), rest[place].argmax(axis=1)
 
 
-def norms(texts: list[str]) -> np.ndarray:
-    """Lengths of the texts' bundled vectors. Bound vectors are almost orthogonal, so a bundle's squared length is the number of its n-grams times the dimensions."""
-    from strophe.llm.hyper import DIMENSIONS
+def cosines(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """Cosines of the texts with the prototypes, and what analyse gives. A text without letters has none: zeros."""
+    norms = np.zeros(len(texts))
+    found = analyse(texts, model, norms)
+    return found[0] / np.maximum(norms, 1e-9)[:, None], found
+
 
-    return np.sqrt(np.fromiter((3 * len(t) + 1 for t in texts), dtype=float, count=len(texts)) * DIMENSIONS)
+def _confidence(like: np.ndarray, model: LanguageModel) -> np.ndarray:
+    """How much of the weight of all languages, exponential in the cosine, the nearest one has."""
+    odds = model.sharp * 8 * like
+    odds = np.exp(odds - odds.max(axis=1, keepdims=True))
+    return odds.max(axis=1) / odds.sum(axis=1)
 
 
 def stretches(text: str, model: LanguageModel) -> list[tuple[int, int, int]]:
@@ -116,15 +117,14 @@ def stretches(text: str, model: LanguageModel) -> list[tuple[int, int, int]]:
     return found
 
 
-def fit_languages(segments: DataFrame, aliases: frozenset[str], rules: LanguageRules = LanguageRules()) -> LanguageModel:
+def fit_languages(segments: DataFrame, aliases: frozenset[str], fillers: FillerModel, rules: LanguageRules = LanguageRules()) -> LanguageModel:
     """Prototypes from a bounded sample of rows labelled with one of the nine languages; wrong labels are sorted out by a second pass.
 
-    The gain that makes a split lies half way between what all but a twentieth of these rows have and what all but a hundredth of
+    The gain that makes a split lies three fifths of the way between what all but a twentieth of these rows have and what all but a hundredth of
     pairs of them put together have.
     """
     labelled = bounded_sample(segments, ["segment_id"], rules.sample).filter("is_lyric is distinct from false and length(text) > 8").withColumn("code", label_code(F.col("lang_type")))
-    rows = labelled.filter(F.col("code").isin(*LANGUAGES)).select("text", "code").orderBy("code", F.xxhash64("text"), "text").limit(rules.sample).collect()
-    fillers = FillerModel()
+    rows = labelled.filter(F.col("code").isin(*rules.languages)).select("text", "code").orderBy("code", F.xxhash64("text"), "text").limit(rules.sample).collect()
     texts = [(_bare(t, aliases, fillers), code) for t, code in rows]
     by: dict[str, list[str]] = {}
     for text, code in texts:
@@ -149,32 +149,27 @@ def fit_languages(segments: DataFrame, aliases: frozenset[str], rules: LanguageR
     gain, gain2 = gain[np.isfinite(gain)], gain2[np.isfinite(gain2)]
     if len(gain) and len(gain2):
         low, high = float(np.quantile(gain, 0.95)), float(np.quantile(gain2, 0.01))
-        model.split = max((low + high) / 2, 1e-6)
+        model.split = max(0.4 * low + 0.6 * high, 1e-6)
     return model
 
 
-def with_languages(segments: DataFrame, kept: list[str], model: LanguageModel, aliases: frozenset[str], texts: bool = False) -> DataFrame:
+def with_languages(segments: DataFrame, kept: list[str], model: LanguageModel, aliases: frozenset[str], fillers: FillerModel, texts: bool = False) -> DataFrame:
     """The kept columns and, for each stretch, stretch_no, lang, confidence, enough (it is as long as a least stretch), mixed; `part` is its text, if asked for.
 
     A text without letters gets no row; a null text neither.
     """
-    fillers = FillerModel()
     languages = model.languages
-    unspaced = np.array([x in UNSPACED for x in languages])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column(len(kept)).to_pylist()
             bare = [_bare(t, aliases, fillers) if t else "" for t in raw]
-            total, size, _, gain, _, _ = analyse(bare, model)
-            best = total.argmax(axis=1)
-            length = norms(bare)
+            like, (_, size, _, gain, _, _) = cosines(bare, model)
+            best = like.argmax(axis=1)
             rows, number, lang, sure, mixed, parts = [], [], [], [], [], []
             split = np.flatnonzero(gain > model.split)
             several = {int(i): s for i in split if len(s := stretches(bare[i], model)) > 1}
-            odds = model.sharp * total / length[:, None] * 8
-            odds = np.exp(odds - odds.max(axis=1, keepdims=True))
-            trust = odds.max(axis=1) / odds.sum(axis=1)
+            trust = _confidence(like, model)
             for i in np.flatnonzero(size > 0).tolist():
                 if i in several:
                     for k, (a, b, which) in enumerate(several[i]):
@@ -198,10 +193,7 @@ def with_languages(segments: DataFrame, kept: list[str], model: LanguageModel, a
             enough = (size[at] >= 1 - 1e-4) | np.array(mixed)
             if several:
                 redo = [j for j in range(len(rows)) if mixed[j]]
-                sub, _, *_ = analyse([parts[j] for j in redo], model)
-                o = model.sharp * sub / norms([parts[j] for j in redo])[:, None] * 8
-                o = np.exp(o - o.max(axis=1, keepdims=True))
-                for j, p in zip(redo, o.max(axis=1) / o.sum(axis=1), strict=True):
+                for j, p in zip(redo, _confidence(cosines([parts[j] for j in redo], model)[0], model), strict=True):
                     sure[j] = float(p)
             picked = pa.Table.from_batches([batch]).select(list(range(len(kept)))).take(pa.array(at))
             arrays = [*(picked[c].combine_chunks() for c in kept), pa.array(number, pa.int32()), pa.array(lang, pa.string()), pa.array(sure, pa.float64()), pa.array(enough), pa.array(mixed, pa.bool_())]
@@ -212,7 +204,6 @@ def with_languages(segments: DataFrame, kept: list[str], model: LanguageModel, a
             for out in pa.Table.from_arrays(arrays, names).to_batches():
                 yield out
 
-    del unspaced
     kinds = dict(segments.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in kept) + ", stretch_no int, lang string, confidence double, enough boolean, mixed boolean" + ", part string" * texts
     return segments.select(*kept, "text").mapInArrow(run, schema)

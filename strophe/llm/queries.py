@@ -11,7 +11,7 @@ from strophe.llm.packing import pack_texts
 from strophe.llm.sentences import find_sentences
 from strophe.llm.skeleton import look_alike_pairs, look_classes, skeletons
 from strophe.llm.splitting import split_long
-from strophe.llm.turns import TurnRules, alias_numbers, fit_boundaries, fit_fillers, read_segments, speaker_turns
+from strophe.llm.turns import TurnRules, alias_numbers, boundary_chances, fit_boundaries, fit_fillers, read_segments, speaker_turns
 from strophe.operators.current import current_rows
 from strophe.session import cut_lineage, table
 
@@ -21,10 +21,11 @@ _FAMILY = {"de": "western", "en": "western", "es": "western", "fr": "western", "
 
 def _languages(spark: SparkSession, sf_dir: str, kept: list[str], texts: bool = False) -> DataFrame:
     raw = table(spark, sf_dir, "segments")
-    aliases = frozenset(alias_numbers(table(spark, sf_dir, "voices"), TurnRules().aliases))
-    model = fit_languages(raw, aliases)
+    numbers = alias_numbers(table(spark, sf_dir, "voices"), TurnRules().aliases)
+    aliases, fillers = frozenset(numbers), fit_fillers(raw, numbers)
+    model = fit_languages(raw, aliases, fillers)
     columns = {c: c for c in ("song_id", "text", "lang_type", "is_lyric") if c in kept or c == "text"}
-    return with_languages(current_rows(raw, "segment_id", "loaded_at", **columns), kept, model, aliases, texts)
+    return with_languages(current_rows(raw, "segment_id", "loaded_at", **columns), kept, model, aliases, fillers, texts)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +72,12 @@ def p4_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speaker_turns(read, fit_boundaries(read), with_text=True)
 
 
+def p4_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How likely the speaker changes at each spoken segment, whether it has a label or not."""
+    read = cut_lineage(_read_talk(spark, sf_dir, with_text=False))
+    return boundary_chances(read, fit_boundaries(read))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments = current_rows(table(spark, sf_dir, "segments"), "segment_id", "loaded_at", song_id="song_id", text="text")
     return look_alike_pairs(segments, "song_id", "segment_id", "text").select(F.col("row_a").alias("segment_a"), F.col("row_b").alias("segment_b"))
@@ -144,7 +151,7 @@ def p9_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_sentences(table(spark, sf_dir, "documents"), _names(spark, sf_dir), with_text=True)
 
 
-QUERIES = {"p9_found": p9_found, "p9_sentences": p9_sentences, "p8_found": p8_found, "p8_leaks": p8_leaks, "p6_found": p6_found, "p6_pieces": p6_pieces, "p6_audit": p6_audit, "p7_pack": p7_pack, "p7_audit": p7_audit, "p5_looks": p5_looks, "p1_found": p1_found, "p1_segments": p1_segments, "p1_songs": p1_songs, "p4_found": p4_found, "p4_turns": p4_turns, "p5_found": p5_found, "p5_forms": p5_forms}
+QUERIES = {"p9_found": p9_found, "p9_sentences": p9_sentences, "p8_found": p8_found, "p8_leaks": p8_leaks, "p6_found": p6_found, "p6_pieces": p6_pieces, "p6_audit": p6_audit, "p7_pack": p7_pack, "p7_audit": p7_audit, "p5_looks": p5_looks, "p1_found": p1_found, "p1_segments": p1_segments, "p1_songs": p1_songs, "p4_found": p4_found, "p4_turns": p4_turns, "p4_boundaries": p4_boundaries, "p5_found": p5_found, "p5_forms": p5_forms}
 _LAST = "last_rows AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY loaded_at DESC) AS rn FROM segments) WHERE rn = 1)"
 ORACLE: dict[str, str] = {
     "p6_audit": f"""WITH {_LAST}, long AS (SELECT segment_id, CAST(round("start" * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e FROM last_rows) SELECT segment_id, s AS from_ms, e AS to_ms, true AS fits, true AS overlaps FROM long WHERE e - s > 30000""",

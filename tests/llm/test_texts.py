@@ -84,7 +84,7 @@ def test_vectors_are_nearly_orthogonal():
 
 def test_languages(spark, small):
     segments = spark.read.parquet("/root/testdata/sf0.01/segments.parquet")
-    model = fit_languages(segments, frozenset(ALIASES))
+    model = fit_languages(segments, frozenset(ALIASES), FillerModel())
     texts = {"en": "the lonely baker borrows the silver kettle", "es": "la guitarrista solemne guarda la taza azul", "fr": "la pianiste fragile lève la fenêtre utile", "de": "der stille Fischer vergisst die leere Brücke", "ru": "старая швея хвалит зимнюю лампу", "zh": "小心的司机测量了冰冷的车站", "ja": "若い庭師は曲がった茶碗を忘れた", "ko": "외로운 운전사는 빛바랜 차표를 세었다", "th": "คนสวนคนเงียบล้างหุบเขาสีเขียว"}
     total, _, _, gain, _, _ = analyse(list(texts.values()), model)
     assert [model.languages[i] for i in total.argmax(axis=1)] == list(texts) and (gain < model.split).all()
@@ -92,7 +92,7 @@ def test_languages(spark, small):
         found = stretches(f"{texts[a]} {texts[b]}", model)
         assert [model.languages[s[2]] for s in found] == [a, b]
     rows = [(1, None), (2, ""), (3, "[music]"), (4, "ok"), (5, "nous avons perdu la tasse magique dans le théâtre vide, oh"), (6, "我们失去了冰冷的河流 DJ")]
-    got = {r.id: (r.lang, r.mixed, r.enough) for r in with_languages(spark.createDataFrame(rows, "id int, text string"), ["id"], model, frozenset()).collect()}
+    got = {r.id: (r.lang, r.mixed, r.enough) for r in with_languages(spark.createDataFrame(rows, "id int, text string"), ["id"], model, frozenset(), FillerModel()).collect()}
     assert got[5] == ("fr", False, True) and got[6] == ("zh", False, True) and not got[4][2] and not {1, 2, 3} & set(got)
 
 
