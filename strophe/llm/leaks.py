@@ -27,7 +27,7 @@ _ONE = np.zeros(1, dtype=np.int64)
 
 @dataclass(frozen=True)
 class LeakRules:
-    """stride: units between passages at most, in spaced and unspaced scripts; a passage is two strides long, and a stride at most a quarter of the shortest item
+    """stride: units between passages at most, in spaced and unspaced scripts; a passage is two strides long, and a stride at most a third of the shortest item
     of its block. rank: of a latent space, fitted with `extra` more. sample: documents that the spaces are fitted on besides all items, summed in `tasks` tasks; corpus: their
     weight against the items'. near: least cosine of a candidate. share: least part of an item's units that must be matched, in order, in one
     passage. reworded, answer: least common subsequence and least share of the rarest units of a reworded item. batch, block: items in one pass over the documents and in one latent space. tiny: items of
@@ -44,7 +44,7 @@ class LeakRules:
     reworded: float = 0.35
     answer: float = 0.8
     batch: int = 1_000
-    block: int = 32
+    block: int = 96
     tiny: int = 4
     seed: int = 7
 
@@ -110,28 +110,28 @@ def make_index(rows: list[tuple], rules: LeakRules) -> LeakIndex:
     for item, text, lang in rows:
         found, _, single = hashed_units([text])
         if len(found):
-            sort.append((bool(single.mean() > 0.5), len(found).bit_length(), (lang or "").strip().lower()[:2], len(ids)))
+            sort.append((bool(single.mean() > 0.5), len(found).bit_length() // 2, (lang or "").strip().lower()[:2], len(ids)))
             ids.append(item)
             units.append(found)
     tiny: dict[int, list[int]] = {}
     blocks: list[list[int]] = []
-    last = None
-    for loose, length, _, i in sorted(sort):
+    last: tuple | None = None
+    for loose, length, lang, i in sorted(sort):
         if len(units[i]) < rules.tiny:
             for unit in set(units[i].tolist()):
                 tiny.setdefault(unit, []).append(i)
             continue
-        if last != (loose, length) or len(blocks[-1]) >= rules.block:
+        if last is None or last[:2] != (loose, length) or len(blocks[-1]) >= (rules.block if last[2] == lang else rules.block // 4):
             blocks.append([])
         blocks[-1].append(i)
-        last = (loose, length)
+        last = (loose, length, lang)
     pairs = {i: unit_pairs(units[i], _ONE)[:-1] for block in blocks for i in block}
     keys = np.unique(np.concatenate([*pairs.values(), np.zeros(0, dtype=np.uint64)]))
     spaces, feature, owner, local = [], [], [], []
     for b, block in enumerate(blocks):
         own = np.searchsorted(keys, np.unique(np.concatenate([pairs[i] for i in block])))
         most = rules.stride[next(int(s[0]) for s in sort if s[3] == block[0])]
-        spaces.append(Space(max(1, min(most, min(len(units[i]) for i in block) // 4)), block, own))
+        spaces.append(Space(max(1, min(most, min(len(units[i]) for i in block) // 3)), block, own))
         feature.append(own)
         owner.append(np.full(len(own), b, dtype=np.int16))
         local.append(np.arange(len(own)))
@@ -391,34 +391,45 @@ def common_length(item: np.ndarray, part: np.ndarray) -> int:
     return len(item) - row.bit_count()
 
 
+def aligned_shares(pairs: list[tuple[np.ndarray, np.ndarray]], cells: int = 1 << 17) -> np.ndarray:
+    """For each (item, part) how much of the item's units the best local alignment matches. Each unit more or less and each other unit costs what a match earns; of equal alignments the one with most matches counts.
+
+    Pairs of like size are worked on together, diagonal by diagonal. A number holds an alignment's score above its matches.
+    """
+    out = np.zeros(len(pairs))
+    order = sorted((k for k, (item, part) in enumerate(pairs) if len(item) and len(part)), key=lambda k: (len(pairs[k][0]), len(pairs[k][1])))
+    while order:
+        n = len(pairs[order[-1]][0])
+        take, m = [], 1
+        while order and (not take or (len(take) + 1) * max(m, len(pairs[order[-1]][1])) <= cells) and len(pairs[order[-1]][0]) * 2 > n:
+            m = max(m, len(pairs[order[-1]][1]))
+            take.append(order.pop())
+        unit, kind = (1 << 12, np.int32) if n < 1 << 12 and m < 1 << 18 else (1 << 31, np.int64)
+        items, parts = np.full((n, len(take)), -1, dtype=np.int64), np.full((m, len(take)), -2, dtype=np.int64)
+        for r, k in enumerate(take):
+            items[: len(pairs[k][0]), r] = pairs[k][0]
+            parts[m - len(pairs[k][1]) :, r] = pairs[k][1][::-1]
+        good, bad = kind(unit + 1), kind(-unit)
+        older, old, new = (np.zeros((n + 1, len(take)), dtype=kind) for _ in range(3))
+        top = np.zeros((n, len(take)), dtype=kind)
+        for s in range(n + m - 1):
+            # A diagonal of cells (i, s - i); row i + 1 of the last two diagonals belongs to i.
+            i, j = max(0, s - m + 1), min(n, s + 1)
+            best = np.where(items[i:j] == parts[m - 1 - s + i : m - 1 - s + j], good, bad)
+            best += older[i:j]
+            beside = np.maximum(old[i:j], old[i + 1 : j + 1])
+            beside += bad
+            np.maximum(best, beside, out=best)
+            best *= best >= unit
+            new[i + 1 : j + 1] = best
+            np.maximum(top[i:j], best, out=top[i:j])
+            older, old, new = old, new, older
+        out[take] = (top.max(axis=0) % unit) / np.array([len(pairs[k][0]) for k in take])
+    return out
+
+
 def aligned_share(item: np.ndarray, part: np.ndarray) -> float:
-    """The part of the item's units that the best local alignment matches. Each unit more or less and each other unit costs what a match earns."""
-    n, m = len(item), len(part)
-    if not n or not m:
-        return 0.0
-    place = np.arange(1, m + 1, dtype=np.int32)
-    table = np.zeros((n + 1, m + 1), dtype=np.int32)
-    score = np.where(item[:, None] == part[None, :], 1, -1).astype(np.int32)
-    for i in range(n):
-        above, best = table[i], score[i]
-        best += above[:-1]
-        np.maximum(best, above[1:] - 1, out=best)
-        np.maximum(best, 0, out=best)
-        best += place
-        np.maximum.accumulate(best, out=best)
-        np.subtract(best, place, out=table[i + 1, 1:])
-    i, j = np.unravel_index(int(table.argmax()), table.shape)
-    matched = 0
-    while i and j and table[i, j] > 0:
-        same = item[i - 1] == part[j - 1]
-        if table[i, j] == table[i - 1, j - 1] + (1 if same else -1):
-            matched += int(same)
-            i, j = i - 1, j - 1
-        elif table[i, j] == table[i - 1, j] - 1:
-            i -= 1
-        else:
-            j -= 1
-    return matched / n
+    return float(aligned_shares([(item, part)])[0])
 
 
 def _rarest(index: LeakIndex, i: int) -> np.ndarray:
@@ -464,30 +475,27 @@ def _search(table: DataFrame, shared: Broadcast, rules: LeakRules, schema: str)
             if not len(units):
                 continue
             ends = np.concatenate((first[1:], [len(units)]))
-            out: list[tuple] = []
+            windows: list[tuple[int, int, int, int, int]] = []
             for (r, i), places in sorted(_candidates(index, units, first, rules).items()):
-                item = index.units[i]
-                best: tuple | None = None
-                until = -1
+                n, until = len(index.units[i]), -1
                 for p in sorted(set(places)):
-                    if p <= until:
-                        continue
-                    low = max(int(first[r]), p - len(item) - len(item) // 4)
-                    high = min(int(ends[r]), p + 2 * len(item) + len(item) // 4)
-                    until = p + len(item) // 2
-                    common = common_length(item, units[low:high]) / len(item)
-                    if common < rules.reworded:
-                        continue
-                    # An alignment matches no more than the longest common subsequence has.
-                    share = aligned_share(item, units[low:high]) if common >= rules.share - 1e-9 else 0.0
-                    if share >= rules.share - 1e-9:
-                        best = ("verbatim", share, low)
-                        break
-                    near = units[max(low, p - len(item) // 2) : min(high, p + len(item))]
-                    if best is None and common_length(item, near) >= rules.reworded * len(item) and np.isin(index.answers[i], near).mean() >= rules.answer:
-                        best = ("reworded", common, low)
-                if best is not None:
-                    out.append((r, i, best[0], best[1], best[2] - int(first[r])))
+                    if p > until:
+                        windows.append((r, i, p, max(int(first[r]), p - n - n // 4), min(int(ends[r]), p + 2 * n + n // 4)))
+                        until = p + n // 2
+            shares = aligned_shares([(index.units[i], units[low:high]) for _, i, _, low, high in windows])
+            best: dict[tuple[int, int], tuple[str, float, int]] = {}
+            for (r, i, p, low, high), share in zip(windows, shares.tolist(), strict=True):
+                kind = best.get((r, i), ("",))[0]
+                if kind == "verbatim" or kind and share < rules.share - 1e-9:
+                    continue
+                if share >= rules.share - 1e-9:
+                    best[r, i] = ("verbatim", share, low)
+                    continue
+                item = index.units[i]
+                near = units[max(low, p - len(item) // 2) : min(high, p + len(item))]
+                if np.isin(index.answers[i], near).mean() >= rules.answer and (common := common_length(item, near) / len(item)) >= rules.reworded:
+                    best[r, i] = ("reworded", common, low)
+            out = [(r, i, kind, share, low - int(first[r])) for (r, i), (kind, share, low) in best.items()]
             if out:
                 ids = batch.column(0).take(pa.array([o[0] for o in out]))
                 yield pa.RecordBatch.from_arrays([ids, pa.array([index.ids[o[1]] for o in out]), pa.array([o[2] for o in out]), pa.array([o[3] for o in out]), pa.array([o[4] for o in out], pa.int32())], ["doc_id", "item_id", "kind", "share", "from_unit"])
@@ -510,8 +518,8 @@ def _batches(items: DataFrame, size: int) -> Iterator[list[tuple]]:
 def find_leaks(documents: DataFrame, items: DataFrame, rules: LeakRules = LeakRules()) -> DataFrame:
     """doc_id, item_id, kind, share, from_unit: documents that hold test items.
 
-    kind is verbatim if the document holds, as one passage and in order, at least rules.share of the item's units; reworded if that is
-    not so but a passage near the item has rules.reworded of them in order and rules.answer of its rarest ones. documents needs doc_id and
+    kind is verbatim if the document holds, as one passage and in order, at least rules.share of the item's units, with fewer strange ones
+    between them than that; reworded if that is not so but a passage near the item has rules.reworded of them in order and rules.answer of its rarest ones. documents needs doc_id and
     text, items item_id, text and lang. Null and empty texts neither leak nor hold leaks; an item given twice is reported under each of
     its ids, a document under each of its. lang needn't be right or known. Statistics are counted over all documents. There may be any
     number of items: each batch of rules.batch is a pass over the documents' hashed units, which are written once and never shuffled.

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from strophe.llm.leaks import LeakRules, aligned_share, common_length, find_leaks
+from strophe.llm.leaks import LeakRules, aligned_share, aligned_shares, common_length, find_leaks
 from strophe.llm.packing import PackRules, count_tokens, pack, plan_patterns
 from strophe.llm.splitting import SplitRules, cohesion_depths, earliest_safe, pauses, split_long, split_segment
 from strophe.llm.turns import TurnRules, fit_boundaries, read_segments, speaker_turns
@@ -211,6 +211,9 @@ def test_alignment():
     scattered = np.concatenate([item[:6], [88] * 30, item[6:12], [88] * 30, item[12:]])
     assert aligned_share(item, scattered) <= 0.4
     assert aligned_share(item, item[:0]) == 0
+    random.seed(7)
+    pairs = [tuple(np.array([random.randrange(9) for _ in range(random.randrange(1, 60))]) for _ in range(2)) for _ in range(300)] + [(np.arange(5000) % 700, np.arange(40, 900) % 650)]
+    assert np.allclose(aligned_shares(pairs, 2000), [_share(a.tolist(), b.tolist()) for a, b in pairs[:-1]] + [aligned_share(*pairs[-1])])
 
 
 def test_planted_leaks(spark):
@@ -243,14 +246,14 @@ def test_planted_leaks(spark):
 
 
 def _share(item, part):
-    """The best local alignment's matches by the plain recurrence: a match earns 1, anything else costs 1; of equal scores the most matches."""
+    """The best local alignment's matches by the plain recurrence: a match earns 1, anything else costs 1; of equal scores the most matches, and nothing before a score of 0."""
     best = (0, 0)
     row = [(0, 0)] * (len(part) + 1)
     for a in item:
         new = [(0, 0)]
         for j, b in enumerate(part):
             cell = max((0, 0), (row[j][0] + (1 if a == b else -1), row[j][1] + (a == b)), (row[j + 1][0] - 1, row[j + 1][1]), (new[j][0] - 1, new[j][1]))
-            new.append(cell)
+            new.append(cell if cell[0] else (0, 0))
             best = max(best, cell)
         row = new
     return best[1] / len(item)
