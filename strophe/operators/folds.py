@@ -11,6 +11,9 @@ from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from strophe.functions.text import ends_with_mark
 
 Fold = Callable[[Iterator[tuple]], Iterable[tuple]]
 
@@ -48,32 +51,14 @@ def fold_rows(df: DataFrame, key: str, order: list[str], columns: list[str], fun
     return ordered.mapInArrow(run, spec).withColumnRenamed("key", key)
 
 
-def greedy_merge(rows: Iterator[tuple], longest: float = 15.0) -> Iterator[tuple]:
-    """Rows (label, text, start, end): neighbours of one label as one while that lasts at most `longest`. Texts are joined by a space, after a stop where no mark ends the text before.
-
-    Gives (text with its label, start, end, count). Rows without a label are neighbours of each other and get none.
-    """
-    label = text = start = end = None
-    count = 0
-
-    def closed() -> tuple:
-        return (f"[{label}] {text}" if label is not None else text, start, end, count)
-
-    for new_label, new_text, a, b in rows:
-        new_text = new_text or ""
-        if count and new_label == label and a is not None and b is not None and start is not None and b - start <= longest:
-            if new_text:
-                if text.strip() and not text.rstrip().endswith(tuple(".!?。！？,，;；")):
-                    text += "."
-                text += " " + new_text
-            end = b
-            count += 1
-        else:
-            if count:
-                yield closed()
-            label, text, start, end, count = new_label, new_text, a, b, 1
-    if count:
-        yield closed()
+def merged_lines(chunked: DataFrame, key: str) -> DataFrame:
+    """key, text, start, end, merged_count: the rows (label, rest, start, end, seg_no) of each chunk as one line. Texts are joined by a space, after a stop where no mark ends the text before; the label stands in front."""
+    row = F.struct("start", "seg_no", "rest", "end")
+    whole = chunked.groupBy(key, "chunk_no").agg(F.array_sort(F.collect_list(row)).alias("rows"), F.first("label").alias("label"))
+    stop = lambda t: F.when((F.trim(t) != "") & ~ends_with_mark(t), F.lit(".")).otherwise(F.lit(""))
+    text = F.aggregate(F.slice("rows", 2, F.greatest(F.size("rows") - 1, F.lit(0))), F.col("rows")[0]["rest"], lambda t, x: F.when(x["rest"] == "", t).otherwise(F.concat(t, stop(t), F.lit(" "), x["rest"])))
+    labelled = F.when(F.col("label").isNotNull(), F.concat(F.lit("["), "label", F.lit("] "), text)).otherwise(text)
+    return whole.select(key, labelled.alias("text"), F.col("rows")[0]["start"].alias("start"), F.element_at("rows", -1)["end"].alias("end"), F.size("rows").alias("merged_count"))
 
 
 def chunk_lyrics(rows: Iterator[tuple], size: float = 10.0, least: float = 3.0, mode: int = 3, lead: float = 0.5, brief: float = 2.0) -> Iterator[tuple]:
@@ -82,7 +67,7 @@ def chunk_lyrics(rows: Iterator[tuple], size: float = 10.0, least: float = 3.0,
     First, neighbours without words are joined while their labels agree or one is unknown; lyrics of one label up to `size`, half as much
     again for one shorter than `least`; such a short one may also join the chunk before a wordless chunk that it touches, and takes that in.
     In mode 2 and 3 a lyric after a wordless chunk then starts `lead` earlier, at that one's cost; in mode 3 a wordless chunk shorter than `brief`
-    between two lyrics is split between them. No chunk is lost and none is given twice.
+    between two lyrics is split between them. No chunk is lost and none is given twice. Rows without both times, the end after the start, are left out.
     """
     chunks = _joined(rows, size, least)
     if mode >= 2:
@@ -97,7 +82,7 @@ def _joined(rows: Iterator[tuple], size: float, least: float) -> Iterator[dict]:
     before: dict | None = None
     now: dict | None = None
     for label, brackets, words, start, end in rows:
-        if start is None or end is None:
+        if start is None or end is None or end <= start:
             continue
         new = {"label": label, "brackets": brackets or "", "words": words or "", "start": start, "end": end, "count": 1}
         if now is None:
@@ -163,88 +148,6 @@ def _split_brief(chunks: Iterable[dict], brief: float) -> Iterator[dict]:
     yield from held
 
 
-def duration_batches(rows: Iterator[tuple], longest: float = 600.0) -> Iterator[tuple]:
-    """Rows (row, start) with the number of their batch: a row more than `longest` after its batch's first start begins a new one."""
-    number, first = -1, None
-    for row, start in rows:
-        if first is None or start is not None and start - first > longest:
-            number, first = number + 1, start if start is not None else 0.0
-        yield row, number
-
-
-def speaker_batches(rows: Iterator[tuple], longest: float = 120.0) -> Iterator[tuple]:
-    """Rows (row, speaker, start, end) with the number of their batch: cuts only where the speaker changes, batches of at most `longest`; a last batch of under half that joins the one before."""
-    number, batch, run = 0, [], []
-    held: list = []
-    run_start = run_end = batch_start = batch_end = None
-    last_speaker: object = object()
-
-    def close_run() -> Iterator[tuple]:
-        nonlocal batch, batch_start, batch_end, held, number
-        if batch and run_end is not None and batch_start is not None and run_end - batch_start > longest:
-            for r in held:
-                yield r, number
-            number += bool(held)
-            held, batch = batch, []
-            batch_start = run_start
-        if not batch:
-            batch_start = run_start
-        batch += run
-        batch_end = run_end
-
-    for row, speaker, start, end in rows:
-        if run and speaker != last_speaker:
-            yield from close_run()
-            run = []
-        if not run:
-            run_start = start
-        run.append(row)
-        run_end, last_speaker = end, speaker
-    if run:
-        yield from close_run()
-    brief = held and batch_end is not None and batch_start is not None and batch_end - batch_start < longest / 2
-    for r in held:
-        yield r, number
-    number += bool(held) and not brief
-    for r in batch:
-        yield r, number
-
-
-def duration_packs(rows: Iterator[tuple], longest: float = 180.0, single: float = 90.0) -> Iterator[tuple]:
-    """Rows (row, duration) with the number of their pack of at most `longest` together; a row longer than `single` has none."""
-    number, total, count = 0, 0.0, 0
-    for row, duration in rows:
-        if duration is None or duration > single:
-            yield row, None
-            continue
-        if count and total + duration > longest:
-            number, total, count = number + 1, 0.0, 0
-        total += duration
-        count += 1
-        yield row, number
-
-
-def size_chunks(rows: Iterator[tuple], most: int = 960, least: int = 480) -> Iterator[tuple]:
-    """Rows (row, size) with the number of their chunk: a chunk closes before it would exceed `most`; a last chunk of under `least` joins the one before."""
-    number, total, held = 0, 0, []
-    first = True
-    before: list = []
-    for row, size in rows:
-        if total + size > most and total > 0:
-            for r in before:
-                yield r, number - 1
-            before, held, total = held, [], 0
-            number += 1
-            first = False
-        held.append(row)
-        total += size
-    join = not first and total < least
-    for r in before:
-        yield r, number - 1
-    for r in held:
-        yield r, number - 1 if join else number
-
-
 def tidy_boundaries(rows: Iterator[tuple], brief: float = 1.0, edge: float = 10.0) -> Iterator[tuple]:
     """Rows (time, label), the last of them the end: too short first and last stretches are taken in, so are equal neighbours at the edges within `edge`. Holds a song's boundaries."""
     marks = list(rows)

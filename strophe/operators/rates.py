@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strophe.operators.medians import group_medians
 from strophe.functions.text import count_characters, count_words, is_cjk, only_brackets, without_brackets
 
 
@@ -52,11 +53,11 @@ def song_rates(rated: DataFrame, rules: RateRules = RateRules()) -> DataFrame:
     """
     length = F.col("end") - F.col("start")
     rows = rated.filter("coalesce(is_lyric, true) and lang_type is not null and lyric_count > 0").filter(length > 0)
-    rows = rows.select("song_id", "lang_type", "lyric_count", length.alias("dur"), F.log(length / F.col("lyric_count")).alias("x"))
+    rows = rows.select("song_id", "lang_type", "lyric_count", length.alias("dur"), F.log(F.try_divide(length, F.col("lyric_count"))).alias("x"))
     keys = ["song_id", "lang_type"]
-    middle = rows.groupBy(*keys).agg(F.median("x").alias("median"))
+    middle = group_medians(rows, keys, "x")
     away = rows.join(middle, keys).withColumn("away", F.abs(F.col("x") - F.col("median")))
-    spread = away.groupBy(*keys).agg(F.median("away").alias("mad"))
+    spread = group_medians(away, keys, "away").withColumnRenamed("median", "mad")
     kept = F.try_divide(0.6745 * F.col("away"), F.col("mad")) <= rules.outlier
     kept = F.coalesce(kept, F.lit(False))
     sums = away.join(spread, keys).groupBy(*keys).agg(F.sum(F.when(kept, F.col("lyric_count")).otherwise(0)).alias("number"), F.sum(F.when(kept, F.col("dur")).otherwise(0.0)).alias("total_dur"))
@@ -126,9 +127,9 @@ def duration_histogram(segments: DataFrame, width: float = 1.0, bins: int = 30)
 
 
 def text_audio_ratio(rows: DataFrame, count: Column, most: float = 10.0, least: float = 1.0) -> DataFrame:
-    """num_chars, ratio (units of text a second, 0 for no positive length) and whether it is abnormal: outside [least, most], over twice or under half the song's mean."""
+    """num_chars, ratio (units of text a second, 0 for no positive or known length) and whether it is abnormal: outside [least, most], over twice or under half the song's mean."""
     length = F.col("end") - F.col("start")
-    rows = rows.withColumn("num_chars", count).withColumn("ratio", F.when(length > 0, F.col("num_chars") / length).otherwise(0.0))
+    rows = rows.withColumn("num_chars", count).withColumn("ratio", F.when(length > 0, F.coalesce("num_chars", F.lit(0)) / length).otherwise(0.0))
     stats = rows.groupBy("song_id").agg(F.avg("ratio").alias("ratio_mean"), F.stddev_pop("ratio").alias("ratio_std"))
     rows = rows.join(stats, "song_id")
     by_mean = (F.col("ratio_mean") > 0) & ((F.col("ratio") > 2 * F.col("ratio_mean")) | (F.col("ratio") < 0.5 * F.col("ratio_mean")))

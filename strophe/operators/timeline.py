@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strophe.functions.text import without_brackets
@@ -26,7 +26,7 @@ def fill_gaps(segments: DataFrame, songs: DataFrame, short: float = 0.3, gap: fl
     """song_id, start, end, text: continuous segments. Those shorter than `short` are left out; a gap of at least `gap` seconds becomes a blank
     segment, a smaller one is added to the segment before it; so is the end of the audio.
 
-    Times are compared in whole milliseconds. A song none of whose segments is kept gets one blank segment if it is long enough.
+    Times are compared in whole milliseconds. Segments without both times are left out like short ones. A song none of whose segments is kept gets one blank segment if it is long enough.
     """
     ms = lambda c: F.round(F.col(c) * 1000).cast("long")
     kept = segments.select("song_id", "seg_no", "text", ms("start").alias("s"), ms("end").alias("e")).filter(F.col("e") - F.col("s") >= int(short * 1000))
@@ -49,11 +49,11 @@ def short_segments(segments: DataFrame, short: float = 0.3) -> DataFrame:
 
 
 def continuity(segments: DataFrame, songs: DataFrame, slack: float = 0.01) -> DataFrame:
-    """song_id, first_gap_seg, overruns: the first segment that doesn't begin where the one before ends, and whether the last one ends after the audio."""
+    """song_id, first_gap_seg, overruns: the first segment that doesn't begin where the one before ends, and whether the last one ends after the audio. Where an end isn't known nothing is said of the next segment, and the last known end counts."""
     gap = F.abs(F.col("start") - F.col("before.end")) > slack
     rows = _beside(segments, "end").withColumn("gap", F.coalesce(gap, F.lit(False)))
     place = F.struct(*_ORDER)
-    found = rows.groupBy("song_id").agg(F.min(F.when(F.col("gap"), place)).alias("g"), F.max_by("end", place).alias("last_end"))
+    found = rows.groupBy("song_id").agg(F.min(F.when(F.col("gap"), place)).alias("g"), F.max_by("end", F.when(F.col("end").isNotNull(), place)).alias("last_end"))
     return found.join(songs.select("song_id", "audio_length"), "song_id", "left").select("song_id", F.col("g.seg_no").alias("first_gap_seg"), F.coalesce(F.col("last_end") > F.col("audio_length") + slack, F.lit(False)).alias("overruns"))
 
 
@@ -68,11 +68,25 @@ def end_time_audit(segments: DataFrame, songs: DataFrame, slack: float = 0.1) ->
     return rows.select("song_id", reason.alias("reason")).filter("reason is not null")
 
 
-def overlap_labels(segments: DataFrame, structures: DataFrame) -> DataFrame:
-    """song_id, seg_no, label, overlap_ms: the structure label that shares most time with each segment, over all its stretches; of equal ones the one that begins first."""
-    s = segments.select("song_id", "seg_no", F.round(F.col("start") * 1000).cast("long").alias("s"), F.round(F.col("end") * 1000).cast("long").alias("e"))
-    st = structures.select("song_id", F.lower("label").alias("label"), F.round(F.col("start") * 1000).cast("long").alias("a"), F.round(F.col("end") * 1000).cast("long").alias("b")).filter("label is not null")
-    both = s.join(st, "song_id").filter("a < e and b > s").withColumn("ov", F.least("e", "b") - F.greatest("s", "a"))
+def overlap_labels(segments: DataFrame, structures: DataFrame, bucket: int = 120_000) -> DataFrame:
+    """song_id, seg_no, label, overlap_ms: the structure label that shares most time with each segment, over all its stretches; of equal ones the one that begins first.
+
+    Both sides are cut at the borders of `bucket` milliseconds and meet by song and bucket, where their shares of an overlap are summed;
+    so a song with very many rows is spread, and nothing is compared that lies far apart. What reaches beyond the other side's first
+    start and last end is cut off first. Rows without both times, the end after the start, and null labels overlap nothing.
+    """
+    s = segments.select("song_id", "seg_no", F.round(F.col("start") * 1000).cast("long").alias("s"), F.round(F.col("end") * 1000).cast("long").alias("e")).filter("e > s")
+    st = structures.select("song_id", F.lower("label").alias("label"), F.round(F.col("start") * 1000).cast("long").alias("a"), F.round(F.col("end") * 1000).cast("long").alias("b")).filter("label is not null and b > a")
+    reach = s.groupBy("song_id").agg(F.min("s").alias("low"), F.max("e").alias("high")).join(st.groupBy("song_id").agg(F.min("a").alias("a"), F.max("b").alias("b")), "song_id")
+    reach = reach.select("song_id", F.greatest("low", "a").alias("low"), F.least("high", "b").alias("high")).filter("high > low")
+
+    def cut(rows: DataFrame, start: str, end: str) -> DataFrame:
+        inside = rows.join(reach, "song_id").withColumn("u", F.greatest(start, "low")).withColumn("v", F.least(end, "high")).filter("v > u")
+        parts = inside.withColumn("k", F.explode(F.sequence(F.floor(F.col("u") / bucket), F.floor((F.col("v") - 1) / bucket))))
+        return parts.withColumn("u", F.greatest("u", F.col("k") * bucket)).withColumn("v", F.least("v", (F.col("k") + 1) * bucket)).drop("low", "high")
+
+    left, right = cut(s, "s", "e"), cut(st, "a", "b").select("song_id", "k", "label", "a", F.col("u").alias("u2"), F.col("v").alias("v2"))
+    both = left.join(right, ["song_id", "k"]).withColumn("ov", F.least("v", "v2") - F.greatest("u", "u2")).filter("ov > 0")
     sums = both.groupBy("song_id", "seg_no", "label").agg(F.sum("ov").alias("ov"), F.min("a").alias("first"))
     top = F.max_by(F.struct("label", "ov"), F.struct(F.col("ov"), -F.col("first"), "label"))
     return sums.groupBy("song_id", "seg_no").agg(top.alias("t")).select("song_id", "seg_no", "t.label", F.col("t.ov").alias("overlap_ms"))
@@ -112,18 +126,33 @@ def voice_audit(segments: DataFrame, vad: DataFrame, quiet: float = 0.5, loud: f
     return rows.select("song_id", "seg_no", "share", F.when(sung, F.col("share") <= quiet).otherwise(F.col("share") >= loud).alias("vad_anomaly"))
 
 
+def zipped(left: Column, right: Column) -> Column:
+    """The elements of two arrays side by side (a, b), or null if they aren't of one length: then nothing can be said of who belongs to whom."""
+    return F.when(F.size(left) == F.size(right), F.arrays_zip(left.alias("a"), right.alias("b")))
+
+
+def song_verdict(audited: DataFrame) -> DataFrame:
+    """song_id, segments, anomalies, total_correct: of a voice_audit whether all segments of a song agree with their voice activity. A segment of which nothing is known counts as right."""
+    odd = F.coalesce("vad_anomaly", F.lit(False))
+    return audited.groupBy("song_id").agg(F.count("*").alias("segments"), F.count_if(odd).alias("anomalies"), (~F.bool_or(odd)).alias("total_correct"))
+
+
 def pad_context(segments: DataFrame, songs: DataFrame, pad: float = 0.2, least: float = 0.5, more: float = 0.1) -> DataFrame:
-    """song_id, seg_no, padded_from, padded_to: segments with context, a short one with `more` on each side besides, within the audio."""
+    """song_id, seg_no, padded_from, padded_to: segments with context, a short one with `more` on each side besides, within the audio, where its length is known. Segments without both times, the end after the start, have no row."""
     extra = F.lit(pad) + F.when(F.col("end") - F.col("start") < least, more).otherwise(0.0)
-    rows = segments.join(songs.select("song_id", "audio_length"), "song_id")
+    rows = segments.join(songs.select("song_id", "audio_length"), "song_id", "left").filter("end > start")
     return rows.select("song_id", "seg_no", F.greatest(F.lit(0.0), F.col("start") - extra).alias("padded_from"), F.least(F.col("audio_length"), F.col("end") + extra).alias("padded_to"))
 
 
 def words_to_sentences(words: DataFrame) -> DataFrame:
-    """Rows (item, word_no, word, start, end) as sentences: each ends with a word that ends in . ! or ?, or with the item. Words without times (no start and end) last from their number to the next."""
-    order = Window.partitionBy("item").orderBy("word_no")
-    closed = F.coalesce(F.lag(F.col("word").rlike(r"[.!?]$")).over(order), F.lit(False)).cast("int")
-    rows = words.withColumn("closed", closed).withColumn("sentence_no", F.sum("closed").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    """Rows (item, word_no, word, start, end) as sentences: each ends with a word that ends in . ! or ?, or with the item. Words without times (no start and end) last from their number to the next.
+
+    Words are looked at in buckets of their numbers, so an item may be of any length; a sentence must fit a row.
+    """
+    bucket = F.floor(F.col("word_no") / 4096)
+    rows = with_neighbours(words, "item", ["word_no"], ["word_no", "word"], bucket)
+    closed = F.coalesce(F.col("before.word").rlike(r"[.!?]$"), F.lit(False))
+    rows = with_run_numbers(rows.withColumn("closed", closed).drop("before", "after"), "item", ["word_no"], F.col("closed"), bucket).withColumnRenamed("run_no", "sentence_no")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("word_no", "word"))), lambda x: x["word"]), " ")
     times = (F.min("start"), F.max("end")) if "start" in words.columns else (F.min("word_no").cast("double"), F.max("word_no") + F.lit(1.0))
     return rows.groupBy("item", "sentence_no").agg(text.alias("sentence"), times[0].alias("start"), times[1].alias("end"))
@@ -144,16 +173,14 @@ def viewer_rows(segments: DataFrame) -> DataFrame:
     return segments.filter("start < end").select("song_id", "seg_no", style.alias("style"))
 
 
-
-
 def adjust_bounds(segments: DataFrame, voiced: DataFrame | None = None, edge: float = 0.2, wide: float = 1.0, part: float = 0.5) -> DataFrame:
     """song_id, seg_no, new_from, new_to: speech segments with their bounds moved into the gaps beside them.
 
     The first starts `edge` earlier (not before 0), the last ends as much later. A gap of up to `wide` seconds is shared half and half, a wider
     one gives each side `part`; a wider one that voice reaches across (a stretch of `voiced` from before its start to after its end) is shared too.
-    An overlap ends with the later segment's start. A bound depends on its two neighbours only, so lag and lead are enough.
+    An overlap ends with the later segment's start. Segments without both times, the end after the start, have no row and are nobody's neighbours. A bound depends on its two neighbours only, so lag and lead are enough.
     """
-    rows = _beside(segments, "end").withColumn("before", F.col("before.end")).withColumn("following", F.col("after.seg_no")).withColumn("after", F.col("after.start"))
+    rows = _beside(segments.filter("end > start"), "end").withColumn("before", F.col("before.end")).withColumn("following", F.col("after.seg_no")).withColumn("after", F.col("after.start"))
     if voiced is not None:
         # A hot recording's gaps meet the stretches of their minute only.
         minute = lambda c: F.floor(F.col(c) / 60)

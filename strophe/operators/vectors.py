@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from strophe.operators.keyed import map_groups
+from strophe.operators.neighbours import with_neighbours
 from strophe.session import cut_lineage
 
 
@@ -39,9 +41,10 @@ def center_likeness(centers: DataFrame, label: str) -> DataFrame:
     return a.join(b, F.expr("label_a < label_b")).select("label_a", "label_b", cosine(F.col("a"), F.col("b")).alias("likeness"))
 
 
-def neighbour_likeness(df: DataFrame, key: str, order: str, vector: str) -> DataFrame:
-    before = F.lag(vector).over(Window.partitionBy(key).orderBy(order))
-    return df.withColumn("likeness", cosine(F.col(vector), before))
+def neighbour_likeness(df: DataFrame, key: str, order: str, vector: str, block: int = 4096) -> DataFrame:
+    """likeness to the vector before in the key's order (a number); rows of a key are worked on in blocks of their numbers."""
+    beside = with_neighbours(df, key, [order], [order, vector], F.floor(F.col(order) / block))
+    return beside.withColumn("likeness", cosine(F.col(vector), F.col(f"before.{vector}"))).drop("before", "after")
 
 
 def assign_outliers(df: DataFrame, label: str, vector: str, near: float = 0.35, length: Column | None = None, brief: float = 1.0) -> DataFrame:
@@ -135,6 +138,67 @@ def merge_clusters(df: DataFrame, key: str, label: str, vector: str, near: float
     return centers.groupBy(key).applyInPandas(run, f"{key} {kinds[key]}, {label} {kinds[label]}, merged_label {kinds[label]}")
 
 
+def offset_labels(df: DataFrame, key: str, chunk: str, label: str) -> DataFrame:
+    """df with chunk_label: labels numbered within each chunk (by value from 0), after those of the key's earlier chunks, so that no two chunks share one. One row a label meets the window over the key."""
+    own = df.filter(F.col(label).isNotNull()).select(key, chunk, label).distinct()
+    inside = F.dense_rank().over(Window.partitionBy(key, chunk).orderBy(label)) - 1
+    sizes = own.groupBy(key, chunk).agg(F.count("*").alias("__n"))
+    ahead = sizes.withColumn("__ahead", F.sum("__n").over(Window.partitionBy(key).orderBy(chunk)) - F.col("__n")).drop("__n")
+    numbers = own.withColumn("__i", inside).join(ahead, [key, chunk]).select(key, chunk, label, (F.col("__i") + F.col("__ahead")).alias("chunk_label"))
+    return df.join(numbers, [key, chunk, label], "left")
+
+
+def cluster_in_chunks(chunked: DataFrame, key: str, vector: str, cluster: Callable[[np.ndarray], np.ndarray], near: float = 0.7) -> DataFrame:
+    """chunked (key, chunk_no, vec_id, vector) with label: each chunk is clustered by itself, labels are made distinct over the chunks, and clusters whose centres are alike are joined, first within a chunk, then over all.
+
+    cluster gives a number for each row of a matrix; a chunk (of bounded size, as greedy_chunks makes them) is one matrix. Only the clusters' sums meet over chunks.
+    """
+    kinds = dict(chunked.dtypes)
+
+    def run(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(table.num_rows, dtype=np.int64)
+        for i, j in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows], strict=True):
+            rows = np.array(table[vector].slice(i, j - i).to_pylist(), dtype=float)
+            found = np.asarray(cluster(rows), dtype=np.int64)
+            names = np.unique(found)
+            sums = np.stack([rows[found == n].sum(axis=0) for n in names])
+            end = merge_plan(names.tolist(), sums, np.array([(found == n).sum() for n in names]), near)
+            out[i:j] = [end[int(n)] for n in found]
+        yield from table.append_column("__label", pa.array(out)).combine_chunks().to_batches()
+
+    schema = ", ".join(f"`{c}` {k}" for c, k in kinds.items()) + ", __label long"
+    rows = map_groups(chunked.filter(F.col(vector).isNotNull()), [key, "chunk_no"], ["vec_id"], run, schema)
+    rows = cut_lineage(offset_labels(rows, key, "chunk_no", "__label").drop("__label"))
+    merged = merge_clusters(rows, key, "chunk_label", vector, near)
+    return rows.join(merged, [key, "chunk_label"]).withColumnRenamed("merged_label", "label").drop("chunk_label")
+
+
+def nearest_first(near: float = 0.35) -> Callable[[np.ndarray], np.ndarray]:
+    """A clustering that needs no other library: each vector joins the first cluster whose running centre has a cosine of at least `near` with it, or opens one."""
+
+    def cluster(rows: np.ndarray) -> np.ndarray:
+        units = rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+        sums = np.zeros((0, rows.shape[1] if rows.ndim > 1 else 0))
+        out = []
+        for v in units:
+            like = sums @ v / np.maximum(np.linalg.norm(sums, axis=1), 1e-12) if len(sums) else np.zeros(0)
+            hit = np.flatnonzero(like >= near)
+            if len(hit):
+                out.append(int(hit[0]))
+                sums[hit[0]] += v
+            else:
+                out.append(len(sums))
+                sums = np.vstack([sums, v])
+        return np.array(out, dtype=np.int64)
+
+    return cluster
+
+
+def similarity_table(centers: DataFrame, label: str, digits: int = 3) -> DataFrame:
+    """label_a, label_b, likeness of all pairs of centres, rounded half to even."""
+    return center_likeness(centers, label).withColumn("likeness", F.bround("likeness", digits))
+
+
 def choose_method(first_labels: Column, second_labels: Column, many: int = 5) -> Column:
     """The first method if it finds fewer clusters where either finds many, more clusters otherwise."""
     a, b = first_labels, second_labels
@@ -142,10 +206,10 @@ def choose_method(first_labels: Column, second_labels: Column, many: int = 5) ->
 
 
 def sub_windows(df: DataFrame, samples: Column, rate: int = 16_000, length: float = 1.5, step: float = 0.75) -> DataFrame:
-    """window_no, from_sample, to_sample: windows over each row's samples; the last one may reach past the end (its rest is filled from the start)."""
+    """window_no, from_sample, to_sample: windows over each row's samples; the last one may reach past the end (its rest is filled from the start). A row without samples has none."""
     size, hop = int(length * rate), int(step * rate)
     last = F.greatest(F.lit(0), F.ceil((samples - size) / hop)).cast("long")
-    return df.withColumn("window_no", F.explode(F.sequence(F.lit(0).cast("long"), last))).withColumn("from_sample", F.col("window_no") * hop).withColumn("to_sample", F.col("window_no") * hop + size)
+    return df.withColumn("window_no", F.explode(F.when(samples > 0, F.sequence(F.lit(0).cast("long"), last)))).withColumn("from_sample", F.col("window_no") * hop).withColumn("to_sample", F.col("window_no") * hop + size)
 
 
 def batches_of(rows: Iterator, n: int) -> Iterator[list]:
