@@ -13,11 +13,12 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strophe.functions.compare import comparable
-from strophe.operators.folds import duration_batches, fold_rows, speaker_batches
+from strophe.operators.chunks import greedy_chunks, last_joined
+from strophe.operators.neighbours import time_bucket, with_neighbours, with_run_numbers
 
 Client = Callable[[str], str]
 
@@ -130,7 +131,53 @@ class Punctuate(NumberRewrite):
         return None
 
 
-PROCESSORS: dict[str, type] = {"lyric": LyricCheck, "number": NumberRewrite, "punctuation": Punctuate}
+@dataclass(frozen=True)
+class SimpleTask:
+    """A task given by functions: how a row is asked, whether a reply is right, and what becomes of it."""
+
+    ask: Callable[[Sequence[dict]], str] = lambda rows: "\n".join(str(r.get("prompt", r.get("text", ""))) for r in rows)
+    right: Callable[[str, Sequence[dict]], bool] = lambda reply, rows: True
+    use: Callable[[str, Sequence[dict]], list[dict]] = lambda reply, rows: [dict(r) | {"reply": reply} for r in rows]
+    name: str = "simple"
+    by_speaker: bool = False
+
+    def prompt(self, rows: Sequence[dict], feedback: str | None) -> str:
+        return self.ask(rows) + (f"\nThe last reply was wrong: {feedback}" if feedback else "")
+
+    def check(self, reply: str, rows: Sequence[dict]) -> str | None:
+        return None if self.right(reply, rows) else "wrong reply"
+
+    def apply(self, reply: str, rows: Sequence[dict]) -> list[dict]:
+        return self.use(reply, rows)
+
+
+@dataclass(frozen=True)
+class Entry:
+    """A kind of task as settings name it: its class, and the suffix and flag of its output."""
+
+    processor: Callable[[], Processor]
+    suffix: str
+    flag: str
+
+
+PROCESSORS: dict[str, Entry] = {
+    "lyric": Entry(LyricCheck, ".lyric", "is_lyric_checked"), "number": Entry(NumberRewrite, ".number", "is_number_processed"), "punctuation": Entry(Punctuate, ".punc", "is_punctuated"),
+}
+
+
+def register(name: str, entry: Entry) -> None:
+    """Add a kind of task; a name can't be taken twice."""
+    if name in PROCESSORS:
+        raise ValueError(f"{name} is registered")
+    PROCESSORS[name] = entry
+
+
+def pooled(families: dict[str, dict[str, Client]], names: str) -> dict[str, Client]:
+    """The services of families named with + between them, each once."""
+    missing = [n for n in names.split("+") if n not in families]
+    if missing:
+        raise KeyError(f"no family {missing[0]}")
+    return {k: v for n in names.split("+") for k, v in families[n].items()}
 
 
 @dataclass(frozen=True)
@@ -140,6 +187,12 @@ class CallRules:
     pause: tuple[float, float] = (0.0, 0.0)
 
 
+def is_rate_limit(error: Exception) -> bool:
+    """Whether an error says that a service is asked too often."""
+    said = f"{type(error).__name__} {error}".lower()
+    return getattr(error, "status_code", None) == 429 or any(w in said for w in ("429", "rate limit", "ratelimit", "too many requests", "quota"))
+
+
 @dataclass
 class ServicePool:
     """Several services, tried at random with weights that follow their success in the last `window` seconds (a hundredth more than the share, so that none is ever out)."""
@@ -149,6 +202,8 @@ class ServicePool:
     clock: Callable[[], float] = time.monotonic
     events: dict[str, list[tuple[float, bool]]] = field(default_factory=dict)
     choose: random.Random = field(default_factory=lambda: random.Random(0))
+    rest: float = 30.0
+    resting: dict[str, float] = field(default_factory=dict)
 
     def weight(self, name: str) -> float:
         now = self.clock()
@@ -161,11 +216,15 @@ class ServicePool:
         error: Exception | None = None
         while left:
             names = sorted(left)
-            name = self.choose.choices(names, [self.weight(n) for n in names])[0]
+            # A service that said it is asked too often rests for a while, unless there is no other.
+            rested = [n for n in names if self.resting.get(n, float("-inf")) <= self.clock()] or names
+            name = self.choose.choices(rested, [self.weight(n) for n in rested])[0]
             try:
                 reply = left.pop(name)(prompt)
             except Exception as e:  # noqa: BLE001 - any failure of a service means the next one
                 self.events.setdefault(name, []).append((self.clock(), False))
+                if is_rate_limit(e):
+                    self.resting[name] = self.clock() + self.rest
                 error = e
                 continue
             self.events.setdefault(name, []).append((self.clock(), True))
@@ -195,30 +254,40 @@ def call_checked(rows: Sequence[dict], processor: Processor, client: Client, rul
     return {"success": False, "reply": reply, "attempts": attempts, "error": feedback}
 
 
-def _pieces(rows: Iterable[tuple], longest: float) -> Iterator[tuple]:
-    """Rows (row, speaker, start, end) with (speaker, piece) for the speaker: a run of one speaker, or of none, is cut between its rows so that a piece lasts at most `longest`. A row without an end takes no time."""
-    last, piece, first, reach = object(), 0, 0.0, 0.0
-    for row, speaker, start, end in rows:
-        start = reach if start is None else start
-        end = start if end is None else max(start, end)
-        if speaker != last or max(reach, end) - first > longest:
-            last, piece, first, reach = speaker, piece + 1, start, end
-        reach = max(reach, end)
-        yield row, (speaker, piece), start, reach
-
-
-def plan_batches(segments: DataFrame, by_speaker: bool, longest: float) -> DataFrame:
-    """file, seg_no, text, speaker, start, end, batch_id of all segments: by time, or by time at changes of speaker (no label is a speaker of its own; a run longer than `longest` is cut).
+def by_speaker(rows: DataFrame, key: str, longest: float, cut: bool = False) -> DataFrame:
+    """rows (seg_no, speaker, start, end and more) with batch_id: batches of at most `longest` seconds that end only where the speaker changes (no label is a speaker of its own); a last batch of under half that joins the one before.
 
-    The rows pass through the fold whole, so one without a file or with another's number is neither lost nor doubled.
+    cut: a run longer than `longest` is cut between its rows, of which those without an end take no time, so that a batch is bounded; else a
+    run is never cut. Runs are what chunks are made of, and both are found in blocks of time.
     """
-    columns, kinds = ["seg_no", "text", "speaker", "start", "end"], dict(segments.dtypes)
-
-    def number(rows: Iterator[tuple]) -> Iterator[tuple]:
-        numbered = speaker_batches(_pieces(((r, *r[2:]) for r in rows), longest), longest) if by_speaker else duration_batches(((r, r[3]) for r in rows), longest)
-        return ((*r, n) for r, n in numbered)
-
-    return fold_rows(segments, "file", ["start", "seg_no"], columns, number, [*((c, "long" if kinds[c] == "bigint" else kinds[c]) for c in columns), ("batch_id", "int")])
+    order = ["start", "seg_no"]
+    beside = with_neighbours(rows, key, order, [*order, "speaker"], time_bucket())
+    new = F.coalesce(~F.col("before.speaker").eqNullSafe(F.col("speaker")), F.lit(True)) | F.col("before").isNull()
+    rows = beside.withColumn("__new", new).drop("before", "after")
+    end = F.greatest("start", "end") if cut else F.col("end")
+    if cut:
+        rows = greedy_chunks(rows, key, order, time_bucket(), F.col("start"), end, longest, F.col("__new")).withColumnRenamed("chunk_no", "run_no")
+    else:
+        rows = with_run_numbers(rows, key, order, F.col("__new"), time_bucket())
+    place = F.struct(*order)
+    runs = rows.groupBy(F.col(key).alias("__k"), F.col("run_no").alias("__run")).agg(F.min_by("start", place).alias("__from"), (F.max(end) if cut else F.max_by("end", place)).alias("__to"))
+    batched = greedy_chunks(runs, "__k", ["__run"], F.floor(F.col("__run") / 4096), F.col("__from"), F.col("__to"), longest)
+    batched = last_joined(batched, "__k", F.max_by("__to", "__run") - F.min_by("__from", "__run") < longest / 2)
+    batched = batched.select("__k", "__run", F.col("chunk_no").alias("batch_id"))
+    return rows.join(batched, F.col(key).eqNullSafe(F.col("__k")) & (F.col("run_no") == F.col("__run"))).drop("__k", "__run", "__new", "run_no")
+
+
+def plan_batches(segments: DataFrame, of_speakers: bool, longest: float) -> DataFrame:
+    """file, seg_no, text, speaker, start, end, batch_id of all segments: by time, or by time at changes of speaker, where a run longer than `longest` is cut.
+
+    The rows pass whole, so one without a file or with another's number is neither lost nor doubled.
+    """
+    rows = segments.select("file", "seg_no", "text", "speaker", "start", "end")
+    if of_speakers:
+        batched = by_speaker(rows, "file", longest, cut=True)
+    else:
+        batched = greedy_chunks(rows, "file", ["start", "seg_no"], time_bucket(), F.col("start"), F.col("start"), longest).withColumnRenamed("chunk_no", "batch_id")
+    return batched.withColumn("batch_id", F.col("batch_id").cast("int"))
 
 
 def plan_tasks(batched: DataFrame) -> DataFrame:
@@ -245,6 +314,33 @@ def whole_files(results: DataFrame, partial: bool = False) -> DataFrame:
     return results.groupBy("file").agg(ok.alias("saved"), F.count_if(~F.col("success")).alias("failed_batches"))
 
 
+def file_documents(tasks: DataFrame, results: DataFrame, processor: Processor, flag: str, partial: bool = False) -> DataFrame:
+    """file, segments, <flag>, failed_batches: each file's segments as the service left them, in order of batch and row, and a true flag.
+
+    A file of which a batch failed has no row; with `partial` it has one if any batch succeeded, and the segments of failed batches are as
+    they were, with is_success 'fail'. Fields of a segment are strings, those that a batch lacks are null. For sinks: a file's segments
+    must fit a row.
+    """
+    fields = ("text", "speaker", "is_lyric", f"text_ori_{processor.name}", f"is_modified_{processor.name}", "is_success")
+    element = "struct<start: double, seg_no: int, " + ", ".join(f"{f}: string" for f in fields) + ">"
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for file, batch, rows, ok, reply in zip(frame["file"], frame["batch_id"], frame["segments"], frame["success"], frame["reply"], strict=True):
+                rows = [dict(r) if isinstance(r, dict) else r.asDict() for r in rows]
+                done = processor.apply(reply, rows) if ok else rows
+                named = [{f: None if (v := r.get(f)) is None else str(v).lower() if isinstance(v, bool) else str(v) for f in fields[:-1]} | {"is_success": "success" if ok else "fail", "start": r.get("start"), "seg_no": r.get("seg_no")} for r in done]
+                out.append((file, batch, bool(ok), named))
+            yield pd.DataFrame(out, columns=["file", "batch_id", "success", "rows"])
+
+    both = tasks.join(results.select("file", "batch_id", "success", "reply"), ["file", "batch_id"])
+    done = both.select("file", "batch_id", "segments", "success", "reply").mapInPandas(run, f"file string, batch_id int, success boolean, rows array<{element}>")
+    keep = F.bool_or("success") if partial else F.bool_and("success")
+    files = done.groupBy("file").agg(keep.alias("saved"), F.array_sort(F.collect_list(F.struct("batch_id", "rows"))).alias("parts"), F.array_sort(F.collect_list(F.when(~F.col("success"), F.col("batch_id")))).alias("failed_batches"))
+    return files.filter("saved").select("file", F.flatten(F.transform("parts", lambda p: p["rows"])).alias("segments"), F.lit(True).alias(flag), "failed_batches")
+
+
 def without_fence(reply: Column) -> Column:
     return F.trim(F.regexp_replace(reply, r"(?m)^\s*```.*$", ""))
 
@@ -272,11 +368,15 @@ def run_summary(results: DataFrame) -> DataFrame:
 
 
 def success_weights(events: DataFrame, key: str, at_seconds: str, ok: Column, window: int = 600) -> DataFrame:
-    """weight: the share of successes of the key's events in the window before and at each event, and 0.01."""
-    from pyspark.sql import Window
+    """weight: the share of successes of the key's events in the window before and at each event, and 0.01.
 
-    recent = Window.partitionBy(key).orderBy(at_seconds).rangeBetween(-window, 0)
-    return events.withColumn("weight", F.avg(ok.cast("double")).over(recent) + 0.01)
+    Events are dealt to buckets as long as the window, and once more to the next bucket, where they only count for others: so a key's
+    events are never in one task.
+    """
+    own = F.floor(F.col(at_seconds) / window)
+    dealt = events.withColumn("__ok", ok.cast("double")).withColumn("__b", F.explode(F.array(F.struct(own.alias("b"), F.lit(True).alias("own")), F.struct((own + 1).alias("b"), F.lit(False).alias("own")))))
+    recent = Window.partitionBy(key, "__b.b").orderBy(at_seconds).rangeBetween(-window, 0)
+    return dealt.withColumn("weight", F.avg("__ok").over(recent) + 0.01).filter("__b.own").drop("__b", "__ok")
 
 
 def in_order(results: Iterable[dict], key: str = "task_id") -> list[dict]:

@@ -63,3 +63,32 @@ def map_sounds(files: DataFrame, function: Callable[[np.ndarray, int], list[tupl
             yield pd.DataFrame(out, columns=["path", "start", "end", "error"])
 
     return files.select("path", "content").mapInPandas(run, "path string, start double, end double, error string")
+
+
+def map_or_null(df: DataFrame, function: Callable[[dict], dict], schema: str) -> DataFrame:
+    """What a function makes of each row, as schema says, and error: a row on which it fails has nulls and the error instead of failing the job. A result's other fields are left out, missing ones are null."""
+    names = [f.split()[0].strip("`") for f in schema.split(",")]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for row in frame.to_dict("records"):
+                try:
+                    found = function(row)
+                    out.append({n: found.get(n) for n in names} | {"error": None})
+                except Exception as e:  # noqa: BLE001 - kept as the row's error
+                    out.append(dict.fromkeys(names) | {"error": f"{type(e).__name__}: {e}"})
+            yield pd.DataFrame(out, columns=[*names, "error"])
+
+    return df.mapInPandas(run, f"{schema}, error string")
+
+
+#: Voice detectors by name; energy needs no weights, others are registered by who brings them.
+DETECTORS: dict[str, Callable[[], VoiceDetector]] = {"energy": lambda: energy_detector}
+
+
+def voice_detector(name: str) -> VoiceDetector:
+    """A voice detector by its name."""
+    if name not in DETECTORS:
+        raise KeyError(f"no voice detector {name}: {', '.join(sorted(DETECTORS))}")
+    return DETECTORS[name]()

@@ -70,6 +70,17 @@ def not_done(wanted: DataFrame, done: DataFrame, on: list[str]) -> DataFrame:
     return wanted.join(done.select(*on).distinct(), on, "left_anti")
 
 
+def without_errors(paths: DataFrame, path: str = "path") -> tuple[DataFrame, DataFrame]:
+    """Paths that don't have "error" in them, in capitals or not, and those that do. A null path is kept."""
+    wrong = F.coalesce(F.lower(path).contains("error"), F.lit(False))
+    return paths.filter(~wrong), paths.filter(wrong)
+
+
+def one_at_random(df: DataFrame, column: str, seed: int) -> DataFrame:
+    """One row, chosen by a hash of the column and a seed: each value is as likely, and a seed always gives the same."""
+    return df.orderBy(F.xxhash64(F.col(column), F.lit(seed)), column).limit(1)
+
+
 def only_done(wanted: DataFrame, done: DataFrame, on: list[str]) -> DataFrame:
     return wanted.join(done.select(*on).distinct(), on, "left_semi")
 

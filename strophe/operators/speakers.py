@@ -50,6 +50,17 @@ def relabel_by_appearance(segments: DataFrame) -> DataFrame:
     return rows.join(numbers, ["song_id", "speaker"]).select("song_id", "seg_no", "speaker_no")
 
 
+def put_back(segments: DataFrame, diarized: DataFrame, label: str = "label") -> DataFrame:
+    """segments with speaker_no from rows (song_id, seg_no, label) that only some of them have: labels less their outlier mark, numbered from 0 by first appearance in the song; null for the rest.
+
+    Of several rows of one segment the largest label counts.
+    """
+    plain = F.regexp_replace(F.col(label).cast("string"), "_OUTLIER", "")
+    named = diarized.groupBy("song_id", "seg_no").agg(F.max(plain).alias("speaker"))
+    numbers = relabel_by_appearance(named)
+    return segments.join(numbers, ["song_id", "seg_no"], "left")
+
+
 def same_speaker_runs(segments: DataFrame) -> DataFrame:
     """song_id, run_no, speaker, first_seg, last_seg, start, end: neighbouring segments of one label as one."""
     rows = with_neighbours(segments, "song_id", ["start", "seg_no"], ["start", "seg_no", "speaker"], time_bucket())

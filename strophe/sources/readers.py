@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strophe.functions.text import file_name, file_stem, trim_all
 from strophe.operators.neighbours import with_neighbours
+from strophe.operators.pairing import numbered_lines
 
 SEGMENT = (
     "text string, start double, end double, speaker string, is_lyric boolean, lang_type string, lyric_count int, average_duration double, is_duration_ill boolean, "
@@ -15,6 +16,9 @@ SEGMENT = (
 SONG = f"audio_path string, audio_length double, structures array<struct<label string, start double, end double>>, segments array<struct<{SEGMENT.replace(' string', ': string').replace(' double', ': double').replace(' boolean', ': boolean').replace(' int', ': int')}>>"
 
 
+SONG_ROW = f"{SONG}, file_path string"
+
+
 def path_list(spark: SparkSession, path: str, comments: bool = False, column: int | None = None) -> DataFrame:
     """Lines of a list of paths, stripped, without blank ones; column takes one field between tabs, comments drops lines that begin with #."""
     line = trim_all(F.col("value"))
@@ -64,6 +68,31 @@ def read_songs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SONG).option("multiLine", True).option("recursiveFileLookup", True).json(path).select("*", F.col("_metadata.file_path").alias("file_path"))
 
 
+def song_paths(spark: SparkSession, path: str) -> DataFrame:
+    """path of the song documents that a path means: itself if it ends in .json, the lines of any other file, or all .json files below a folder. A path that doesn't exist is an error."""
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = name.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(name):
+        raise FileNotFoundError(path)
+    if files.getFileStatus(name).isDirectory():
+        return file_index(spark, path, "*.json").select("path")
+    if path.endswith(".json"):
+        return spark.createDataFrame([(path,)], "path string")
+    return path_list(spark, path)
+
+
+def read_listed_songs(spark: SparkSession, path: str, first: int = 0, count: int = 100_000) -> DataFrame:
+    """Song documents of a slice of a list of paths: lines first .. first + count - 1 of those that aren't blank. Documents without audio_path or without segments are left out.
+
+    The driver holds the paths of one slice, which is a job's share; a path that can't be read is an error.
+    """
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("raw"))
+    numbered = numbered_lines(lines).filter(F.col("idx").between(first, first + count - 1))
+    paths = [r.raw.strip() for r in numbered.select("raw").collect()]
+    songs = spark.read.schema(SONG).option("multiLine", True).json(paths).select("*", F.col("_metadata.file_path").alias("file_path")) if paths else spark.createDataFrame([], SONG_ROW)
+    return songs.filter("audio_path <> '' and size(segments) > 0")
+
+
 def song_segments(songs: DataFrame) -> DataFrame:
     """Segments of song documents, with the names that older tools gave their fields."""
     rows = songs.select(file_stem(F.col("file_path")).alias("song_id"), "audio_length", F.posexplode("segments").alias("seg_no", "s"))
