@@ -31,8 +31,12 @@ def _flagged(spark: SparkSession, d: str) -> DataFrame:
     return R.with_ill_flags(_rated_once(spark, d))
 
 
+def reset_rows(spark: SparkSession, d: str) -> DataFrame:
+    return R.reset_slow(_flagged(spark, d))
+
+
 def _audit(spark: SparkSession, d: str) -> DataFrame:
-    return R.song_audit(R.reset_slow(_flagged(spark, d)))
+    return R.song_audit(reset_rows(spark, d))
 
 
 def bracket_label(spark, d):
@@ -74,7 +78,7 @@ def ill_flag(spark, d):
 
 
 def reset_split(spark, d):
-    rows = R.reset_slow(_flagged(spark, d))
+    rows = reset_rows(spark, d)
     return rows.select("song_id", "seg_no", "part_no", "text", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"), "is_lyric", "lang_type", "lyric_count", "is_duration_ill", "reset_end_time")
 
 
@@ -101,8 +105,8 @@ def duration_summary(spark, d):
 
 
 def text_audio_ratio(spark, d):
-    rows = R.text_audio_ratio(segments_now(spark, d).filter("end is not null"), T.count_mixed(F.col("text")))
-    return rows.select("segment_id", "num_chars", F.round("ratio", 6).alias("ratio"), "abnormal_by_threshold")
+    rows = R.text_audio_ratio(segments_now(spark, d), T.count_mixed(F.col("text")))
+    return rows.select("segment_id", "num_chars", F.round("ratio", 6).alias("ratio"), F.round("ratio_mean", 6).alias("ratio_mean"), F.round("ratio_std", 6).alias("ratio_std"), "abnormal_by_threshold", "abnormal_by_mean", "abnormal_ratio")
 
 
 QUERIES = {f.__name__: f for f in (ill_flag, bracket_label, lang_and_counts, document_counts, normalize_text, clean_laughter, segment_rows, segment_rate, reset_split, song_filter_route, route_lines, corpus_totals, duration_histogram, duration_summary, text_audio_ratio)}
@@ -170,6 +174,11 @@ _SPOKEN = f"lower({_trim(_SQUEEZED)})"
 _LABEL = r"regexp_extract(text, '\[([^\]]+)\]', 1)"
 _QUIET = rf"""regexp_replace(regexp_replace(text, '(?i)laughter[.,!?''"]*', '', 'g'), '{_WS}+', ' ', 'g')"""
 ORACLE = {
+    "text_audio_ratio": rf"""WITH {_LAST}, n AS (SELECT segment_id, song_id, "end" - "start" AS len, {_SPOKEN} AS spoken FROM last_rows),
+m AS (SELECT *, CASE WHEN spoken IS NOT NULL THEN len(regexp_extract_all(spoken, '[\x{{4e00}}-\x{{9fff}}]')) + len(list_filter(regexp_split_to_array(spoken, '{_WS}+'), lambda t: regexp_replace(t, '[\x{{4e00}}-\x{{9fff}}]', '', 'g') <> '')) END AS num_chars FROM n),
+r AS (SELECT *, CASE WHEN len > 0 THEN coalesce(num_chars, 0) / len ELSE 0.0 END AS ratio FROM m), s AS (SELECT *, avg(ratio) OVER w AS mean, stddev_pop(ratio) OVER w AS std FROM r WINDOW w AS (PARTITION BY song_id)),
+f AS (SELECT *, ratio < 1 OR ratio > 10 AS t, mean > 0 AND (ratio > 2 * mean OR ratio < 0.5 * mean) AS b FROM s)
+SELECT segment_id, num_chars, round(ratio, 6) AS ratio, round(mean, 6) AS ratio_mean, round(std, 6) AS ratio_std, t AS abnormal_by_threshold, b AS abnormal_by_mean, t OR b AS abnormal_ratio FROM f""",
     "bracket_label": rf"""SELECT DISTINCT segment_id, {_brackets("text")} AS brackets, {_bare("text")} AS bare, CASE WHEN regexp_extract(text, '\[([^\]]+)\]', 1) <> '' THEN {_trim("lower(" + _LABEL + ")")} END AS label,
 CASE WHEN regexp_matches(text, '^\[[^\n]*?\]') THEN regexp_extract(text, '^\[([^\n]*?)\]', 1) END AS lead, CASE WHEN regexp_matches(text, '^\[[^\n]*?\]') THEN regexp_extract(text, '^\[[^\n]*?\]\s*([^\n]*)', 1) ELSE text END AS after FROM segments""",
     "lang_and_counts": f"""SELECT segment_id, text, CASE WHEN regexp_matches(b, '{_CJK}') THEN 'cjk' ELSE 'western' END AS family, {_words("b")} AS words, len(regexp_extract_all(b, '{_CJK}')) AS characters FROM (SELECT DISTINCT segment_id, text, {_bare("text")} AS b FROM segments)""",

@@ -9,7 +9,8 @@ from strophe.operators import pairing as P
 from strophe.operators import speakers as S
 from strophe.operators import timeline as L
 from strophe.operators.current import current_rows
-from strophe.plans.lyrics import _LAST, segments_now
+from strophe.plans import lyrics
+from strophe.plans.lyrics import _LAST, _RESET, segments_now
 from strophe.session import table
 from strophe.sources.readers import lrc_rows
 
@@ -82,7 +83,7 @@ def vad_windows(spark, d):
 
 
 def gap_fill(spark, d):
-    return L.fill_gaps(segments_now(spark, d).filter("end is not null"), songs_now(spark, d))
+    return L.fill_gaps(segments_now(spark, d), songs_now(spark, d))
 
 
 def short_segments(spark, d):
@@ -90,7 +91,7 @@ def short_segments(spark, d):
 
 
 def continuity(spark, d):
-    return L.continuity(segments_now(spark, d).filter("end is not null"), songs_now(spark, d))
+    return L.continuity(segments_now(spark, d), songs_now(spark, d))
 
 
 def end_time_audit(spark, d):
@@ -150,18 +151,20 @@ def narrow_dump(spark, d):
 
 
 def boundary_adjust(spark, d):
-    rows = L.adjust_bounds(segments_now(spark, d).filter("end > start"), L.voiced_stretches(table(spark, d, "vad")))
+    rows = L.adjust_bounds(segments_now(spark, d), L.voiced_stretches(table(spark, d, "vad")))
     return rows.select("song_id", "seg_no", F.round("new_from", 4).alias("new_from"), F.round("new_to", 4).alias("new_to"))
 
 
 def context_pad(spark, d):
-    rows = L.pad_context(segments_now(spark, d).filter("end > start"), songs_now(spark, d).filter("audio_length is not null"))
+    rows = L.pad_context(segments_now(spark, d), songs_now(spark, d))
     return rows.select("song_id", "seg_no", F.round("padded_from", 4).alias("padded_from"), F.round("padded_to", 4).alias("padded_to"))
 
 
 def viewer_rows(spark, d):
-    rows = segments_now(spark, d, "song_id", "seg_no", "start", "end", "is_duration_ill").withColumn("reset_end_time", F.lit(False)).withColumn("vad_anomaly", F.lit(False))
-    return L.viewer_rows(rows)
+    """Rows that can be drawn, with their gravest flag: cut by reset_slow, out of pace, or at odds with the voice activity."""
+    rows = lyrics.reset_rows(spark, d).filter("part_no = 0")
+    heard = L.voice_audit(segments_now(spark, d), table(spark, d, "vad")).groupBy("song_id", "seg_no").agg(F.bool_or("vad_anomaly").alias("vad_anomaly"))
+    return L.viewer_rows(rows.join(heard, ["song_id", "seg_no"], "left"))
 
 
 def shards(spark, d):
@@ -174,7 +177,7 @@ def shards(spark, d):
 
 def seeded_sample(spark, d):
     """A hundred documents of a seeded shuffle; the limit is the feature."""
-    return table(spark, d, "documents").select("doc_id", F.xxhash64("doc_id", F.lit(42)).alias("h")).orderBy("h", "doc_id").limit(100).select("doc_id")
+    return table(spark, d, "documents").select("doc_id", F.md5(F.concat(F.col("doc_id").cast("string"), F.lit("/42"))).alias("h")).orderBy("h", "doc_id").limit(100).select("doc_id")
 
 
 def sentences_of_words(spark, d):
@@ -183,12 +186,38 @@ def sentences_of_words(spark, d):
     return L.words_to_sentences(rows).select("item", F.col("sentence_no").cast("long").alias("sentence_no"), F.md5("sentence").alias("digest"), "start", "end")
 
 
+def diarized_back(spark, d):
+    """Speakers of the segments that were diarized (those with a label), put back on all segments."""
+    rows = segments_now(spark, d, "song_id", "seg_no", "speaker")
+    return S.put_back(rows.select("song_id", "seg_no"), rows.filter("speaker is not null"), "speaker")
+
+
+def voice_verdict(spark, d):
+    """Whether all segments of a song agree with their voice activity."""
+    return L.song_verdict(L.voice_audit(segments_now(spark, d), table(spark, d, "vad")))
+
+
+def clean_paths(spark, d):
+    """Paths with an "error" in them, and others."""
+    good, bad = P.without_errors(_paths(spark, d))
+    return good.select("path", F.lit(False).alias("wrong")).unionByName(bad.select("path", F.lit(True).alias("wrong"))).distinct()
+
+
+def zipped_lists(spark, d):
+    """Section labels and starts of each song side by side."""
+    order = F.struct("start", "st_no", "label")
+    rows = table(spark, d, "structures").groupBy("song_id").agg(F.array_sort(F.collect_list(order)).alias("r"))
+    pairs = rows.select("song_id", F.posexplode(L.zipped(F.transform("r", lambda x: x["label"]), F.transform("r", lambda x: x["start"]))).alias("place", "z"))
+    return pairs.select("song_id", "place", F.col("z.a").alias("label"), F.col("z.b").alias("start"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         lrc_parse_restart, manifest_slice, best_audio_pair, pair_counts, audio_by_stem, missing_songs, resumed_songs, output_paths, singer_parse, top_singers, singer_totals, vad_windows,
         gap_fill, short_segments, continuity, end_time_audit, overlap_label, label_runs, vad_consistency, length_report, song_durations, effective_speakers, speaker_classes,
         speaker_histogram, speaker_relabel, speaker_runs, turn_stats, narrow_dump, boundary_adjust, context_pad, viewer_rows, shards, seeded_sample, sentences_of_words,
+        diarized_back, voice_verdict, clean_paths, zipped_lists,
     )
 }
 
@@ -233,12 +262,12 @@ r AS (SELECT kept.*, total, coalesce(lag(e) OVER w, 0) AS p, lead(s) OVER w AS n
 SELECT song_id, p AS start_ms, s AS end_ms, '' AS text FROM r WHERE s - p >= 1500 UNION ALL SELECT song_id, s, CASE WHEN coalesce(n, total) - e >= 1500 THEN e ELSE coalesce(n, total) END, text FROM r
 UNION ALL SELECT song_id, e, total, '' FROM r WHERE n IS NULL AND total - e >= 1500 UNION ALL SELECT song_id, 0, total, '' FROM len WHERE total >= 1500 AND song_id NOT IN (SELECT song_id FROM kept)""",
     "short_segments": f"""WITH {_LAST} SELECT segment_id FROM last_rows WHERE round(("end" - "start") * 1000) < 300""",
-    "continuity": f"""WITH {_TIMES}, g AS (SELECT *, abs("start" - lag("end") OVER (PARTITION BY song_id ORDER BY "start", seg_no)) > 0.01 AS gap FROM t WHERE "end" IS NOT NULL),
-f AS (SELECT song_id, (arg_min(seg_no, ROW("start", seg_no)) FILTER (WHERE gap)) AS first_gap_seg, arg_max("end", ROW("start", seg_no)) AS le FROM g GROUP BY song_id) SELECT song_id, first_gap_seg, coalesce(le > audio_length + 0.01, false) AS overruns FROM f LEFT JOIN songs_now USING (song_id)""",
+    "continuity": f"""WITH {_TIMES}, g AS (SELECT *, abs("start" - lag("end") OVER (PARTITION BY song_id ORDER BY "start", seg_no)) > 0.01 AS gap FROM t),
+f AS (SELECT song_id, (arg_min(seg_no, ROW("start", seg_no)) FILTER (WHERE gap)) AS first_gap_seg, (arg_max("end", ROW("start", seg_no)) FILTER (WHERE "end" IS NOT NULL)) AS le FROM g GROUP BY song_id) SELECT song_id, first_gap_seg, coalesce(le > audio_length + 0.01, false) AS overruns FROM f LEFT JOIN songs_now USING (song_id)""",
     "end_time_audit": f"""WITH {_TIMES}, l AS (SELECT song_id, e AS le FROM (SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY "start" DESC, seg_no DESC) AS k FROM t) WHERE k = 1),
 r AS (SELECT songs_now.song_id, CASE WHEN audio_length IS NULL THEN 'no audio_length' WHEN l.song_id IS NULL THEN 'no segments' WHEN le IS NULL THEN 'no end' WHEN abs(round(audio_length * 1000) - le) > 100 THEN 'end differs' END AS reason FROM songs_now LEFT JOIN l USING (song_id)) SELECT * FROM r WHERE reason IS NOT NULL""",
     "overlap_label": f"""WITH {_TIMES}, st AS (SELECT song_id, lower(label) AS label, CAST(round("start" * 1000) AS BIGINT) AS a, CAST(round("end" * 1000) AS BIGINT) AS b FROM structures WHERE label IS NOT NULL),
-o AS (SELECT song_id, seg_no, label, CAST(sum(least(e, b) - greatest(s, a)) AS BIGINT) AS ov, min(a) AS f FROM t JOIN st USING (song_id) WHERE a < e AND b > s GROUP BY ALL)
+o AS (SELECT song_id, seg_no, label, CAST(sum(least(e, b) - greatest(s, a)) AS BIGINT) AS ov, min(a) AS f FROM t JOIN st USING (song_id) WHERE a < e AND b > s AND e > s AND b > a GROUP BY ALL)
 SELECT song_id, seg_no, label, ov AS overlap_ms FROM (SELECT *, row_number() OVER (PARTITION BY song_id, seg_no ORDER BY ov DESC, f, label DESC) AS k FROM o) WHERE k = 1""",
     "label_runs": r"""WITH n AS (SELECT *, regexp_replace(lower(label), '\d+', '', 'g') AS l, row_number() OVER (PARTITION BY song_id ORDER BY "start", st_no) AS i FROM structures), m AS (SELECT *, lag(l) OVER (PARTITION BY song_id ORDER BY "start", st_no) AS p FROM n),
 r AS (SELECT *, sum(CASE WHEN i = 1 OR l IS DISTINCT FROM p THEN 1 ELSE 0 END) OVER (PARTITION BY song_id ORDER BY "start", st_no ROWS UNBOUNDED PRECEDING) AS run_no FROM m)
@@ -263,11 +292,21 @@ q AS (SELECT song_id, CAST(any_value(total) AS BIGINT) AS speech_ms, CAST(sum(tu
 SELECT song_id, speech_ms, audio_ms, turns, num_effective, speech_ms >= audio_ms * 0.6 AND num_effective BETWEEN 1 AND 4 AND speech_ms >= turns * 3000 AS is_valid FROM q JOIN a USING (song_id)""",
     "boundary_adjust": f"""WITH {_LAST}, o AS (SELECT song_id, seg_no, "start" AS a, "end" AS e, lag("end") OVER w AS p, lead("start") OVER w AS n FROM last_rows WHERE "end" > "start" WINDOW w AS (PARTITION BY song_id ORDER BY "start", seg_no))
 SELECT song_id, seg_no, round(CASE WHEN p IS NULL THEN greatest(0.0, a - 0.2) WHEN a - p > 1 THEN a - 0.5 WHEN a - p >= 0 THEN a - (a - p) / 2 ELSE a END, 4) AS new_from, round(CASE WHEN n IS NULL THEN e + 0.2 WHEN n - e < 0 THEN n WHEN n - e > 1 THEN e + 0.5 ELSE e + (n - e) / 2 END, 4) AS new_to FROM o""",
-    "context_pad": f"""WITH {_LAST}, {_SONGS} SELECT song_id, seg_no, round(greatest(0.0, "start" - (0.2 + CASE WHEN "end" - "start" < 0.5 THEN 0.1 ELSE 0.0 END)), 4) AS padded_from, round(least(audio_length, "end" + (0.2 + CASE WHEN "end" - "start" < 0.5 THEN 0.1 ELSE 0.0 END)), 4) AS padded_to FROM last_rows JOIN songs_now USING (song_id) WHERE "end" > "start" AND audio_length IS NOT NULL""",
-    "viewer_rows": f"""WITH {_LAST} SELECT song_id, seg_no, CASE WHEN coalesce(is_duration_ill, false) THEN 'ill' ELSE 'normal' END AS style FROM last_rows WHERE "start" < "end" """,
-    "shards": f"WITH {_JSON} SELECT idx, (idx + 7) // 50 AS shard, idx // 67 = 1 AS mine FROM lines",
-    "sentences_of_words": r"""WITH w AS (SELECT doc_id AS item, generate_subscripts(l, 1) - 1 AS i, unnest(l) AS word FROM (SELECT doc_id, regexp_split_to_array(text, '[\s\x{0b}]+') AS l FROM documents WHERE doc_kind = 'prose')),
+    "context_pad": f"""WITH {_LAST}, {_SONGS} SELECT song_id, seg_no, round(greatest(0.0, "start" - (0.2 + CASE WHEN "end" - "start" < 0.5 THEN 0.1 ELSE 0.0 END)), 4) AS padded_from, round(least(coalesce(audio_length, 1e300), "end" + (0.2 + CASE WHEN "end" - "start" < 0.5 THEN 0.1 ELSE 0.0 END)), 4) AS padded_to FROM last_rows LEFT JOIN songs_now USING (song_id) WHERE "end" > "start" """,
+    "viewer_rows": rf"""WITH {_RESET}, v AS (SELECT song_id, seg_no, CASE WHEN vad_res LIKE '[%]' AND length(vad_res) > 2 THEN list_transform(string_split(vad_res[2:-2], ','), lambda x: CAST(trim(x) AS DOUBLE)) END AS l FROM vad),
+j AS (SELECT song_id, seg_no, bool_or(CASE WHEN trim(regexp_replace(text, '\[[^\]]*\]', '', 'g'), chr(32) || chr(12288) || chr(160)) <> '' THEN coalesce(list_sum(l) / len(l), 0.0) <= 0.5 ELSE coalesce(list_sum(l) / len(l), 0.0) >= 0.3 END) AS odd FROM last_rows JOIN v USING (song_id, seg_no) GROUP BY ALL)
+SELECT song_id, seg_no, CASE WHEN reset_end_time THEN 'reset' WHEN ill THEN 'ill' WHEN coalesce(odd, false) THEN 'vad' ELSE 'normal' END AS style FROM parts LEFT JOIN j USING (song_id, seg_no) WHERE part_no = 0 AND s < e""",
+    "shards": f"WITH {_JSON} SELECT idx, (idx + 7) // 50 AS shard, idx // CAST(ceil((SELECT count(*) FROM lines) / 3) AS BIGINT) = 1 AS mine FROM lines",
+    "seeded_sample": "SELECT doc_id FROM (SELECT doc_id, md5(doc_id || '/42') AS h FROM documents) ORDER BY h, doc_id LIMIT 100",
+    "sentences_of_words": r"""WITH w AS (SELECT doc_id AS item, generate_subscripts(l, 1) - 1 AS i, unnest(l) AS word FROM (SELECT doc_id, regexp_split_to_array(text, '[\s\x{0b}]+') AS l FROM documents)),
 c AS (SELECT *, coalesce(regexp_matches(lag(word) OVER (PARTITION BY item ORDER BY i), '[.!?]$'), false) AS k FROM w), s AS (SELECT *, sum(k::INT) OVER (PARTITION BY item ORDER BY i ROWS UNBOUNDED PRECEDING) AS sentence_no FROM c)
 SELECT item, CAST(sentence_no AS BIGINT) AS sentence_no, md5(string_agg(word, ' ' ORDER BY i)) AS digest, min(i)::DOUBLE AS "start", max(i)::DOUBLE + 1 AS "end" FROM s GROUP BY ALL""",
+    "diarized_back": f"""WITH {_LAST}, n AS (SELECT song_id, seg_no, replace(speaker, '_OUTLIER', '') AS speaker FROM last_rows WHERE speaker IS NOT NULL), f AS (SELECT song_id, speaker, min(seg_no) AS m FROM n GROUP BY ALL), k AS (SELECT *, dense_rank() OVER (PARTITION BY song_id ORDER BY m, speaker) - 1 AS speaker_no FROM f)
+SELECT last_rows.song_id, last_rows.seg_no, CAST(speaker_no AS INT) AS speaker_no FROM last_rows LEFT JOIN (SELECT song_id, seg_no, speaker_no FROM n JOIN k USING (song_id, speaker)) USING (song_id, seg_no)""",
+    "voice_verdict": rf"""WITH {_LAST}, v AS (SELECT song_id, seg_no, CASE WHEN vad_res LIKE '[%]' AND length(vad_res) > 2 THEN list_transform(string_split(vad_res[2:-2], ','), lambda x: CAST(trim(x) AS DOUBLE)) END AS l FROM vad),
+j AS (SELECT song_id, coalesce(CASE WHEN trim(regexp_replace(text, '\[[^\]]*\]', '', 'g'), chr(32) || chr(12288) || chr(160)) <> '' THEN coalesce(list_sum(l) / len(l), 0.0) <= 0.5 ELSE coalesce(list_sum(l) / len(l), 0.0) >= 0.3 END, false) AS odd FROM last_rows JOIN v USING (song_id, seg_no))
+SELECT song_id, count(*) AS segments, count_if(odd) AS anomalies, NOT bool_or(odd) AS total_correct FROM j GROUP BY song_id""",
+    "clean_paths": f"WITH {_PATHS} SELECT DISTINCT path, contains(lower(path), 'error') AS wrong FROM paths",
+    "zipped_lists": """SELECT song_id, CAST(row_number() OVER (PARTITION BY song_id ORDER BY "start" NULLS FIRST, st_no, label) - 1 AS INT) AS place, label, "start" FROM structures""",
     "narrow_dump": f"WITH {_LAST} SELECT song_id, seg_no, CASE WHEN speaker <> '' THEN speaker ELSE 'N/A' END AS speaker, text FROM last_rows",
 }

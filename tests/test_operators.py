@@ -11,10 +11,12 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from strophe.functions import text as T
-from strophe.operators import folds, pairing, rates, speakers, timeline, vectors
+from strophe.operators import chunks, folds, models, pairing, rates, speakers, timeline, vectors
+from strophe.operators.batch_calls import by_speaker
 from strophe.operators.current import current_rows
 from strophe.operators.intervals import IntervalMap, continuous_periods, interval_gaps
 from strophe.operators.keyed import whole_groups
+from strophe.operators.medians import group_medians
 from strophe.operators.sample import bounded_sample
 from strophe.operators.spikes import ChartRules, flag_spikes, run_lengths
 from strophe.sources import readers
@@ -56,18 +58,12 @@ def test_interval_map_against_points(pairs):
 
 
 def _gaps(spans):
-    spans = [s for s in spans if s[0] is not None]
-    if not spans:
-        return []
-    first, last = min(s for s, _ in spans), max((e for _, e in spans if e is not None), default=None)
-    good = sorted((s, e) for s, e in spans if e is not None and e > s)
-    out, reach = [], first
+    good = sorted((s, e) for s, e in spans if s is not None and e is not None and e > s)
+    out, reach = [], None
     for s, e in good:
-        if s > reach:
+        if reach is not None and s > reach:
             out.append((reach, s))
-        reach = max(reach, e)
-    if last is not None and last > reach:
-        out.append((reach, last))
+        reach = max(reach, e) if reach is not None else e
     return out
 
 
@@ -216,9 +212,66 @@ def test_manifest_lines_keep_their_index(spark):
     assert [(r.idx, r.audio_path, r.problem) for r in pairing.manifest_slice(df, 1, 3).orderBy("idx").collect()] == [(1, None, "malformed"), (2, "b", "missing key"), (3, "c", None)]
 
 
-def test_greedy_merge():
-    rows = [("v", "a", 0.0, 5.0), ("v", "b.", 5.0, 15.0), ("v", "c", 15.0, 15.1), ("c", "", 16.0, 17.0), (None, "d", 17.0, 18.0), (None, "e", 18.0, 19.0)]
-    assert list(folds.greedy_merge(iter(rows))) == [("[v] a. b.", 0.0, 15.0, 2), ("[v] c", 15.0, 15.1, 1), ("[c] ", 16.0, 17.0, 1), ("d. e", 17.0, 19.0, 2)]
+def test_merged_lines(spark):
+    rows = [("s", 0, "v", "a", 0.0, 5.0, 0), ("s", 1, "v", "b.", 5.0, 15.0, 0), ("s", 2, "v", "c", 15.0, 15.1, 1), ("s", 3, "c", "", 16.0, 17.0, 2), ("s", 4, None, "d", 17.0, 18.0, 3), ("s", 5, None, "e", 18.0, 19.0, 3), ("s", 6, None, "", 18.5, 19.5, 3), (None, 0, "x", "y", 0.0, 1.0, 0)]
+    df = spark.createDataFrame(rows, "song_id string, seg_no int, label string, rest string, start double, end double, chunk_no long")
+    got = rows_of(folds.merged_lines(df, "song_id"), "song_id", "text", "start", "end", "merged_count")
+    assert got == sorted([("s", "[v] a. b.", 0.0, 15.0, 2), ("s", "[v] c", 15.0, 15.1, 1), ("s", "[c] ", 16.0, 17.0, 1), ("s", "d. e", 17.0, 19.5, 3), (None, "[x] y", 0.0, 1.0, 1)], key=str)
+
+
+def _chunks(rows, limit):
+    """Chunk of each (origin, reach, hard) by the rule as it is said."""
+    out, number, now = [], -1, None
+    for origin, reach, hard in rows:
+        if now is None or hard or reach is not None and reach - now > limit:
+            now, number = origin, number + 1
+        out.append(number)
+    return out
+
+
+@pytest.mark.parametrize("width", [3, 50, 10**6])
+def test_chunks_over_blocks_against_a_loop(spark, width):
+    random.seed(12)
+    rows, want = [], []
+    for key in ("a", "b", "c", None):
+        t, own = 0.0, []
+        for _ in range(random.choice([1, 40, 150])):
+            t += random.choice([0.0, 1.0, 2.5, 30.0])
+            own.append((t, random.choice([None, t, t + random.random() * 12, t + 1, t - 3]), random.random() < 0.05))
+        rows += [(key, i, o, r, h) for i, (o, r, h) in enumerate(own)]
+        want += [(key, i, n) for i, n in enumerate(_chunks(own, 10.0))]
+    df = spark.createDataFrame(rows, "k string, i int, o double, r double, h boolean").repartition(3)
+    got = chunks.greedy_chunks(df, "k", ["o", "i"], F.floor(F.col("o") / width), F.col("o"), F.col("r"), 10.0, F.col("h"))
+    assert rows_of(got, "k", "i", "chunk_no") == sorted(want, key=str)
+    sums = chunks.running_sum(df, "k", ["i"], F.col("i"), F.floor(F.col("i") / 7))
+    assert all(r.sum_after == r.i * (r.i + 1) / 2 and r.sum_before == r.sum_after - r.i for r in sums.collect())
+    assert chunks.greedy_chunks(df.limit(0), "k", ["o"], F.lit(0), F.col("o"), F.col("r"), 1.0).collect() == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(-2, 9), st.booleans()), min_size=1, max_size=30), st.integers(-5, 0))
+def test_summaries_of_blocks_lead_on(steps, before):
+    """What a block says of any chunk open at its start is what a loop over its rows gives."""
+    t, rows = 0, []
+    for step, ahead, hard in steps:
+        t += step
+        rows.append((float(t), float(t + ahead), hard and ahead > 6))
+    origin, reach, hard = (np.array(x) for x in zip(*rows, strict=True))
+    seen, opens, counts = chunks._summary(origin, reach, hard, 4.0)
+    now, number = float(before), 0
+    for o, r, h in rows:
+        if h or r - now > 4.0:
+            now, number = o, number + 1
+    hit = next((k for k, s in enumerate(seen) if s - before > 4.0), None)
+    assert (now, number) == ((float(before), 0) if hit is None else (opens[hit], counts[hit]))
+
+
+def test_medians_of_groups(spark):
+    random.seed(2)
+    rows = [(random.choice(["a", "b", "c", None]), random.choice([None, float("nan"), 1.0, 1.0, random.gauss(0, 3)])) for _ in range(700)] + [("one", 5.0)]
+    got = {r.k: r.median for r in group_medians(spark.createDataFrame(rows, "k string, x double"), ["k"], "x").collect()}
+    want = {k: median(x for key, x in rows if key == k and x is not None and x == x) for k in {k for k, _ in rows}}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
 
 def test_chunks_lose_and_repeat_nothing():
@@ -246,16 +299,15 @@ def test_short_wordless_chunk_is_split():
     assert [r[1:3] for r in folds.chunk_lyrics(iter(rows), mode=2)] == [(0.0, 5.0), (5.0, 6.0), (6.0, 10.0)]
 
 
-def test_batches():
-    assert [b for _, b in folds.duration_batches(iter([(0, 0.0), (1, 600.0), (2, 600.1), (3, 1300.0)]))] == [0, 0, 1, 2]
+def test_batches(spark):
+    def batches(talk, longest):
+        df = spark.createDataFrame([("x", i, s, a, b) for i, s, a, b in talk], "f string, seg_no int, speaker string, start double, end double")
+        return [r.batch_id for r in sorted(by_speaker(df, "f", longest).collect(), key=lambda r: r.seg_no)]
+
     talk = [(i, s, 10.0 * i, 10.0 * i + 10) for i, s in enumerate("aabbbbccccccaaaabb")]
-    got = list(folds.speaker_batches(iter(talk), 60.0))
-    assert [r for r, _ in got] == list(range(18)) and [b for _, b in got] == [0] * 6 + [1] * 6 + [2] * 6
-    assert [b for _, b in folds.speaker_batches(iter(talk[:14]), 60.0)] == [0] * 6 + [1] * 8
-    assert [b for _, b in folds.speaker_batches(iter(talk[:3]), 600.0)] == [0] * 3
-    assert [p for _, p in folds.duration_packs(iter([(0, 90.0), (1, 90.0), (2, 91.0), (3, 1.0)]))] == [0, 0, None, 1]
-    assert [c for _, c in folds.size_chunks(iter([(i, 400) for i in range(5)]))] == [0, 0, 1, 1, 1]
-    assert [c for _, c in folds.size_chunks(iter([(i, 480) for i in range(3)]))] == [0, 0, 1]
+    assert batches(talk, 60.0) == [0] * 6 + [1] * 6 + [2] * 6
+    assert batches(talk[:14], 60.0) == [0] * 6 + [1] * 8
+    assert batches(talk[:3], 600.0) == [0] * 3
 
 
 def test_tidy_boundaries_and_speech():
@@ -356,3 +408,72 @@ def test_bounds_see_the_voice_activity(spark, tmp_path):
     vad.write.parquet(str(tmp_path / "vad.parquet"))
     got = {r.seg_no: (r.new_from, r.new_to) for r in songs.boundary_adjust(spark, str(tmp_path)).collect()}
     assert got[1][1] == got[2][0] == 57.1 and got[2][1] == 62.5 and got[3][0] == 79.5
+
+
+def test_overlaps_of_hot_songs_are_cut_into_buckets(spark):
+    random.seed(6)
+    seg = [(random.choice("ab"), i, a, random.choice([None, a - 1, a + random.random() * 300])) for i in range(80) for a in [random.random() * 900]] + [("a", 80, 0.0, 1e9)]
+    sts = [(random.choice("ab"), i, random.choice(["Verse", "chorus", None]), a, a + random.random() * 200) for i in range(40) for a in [random.random() * 900]]
+    ms = lambda x: None if x is None else round(x * 1000)
+    want = []
+    for song, no, a, b in seg:
+        if b is None or ms(b) <= ms(a):
+            continue
+        total, first = {}, {}
+        for other, _, label, u, v in sts:
+            ov = min(ms(b), ms(v)) - max(ms(a), ms(u))
+            if song == other and label and ov > 0:
+                total[label.lower()] = total.get(label.lower(), 0) + ov
+                first[label.lower()] = min(ms(u), first.get(label.lower(), 10**12))
+        if total:
+            label = max(total, key=lambda x: (total[x], -first[x], x))
+            want.append((song, no, label, total[label]))
+    got = timeline.overlap_labels(spark.createDataFrame(seg, "song_id string, seg_no int, start double, end double"), spark.createDataFrame(sts, "song_id string, st_no int, label string, start double, end double"), 60_000)
+    assert rows_of(got, "song_id", "seg_no", "label", "overlap_ms") == sorted(want, key=str)
+
+
+def test_labels_are_put_back_and_lists_zipped(spark):
+    seg = spark.createDataFrame([("s", i) for i in range(5)], "song_id string, seg_no int")
+    found = spark.createDataFrame([("s", 1, "7"), ("s", 3, "2_OUTLIER"), ("s", 4, "7_OUTLIER"), ("s", 4, "7")], "song_id string, seg_no int, label string")
+    assert rows_of(speakers.put_back(seg, found), "seg_no", "speaker_no") == [(0, None), (1, 0), (2, None), (3, 1), (4, 0)]
+    rows = spark.createDataFrame([([1, 2], ["a", "b"]), ([1], ["a", "b"]), (None, ["a"])], "x array<int>, y array<string>").select(timeline.zipped(F.col("x"), F.col("y")).alias("z"))
+    assert [r.z and [tuple(p) for p in r.z] for r in rows.collect()] == [[(1, "a"), (2, "b")], None, None]
+
+
+def test_clusters_over_chunks(spark):
+    random.seed(1)
+    centers = np.eye(4)[:3]
+    rows = [("s", i, (centers[i % 3] + np.array([random.gauss(0, 0.05) for _ in range(4)])).tolist(), i // 20) for i in range(60)] + [("s", 60, None, 2)]
+    df = spark.createDataFrame(rows, "key string, vec_id int, v array<double>, chunk_no int")
+    got = {r.vec_id: r.label for r in vectors.cluster_in_chunks(df, "key", "v", vectors.nearest_first(0.5)).collect()}
+    assert len(got) == 60 and len(set(got.values())) == 3 and all(got[i] == got[i % 3] for i in got)
+    labels = spark.createDataFrame([("s", 0, 5), ("s", 0, 9), ("s", 1, 5), ("s", 1, None)], "key string, chunk_no int, label int")
+    assert rows_of(vectors.offset_labels(labels, "key", "chunk_no", "label"), "chunk_no", "label", "chunk_label") == [(0, 5, 0), (0, 9, 1), (1, 5, 2), (1, None, None)]
+    table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0005, 1.0])], "label int, center array<double>")
+    assert vectors.similarity_table(table, "label").first().likeness == 0.0  # 0.0005 goes to the even digit
+
+
+def test_errors_stay_with_their_rows(spark):
+    out = models.map_or_null(spark.createDataFrame([(1,), (0,)], "n int"), lambda r: {"inverse": 1 / r["n"]}, "inverse double")
+    assert sorted(((r.inverse, r.error and r.error.split(":")[0]) for r in out.collect()), key=str) == [(1.0, None), (None, "ZeroDivisionError")]
+    assert models.voice_detector("energy")(np.zeros(1600), 16_000) == []
+    with pytest.raises(KeyError):
+        models.voice_detector("none")
+
+
+def test_paths_of_songs(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    for name, text in (("a", '{"audio_path": "a.flac", "segments": [{"text": "x"}]}'), ("b", '{"audio_path": "b.flac", "segments": []}'), ("c", '{"segments": [{"text": "x"}]}'), ("d", '{"audio_path": "d.flac", "segments": [{"text": "y"}]}')):
+        (tmp_path / "d" / f"{name}.json").write_text(text)
+    lines = tmp_path / "list.scp"
+    lines.write_text("\n".join(f"{tmp_path}/d/{n}.json" for n in ("a", "", "b", "c", "d") if n) + "\n\n")
+    assert [r.audio_path for r in readers.read_listed_songs(spark, str(lines)).orderBy("audio_path").collect()] == ["a.flac", "d.flac"]
+    assert [r.audio_path for r in readers.read_listed_songs(spark, str(lines), 1, 3).collect()] == ["d.flac"]
+    assert readers.song_paths(spark, str(tmp_path / "d")).count() == readers.song_paths(spark, str(lines)).count() == 4
+    assert readers.song_paths(spark, f"{tmp_path}/d/a.json").count() == 1
+    with pytest.raises(FileNotFoundError):
+        readers.song_paths(spark, f"{tmp_path}/none")
+    paths = spark.createDataFrame([("/x/Error_1.json",), ("/x/b.json",), (None,)], "path string")
+    good, bad = pairing.without_errors(paths)
+    assert good.count() == 2 and bad.count() == 1
+    assert pairing.one_at_random(paths, "path", 3).collect() == pairing.one_at_random(paths.repartition(3), "path", 3).collect()

@@ -2,13 +2,17 @@
 
 import json
 import math
+import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from strophe.functions import compare, signal
 from strophe.operators import batch_calls as B
+from strophe.operators import refine, run_modes
 from strophe.operators.models import energy_detector, map_sounds
+from strophe.operators.refine import RefineRules
 from strophe.sources import readers, writers
 from strophe.streaming.intervals import streaming_gaps
 from strophe.streaming.manifest import manifest_stream, run_available
@@ -41,15 +45,41 @@ def test_sound_files_and_levels(spark, tmp_path):
     assert len(signal.stretched(np.arange(3), 7)) == 9
 
 
+def _errors(a, b):
+    """Fewest errors, then fewest added words, by the plain recurrence."""
+    row = [(j, j) for j in range(len(b) + 1)]
+    for i, x in enumerate(a, 1):
+        new = [(i, 0)]
+        for j, y in enumerate(b, 1):
+            new.append(min((row[j - 1][0] + (x != y), row[j - 1][1]), (row[j][0] + 1, row[j][1]), (new[-1][0] + 1, new[-1][1] + 1)))
+        row = new
+    errors, added = row[-1]
+    missing = added + len(a) - len(b)
+    return [added, missing, errors - added - missing]
+
+
 def test_comparison(spark):
     assert compare.comparable("Ｈello, ＷORLD! é") == "helloworldé"
-    assert compare.mixed_tokens("“我love你, ok?") == ["“我", "love", "你,", "ok?"]
-    e = compare.word_errors("a b c d".split(), "a x c d e".split())
-    assert (e["wer"], e["ins"], e["del"], e["sub"]) == (0.5, 0.25, 0.0, 0.25)
-    assert compare.word_errors([], [])["wer"] == 0 and compare.word_errors("a b c".split(), [])["hallucinated"]
+    texts = ["Ｈello, ＷORLD! é", "plain, ASCII 1", "가 각ガ", "", None, "ﬂ²"]
+    forms = spark.createDataFrame([(t,) for t in texts], "t string").select(compare.comparable_text("t")).collect()
+    assert [r[0] for r in forms] == [t and compare.comparable(t) if t else t for t in texts]
+    cases = {"你，好": ["你", "，好"], "如果我 have 一个 banana .": ["如", "果", "我", "have", "一", "个", "banana."], "我love你": ["我", "love", "你"], "你好。": ["你", "好。"], "，": ["，"], "你，，好": ["你", "，，", "好"], "（你）": ["（你）"], "": []}
+    got = spark.createDataFrame([(t,) for t in cases], "t string").select("t", compare.mixed_tokens(F.col("t")).alias("x")).collect()
+    assert {r.t: r.x for r in got} == cases
     assert compare.character_difference("aab", "abc") == ("a", "c")
-    rows = spark.createDataFrame([("a b", "a b"), (None, "x")], "r string, h string").select(compare.word_error_rates("r", "h").alias("e")).select("e.wer").collect()
-    assert [r[0] for r in rows] == [0.0, 1.0]
+    row = spark.createDataFrame([("aab", "abc")], "a string, b string").select(compare.missing_and_extra(F.col("a"), F.col("b")).alias("c")).first().c
+    assert (row.missing, row.extra) == (1, 1)
+
+
+def test_word_errors(spark):
+    random.seed(3)
+    pairs = [([random.choice("abcd") for _ in range(random.randrange(0, 20))], [random.choice("abcd") for _ in range(random.randrange(0, 20))]) for _ in range(400)]
+    assert compare.word_error_counts(pairs, 300).tolist() == [_errors(a, b) for a, b in pairs]
+    assert compare.word_error_counts([]).shape == (0, 3)
+    rows = [("A, b c d", "a x c d e"), (None, "x"), ("", ""), ("a b c", None), ("same same", "Same, same!"), ("你好", "你 们")]
+    got = [r.e for r in spark.createDataFrame(rows, "r string, h string").coalesce(1).select(compare.word_error_rates(F.col("r"), F.col("h")).alias("e")).collect()]
+    assert [(e.wer, e.ins, e["del"], e.sub, e.hallucinated) for e in got] == [(0.5, 1, 0, 1, False), (100.0, 100, 0, 0, True), (100.0, 100, 0, 0, True), (1.0, 0, 3, 0, True), (0.0, 0, 0, 0, False), (0.5, 0, 0, 1, False)]
+    assert got[1].ins_ratio == 1.0
 
 
 def test_checked_calls():
@@ -169,3 +199,101 @@ def test_streams(spark, tmp_path):
     got = []
     run_available(manifest_stream(spark, str(tmp_path / "lines")), str(tmp_path / "c2"), lambda df, i: got.extend(r.audio_path for r in df.collect())).awaitTermination()
     assert got == ["a"]
+
+
+def test_documents_of_files(spark):
+    seg = spark.createDataFrame([(f, i, f"t{i}" if f == "x" else f"bad{i}", None, 100.0 * i, 100.0 * i + 90) for f in ("x", "y") for i in range(4)], "file string, seg_no int, text string, speaker string, start double, end double")
+    tasks = B.plan_tasks(B.plan_batches(seg, False, 200.0))
+
+    def client(prompt):
+        rows = json.loads(prompt.split("\n")[2])
+        return json.dumps([{"text": r["text"] + "!" if "bad3" not in prompt else None} for r in rows])
+
+    results = B.run_tasks(tasks, B.NumberRewrite(), client, B.CallRules(calls=1, checks=2))
+    whole = B.file_documents(tasks, results, B.NumberRewrite(), "done").collect()
+    assert [(r.file, r.done, [s.text for s in r.segments]) for r in whole] == [("x", True, ["t0!", "t1!", "t2!", "t3!"])]
+    assert [s.is_modified_number for s in whole[0].segments] == ["true"] * 4 and whole[0].segments[0].text_ori_number == "t0"
+    part = {r.file: r for r in B.file_documents(tasks, results, B.NumberRewrite(), "done", partial=True).collect()}
+    assert [(s.text, s.is_success) for s in part["y"].segments] == [("bad0!", "success"), ("bad1!", "success"), ("bad2!", "success"), ("bad3", "fail")] and part["y"].failed_batches == [1]
+
+
+def test_refinement_in_two_stages(spark):
+    rows = [(f, i, 10.0 * i, 10.0 * i + 5, "0_OUTLIER" if i == 1 else "0", f"line {i}" if i else "") for f in ("x", "y") for i in range(5)] + [("z", 0, None, None, None, None)]
+    seg = spark.createDataFrame(rows, "file string, seg_no int, start double, end double, speaker string, text string")
+    rules = RefineRules(sample=14, batch=2, tries=2, rounds=2)
+    samples = {r.file: r.sample for r in refine.sample_texts(seg, rules).collect()}
+    assert samples == {f: "line 1\nline 2\nline 3" for f in ("x", "y")}
+
+    def client(prompt):
+        if prompt.startswith("stage 1"):
+            return "```json\n" + json.dumps({"hotwords": ["lane"], "speaker_map": {"0": "Dar"}}) + "\n```"
+        lines = [x[6:] for x in prompt.splitlines() if x.startswith("text: ")]
+        count = prompt.count("Segment ")
+        return json.dumps({"data": [{"text": (lines[i - count] if i >= count - len(lines) else "") + ".", "speaker": "Dar"} for i in range(count)][: count - ("Segment 4" in prompt and "fail" in prompt)]})
+
+    out = {(r.file, r.seg_no): r for r in refine.refine(seg, client, lambda t: "en", rules).collect()}
+    assert len(out) == 11 and out["x", 2].text_gpt == "line 2." and out["x", 1].speaker_gpt == "Dar" and out["x", 0].hotwords == '["lane"]' and out["x", 0].language == "en" and out["z", 0].language is None
+    batches = {(r.file, r.batch_id): r for r in refine.refine_batches(seg, rules).collect()}
+    assert [len(batches["x", i].rows) for i in range(3)] == [2, 2, 1] and batches["x", 0].lines == "Segment 0:\nSpeaker 0 from 0.00 to 5.00\nSegment 1:\nSpeaker unknown from 10.00 to 15.00\ntext: line 1"
+    broken = seg.withColumn("text", F.when((F.col("file") == "y") & (F.col("seg_no") == 4), "fail").otherwise(F.col("text")))
+    out = {(r.file, r.seg_no): r for r in refine.refine(broken, client, lambda t: "en", rules).collect()}
+    assert not out["y", 0].refined and out["y", 0].text_gpt is None and out["y", 0].error == "wrong reply" and out["x", 0].refined
+
+
+def test_runs_by_settings(spark):
+    settings = run_modes.read_settings("processor: lyric # kind\n# mode: single\nmode: task\nparallel: false\napi_family: a+b\nmax_api_retries: 1\nother: x\ncount: 1\n")
+    assert settings == run_modes.RunSettings("task", False, "lyric", "a+b", 1, 4, 1)
+    with pytest.raises(ValueError):
+        run_modes.read_settings("mode: all")
+    families = {"a": {"one": _flagged}, "b": {"two": _flagged}}
+    tasks = spark.createDataFrame([("f", 0, [(0.0, 0, "hi", "0")]), ("f", 1, [(1.0, 1, "you", None)])], "file string, batch_id int, segments array<struct<start: double, seg_no: int, text: string, speaker: string>>")
+    one = run_modes.run(settings, families, tasks).collect()
+    assert [(r.batch_id, r.success) for r in one] == [(0, True)]
+    both = run_modes.run(run_modes.RunSettings("task", True, "lyric", "a"), families, tasks, pool=lambda s: next(iter(s.values()))).collect()
+    assert sorted((r.batch_id, r.success) for r in both) == [(0, True), (1, True)]
+    assert run_modes.run(run_modes.RunSettings("single", api_family="a", prompt="hello"), {"a": {"one": lambda p: p + "!"}})["reply"] == "hello!"
+    batch = run_modes.run(run_modes.RunSettings("batch", False, api_family="a"), {"a": {"one": lambda p: p.upper()}}, tasks).collect()
+    assert [r.reply for r in batch] == ["HI", "YOU"]
+    with pytest.raises(KeyError):
+        B.pooled(families, "c")
+    with pytest.raises(ValueError):
+        B.register("lyric", B.PROCESSORS["lyric"])
+
+
+def _flagged(prompt):
+    return json.dumps([{"text": r["text"], "is_lyric": True} for r in json.loads(prompt.split("\n")[2])])
+
+
+def test_a_service_that_is_asked_too_often_rests():
+    now = [0.0]
+
+    def busy(prompt):
+        raise RuntimeError("429 Too Many Requests")
+
+    pool = B.ServicePool({"a": busy, "b": lambda p: "b"}, clock=lambda: now[0])
+    assert {pool("x") for _ in range(20)} == {"b"}
+    failed = sum(not ok for _, ok in pool.events.get("a", []))
+    assert failed <= 1 and B.is_rate_limit(ValueError("Rate limit reached")) and not B.is_rate_limit(ValueError("no"))
+
+
+def test_results_come_back_in_order():
+    assert B.in_order([{"task_id": 2}, {"task_id": 0}]) == [{"task_id": 0}, {"task_id": 2}]
+
+
+def test_no_local_folder_on_a_cluster(spark, monkeypatch):
+    from strophe import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Frame:
+        sparkSession = type("S", (), {"sparkContext": Context()})()
+
+    with pytest.raises(RuntimeError):
+        session.cut_lineage(Frame())
