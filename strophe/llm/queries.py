@@ -126,7 +126,7 @@ def p7_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     over = placed.groupBy("container").agg(F.sum("tokens").alias("n")).agg(F.count_if(F.col("n") > 2048).alias("over"))
     pieces = placed.groupBy("doc_id").agg(F.sum("tokens").alias("n"), F.count("*").alias("pieces"))
     docs = pieces.agg(F.count("*").alias("documents"), F.count_if((F.col("pieces") > 1) & (F.col("n") <= 2048)).alias("cut"))
-    return docs.join(over, F.lit(True)).select("documents", "over", "cut")
+    return docs.join(over, F.lit(True)).filter("documents > 0").select("documents", "over", "cut")
 
 
 def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +155,7 @@ QUERIES = {"p9_found": p9_found, "p9_sentences": p9_sentences, "p8_found": p8_fo
 _LAST = "last_rows AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY loaded_at DESC) AS rn FROM segments) WHERE rn = 1)"
 ORACLE: dict[str, str] = {
     "p6_audit": f"""WITH {_LAST}, long AS (SELECT segment_id, CAST(round("start" * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e FROM last_rows) SELECT segment_id, s AS from_ms, e AS to_ms, true AS fits, true AS overlaps FROM long WHERE e - s > 30000""",
-    "p7_audit": "SELECT count(*) AS documents, CAST(0 AS BIGINT) AS over, CAST(0 AS BIGINT) AS cut FROM documents",
+    "p7_audit": "SELECT count(*) AS documents, CAST(0 AS BIGINT) AS over, CAST(0 AS BIGINT) AS cut FROM documents HAVING count(*) > 0",
     # Pauses of each list, then the furthest cut inside one again and again.
     "p6_found": f"""WITH RECURSIVE {_LAST}, long AS (SELECT segment_id, song_id, seg_no, CAST(round("start" * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e FROM last_rows),
 voice AS (SELECT segment_id, s, e, regexp_replace(regexp_replace(vad_res, '\\.0*', '', 'g'), '[^01]', '', 'g') AS bits FROM long LEFT JOIN vad USING (song_id, seg_no) WHERE e - s > 30000),

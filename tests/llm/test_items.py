@@ -5,11 +5,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strophe.llm.leaks import LeakRules, aligned_share, aligned_shares, common_length, find_leaks
 from strophe.llm.packing import PackRules, count_tokens, pack, plan_patterns
 from strophe.llm.splitting import SplitRules, cohesion_depths, earliest_safe, pauses, split_long, split_segment
-from strophe.llm.turns import TurnRules, fit_boundaries, read_segments, speaker_turns
+from strophe.llm.turns import FEATURES, TurnRules, boundary_chances, examples, fit_boundaries, read_segments, speaker_turns
 from strophe.llm.fillers import FillerModel
 from strophe.llm.units import hashed_units
 
@@ -38,7 +39,7 @@ def test_turns_over_blocks_against_a_loop(spark):
         for no in range(random.choice([3, 60, 200])):
             t += random.choice([1.0, 4.0, 40.0])
             rows.append((song, no, random.choice([None, None, 0, 1, 1]) if song != "d" else None, random.random() > 0.2, t))
-    read = spark.createDataFrame([(f"{s}{n}", s, n, w, k, t, False) for s, n, w, k, t in rows], "segment_id string, song_id string, seg_no int, who int, spoken boolean, start double, in_text boolean")
+    read = spark.createDataFrame([(f"{s}{n}", s, n, w, k, t, False, 8 * n) for s, n, w, k, t in rows], "segment_id string, song_id string, seg_no int, who int, spoken boolean, start double, in_text boolean, cue int")
     model = fit_boundaries(read)
     for block in (50, 700, 10**6):
         got = sorted((tuple(r) for r in speaker_turns(read, model, TurnRules(block=block)).collect()), key=str)
@@ -56,6 +57,26 @@ def test_turns_over_blocks_against_a_loop(spark):
         assert " ".join(t for _, t in sorted(found)).split() == [f"{s}{n}" for s, n, _, spoken, _ in rows if s == song and spoken]
 
 
+def test_boundaries_of_hidden_labels(spark):
+    """Fitted on some songs, the trees tell changes of speaker in others, whose labels are hidden, better than "never" does; with labels shown they are right; and they use several features."""
+    from strophe.llm.queries import _read_talk
+
+    read = _read_talk(spark, "/root/testdata/sf0.01", with_text=False).cache()
+    part = F.pmod(F.xxhash64("song_id"), F.lit(2))
+    model = fit_boundaries(read.filter(part == 0))
+    x, changed, hidden = examples(read.filter(part == 1))
+    right = (model.decide(x) > 0) == (changed > 0)
+    assert right[~hidden].mean() > 0.999
+    never = 1 - changed[hidden].mean()
+    assert hidden.sum() > 300 and right[hidden].mean() > never + 0.03
+    used = {int(f) for feature, cut, _ in model.trees for f, c in zip(feature, cut, strict=True) if c < model.bins + 1}
+    assert len(used) >= 4 and FEATURES.index("agree") in used
+    chances = boundary_chances(read.filter(part == 1), model).collect()
+    assert all(0 <= r.chance <= 1 for r in chances) and any(not r.labelled for r in chances)
+    for r in chances:
+        assert r.labelled or r.chance < 1
+
+
 def test_lines_are_read(spark):
     data = [(1, "s", 0, 0.0, 1, "S1: um, yes", "0", True), (2, "s", 1, 1.0, 1, "um", "Ozmer", None), (3, "s", 2, 2.0, 1, None, None, None), (4, "s", 3, 3.0, 1, "words", "OZMER ", False), (5, "s", 4, 4.0, 1, "화자 3: ммм, <noise> мoрe [breath] и эээ, лес", "1", True)]
     df = spark.createDataFrame(data, "segment_id int, song_id string, seg_no int, start double, loaded_at int, text string, speaker string, is_lyric boolean")
