@@ -13,7 +13,7 @@ from strophe.operators import batch_calls as B
 from strophe.operators import chunks, folds, speakers, vectors
 from strophe.operators.neighbours import time_bucket, with_neighbours, with_run_numbers
 from strophe.plans.forms import folded
-from strophe.plans.lyrics import _LAST, _SPOKEN, _WS, segments_now
+from strophe.plans.lyrics import _LAST, _SPOKEN, _WS, _bare, segments_now
 from strophe.session import cut_lineage, table
 
 
@@ -42,6 +42,13 @@ def greedy_merge_b(spark, d):
     return folds.fold_rows(rows, "song_id", _ORDER, ["label", "brackets", "words", "start", "end"], folds.chunk_lyrics, [("text", "string"), ("start", "double"), ("end", "double"), ("is_lyric", "boolean"), ("merged_count", "int")])
 
 
+def merge_b_totals(spark, d):
+    """Words and letters in the chunks of greedy_merge_b by song: none is lost or given twice."""
+    bare = T.without_brackets(F.col("text"))
+    rows = greedy_merge_b(spark, d).filter(bare != "").select("song_id", F.size(F.split(bare, r"(?U)\s+")).alias("n"), F.char_length(F.regexp_replace(bare, r"(?U)\s+", "")).alias("m"))
+    return rows.groupBy("song_id").agg(F.sum("n").alias("words"), F.sum("m").alias("letters"))
+
+
 def duration_batches(spark, d):
     rows = chunks.greedy_chunks(segments_now(spark, d, "song_id", "seg_no", "start"), "song_id", _ORDER, time_bucket(), F.col("start"), F.col("start"), 600.0)
     return rows.select("song_id", "seg_no", F.col("chunk_no").cast("int").alias("batch_id"))
@@ -238,7 +245,7 @@ def run_counts(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        greedy_merge_a, greedy_merge_b, duration_batches, speaker_batches, asr_packs, pack_960, fixed_batches, tidy_structures, speaker_turn_merge, centroids, centroid_similarity, neighbor_cosine,
+        greedy_merge_a, greedy_merge_b, merge_b_totals, duration_batches, speaker_batches, asr_packs, pack_960, fixed_batches, tidy_structures, speaker_turn_merge, centroids, centroid_similarity, neighbor_cosine,
         outlier_assign, merged_clusters, prompt_scores, sub_windows, success_weight, service_tasks, reply_checks, comparable_texts, word_errors, mixed_token_rows, letter_changes,
         clustered_in_chunks, likeness_table, method_choice, service_documents, run_counts,
     )
@@ -279,6 +286,7 @@ r AS (SELECT song_id, i, a, s AS f, e, coalesce(text, '') AS t, 1 AS n, 0 AS c F
 UNION ALL SELECT song_id, pi, CASE WHEN j THEN a ELSE pa END, CASE WHEN j THEN f ELSE ps END, pe, CASE WHEN j THEN t || ' ' || pt ELSE pt END, CASE WHEN j THEN n + 1 ELSE 1 END, CASE WHEN j THEN c ELSE c + 1 END
 FROM (SELECT r.*, l.i AS pi, l.a AS pa, l.s AS ps, l.e AS pe, coalesce(l.text, '') AS pt, coalesce(l.a IS NOT DISTINCT FROM r.a AND l.k > 0.6 AND l.s - r.e < 1 AND l.e - r.f <= 60, false) OR (l.s - r.e < 1 AND (r.e - r.f < 0.75 OR l.e - l.s < 0.75)) AS j FROM r JOIN l ON l.song_id = r.song_id AND l.i = r.i + 1))
 SELECT song_id, t AS text, f AS "start", e AS "end", n AS merged_count FROM (SELECT *, row_number() OVER (PARTITION BY song_id, c ORDER BY i DESC) AS last FROM r) WHERE last = 1""",
+    "merge_b_totals": rf"""WITH {_LAST}, b AS (SELECT song_id, {_bare("text")} AS b FROM last_rows WHERE "end" > "start") SELECT song_id, CAST(sum(len(regexp_split_to_array(b, '{_WS}+'))) AS BIGINT) AS words, CAST(sum(length(regexp_replace(b, '{_WS}+', '', 'g'))) AS BIGINT) AS letters FROM b WHERE b <> '' GROUP BY song_id""",
     "fixed_batches": f"WITH {_O} SELECT song_id, seg_no, (i - 1) // 100 AS batch_id FROM o",
     "centroids": f"WITH {_CENTER} SELECT label, n, CAST(pos AS INT) AS pos, round(x, 5) AS x FROM m",
     "centroid_similarity": f"WITH {_CENTER} SELECT a.label AS label_a, b.label AS label_b, round({_COS.format(a='a.v', b='b.v')}, 5) AS likeness FROM l a JOIN l b ON a.label < b.label",
@@ -322,3 +330,4 @@ f AS (SELECT unnest(x) AS r FROM s WHERE step = (SELECT max(step) FROM s)) SELEC
     "reply_checks": f"""WITH tasks AS (SELECT file, batch_id, 0 AS n FROM ({{service}})), r AS (SELECT * FROM (VALUES (1, NULL), (2, 'changed text'), (3, 'not a list'), (4, 'is_lyric is no boolean'), (5, 'changed length'), (6, NULL), (7, NULL), (8, 'changed words'), (9, 'wrong length')) t(id, problem)) SELECT file, batch_id, id, problem FROM tasks, r""",
 }
 ORACLE["reply_checks"] = ORACLE["reply_checks"].replace("{service}", ORACLE["service_tasks"])
+ORACLE["run_counts"] = f"SELECT count(DISTINCT file) AS files, count(*) AS batches, count(*) AS succeeded, count(*) AS attempts FROM ({ORACLE['service_tasks']})"
