@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from strophe.llm.language import fit_languages, label_code, with_languages
 from strophe.llm.leaks import find_leaks
 from strophe.llm.packing import pack_texts
 from strophe.llm.sentences import find_sentences
-from strophe.llm.skeleton import look_alike_pairs, look_classes, skeletons
+from strophe.llm.skeleton import look_alike_pairs, look_classes, skeleton, skeletons
 from strophe.llm.splitting import split_long
 from strophe.llm.turns import TurnRules, alias_numbers, boundary_chances, fit_boundaries, fit_fillers, read_segments, speaker_turns
 from strophe.operators.current import current_rows
@@ -95,6 +97,11 @@ def p5_looks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return look_classes(segments, "song_id", "segment_id", "text")
 
 
+def p5_varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many looks each song's lines have, how many rows and spellings those have together, and how many looks have several spellings."""
+    return p5_looks(spark, sf_dir).groupBy("song_id").agg(F.count("*").alias("looks"), F.sum("rows").alias("rows"), F.sum("spellings").alias("spellings"), F.count_if(F.col("spellings") > 1).alias("varied"))
+
+
 def p6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of every long segment."""
     columns = {c: c for c in ("song_id", "seg_no", "start", "end")}
@@ -151,9 +158,24 @@ def p9_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_sentences(table(spark, sf_dir, "documents"), _names(spark, sf_dir), with_text=True)
 
 
-QUERIES = {"p9_found": p9_found, "p9_sentences": p9_sentences, "p8_found": p8_found, "p8_leaks": p8_leaks, "p6_found": p6_found, "p6_pieces": p6_pieces, "p6_audit": p6_audit, "p7_pack": p7_pack, "p7_audit": p7_audit, "p5_looks": p5_looks, "p1_found": p1_found, "p1_segments": p1_segments, "p1_songs": p1_songs, "p4_found": p4_found, "p4_turns": p4_turns, "p4_boundaries": p4_boundaries, "p5_found": p5_found, "p5_forms": p5_forms}
+QUERIES = {"p9_found": p9_found, "p9_sentences": p9_sentences, "p8_found": p8_found, "p8_leaks": p8_leaks, "p6_found": p6_found, "p6_pieces": p6_pieces, "p6_audit": p6_audit, "p7_pack": p7_pack, "p7_audit": p7_audit, "p5_looks": p5_looks, "p5_varied": p5_varied, "p1_found": p1_found, "p1_segments": p1_segments, "p1_songs": p1_songs, "p4_found": p4_found, "p4_turns": p4_turns, "p4_boundaries": p4_boundaries, "p5_found": p5_found, "p5_forms": p5_forms}
 _LAST = "last_rows AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY loaded_at DESC) AS rn FROM segments) WHERE rn = 1)"
+
+
+
+def _looks(text: str) -> str:
+    """SQL of the skeleton of a text, composed: each character by a table of those whose skeleton is another one, from the blocks of letters, marks, spaces and forms of other widths."""
+    blocks = ((0x7F, 0x600), (0x0E33, 0x0E34), (0x115F, 0x1161), (0x13A0, 0x1400), (0x1680, 0x1681), (0x180B, 0x1810), (0x1D00, 0x2070), (0x2100, 0x2190), (0x2C80, 0x2D00), (0x2E80, 0x3001), (0x3164, 0x3165), (0xA4D0, 0xA500), (0xFB00, 0xFB07), (0xFE00, 0xFE10), (0xFEFF, 0xFF00), (0xFF01, 0xFFFC))
+    table = [(chr(c), unicodedata.normalize("NFC", skeleton(chr(c)))) for a, b in blocks for c in range(a, b)]
+    table = [(a, b) for a, b in table if a != b and unicodedata.normalize("NFC", a) == a]
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    looks = f"MAP([{', '.join(quoted(a) for a, _ in table)}], [{', '.join(quoted(b) for _, b in table)}])"
+    return f"CASE WHEN regexp_matches({text}, '[^\\x00-\\x7f]') THEN nfc_normalize(array_to_string(list_transform(regexp_extract_all(nfc_normalize({text}), '(?s).'), lambda x: coalesce({looks}[x], x)), '')) ELSE replace({text}, chr(9), ' ') END"
+
+
 ORACLE: dict[str, str] = {
+    "p5_found": f"WITH {_LAST}, k AS (SELECT segment_id, song_id, text, {_looks('text')} AS look FROM last_rows WHERE text IS NOT NULL AND song_id IS NOT NULL) SELECT a.segment_id AS segment_a, b.segment_id AS segment_b FROM k a JOIN k b ON a.song_id = b.song_id AND a.look = b.look AND a.segment_id < b.segment_id AND a.text <> b.text",
+    "p5_varied": f"WITH {_LAST}, k AS (SELECT song_id, text, {_looks('text')} AS look FROM last_rows WHERE text IS NOT NULL AND song_id IS NOT NULL), c AS (SELECT song_id, look, count(*) AS rows, count(DISTINCT text) AS spellings FROM k GROUP BY ALL) SELECT song_id, count(*) AS looks, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(spellings) AS BIGINT) AS spellings, count_if(spellings > 1) AS varied FROM c GROUP BY song_id",
     "p6_audit": f"""WITH {_LAST}, long AS (SELECT segment_id, CAST(round("start" * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e FROM last_rows) SELECT segment_id, s AS from_ms, e AS to_ms, true AS fits, true AS overlaps FROM long WHERE e - s > 30000""",
     "p7_audit": "SELECT count(*) AS documents, CAST(0 AS BIGINT) AS over, CAST(0 AS BIGINT) AS cut FROM documents HAVING count(*) > 0",
     # Pauses of each list, then the furthest cut inside one again and again.
