@@ -128,8 +128,9 @@ def character_difference(before: str, after: str) -> tuple[str, str]:
 
 def missing_and_extra(before: Column, after: Column) -> Column:
     """character_difference() as a column of counts: how many characters are missing and how many are extra."""
-    letters = lambda x: F.filter(F.split(x, ""), lambda c: c != "")
-    a, b = letters(before), letters(after)
-    count = lambda xs, c: F.size(F.filter(xs, lambda x: x == c))
-    more = lambda xs, ys: F.aggregate(F.array_distinct(xs), F.lit(0), lambda s, c: s + F.greatest(F.lit(0), count(xs, c) - count(ys, c)))
-    return F.struct(more(a, b).alias("missing"), more(b, a).alias("extra"))
+    letters = lambda x: F.array_distinct(F.filter(F.split(x, ""), lambda c: c != ""))
+    count = lambda x, c: F.char_length(x) - F.char_length(F.replace(x, c, F.lit("")))
+    more = lambda x, y: F.aggregate(letters(x), F.lit(0), lambda s, c: s + F.greatest(F.lit(0), count(x, c) - count(y, c)))
+    # One round of a lambda binds both texts, so that what they are made of is worked out once.
+    both = F.array(F.struct(before.alias("x"), after.alias("y")))
+    return F.transform(both, lambda p: F.struct(more(p["x"], p["y"]).alias("missing"), more(p["y"], p["x"]).alias("extra")))[0]

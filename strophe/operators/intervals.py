@@ -65,14 +65,19 @@ def _maps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Any, int, Interva
         yield *held, kept
 
 
+def bucketed(df: DataFrame, key: str, start: str, end: str, bucket: int) -> DataFrame:
+    """key, bucket, s, e: intervals by integer start and end with the bucket of time they start in; rows that are none are left out."""
+    rows = df.select(F.col(key).alias("key"), F.col(start).cast("long").alias("s"), F.col(end).cast("long").alias("e")).filter("e > s")
+    return rows.select("key", F.expr(f"s div {bucket}L - if(s < 0, 1, 0)").alias("bucket"), "s", "e")
+
+
 def _mapped(df: DataFrame, key: str, start: str, end: str, bucket: int, gaps: bool) -> DataFrame:
     """key, bucket, kind, a, b: of each key's bucket of time its disjoint periods (kind period), or else the gaps between them (gap) and one row (span) from its first start to its last end.
 
     Rows with a null start or an end that is null or not after the start cover nothing. A null key is a key of its own. What goes on is
     written once, since it is read several times; it is no longer than the periods are.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(start).cast("long").alias("s"), F.col(end).cast("long").alias("e")).filter("e > s")
-    rows = rows.select("key", F.expr(f"s div {bucket}L - if(s < 0, 1, 0)").alias("bucket"), "s", "e").repartition("key", "bucket").sortWithinPartitions("key", "bucket")
+    rows = bucketed(df, key, start, end, bucket).repartition("key", "bucket").sortWithinPartitions("key", "bucket")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = next(batches, None)
@@ -100,15 +105,8 @@ def _carried(spans: DataFrame) -> DataFrame:
     return spans.select(F.col("key").alias("key_"), F.col("bucket").alias("bucket_"), F.max("b").over(before).alias("carried"))
 
 
-def interval_gaps(df: DataFrame, key: str, start: str, end: str, longest: int | None = None, bucket: int = 3_600_000) -> DataFrame:
-    """key, gap_from, gap_to: each stretch between the key's first start and last end that no interval covers.
-
-    start and end are integers. Rows with a null start or an end that is null or not after the start are no intervals: they cover
-    nothing and are no first start or last end. Gaps longer than `longest` are left out.
-    Repeated rows and ties change nothing; an empty table has no gaps. A key with a third of all rows is spread over its buckets of
-    time, each an interval map of its own; a gap of a bucket is cut by what reaches into it from the buckets before.
-    """
-    mapped = _mapped(df, key, start, end, bucket, True)
+def settled_gaps(mapped: DataFrame, key: str, longest: int | None = None) -> DataFrame:
+    """key, gap_from, gap_to from the gaps and spans of all buckets (key, bucket, kind, a, b): a gap of a bucket is cut by what reaches into it from the buckets before."""
     spans = mapped.filter("kind = 'span'")
     first = F.struct(F.col("carried").alias("f"), F.col("a").alias("t"))
     # A span's row stands for the gap before its bucket.
@@ -119,6 +117,17 @@ def interval_gaps(df: DataFrame, key: str, start: str, end: str, longest: int |
     return gaps.select(F.col("key").alias(key), F.col("f").alias("gap_from"), F.col("t").alias("gap_to"))
 
 
+def interval_gaps(df: DataFrame, key: str, start: str, end: str, longest: int | None = None, bucket: int = 3_600_000) -> DataFrame:
+    """key, gap_from, gap_to: each stretch between the key's first start and last end that no interval covers.
+
+    start and end are integers. Rows with a null start or an end that is null or not after the start are no intervals: they cover
+    nothing and are no first start or last end. Gaps longer than `longest` are left out.
+    Repeated rows and ties change nothing; an empty table has no gaps. A key with a third of all rows is spread over its buckets of
+    time, each an interval map of its own.
+    """
+    return settled_gaps(_mapped(df, key, start, end, bucket, True), key, longest)
+
+
 def continuous_periods(df: DataFrame, key: str, start: str, end: str, bucket: int = 3_600_000) -> DataFrame:
     """key, period_from, period_to: the continuous covered periods of each key; cases as in interval_gaps."""
     periods = _mapped(df, key, start, end, bucket, False)

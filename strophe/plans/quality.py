@@ -9,7 +9,9 @@ from strophe.functions.text import is_cjk, millis, without_brackets
 from strophe.operators.current import current_rows
 from strophe.operators.intervals import continuous_periods, interval_gaps
 from strophe.operators.spikes import flag_spikes
-from strophe.session import table
+from strophe.session import shared_folder, table
+from strophe.streaming.intervals import streamed_gaps
+from strophe.streaming.manifest import files_stream
 
 #: Longer stretches lie between two recordings.
 BREAK_MS = 600_000
@@ -40,7 +42,14 @@ def p3_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.select("song_id", F.col("period_from").alias("from_ms"), F.col("period_to").alias("to_ms"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_spikes": p2_spikes, "p3_found": p3_found, "p3_periods": p3_periods}
+def gaps_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gaps that no delivered version of any segment covers, by the interval map over a stream of the table's files."""
+    stream = files_stream(spark, sf_dir, "segments.parquet")
+    rows = stream.withColumn("s", millis(F.col("start"))).withColumn("e", millis(F.col("end")))
+    return streamed_gaps(rows, "song_id", "s", "e", shared_folder(spark))
+
+
+QUERIES = {"gaps_stream": gaps_stream, "p2_found": p2_found, "p2_spikes": p2_spikes, "p3_found": p3_found, "p3_periods": p3_periods}
 
 _LAST = "last_rows AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY loaded_at DESC) AS rn FROM segments) WHERE rn = 1)"
 _COVER = f"""
@@ -48,6 +57,8 @@ _COVER = f"""
 reach AS (SELECT *, max(e) OVER (PARTITION BY song_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM spans WHERE e > s)"""
 # The same by medians of whole songs instead of charts: what isn't implausible lies far from the limits.
 ORACLE = {
+    "gaps_stream": """WITH spans AS (SELECT song_id, CAST(round("start" * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e FROM segments),
+reach AS (SELECT *, max(e) OVER (PARTITION BY song_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM spans WHERE e > s) SELECT song_id, r AS gap_from, s AS gap_to FROM reach WHERE s > r""",
     "p2_found": rf"""WITH {_LAST}, f AS (SELECT segment_id, song_id, seg_no, average_duration AS v, coalesce(regexp_matches(regexp_replace(text, '\[[^\]]*\]', '', 'g'), '[\x{{4e00}}-\x{{9fff}}\x{{3040}}-\x{{30ff}}\x{{ac00}}-\x{{d7af}}\x{{0e00}}-\x{{0e7f}}]'), false) AS cjk FROM last_rows WHERE average_duration IS NOT NULL),
 g AS (SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY seg_no) - row_number() OVER (PARTITION BY song_id, v ORDER BY seg_no) AS k FROM f),
 r AS (SELECT *, count(*) OVER (PARTITION BY song_id, v, k) AS n, median(CASE WHEN v > 0 AND isfinite(v) THEN v END) OVER (PARTITION BY song_id, cjk) AS m FROM g)

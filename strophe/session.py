@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,19 +25,29 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g")
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and go on from the files.
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that all executors can reach, below spark.checkpoint.dir.
 
-    The cluster names the folder in spark.checkpoint.dir. Only where that is unset and all tasks run in this
-    process (a local master) a temporary folder is taken; executors on other machines couldn't read it.
+    Only where that is unset and all tasks run in this process (a local master) a temporary folder is taken; executors on other
+    machines couldn't read it.
     """
-    spark = df.sparkSession
+    _checkpoints(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+
+
+def _checkpoints(spark: SparkSession) -> None:
+    """Makes sure that there is a folder for checkpoints."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="strophe-checkpoint-"))
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write df to the shared checkpoint folder, which the cluster names in spark.checkpoint.dir, and go on from the files."""
+    _checkpoints(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -1,4 +1,4 @@
-"""The interval map as a stream: keyed state holds each key's disjoint intervals."""
+"""The interval map as a stream: keyed state holds the disjoint intervals of each key's bucket of time."""
 
 from __future__ import annotations
 
@@ -6,29 +6,53 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from strophe.operators.intervals import IntervalMap
+from strophe.operators.intervals import IntervalMap, bucketed, settled_gaps
 
 
-def streaming_gaps(stream: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """key, periods, gap_from, gap_to for each key with new intervals in a batch: its gaps as they are now (update mode); a key without gaps has one row with nulls.
+def interval_stream(stream: DataFrame, key: str, start: str, end: str, bucket: int = 3_600_000) -> DataFrame:
+    """key, bucket, version, kind, a, b: of each key's bucket that new intervals changed, its gaps and its span as they are now (update mode).
 
-    An extension: batch jobs use interval_gaps, which also splits large keys.
+    An interval belongs to the bucket it starts in, so a state holds no more than a bucket's disjoint intervals, and buckets without
+    news say nothing. Rows that are no intervals, as in interval_gaps, are left out.
     """
     kind = dict(stream.dtypes)[key]
 
     def run(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        starts, ends = state.get if state.exists else ([], [])
+        starts, ends, version = state.get if state.exists else ([], [], 0)
         kept = IntervalMap(list(starts), list(ends))
         for frame in frames:
-            for a, b in zip(frame["s"], frame["e"], strict=True):
-                if pd.notna(a) and pd.notna(b):
-                    kept.add(int(a), int(b))
-        state.update((kept.starts, kept.ends))
-        gaps = kept.gaps() or [(None, None)]
-        yield pd.DataFrame({"key": [keys[0]] * len(gaps), "periods": [len(kept.starts)] * len(gaps), "gap_from": pd.array([g[0] for g in gaps], "Int64"), "gap_to": pd.array([g[1] for g in gaps], "Int64")})
-
-    rows = stream.selectExpr(f"`{key}` AS key", f"`{start}` AS s", f"`{end}` AS e")
-    out = rows.groupBy("key").applyInPandasWithState(run, f"key {kind}, periods long, gap_from long, gap_to long", "starts array<long>, ends array<long>", "update", GroupStateTimeout.NoTimeout)
-    return out.withColumnRenamed("key", key)
+            for a, b in zip(frame["s"].tolist(), frame["e"].tolist(), strict=True):
+                kept.add(a, b)
+        if kept.starts == list(starts) and kept.ends == list(ends):
+            return
+        state.update((kept.starts, kept.ends, version + 1))
+        rows = [("gap", a, b) for a, b in kept.gaps()] + [("span", kept.starts[0], kept.ends[-1])]
+        yield pd.DataFrame([(*keys, version + 1, *r) for r in rows], columns=["key", "bucket", "version", "kind", "a", "b"])
+
+    schema = f"key {kind}, bucket long, version long, kind string, a long, b long"
+    return bucketed(stream, key, start, end, bucket).groupBy("key", "bucket").applyInPandasWithState(run, schema, "starts array<long>, ends array<long>, version long", "update", GroupStateTimeout.NoTimeout)
+
+
+def streamed_gaps(stream: DataFrame, key: str, start: str, end: str, folder: str, longest: int | None = None, bucket: int = 3_600_000) -> DataFrame:
+    """The gaps of all intervals that have arrived, as interval_gaps gives them. What has arrived is worked off; with the same folder a later call goes on from there.
+
+    Each batch of changes is written to a folder of its own below `folder`, which all executors must reach, so one that is repeated after a failure
+    replaces itself. Of a bucket the latest version counts.
+    """
+    spark = stream.sparkSession
+
+    def keep(changes: DataFrame, number: int) -> None:
+        changes.write.mode("overwrite").parquet(f"{folder}/changes/batch={number}")
+
+    changes = interval_stream(stream, key, start, end, bucket)
+    changes.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    name = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/changes")
+    if not name.getFileSystem(spark._jsc.hadoopConfiguration()).exists(name):
+        return spark.createDataFrame([], f"`{key}` {dict(stream.dtypes)[key]}, gap_from long, gap_to long")
+    seen = spark.read.option("basePath", f"{folder}/changes").parquet(f"{folder}/changes").select("key", "bucket", "version", "kind", "a", "b")
+    last = seen.groupBy(F.col("key").alias("k_"), F.col("bucket").alias("b_")).agg(F.max("version").alias("v_"))
+    mapped = seen.join(last, F.expr("key <=> k_ and bucket = b_ and version = v_")).select("key", "bucket", "kind", "a", "b")
+    return settled_gaps(mapped, key, longest)

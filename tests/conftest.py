@@ -6,6 +6,10 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Where the test tables are.
+DATA = os.environ.get("TESTDATA", "/root/testdata")
+
+
 @pytest.fixture(scope="session")
 def spark():
     from strophe.session import local_session
@@ -15,7 +19,12 @@ def spark():
 
 @pytest.fixture(scope="session")
 def small():
-    return "/root/testdata/sf0.001"
+    return f"{DATA}/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def medium():
+    return f"{DATA}/sf0.01"
 
 
 @pytest.fixture(scope="session")

@@ -14,7 +14,8 @@ from strophe.operators import refine, run_modes
 from strophe.operators.models import energy_detector, map_sounds
 from strophe.operators.refine import RefineRules
 from strophe.sources import readers, writers
-from strophe.streaming.intervals import streaming_gaps
+from strophe.operators.intervals import interval_gaps
+from strophe.streaming.intervals import streamed_gaps
 from strophe.streaming.manifest import manifest_stream, run_available
 
 
@@ -189,12 +190,20 @@ def test_streams(spark, tmp_path):
         (tmp_path / name).mkdir()
     spark.createDataFrame([("a", 0, 5), ("a", 9, 12), ("b", 0, 1)], "k string, s long, e long").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("k string, s long, e long").parquet(str(tmp_path / "in"))
-    query = streaming_gaps(stream, "k", "s", "e").writeStream.format("memory").queryName("gaps").outputMode("update").option("checkpointLocation", str(tmp_path / "c1")).start()
-    query.processAllAvailable()
-    spark.createDataFrame([("a", 4, 10), ("a", 20, 21)], "k string, s long, e long").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    query.processAllAvailable()
-    query.stop()
-    assert {tuple(r) for r in spark.table("gaps").collect()} == {("a", 2, 5, 9), ("b", 1, None, None), ("a", 2, 12, 20)}
+    gaps = lambda: sorted(tuple(r) for r in streamed_gaps(stream, "k", "s", "e", str(tmp_path / "c1"), bucket=8).collect())
+    assert gaps() == [("a", 5, 9)]
+    spark.createDataFrame([("a", 4, 10), ("a", 20, 21), ("a", 3, 3), ("a", None, 9), ("b", 0, 1)], "k string, s long, e long").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    assert gaps() == gaps() == [("a", 12, 20)]
+    # Only buckets that changed were written: the first run's two, then two of a, none of b.
+    assert spark.read.parquet(str(tmp_path / "c1" / "changes")).filter("kind = 'span'").groupBy("key").count().orderBy("key").collect() == [("a", 4), ("b", 1)]
+    random.seed(5)
+    spans = [(random.choice("xyz"), a, a + random.randrange(0, 40)) for a in (random.randrange(-500, 500) for _ in range(300))]
+    for i in range(3):
+        spark.createDataFrame(spans[i::3], "k string, s long, e long").repartition(2).write.mode("append").parquet(str(tmp_path / "in2"))
+        stream = spark.readStream.schema("k string, s long, e long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in2"))
+        got = streamed_gaps(stream, "k", "s", "e", str(tmp_path / "c3"), bucket=50).collect()
+    want = interval_gaps(spark.createDataFrame(spans, "k string, s long, e long"), "k", "s", "e", bucket=10**6).collect()
+    assert sorted(got) == sorted(want) and want
     (tmp_path / "lines" / "m.jsonl").write_text('{"audio_path":"a","lyric_path":"l"}\n{bad\n{"audio_path":"b"}\n')
     got = []
     run_available(manifest_stream(spark, str(tmp_path / "lines")), str(tmp_path / "c2"), lambda df, i: got.extend(r.audio_path for r in df.collect())).awaitTermination()
