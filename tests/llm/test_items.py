@@ -57,11 +57,11 @@ def test_turns_over_blocks_against_a_loop(spark):
         assert " ".join(t for _, t in sorted(found)).split() == [f"{s}{n}" for s, n, _, spoken, _ in rows if s == song and spoken]
 
 
-def test_boundaries_of_hidden_labels(spark):
+def test_boundaries_of_hidden_labels(spark, medium):
     """Fitted on some songs, the trees tell changes of speaker in others, whose labels are hidden, better than "never" does; with labels shown they are right; and they use several features."""
     from strophe.llm.queries import _read_talk
 
-    read = _read_talk(spark, "/root/testdata/sf0.01", with_text=False).cache()
+    read = _read_talk(spark, medium, with_text=False).cache()
     part = F.pmod(F.xxhash64("song_id"), F.lit(2))
     model = fit_boundaries(read.filter(part == 0))
     x, changed, hidden = examples(read.filter(part == 1))

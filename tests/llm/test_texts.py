@@ -82,8 +82,8 @@ def test_vectors_are_nearly_orthogonal():
     assert np.allclose(np.diag(like), 1) and np.abs(like - np.eye(len(v))).max() < 0.12
 
 
-def test_languages(spark, small):
-    segments = spark.read.parquet("/root/testdata/sf0.01/segments.parquet")
+def test_languages(spark, medium):
+    segments = spark.read.parquet(f"{medium}/segments.parquet")
     model = fit_languages(segments, frozenset(ALIASES), FillerModel())
     texts = {"en": "the lonely baker borrows the silver kettle", "es": "la guitarrista solemne guarda la taza azul", "fr": "la pianiste fragile lève la fenêtre utile", "de": "der stille Fischer vergisst die leere Brücke", "ru": "старая швея хвалит зимнюю лампу", "zh": "小心的司机测量了冰冷的车站", "ja": "若い庭師は曲がった茶碗を忘れた", "ko": "외로운 운전사는 빛바랜 차표를 세었다", "th": "คนสวนคนเงียบล้างหุบเขาสีเขียว"}
     total, _, _, gain, _, _ = analyse(list(texts.values()), model)
@@ -105,8 +105,8 @@ def cut(text, model, prose=True):
 
 
 @pytest.fixture(scope="module")
-def sentences(spark):
-    return train_sentences(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), frozenset(ALIASES))
+def sentences(spark, medium):
+    return train_sentences(spark.read.parquet(f"{medium}/documents.parquet"), frozenset(ALIASES))
 
 
 @pytest.mark.parametrize("parts", [
@@ -137,8 +137,8 @@ def test_sentences_without_capitals_and_spaces(sentences):
     assert sentence_ends(None, True, sentences, frozenset()) == []
 
 
-def test_sentences_cover_the_text(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+def test_sentences_cover_the_text(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
     found = {}
     for r in find_sentences(docs, frozenset(ALIASES), with_text=True).collect():
         found.setdefault(r.doc_id, []).append(r)
