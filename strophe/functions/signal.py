@@ -2,18 +2,48 @@
 
 from __future__ import annotations
 
+import base64
 import io
 import wave
 
 import numpy as np
 
 
-def read_wave(content: bytes, mono: bool = True) -> tuple[np.ndarray, int]:
-    """Samples in -1 .. 1 (channels first; the first one only for mono) and the rate of 16-bit PCM sound."""
+def read_wave(content: bytes, mono: bool = True, start: float = 0.0, end: float | None = None) -> tuple[np.ndarray, int]:
+    """Samples in -1 .. 1 (channels first; the first one only for mono) between two times, and the rate, of PCM sound of 8, 16, 24 or 32 bits."""
     with wave.open(io.BytesIO(content)) as sound:
-        data = np.frombuffer(sound.readframes(sound.getnframes()), dtype="<i2").astype(np.float32) / 32768
+        rate, width = sound.getframerate(), sound.getsampwidth()
+        first = min(max(0, int(start * rate)), sound.getnframes())
+        sound.setpos(first)
+        raw = np.frombuffer(sound.readframes((sound.getnframes() if end is None else min(int(end * rate), sound.getnframes())) - first), dtype=np.uint8)
+        if width == 1:
+            data = (raw.astype(np.float32) - 128) / 128
+        else:
+            # Little-endian samples of any width in the upper bytes of 32 bits.
+            wide = np.zeros((len(raw) // width, 4), dtype=np.uint8)
+            wide[:, 4 - width :] = raw.reshape(-1, width)
+            data = (wide.view("<i4")[:, 0] / 2**31).astype(np.float32)
         data = data.reshape(-1, sound.getnchannels()).T
-        return (data[0] if mono else data), sound.getframerate()
+        return (data[0] if mono else data), rate
+
+
+def resampled(samples: np.ndarray, rate: int, wanted: int) -> np.ndarray:
+    """Samples at another rate: through the spectrum, so that nothing above half the lower rate is left."""
+    n = len(samples)
+    m = round(n * wanted / rate)
+    if n == 0 or m == n:
+        return samples
+    spectrum = np.fft.rfft(samples)
+    kept = np.zeros(m // 2 + 1, dtype=complex)
+    both = min(len(kept), len(spectrum))
+    kept[:both] = spectrum[:both]
+    return (np.fft.irfft(kept, m) * (m / n)).astype(np.float32)
+
+
+def clip_base64(content: bytes, start: float, end: float) -> str:
+    """A stretch of a sound as the text of a WAV file."""
+    samples, rate = read_wave(content, mono=False, start=start, end=end)
+    return base64.b64encode(write_wave(samples, rate)).decode()
 
 
 def write_wave(samples: np.ndarray, rate: int) -> bytes:

@@ -118,6 +118,17 @@ def singer_text(path: Column) -> Column:
     return trim_all(F.split(bare, " - ")[0])
 
 
+def diarized_singer_text(path: Column) -> Column:
+    """singer_text(), but of a name without " - " what stands before its first hyphen."""
+    bare = F.regexp_replace(file_name(path), r"(\.(flac|mp3|wav|m4a))?\.json$", "")
+    return trim_all(F.when(bare.contains(" - "), F.split(bare, " - ")[0]).otherwise(F.split(bare, "-")[0]))
+
+
+def kept_path(path: Column, parts: int = 2) -> Column:
+    """The last parts of a path: where a file goes below another root."""
+    return F.array_join(F.slice(F.split(path, "/"), -parts, parts), "/") if parts == 1 else F.when(F.size(F.split(path, "/")) >= parts, F.array_join(F.slice(F.split(path, "/"), -parts, parts), "/")).otherwise(path)
+
+
 def singers(path: Column) -> Column:
     return F.filter(F.transform(F.split(singer_text(path), "、"), trim_all), lambda s: s != "")
 

@@ -76,7 +76,7 @@ class LyricCheck:
         return None
 
     def apply(self, reply: str, rows: Sequence[dict]) -> list[dict]:
-        return [dict(row) | {"is_lyric": got["is_lyric"]} for got, row in zip(reply_rows(reply) or [], rows, strict=True)]
+        return [dict(row) | {f"text_ori_{self.name}": row["text"], "is_lyric": got["is_lyric"], f"is_modified_{self.name}": row.get("is_lyric") != got["is_lyric"]} for got, row in zip(reply_rows(reply) or [], rows, strict=True)]
 
 
 @dataclass(frozen=True)
@@ -151,6 +151,24 @@ class SimpleTask:
         return self.use(reply, rows)
 
 
+def _is_json(reply: str, rows: Sequence[dict]) -> bool:
+    try:
+        json.loads(unfenced(reply))
+    except ValueError:
+        return False
+    return True
+
+
+#: Tasks for any text: an answer in JSON, a summary (shorter than the text), a translation, code (in a fence), a text made better (of a like length).
+SAMPLES: dict[str, SimpleTask] = {
+    "json": SimpleTask(right=_is_json, name="json"),
+    "summary": SimpleTask(right=lambda reply, rows: 0 < len(reply.strip()) < max(2, sum(len(str(r.get("text") or "")) for r in rows)), name="summary"),
+    "translation": SimpleTask(right=lambda reply, rows: bool(reply.strip()), name="translation"),
+    "code": SimpleTask(right=lambda reply, rows: "```" in reply, name="code"),
+    "better": SimpleTask(right=lambda reply, rows: 0.3 < len(reply) / max(1, sum(len(str(r.get("text") or "")) for r in rows)) < 3.0, name="better"),
+}
+
+
 @dataclass(frozen=True)
 class Entry:
     """A kind of task as settings name it: its class, and the suffix and flag of its output."""
@@ -290,8 +308,10 @@ def plan_batches(segments: DataFrame, of_speakers: bool, longest: float) -> Data
     return batched.withColumn("batch_id", F.col("batch_id").cast("int"))
 
 
-def plan_tasks(batched: DataFrame) -> DataFrame:
-    """file, batch_id, segments: one task for each batch, its segments in order. A batch is bounded by its duration."""
+def plan_tasks(batched: DataFrame, done: DataFrame | None = None) -> DataFrame:
+    """file, batch_id, segments: one task for each batch, its segments in order. A batch is bounded by its duration; files in done have none."""
+    if done is not None:
+        batched = batched.join(done.select("file").distinct(), "file", "left_anti")
     return batched.groupBy("file", "batch_id").agg(F.array_sort(F.collect_list(F.struct("start", "seg_no", "text", "speaker"))).alias("segments"))
 
 

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def time_bucket(start: str = "start", seconds: int = 3600) -> Column:
-    """Bucket of a time in seconds; rows without one come first, as they do in ascending order."""
-    return F.coalesce(F.floor(F.col(start) / seconds), F.lit(-(2**40))).cast("long")
+def time_bucket(start: str = "start", seconds: int = 3600, number: str = "seg_no") -> Column:
+    """Bucket of a time in seconds; rows without one come first, as they do in ascending order, in buckets of their numbers (those without a number before them)."""
+    return F.coalesce(F.floor(F.col(start) / seconds), F.floor(F.col(number) / 4096) - F.lit(2**40), F.lit(-(2**41))).cast("long")
 
 
 def _same(key: str) -> Column:

@@ -102,6 +102,24 @@ def merged_name(path: Column, seconds: int) -> Column:
     return F.concat(file_stem(path), F.lit(f".merged.{seconds}s.json"))
 
 
+def diarized_name(path: Column) -> Column:
+    return F.concat(file_stem(path), F.lit(".diarized.json"))
+
+
+def part_path(path: Column, part: str, suffix: str = ".flac") -> Column:
+    """Where a part of a sound (voice, the rest) goes: in a folder of the file's stem."""
+    return F.concat(file_stem(path), F.lit(f"/{part}{suffix}"))
+
+
+def orphans(done: DataFrame, stages: dict[str, DataFrame], on: list[str]) -> DataFrame:
+    """stage and key of intermediate results whose final result doesn't exist. They are reported, nothing is deleted. A null key is an orphan."""
+    found = [not_done(rows.select(*on).distinct(), done, on).select(F.lit(stage).alias("stage"), *on) for stage, rows in stages.items()]
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def shard(index: Column, size: int, offset: int = 0) -> Column:
     """Number of the output folder of a line, by its index in the whole list."""
     return F.floor((index + offset) / size)

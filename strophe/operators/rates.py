@@ -114,6 +114,16 @@ def song_audit(reset: DataFrame, rules: RateRules = RateRules()) -> DataFrame:
     return rows.withColumn("passes", passes).withColumn("route", F.concat_ws("/", F.when(F.col("has_reset"), "reset").otherwise("ori"), F.when(F.col("passes"), "filtered").otherwise("filtered_out")))
 
 
+def song_wrapper(flagged: DataFrame, reset: DataFrame, rules: RateRules = RateRules()) -> DataFrame:
+    """song_id, segments, has_reset_segments, western_number, western_seconds, cjk_number, cjk_seconds: what a song's document says of its segments after those that were too slow are cut.
+
+    The numbers are of the segments whose pace counts in their song (song_rates); 0 where there is none.
+    """
+    rates = song_rates(flagged, rules).groupBy("song_id").agg(*[F.sum(F.when(F.col("lang_type") == f, F.col(c)).otherwise(0)).alias(f"{f}_{n}") for f in ("western", "cjk") for c, n in (("number", "number"), ("total_dur", "seconds"))])
+    rows = reset.groupBy("song_id").agg(F.count("*").alias("segments"), F.coalesce(F.bool_or("reset_end_time"), F.lit(False)).alias("has_reset_segments"))
+    return rows.join(rates, "song_id", "left").na.fill(0)
+
+
 def scp_line(path: Column) -> Column:
     """A song's line of a list: path, segments, flagged segments, their share to four digits; separated by tabs."""
     return F.concat_ws("\t", path, F.col("total_seg_num").cast("string"), F.col("is_duration_ill_cnt").cast("string"), F.format_string("%.4f", F.col("ill_duration_seg_ratio")))

@@ -92,13 +92,15 @@ def overlap_labels(segments: DataFrame, structures: DataFrame, bucket: int = 120
     return sums.groupBy("song_id", "seg_no").agg(top.alias("t")).select("song_id", "seg_no", "t.label", F.col("t.ov").alias("overlap_ms"))
 
 
-def label_runs(structures: DataFrame) -> DataFrame:
-    """song_id, run_no, label, start, end: neighbouring stretches of one label (small, without digits) as one."""
+def label_runs(structures: DataFrame, songs: DataFrame | None = None) -> DataFrame:
+    """song_id, run_no, label, start, end: neighbouring stretches of one label (small, without digits) as one. With songs, sections that begin at or after the end of the audio are left out; those of a length that isn't known stay."""
     label = F.regexp_replace(F.lower("label"), r"\d+", "")
     rows = structures.withColumn("label", label)
-    rows = with_neighbours(rows, "song_id", ["start", "st_no"], ["start", "st_no", "label"], time_bucket())
+    if songs is not None:
+        rows = rows.join(songs.select("song_id", F.col("audio_length").alias("total")), "song_id", "left").filter(F.coalesce(F.col("start") < F.col("total"), F.lit(True))).drop("total")
+    rows = with_neighbours(rows, "song_id", ["start", "st_no"], ["start", "st_no", "label"], time_bucket(number="st_no"))
     new = F.col("before").isNull() | ~F.col("before.label").eqNullSafe(F.col("label"))
-    rows = with_run_numbers(rows, "song_id", ["start", "st_no"], new, time_bucket())
+    rows = with_run_numbers(rows, "song_id", ["start", "st_no"], new, time_bucket(number="st_no"))
     return rows.groupBy("song_id", "run_no").agg(F.first("label").alias("label"), F.min("start").alias("start"), F.max("end").alias("end"))
 
 
@@ -167,6 +169,12 @@ def length_report(segments: DataFrame, threshold: float = 30.0) -> DataFrame:
     )
 
 
+def over_length(segments: DataFrame, threshold: float = 30.0) -> DataFrame:
+    """song_id, seg_no, ms: the segments that last over the threshold."""
+    rows = segments.withColumn("ms", F.round((F.col("end") - F.col("start")) * 1000).cast("long"))
+    return rows.filter(F.col("ms") > threshold * 1000).select("song_id", "seg_no", "ms")
+
+
 def viewer_rows(segments: DataFrame) -> DataFrame:
     """song_id, seg_no, style: rows that can be drawn (both times, start before end), with the style of their gravest flag."""
     style = F.when(F.coalesce("reset_end_time", F.lit(False)), "reset").when(F.coalesce("is_duration_ill", F.lit(False)), "ill").when(F.coalesce("vad_anomaly", F.lit(False)), "vad").otherwise("normal")

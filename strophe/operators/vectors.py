@@ -34,11 +34,20 @@ def mean_vectors(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
     return sums.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda p: p["x"]).alias("center"), F.max("n").alias("n"))
 
 
-def center_likeness(centers: DataFrame, label: str) -> DataFrame:
-    """label_a, label_b (label_a < label_b), likeness: pairs of centres of one space; there are as many centres as clusters."""
-    a = centers.select(F.col(label).alias("label_a"), F.col("center").alias("a"))
-    b = centers.select(F.col(label).alias("label_b"), F.col("center").alias("b"))
-    return a.join(b, F.expr("label_a < label_b")).select("label_a", "label_b", cosine(F.col("a"), F.col("b")).alias("likeness"))
+def center_likeness(centers: DataFrame, label: str, space: str | None = None) -> DataFrame:
+    """label_a, label_b (label_a < label_b), likeness: pairs of centres of one space (all are one without a column for it); there are as many centres as clusters."""
+    of = F.col(space) if space else F.lit(0)
+    a = centers.select(of.alias("space"), F.col(label).alias("label_a"), F.col("center").alias("a"))
+    b = centers.select(of.alias("space"), F.col(label).alias("label_b"), F.col("center").alias("b"))
+    rows = a.join(b, ["space"]).filter("label_a < label_b")
+    return rows.select(*[F.col("space").alias(space)] if space else [], "label_a", "label_b", cosine(F.col("a"), F.col("b")).alias("likeness"))
+
+
+def dealt_likeness(df: DataFrame, index: str, vector: str, prompts: DataFrame, prompt: str) -> DataFrame:
+    """prompt_no, likeness: each vector with the prompt (prompt_no from 0) of its index modulo the number of prompts."""
+    total = prompts.agg((F.max("prompt_no") + 1).alias("__n"))
+    rows = df.join(F.broadcast(total), F.lit(True)).withColumn("prompt_no", F.pmod(F.col(index), F.col("__n"))).drop("__n")
+    return rows.join(prompts.select("prompt_no", F.col(prompt).alias("__p")), "prompt_no", "left").withColumn("likeness", cosine(F.col(vector), F.col("__p"))).drop("__p")
 
 
 def neighbour_likeness(df: DataFrame, key: str, order: str, vector: str, block: int = 4096) -> DataFrame:

@@ -135,6 +135,13 @@ def prompt_scores(spark, d):
     return vectors.prompt_likeness(e, "embedding", e.filter("vec_id % 20 = 0"), "embedding").select("vec_id", F.round("prompt_score", 5).alias("prompt_score"))
 
 
+def dealt_prompts(spark, d):
+    """Each vector with the prompt of its number modulo the number of prompts, which are the vectors whose id is divisible by 20."""
+    e = table(spark, d, "embeddings").select("vec_id", "embedding")
+    prompts = e.filter("vec_id % 20 = 0").select(F.floor(F.col("vec_id") / 20).alias("prompt_no"), F.col("embedding").alias("prompt"))
+    return vectors.dealt_likeness(e, "vec_id", "embedding", prompts, "prompt").select("vec_id", "prompt_no", F.round("likeness", 5).alias("likeness"))
+
+
 def sub_windows(spark, d):
     rows = segments_now(spark, d, "song_id", "seg_no", "start", "end").select("song_id", "seg_no", F.round((F.col("end") - F.col("start")) * 16000).cast("long").alias("samples"))
     return vectors.sub_windows(rows, F.col("samples")).select("song_id", "seg_no", "window_no", "from_sample", "to_sample")
@@ -246,7 +253,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         greedy_merge_a, greedy_merge_b, merge_b_totals, duration_batches, speaker_batches, asr_packs, pack_960, fixed_batches, tidy_structures, speaker_turn_merge, centroids, centroid_similarity, neighbor_cosine,
-        outlier_assign, merged_clusters, prompt_scores, sub_windows, success_weight, service_tasks, reply_checks, comparable_texts, word_errors, mixed_token_rows, letter_changes,
+        outlier_assign, merged_clusters, prompt_scores, dealt_prompts, sub_windows, success_weight, service_tasks, reply_checks, comparable_texts, word_errors, mixed_token_rows, letter_changes,
         clustered_in_chunks, likeness_table, method_choice, service_documents, run_counts,
     )
 }
@@ -293,6 +300,7 @@ SELECT song_id, t AS text, f AS "start", e AS "end", n AS merged_count FROM (SEL
     "neighbor_cosine": f"WITH p AS (SELECT vec_id, {_E} AS v, lag({_E}) OVER (PARTITION BY label ORDER BY vec_id) AS b FROM embeddings) SELECT vec_id, round({_COS.format(a='v', b='b')}, 5) AS likeness FROM p",
     "outlier_assign": f"WITH {_CENTER}, s AS (SELECT vec_id, label, {_COS.format(a=_E, b='v')} AS k FROM embeddings JOIN l USING (label)) SELECT vec_id, label, round(k, 5) AS likeness, NOT k > 0.35 AS outlier FROM s",
     "prompt_scores": f"WITH p AS (SELECT {_E} AS q FROM embeddings WHERE vec_id % 20 = 0) SELECT vec_id, round(max({_COS.format(a=_E, b='q')}), 5) AS prompt_score FROM embeddings CROSS JOIN p GROUP BY vec_id",
+    "dealt_prompts": f"WITH p AS (SELECT vec_id // 20 AS prompt_no, {_E} AS q FROM embeddings WHERE vec_id % 20 = 0), e AS (SELECT vec_id, {_E} AS v, vec_id % (SELECT max(prompt_no) + 1 FROM p) AS prompt_no FROM embeddings) SELECT vec_id, prompt_no, round({_COS.format(a='v', b='q')}, 5) AS likeness FROM e LEFT JOIN p USING (prompt_no)",
     "sub_windows": f"""WITH {_O}, s AS (SELECT song_id, seg_no, CAST(round(("end" - "start") * 16000) AS BIGINT) AS n FROM o), w AS (SELECT song_id, seg_no, unnest(range(0, CAST(greatest(0, ceil((n - 24000) / 12000)) AS BIGINT) + 1)) AS window_no FROM s WHERE n > 0) SELECT *, window_no * 12000 AS from_sample, window_no * 12000 + 24000 AS to_sample FROM w""",
     "success_weight": """WITH e AS (SELECT *, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS sec FROM events) SELECT event_id, round(avg(CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY user_id ORDER BY sec RANGE BETWEEN 600 PRECEDING AND CURRENT ROW) + 0.01, 9) AS weight FROM e""",
     "word_errors": f"""WITH RECURSIVE v AS (SELECT segment_id, arg_max(text, loaded_at) AS now, arg_min(text, loaded_at) AS old FROM segments WHERE segment_id IS NOT NULL GROUP BY segment_id),

@@ -56,12 +56,12 @@ def document_counts(spark, d):
 
 def normalize_text(spark, d):
     t = F.col("text")
-    return table(spark, d, "segments").select("text").distinct().select("text", T.normalize_spoken(t).alias("spoken"), T.count_mixed(t).alias("mixed"), T.without_punctuation(t).alias("letters"), T.ends_with_mark(t).alias("closed"))
+    return table(spark, d, "segments").select("text").distinct().select("text", T.normalize_spoken(t).alias("spoken"), T.count_mixed(t).alias("mixed"), T.without_punctuation(t).alias("letters"), T.without_punctuation(t, keep_space=True).alias("spaced"), T.ends_with_mark(t).alias("closed"))
 
 
 def clean_laughter(spark, d):
     rows = segments_now(spark, d, "text").withColumn("cleaned", T.clean_laughter(F.col("text")))
-    return rows.filter("cleaned <> ''").select("segment_id", "cleaned", (F.col("cleaned") != F.col("text")).alias("is_modified"))
+    return rows.filter("cleaned <> ''").select("segment_id", F.col("text").alias("text_ori"), "cleaned", (F.col("cleaned") != F.col("text")).alias("is_modified"))
 
 
 def segment_rows(spark, d):
@@ -109,7 +109,14 @@ def text_audio_ratio(spark, d):
     return rows.select("segment_id", "num_chars", F.round("ratio", 6).alias("ratio"), F.round("ratio_mean", 6).alias("ratio_mean"), F.round("ratio_std", 6).alias("ratio_std"), "abnormal_by_threshold", "abnormal_by_mean", "abnormal_ratio")
 
 
-QUERIES = {f.__name__: f for f in (ill_flag, bracket_label, lang_and_counts, document_counts, normalize_text, clean_laughter, segment_rows, segment_rate, reset_split, song_filter_route, route_lines, corpus_totals, duration_histogram, duration_summary, text_audio_ratio)}
+def song_documents(spark, d):
+    """What each song's document says of its segments."""
+    flagged = _flagged(spark, d)
+    rows = R.song_wrapper(flagged, R.reset_slow(flagged))
+    return rows.withColumn("western_seconds", F.round("western_seconds", 3)).withColumn("cjk_seconds", F.round("cjk_seconds", 3))
+
+
+QUERIES = {f.__name__: f for f in (song_documents, ill_flag, bracket_label, lang_and_counts, document_counts, normalize_text, clean_laughter, segment_rows, segment_rate, reset_split, song_filter_route, route_lines, corpus_totals, duration_histogram, duration_summary, text_audio_ratio)}
 
 _CJK = r"[\x{4e00}-\x{9fff}\x{3040}-\x{30ff}\x{ac00}-\x{d7af}\x{0e00}-\x{0e7f}]"
 # All Unicode white space, for patterns of an engine whose \s is ASCII.
@@ -184,8 +191,11 @@ CASE WHEN regexp_matches(text, '^\[[^\n]*?\]') THEN regexp_extract(text, '^\[([^
     "lang_and_counts": f"""SELECT segment_id, text, CASE WHEN regexp_matches(b, '{_CJK}') THEN 'cjk' ELSE 'western' END AS family, {_words("b")} AS words, len(regexp_extract_all(b, '{_CJK}')) AS characters FROM (SELECT DISTINCT segment_id, text, {_bare("text")} AS b FROM segments)""",
     "document_counts": f"""SELECT doc_id, CASE WHEN regexp_matches(text, '{_CJK}') THEN 'cjk' ELSE 'western' END AS family, {_words("b")} AS words, len(regexp_extract_all(b, '{_CJK}')) AS characters, length(text) // 4 AS tokens FROM (SELECT *, {_bare("text")} AS b FROM documents)""",
     "normalize_text": rf"""SELECT text, spoken, len(regexp_extract_all(spoken, '[\x{{4e00}}-\x{{9fff}}]')) + len(list_filter(regexp_split_to_array(spoken, '{_WS}+'), lambda t: regexp_replace(t, '[\x{{4e00}}-\x{{9fff}}]', '', 'g') <> '')) AS mixed,
-regexp_replace(text, '[^\p{{L}}\p{{N}}\p{{M}}]', '', 'g') AS letters, regexp_matches(text, '[.!?。！？,，;；]\s*$') AS closed FROM (SELECT DISTINCT text, {_SPOKEN} AS spoken FROM segments)""",
+regexp_replace(text, '[^\p{{L}}\p{{N}}\p{{M}}]', '', 'g') AS letters, regexp_replace(translate(text, '-‐‑‒–—―−', '        '), '[^\p{{L}}\p{{N}}\p{{M}}{_NOT_WS}]', '', 'g') AS spaced, regexp_matches(text, '[.!?。！？,，;；]\s*$') AS closed FROM (SELECT DISTINCT text, {_SPOKEN} AS spoken FROM segments)""",
     "segment_rows": f"WITH {_RATED} SELECT segment_id, text_ori, text, lang_type, lyric_count, round(average_duration, 6) AS average_duration FROM rated",
+    "song_documents": f"""WITH {_RESET}, w AS (SELECT song_id, CAST(sum(CASE WHEN lang_type = 'western' THEN number ELSE 0 END) AS BIGINT) AS western_number, round(sum(CASE WHEN lang_type = 'western' THEN total_dur ELSE 0 END), 3) AS western_seconds, CAST(sum(CASE WHEN lang_type = 'cjk' THEN number ELSE 0 END) AS BIGINT) AS cjk_number, round(sum(CASE WHEN lang_type = 'cjk' THEN total_dur ELSE 0 END), 3) AS cjk_seconds FROM songs_rate GROUP BY song_id),
+g AS (SELECT song_id, count(*) AS segments, bool_or(reset_end_time) AS has_reset_segments FROM parts GROUP BY song_id)
+SELECT song_id, segments, has_reset_segments, coalesce(western_number, 0) AS western_number, coalesce(western_seconds, 0.0) AS western_seconds, coalesce(cjk_number, 0) AS cjk_number, coalesce(cjk_seconds, 0.0) AS cjk_seconds FROM g LEFT JOIN w USING (song_id)""",
     "segment_rate": f"WITH {_SONGS} SELECT song_id, lang_type, number, round(total_dur, 3) AS total_dur, round(song_average, 6) AS average_duration FROM songs_rate",
     "ill_flag": f"WITH {_FLAG} SELECT segment_id, song_id, lang_type, lyric_count, ill AS is_duration_ill, round(song_average, 6) AS song_average FROM flagged",
     "reset_split": f"""WITH {_RESET} SELECT song_id, seg_no, part_no, text, round(s, 3) AS "start", round(e, 3) AS "end", is_lyric, lang_type, lyric_count, ill AS is_duration_ill, reset_end_time FROM parts""",
@@ -196,5 +206,5 @@ regexp_replace(text, '[^\p{{L}}\p{{N}}\p{{M}}]', '', 'g') AS letters, regexp_mat
 SELECT range AS bin, coalesce(n, 0) AS "count" FROM range(30) LEFT JOIN h ON range = bin""",
     "duration_summary": f"""WITH {_RATED}, l AS (SELECT CAST(round((e - s) * 1000) AS BIGINT) AS ms FROM rated WHERE coalesce(is_lyric, true) AND lang_type IS NOT NULL) SELECT count(*) AS n, min(ms) AS least_ms, max(ms) AS most_ms, CAST(sum(ms) AS BIGINT) AS total_ms FROM l WHERE ms > 0""",
     "clean_laughter": rf"""WITH {_LAST}, c AS (SELECT segment_id, text, {_trim(_QUIET)} AS b FROM last_rows),
-k AS (SELECT segment_id, text, CASE WHEN lower(regexp_replace(b, '[\[\].]', '', 'g')) = 'noise' THEN '[noise]' ELSE b END AS cleaned FROM c) SELECT segment_id, cleaned, cleaned <> text AS is_modified FROM k WHERE cleaned <> ''""",
+k AS (SELECT segment_id, text, CASE WHEN lower(regexp_replace(b, '[\[\].]', '', 'g')) = 'noise' THEN '[noise]' ELSE b END AS cleaned FROM c) SELECT segment_id, text AS text_ori, cleaned, cleaned <> text AS is_modified FROM k WHERE cleaned <> ''""",
 }

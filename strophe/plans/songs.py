@@ -60,12 +60,12 @@ def resumed_songs(spark, d):
 
 def output_paths(spark, d):
     p = F.col("audio_path")
-    return songs_now(spark, d).select("song_id", P.mirrored_path(p, "/vault", "/out").alias("mirrored"), P.merged_name(p, 10).alias("merged"), T.file_stem(p).alias("stem"), T.file_suffix(p).alias("suffix"))
+    return songs_now(spark, d).select("song_id", P.mirrored_path(p, "/vault", "/out").alias("mirrored"), P.merged_name(p, 10).alias("merged"), P.diarized_name(p).alias("diarized"), P.part_path(p, "vocals").alias("vocals"), T.kept_path(p).alias("kept"), T.file_stem(p).alias("stem"), T.file_suffix(p).alias("suffix"))
 
 
 def singer_parse(spark, d):
     p = F.col("audio_path")
-    return songs_now(spark, d).select("song_id", T.singer_text(p).alias("singer"), F.array_join(T.singers(p), "|").alias("singers"), F.size(T.singers(p)).alias("n"))
+    return songs_now(spark, d).select("song_id", T.singer_text(p).alias("singer"), F.array_join(T.singers(p), "|").alias("singers"), F.size(T.singers(p)).alias("n"), T.diarized_singer_text(p).alias("diarized_singer"))
 
 
 def top_singers(spark, d):
@@ -103,7 +103,7 @@ def overlap_label(spark, d):
 
 
 def label_runs(spark, d):
-    return L.label_runs(table(spark, d, "structures"))
+    return L.label_runs(table(spark, d, "structures"), songs_now(spark, d))
 
 
 def vad_consistency(spark, d):
@@ -186,6 +186,43 @@ def sentences_of_words(spark, d):
     return L.words_to_sentences(rows).select("item", F.col("sentence_no").cast("long").alias("sentence_no"), F.md5("sentence").alias("digest"), "start", "end")
 
 
+def long_segments(spark, d):
+    return L.over_length(segments_now(spark, d, "song_id", "seg_no", "start", "end"))
+
+
+def speaker_class_list(spark, d):
+    """The songs with no, one, and two or more speakers, in order."""
+    rows = S.effective_speakers(segments_now(spark, d))
+    return rows.select(F.least("speakers", F.lit(2)).alias("class"), "song_id").orderBy("class", "song_id")
+
+
+def singer_files(spark, d):
+    """Each singer text with its songs, how many singers it names, and how many songs it has."""
+    p = F.col("audio_path")
+    rows = songs_now(spark, d).select(T.singer_text(p).alias("singer"), F.size(T.singers(p)).alias("n"), "song_id", T.file_stem(p).alias("stem"))
+    return rows.join(rows.groupBy("singer").agg(F.count("*").alias("songs")), "singer").select("singer", "n", "song_id", "stem", "songs")
+
+
+def top_multi_singers(spark, d):
+    """The ten texts of several singers with most songs."""
+    p = F.col("audio_path")
+    rows = songs_now(spark, d).filter(F.size(T.singers(p)) > 1).select(T.singer_text(p).alias("singer"))
+    return rows.groupBy("singer").agg(F.count("*").alias("songs")).orderBy(F.desc("songs"), "singer").limit(10)
+
+
+def orphans(spark, d):
+    """Songs that segments, voice activity or sections name but the table of songs doesn't have, and lyric lines of songs without segments."""
+    songs, segments = songs_now(spark, d), segments_now(spark, d, "song_id")
+    found = P.orphans(songs, {"segments": segments, "vad": table(spark, d, "vad"), "structures": table(spark, d, "structures")}, ["song_id"])
+    return found.unionByName(P.orphans(segments, {"lrc_line": table(spark, d, "lrc_line"), "songs": songs}, ["song_id"]))
+
+
+def metadata_of_songs(spark, d):
+    """Songs with what the manifest says of their audio file: of several lines the last."""
+    lines = P.last_by_key(P.manifest_slice(table(spark, d, "manifest"), 0).filter("problem is null").withColumn("stem", T.file_stem(F.col("audio_path"))).select("stem", "idx", "lyric_path", "language"), "stem", "idx")
+    return songs_now(spark, d).select("song_id", T.file_stem(F.col("audio_path")).alias("stem")).join(lines, "stem").select("song_id", "stem", "lyric_path", "language")
+
+
 def diarized_back(spark, d):
     """Speakers of the segments that were diarized (those with a label), put back on all segments."""
     rows = segments_now(spark, d, "song_id", "seg_no", "speaker")
@@ -217,7 +254,7 @@ QUERIES = {
         lrc_parse_restart, manifest_slice, best_audio_pair, pair_counts, audio_by_stem, missing_songs, resumed_songs, output_paths, singer_parse, top_singers, singer_totals, vad_windows,
         gap_fill, short_segments, continuity, end_time_audit, overlap_label, label_runs, vad_consistency, length_report, song_durations, effective_speakers, speaker_classes,
         speaker_histogram, speaker_relabel, speaker_runs, turn_stats, narrow_dump, boundary_adjust, context_pad, viewer_rows, shards, seeded_sample, sentences_of_words,
-        diarized_back, voice_verdict, clean_paths, zipped_lists,
+        long_segments, speaker_class_list, singer_files, top_multi_singers, orphans, metadata_of_songs, diarized_back, voice_verdict, clean_paths, zipped_lists,
     )
 }
 
@@ -252,8 +289,8 @@ SELECT song_id, line_no, CAST(unnest(generate_series(0, len(times) - 1)) AS INT)
     "audio_by_stem": rf"WITH {_PATHS}, u AS (SELECT DISTINCT path, stem FROM stems) SELECT a.stem, a.path AS lyric_path, b.path AS audio_path FROM u a JOIN u b USING (stem) WHERE a.path LIKE '%.lrc' AND regexp_matches(b.path, '\.(wav|flac|mp3)$')",
     "missing_songs": f"WITH {_SONGS} SELECT song_id FROM songs_now WHERE song_id NOT IN (SELECT song_id FROM lrc_line WHERE song_id IS NOT NULL)",
     "resumed_songs": f"WITH {_SONGS} SELECT song_id, media FROM songs_now WHERE song_id IN (SELECT song_id FROM lrc_line)",
-    "output_paths": rf"""WITH {_SONGS}, p AS (SELECT song_id, audio_path AS path, regexp_replace(audio_path, '^/vault/', '') AS rel FROM songs_now) SELECT song_id, '/out/' || CASE WHEN regexp_extract(rel, '^(.*)/[^/]*$', 1) = '' THEN 'others' ELSE regexp_extract(rel, '^(.*)/[^/]*$', 1) END || '/' || {_STEM} || '.json' AS mirrored, {_STEM} || '.merged.10s.json' AS merged, {_STEM} AS stem, {_SUFFIX} AS suffix FROM p""",
-    "singer_parse": f"WITH {_SONGS}, {_SINGER} SELECT song_id, singer, coalesce(array_to_string(l, '|'), '') AS singers, len(l) AS n FROM singer_lists",
+    "output_paths": rf"""WITH {_SONGS}, p AS (SELECT song_id, audio_path AS path, regexp_replace(audio_path, '^/vault/', '') AS rel FROM songs_now) SELECT song_id, '/out/' || CASE WHEN regexp_extract(rel, '^(.*)/[^/]*$', 1) = '' THEN 'others' ELSE regexp_extract(rel, '^(.*)/[^/]*$', 1) END || '/' || {_STEM} || '.json' AS mirrored, {_STEM} || '.merged.10s.json' AS merged, {_STEM} || '.diarized.json' AS diarized, {_STEM} || '/vocals.flac' AS vocals, CASE WHEN len(string_split(path, '/')) >= 2 THEN array_to_string(string_split(path, '/')[-2:], '/') ELSE path END AS kept, {_STEM} AS stem, {_SUFFIX} AS suffix FROM p""",
+    "singer_parse": rf"WITH {_SONGS}, {_SINGER}, b AS (SELECT song_id, regexp_replace(regexp_extract(audio_path, '([^/]*)/*$', 1), '(\.(flac|mp3|wav|m4a))?\.json$', '') AS b FROM songs_now) SELECT song_id, singer, coalesce(array_to_string(l, '|'), '') AS singers, len(l) AS n, trim(string_split(b, CASE WHEN contains(b, ' - ') THEN ' - ' ELSE '-' END)[1]) AS diarized_singer FROM singer_lists JOIN b USING (song_id)",
     "top_singers": f"WITH {_SONGS}, {_SINGER}, u AS (SELECT unnest(l) AS singer FROM singer_lists) SELECT singer, count(*) AS songs FROM u GROUP BY singer ORDER BY songs DESC, singer LIMIT 10",
     "singer_totals": f"WITH {_SONGS}, {_SINGER} SELECT least(len(l), 2) AS singers, count(*) AS songs FROM singer_lists GROUP BY 1",
     "vad_windows": f"""WITH {_TIMES} SELECT t.song_id, seg_no, t."start" AS window_from, coalesce(lead(t."start") OVER (PARTITION BY t.song_id ORDER BY t."start", seg_no), audio_length) AS window_to FROM t LEFT JOIN songs_now USING (song_id)""",
@@ -269,7 +306,7 @@ r AS (SELECT songs_now.song_id, CASE WHEN audio_length IS NULL THEN 'no audio_le
     "overlap_label": f"""WITH {_TIMES}, st AS (SELECT song_id, lower(label) AS label, CAST(round("start" * 1000) AS BIGINT) AS a, CAST(round("end" * 1000) AS BIGINT) AS b FROM structures WHERE label IS NOT NULL),
 o AS (SELECT song_id, seg_no, label, CAST(sum(least(e, b) - greatest(s, a)) AS BIGINT) AS ov, min(a) AS f FROM t JOIN st USING (song_id) WHERE a < e AND b > s AND e > s AND b > a GROUP BY ALL)
 SELECT song_id, seg_no, label, ov AS overlap_ms FROM (SELECT *, row_number() OVER (PARTITION BY song_id, seg_no ORDER BY ov DESC, f, label DESC) AS k FROM o) WHERE k = 1""",
-    "label_runs": r"""WITH n AS (SELECT *, regexp_replace(lower(label), '\d+', '', 'g') AS l, row_number() OVER (PARTITION BY song_id ORDER BY "start", st_no) AS i FROM structures), m AS (SELECT *, lag(l) OVER (PARTITION BY song_id ORDER BY "start", st_no) AS p FROM n),
+    "label_runs": rf"""WITH {_SONGS}, n AS (SELECT *, regexp_replace(lower(label), '\d+', '', 'g') AS l, row_number() OVER (PARTITION BY song_id ORDER BY "start", st_no) AS i FROM (SELECT structures.* FROM structures LEFT JOIN songs_now USING (song_id) WHERE coalesce("start" < audio_length, true))), m AS (SELECT *, lag(l) OVER (PARTITION BY song_id ORDER BY "start", st_no) AS p FROM n),
 r AS (SELECT *, sum(CASE WHEN i = 1 OR l IS DISTINCT FROM p THEN 1 ELSE 0 END) OVER (PARTITION BY song_id ORDER BY "start", st_no ROWS UNBOUNDED PRECEDING) AS run_no FROM m)
 SELECT song_id, CAST(run_no AS BIGINT) AS run_no, any_value(l) AS label, min("start") AS "start", max("end") AS "end" FROM r GROUP BY song_id, run_no""",
     "vad_consistency": rf"""WITH {_LAST}, v AS (SELECT song_id, seg_no, CASE WHEN vad_res LIKE '[%]' AND length(vad_res) > 2 THEN list_transform(string_split(vad_res[2:-2], ','), lambda x: CAST(trim(x) AS DOUBLE)) END AS l FROM vad),
@@ -301,6 +338,14 @@ SELECT song_id, seg_no, CASE WHEN reset_end_time THEN 'reset' WHEN ill THEN 'ill
     "sentences_of_words": r"""WITH w AS (SELECT doc_id AS item, generate_subscripts(l, 1) - 1 AS i, unnest(l) AS word FROM (SELECT doc_id, regexp_split_to_array(text, '[\s\x{0b}]+') AS l FROM documents)),
 c AS (SELECT *, coalesce(regexp_matches(lag(word) OVER (PARTITION BY item ORDER BY i), '[.!?]$'), false) AS k FROM w), s AS (SELECT *, sum(k::INT) OVER (PARTITION BY item ORDER BY i ROWS UNBOUNDED PRECEDING) AS sentence_no FROM c)
 SELECT item, CAST(sentence_no AS BIGINT) AS sentence_no, md5(string_agg(word, ' ' ORDER BY i)) AS digest, min(i)::DOUBLE AS "start", max(i)::DOUBLE + 1 AS "end" FROM s GROUP BY ALL""",
+    "long_segments": f"""WITH {_LAST}, l AS (SELECT song_id, seg_no, CAST(round(("end" - "start") * 1000) AS BIGINT) AS ms FROM last_rows) SELECT * FROM l WHERE ms > 30000""",
+    "speaker_class_list": f"""WITH {_EFF} SELECT least(speakers, 2) AS "class", song_id FROM eff""",
+    "singer_files": f"WITH {_SONGS}, {_SINGER} SELECT singer, len(l) AS n, song_id, {_STEM.replace('path', 'audio_path')} AS stem, count(*) OVER (PARTITION BY singer) AS songs FROM singer_lists JOIN songs_now USING (song_id)",
+    "top_multi_singers": f"WITH {_SONGS}, {_SINGER} SELECT singer, count(*) AS songs FROM singer_lists WHERE len(l) > 1 GROUP BY singer ORDER BY songs DESC, singer LIMIT 10",
+    "orphans": f"""WITH {_LAST}, {_SONGS} SELECT DISTINCT 'segments' AS stage, song_id FROM last_rows ANTI JOIN songs_now USING (song_id) UNION ALL SELECT DISTINCT 'vad', song_id FROM vad ANTI JOIN songs_now USING (song_id) UNION ALL SELECT DISTINCT 'structures', song_id FROM structures ANTI JOIN songs_now USING (song_id)
+UNION ALL SELECT DISTINCT 'lrc_line', song_id FROM lrc_line ANTI JOIN last_rows USING (song_id) UNION ALL SELECT DISTINCT 'songs', song_id FROM songs_now ANTI JOIN last_rows USING (song_id)""",
+    "metadata_of_songs": f"""WITH {_SONGS}, {_JSON}, m AS (SELECT {_STEM.replace('path', 'audio_path')} AS stem, idx, lyric_path, language FROM fields WHERE problem IS NULL), k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY idx DESC) AS r FROM m) WHERE r = 1)
+SELECT song_id, stem, lyric_path, language FROM (SELECT song_id, {_STEM.replace('path', 'audio_path')} AS stem FROM songs_now) JOIN k USING (stem)""",
     "diarized_back": f"""WITH {_LAST}, n AS (SELECT song_id, seg_no, replace(speaker, '_OUTLIER', '') AS speaker FROM last_rows WHERE speaker IS NOT NULL), f AS (SELECT song_id, speaker, min(seg_no) AS m FROM n GROUP BY ALL), k AS (SELECT *, dense_rank() OVER (PARTITION BY song_id ORDER BY m, speaker) - 1 AS speaker_no FROM f)
 SELECT last_rows.song_id, last_rows.seg_no, CAST(speaker_no AS INT) AS speaker_no FROM last_rows LEFT JOIN (SELECT song_id, seg_no, speaker_no FROM n JOIN k USING (song_id, speaker)) USING (song_id, seg_no)""",
     "voice_verdict": rf"""WITH {_LAST}, v AS (SELECT song_id, seg_no, CASE WHEN vad_res LIKE '[%]' AND length(vad_res) > 2 THEN list_transform(string_split(vad_res[2:-2], ','), lambda x: CAST(trim(x) AS DOUBLE)) END AS l FROM vad),

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import tarfile
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +18,7 @@ SEGMENT = (
     "text string, start double, end double, speaker string, is_lyric boolean, lang_type string, lyric_count int, average_duration double, is_duration_ill boolean, "
     "reset_end_time boolean, vad_anomaly boolean, start_time double, end_time double, speaker_id string, umap_segment_labels string"
 )
-SONG = f"audio_path string, audio_length double, structures array<struct<label string, start double, end double>>, segments array<struct<{SEGMENT.replace(' string', ': string').replace(' double', ': double').replace(' boolean', ': boolean').replace(' int', ': int')}>>"
+SONG = f"audio_path string, audio_length double, error_loading boolean, structures array<struct<label string, start double, end double>>, segments array<struct<{SEGMENT.replace(' string', ': string').replace(' double', ': double').replace(' boolean', ': boolean').replace(' int', ': int')}>>"
 
 
 SONG_ROW = f"{SONG}, file_path string"
@@ -106,6 +111,30 @@ def lyric_only(segments: DataFrame) -> tuple[DataFrame, DataFrame]:
     return segments.filter(flag), segments.filter(~flag)
 
 
+def checked_lyrics(songs: DataFrame) -> DataFrame:
+    """song_id, error_loading, segments, side: of documents that a service checked the segments that are lyric, and the others as side information. Null counts as lyric; a null error as none."""
+    flag = lambda s: F.coalesce(s["is_lyric"], F.lit(True))
+    return songs.select(file_stem(F.regexp_replace("file_path", r"\.lyric\.json$", ".json")).alias("song_id"), F.coalesce("error_loading", F.lit(False)).alias("error_loading"), F.filter("segments", flag).alias("segments"), F.filter("segments", lambda s: ~flag(s)).alias("side"))
+
+
+def archive_members(spark: SparkSession, path: str, pattern: str = "*.tar*") -> DataFrame:
+    """archive, name, content of the files in tar archives (compressed or not). A file in a broken archive that can't be read any more has a null name."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for archive, content in zip(frame["path"], frame["content"], strict=True):
+                try:
+                    with tarfile.open(fileobj=io.BytesIO(content)) as tar:
+                        for member in tar:
+                            if member.isfile():
+                                yield pd.DataFrame({"archive": [archive], "name": [member.name], "content": [tar.extractfile(member).read()]})
+                except (tarfile.TarError, EOFError, OSError):
+                    yield pd.DataFrame({"archive": [archive], "name": [None], "content": [None]})
+
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path).select("path", "content")
+    return rows.mapInPandas(run, "archive string, name string, content binary")
+
+
 def file_index(spark: SparkSession, path: str, pattern: str = "*", folders: str | None = None) -> DataFrame:
     """stem, name, path of all files below a folder (contents aren't read); folders is a pattern that a folder of the path must match. Of one stem the last path counts."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path).select("path")
@@ -121,9 +150,14 @@ def read_keyed_json(spark: SparkSession, path: str, schema: str, key: str = "id"
     return rows.groupBy(key).agg(F.max_by(F.struct(*others), F.struct("__file", "__at")).alias("r")).select(key, "r.*")
 
 
-def read_metadata_array(spark: SparkSession, path: str, schema: str, text: str) -> DataFrame:
-    """Rows of one document that is an array, those with text."""
-    return spark.read.schema(schema).option("multiLine", True).json(path).filter(F.col(text) != "")
+def read_metadata_array(spark: SparkSession, path: str, schema: str, text: str, key: str | None = None) -> DataFrame:
+    """Rows of one document that is an array, those with text; with a key one row for each, the last."""
+    rows = spark.read.schema(schema).option("multiLine", True).json(path).filter(F.col(text) != "")
+    if key is None:
+        return rows
+    rows = rows.withColumn("__at", F.monotonically_increasing_id())
+    others = [c for c in rows.columns if c not in (key, "__at")]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*others), "__at").alias("r")).select(key, "r.*")
 
 
 def read_feed(spark: SparkSession, path: str, row_tag: str = "item", schema: str = "title string, link string, pubDate string, description string") -> DataFrame:
@@ -131,6 +165,18 @@ def read_feed(spark: SparkSession, path: str, row_tag: str = "item", schema: str
     return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
 
 
+def read_episodes(spark: SparkSession, path: str, schema: str = "id string, title string, description string") -> DataFrame:
+    """Metadata of episodes, one JSON document each, with the file's stem; a broken document has only that."""
+    return spark.read.schema(schema).option("multiLine", True).json(path).select(file_stem(F.col("_metadata.file_path")).alias("stem"), "*")
+
+
+def with_metadata(songs: DataFrame, episodes: DataFrame, feed: DataFrame, key: str = "stem", title: str = "title") -> DataFrame:
+    """songs with the fields of their episode, or, where it has none, those of the feed's entry of the same title."""
+    known = songs.join(episodes, key, "left")
+    entries = feed.filter(F.col(title).isNotNull()).groupBy(F.col(title).alias("__title")).agg(F.max("description").alias("__description"), F.max("link").alias("link"))
+    return known.join(entries, F.col(title) == F.col("__title"), "left").withColumn("description", F.coalesce("description", "__description")).drop("__title", "__description")
+
+
 def convert_lyric_map(lyrics: Column) -> Column:
     """Lyrics given as (offset, duration, text) as segments: end is offset plus duration, line breaks become spaces or stops."""
     text = lambda x: F.regexp_replace(F.regexp_replace(x["text"], r"\]\n", "] "), r"\n", ". ")

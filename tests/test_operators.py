@@ -343,8 +343,8 @@ def test_neighbours_and_runs_over_buckets(spark):
     random.seed(9)
     data = [(k, float(random.randrange(300)), i, random.choice("xy")) for k in "abc" for i in range(80)] + [("a", None, 99, "x"), (None, 1.0, 0, "x"), (None, 2.0, 1, "x")]
     df = spark.createDataFrame(data, "k string, start double, no int, v string")
-    rows = with_neighbours(df, "k", ["start", "no"], ["start", "no", "v"], time_bucket(seconds=20))
-    runs = with_run_numbers(rows, "k", ["start", "no"], F.col("before").isNull() | (F.col("before.v") != F.col("v")), time_bucket(seconds=20))
+    rows = with_neighbours(df, "k", ["start", "no"], ["start", "no", "v"], time_bucket(seconds=20, number="no"))
+    runs = with_run_numbers(rows, "k", ["start", "no"], F.col("before").isNull() | (F.col("before.v") != F.col("v")), time_bucket(seconds=20, number="no"))
     got = {(r.k, r.no): (r.before and r.before.no, r.after and r.after.no, r.run_no) for r in runs.collect()}
     want = {}
     for k in {d[0] for d in data}:

@@ -306,3 +306,85 @@ def test_no_local_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         session.cut_lineage(Frame())
+
+
+def test_sounds_of_all_widths():
+    import base64
+    import io
+    import wave
+
+    wanted = tone(0.5)[:4000]
+    for width, scale in ((1, 127), (2, 2**15 - 1), (3, 2**23 - 1), (4, 2**31 - 1)):
+        data = np.round(wanted * scale).astype(np.int64)
+        raw = (data + 128).astype(np.uint8).tobytes() if width == 1 else b"".join(int(x).to_bytes(width, "little", signed=True) for x in data)
+        out = io.BytesIO()
+        with wave.open(out, "wb") as sound:
+            sound.setnchannels(1)
+            sound.setsampwidth(width)
+            sound.setframerate(16_000)
+            sound.writeframes(raw)
+        samples, rate = signal.read_wave(out.getvalue())
+        assert rate == 16_000 and len(samples) == 4000 and np.abs(samples - wanted).max() < 0.02
+        part, _ = signal.read_wave(out.getvalue(), start=0.1, end=0.2)
+        assert len(part) == 1600 and np.allclose(part, samples[1600:3200])
+        again, _ = signal.read_wave(base64.b64decode(signal.clip_base64(out.getvalue(), 0.1, 0.2)))
+        assert len(again) == 1600 and np.abs(again - part).max() < 0.001
+    assert np.abs(signal.resampled(tone(1), 16_000, 8_000)[100:-100] - tone(1, 8_000)[100:-100]).max() < 0.01
+    assert len(signal.resampled(tone(1), 16_000, 16_000)) == 16_000 and len(signal.resampled(np.zeros(0), 16_000, 8_000)) == 0
+
+
+def test_archives_episodes_and_checked_lyrics(spark, tmp_path):
+    import tarfile
+
+    for name, text in (("x.txt", "one"), ("y.txt", "two")):
+        (tmp_path / name).write_text(text)
+    (tmp_path / "tars").mkdir()
+    with tarfile.open(tmp_path / "tars" / "a.tar.gz", "w:gz") as tar:
+        tar.add(tmp_path / "x.txt", "in/x.txt")
+        tar.add(tmp_path / "y.txt", "in/y.txt")
+    (tmp_path / "tars" / "b.tar").write_bytes(b"broken")
+    got = readers.archive_members(spark, str(tmp_path / "tars")).collect()
+    assert {(r.archive.rsplit("/", 1)[1], r.name, r.content and bytes(r.content)) for r in got} == {("a.tar.gz", "in/x.txt", b"one"), ("a.tar.gz", "in/y.txt", b"two"), ("b.tar", None, None)}
+    (tmp_path / "songs").mkdir()
+    (tmp_path / "songs" / "a.lyric.json").write_text('{"audio_path": "a", "error_loading": true, "segments": [{"text": "x", "is_lyric": false}, {"text": "y"}, {"text": "z", "is_lyric": true}]}')
+    row = readers.checked_lyrics(readers.read_songs(spark, str(tmp_path / "songs"))).first()
+    assert (row.song_id, row.error_loading, [s.text for s in row.segments], [s.text for s in row.side]) == ("a", True, ["y", "z"], ["x"])
+    (tmp_path / "ep").mkdir()
+    (tmp_path / "ep" / "one.json").write_text('{"id": "1", "title": "T", "description": null}')
+    feed = spark.createDataFrame([("T", "l", "told"), (None, "m", "x")], "title string, link string, description string")
+    songs = spark.createDataFrame([("one",), ("two",)], "stem string")
+    got = {r.stem: (r.id, r.description, r.link) for r in readers.with_metadata(songs, readers.read_episodes(spark, str(tmp_path / "ep")), feed).collect()}
+    assert got == {"one": ("1", "told", "l"), "two": (None, None, None)}
+    (tmp_path / "meta.json").write_text('[{"id": "1", "t": "a"}, {"id": "2", "t": ""}, {"id": "1", "t": "b"}]')
+    assert [tuple(r) for r in readers.read_metadata_array(spark, str(tmp_path / "meta.json"), "id string, t string", "t", "id").collect()] == [("1", "b")]
+    writers.write_by_folder(spark.createDataFrame([("/r/a/s.json", 1), ("s.json", 2)], "file string, n int"), "file", str(tmp_path / "out"))
+    assert {(r.folder, r.kept_path, r.n) for r in spark.read.json(str(tmp_path / "out")).collect()} == {("a", "a/s.json", 1), ("others", "s.json", 2)}
+
+
+def test_voice_goes_on_over_chunks(spark, tmp_path):
+    from strophe.streaming.voice import voice_stream
+
+    schema = "audio_id string, start double, rate int, samples array<double>, is_final boolean"
+    loud, quiet = [0.5] * 20, [0.0] * 20
+    first = [("a", 0.2 * i, 100, loud if i in (1, 2) else quiet, False) for i in range(8)] + [("b", 0.0, 100, loud, False)]
+    second = [("a", 0.2 * i, 100, loud, i == 9) for i in range(8, 10)] + [("b", 0.2, 100, loud, False), ("b", 0.4, 100, None, True)]
+    for i, rows in enumerate((first, second)):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        run_available(voice_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in"))), str(tmp_path / "c"), lambda df, n, i=i: df.write.mode("append").parquet(str(tmp_path / "out"))).awaitTermination()
+    got = sorted((r.audio_id, round(r.start, 2), round(r.end, 2)) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [("a", 0.2, 0.6), ("a", 1.6, 2.0), ("b", 0.0, 0.4)]
+
+
+def test_sample_tasks_and_audit_columns():
+    rows = [{"text": "some words here", "is_lyric": None}]
+    right = {"json": '{"a": 1}', "summary": "words", "translation": "Worte", "code": "```x```", "better": "Some words, here."}
+    for name, task in B.SAMPLES.items():
+        assert task.check(right[name], rows) is None and task.check("" if name != "json" else "{", rows) == "wrong reply"
+        assert task.apply("r", rows)[0]["reply"] == "r"
+    assert B.LyricCheck().apply('[{"text": "some words here", "is_lyric": true}]', rows) == [{"text": "some words here", "is_lyric": True, "text_ori_lyric": "some words here", "is_modified_lyric": True}]
+
+
+def test_files_that_are_done_have_no_task(spark):
+    seg = spark.createDataFrame([(f, 0, "t", "a", 0.0, 1.0) for f in ("x", "y", None)], "file string, seg_no int, text string, speaker string, start double, end double")
+    done = spark.createDataFrame([("x",)], "file string")
+    assert {r.file for r in B.plan_tasks(B.plan_batches(seg, True, 60.0), done).collect()} == {"y", None}
