@@ -18,7 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strophe.llm.units import hashed_units
+from strophe.llm.units import LARGEST, hashed_units
 from strophe.operators.sample import bounded_sample
 from strophe.session import cut_lineage
 
@@ -77,7 +77,7 @@ class LeakIndex:
     tiny: dict[int, list[int]]
     idf: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.float32))
     unseen: float = 1.0
-    answers: list[np.ndarray] = field(default_factory=list)
+    answers: list[frozenset[int]] = field(default_factory=list)
 
     def features(self, pairs: np.ndarray) -> np.ndarray:
         """The feature of each pair, -1 if no item has it."""
@@ -405,7 +405,7 @@ def aligned_shares(pairs: list[tuple[np.ndarray, np.ndarray]], cells: int = 1 <<
             m = max(m, len(pairs[order[-1]][1]))
             take.append(order.pop())
         unit, kind = (1 << 12, np.int32) if n < 1 << 12 and m < 1 << 18 else (1 << 31, np.int64)
-        items, parts = np.full((n, len(take)), -1, dtype=np.int64), np.full((m, len(take)), -2, dtype=np.int64)
+        items, parts = np.full((n, len(take)), LARGEST + 1, dtype=np.uint32), np.full((m, len(take)), LARGEST + 2, dtype=np.uint32)
         for r, k in enumerate(take):
             items[: len(pairs[k][0]), r] = pairs[k][0]
             parts[m - len(pairs[k][1]) :, r] = pairs[k][1][::-1]
@@ -432,17 +432,17 @@ def aligned_share(item: np.ndarray, part: np.ndarray) -> float:
     return float(aligned_shares([(item, part)])[0])
 
 
-def _rarest(index: LeakIndex, i: int) -> np.ndarray:
+def _rarest(index: LeakIndex, i: int) -> frozenset[int]:
     """The quarter of an item's units (three at least) whose pairs are the rarest: what an answer would hold."""
     units = index.units[i]
     if len(units) < 2:
-        return np.unique(units)
+        return frozenset(units.tolist())
     found = index.features(unit_pairs(units, _ONE)[:-1])
     weight = np.where(found >= 0, index.idf[np.maximum(found, 0)], index.unseen) if len(index.idf) else np.ones(len(found))
     mean = (np.concatenate((weight[:1], weight)) + np.concatenate((weight, weight[-1:]))) / 2
     names, back = np.unique(units, return_inverse=True)
     rare = np.bincount(back, mean) / np.bincount(back)
-    return names[np.argsort(-rare, kind="stable")[: max(3, len(names) // 4)]]
+    return frozenset(names[np.argsort(-rare, kind="stable")[: max(3, len(names) // 4)]].tolist())
 
 
 def _candidates(index: LeakIndex, units: np.ndarray, first: np.ndarray, rules: LeakRules) -> dict[tuple[int, int], list[int]]:
@@ -493,7 +493,8 @@ def _search(table: DataFrame, shared: Broadcast, rules: LeakRules, schema: str)
                     continue
                 item = index.units[i]
                 near = units[max(low, p - len(item) // 2) : min(high, p + len(item))]
-                if np.isin(index.answers[i], near).mean() >= rules.answer and (common := common_length(item, near) / len(item)) >= rules.reworded:
+                wanted = index.answers[i]
+                if len(wanted.intersection(near.tolist())) >= rules.answer * len(wanted) and (common := common_length(item, near) / len(item)) >= rules.reworded:
                     best[r, i] = ("reworded", common, low)
             out = [(r, i, kind, share, low - int(first[r])) for (r, i), (kind, share, low) in best.items()]
             if out:

@@ -18,6 +18,8 @@ _TIMES = re.compile(TIME)
 _JAMO = re.compile("[ᄀ-ᇿ]")
 _HINT = re.compile(r"\d:\d\d|<\d")
 _SPACE, _DROP = 32, 0
+#: The largest hash of a unit; the numbers above are free for those who pad.
+LARGEST = 0xFFFFFFF0
 _table: np.ndarray | None = None
 
 
@@ -96,6 +98,6 @@ def hashed_units(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nd
         mixed = _mix(folded.astype(np.uint64) + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x10000019B))
     mixed[space] = 0
     sums = np.add.reduceat(mixed, begins)
-    hashes = (_mix(sums) >> np.uint64(32)).astype(np.uint32)
+    hashes = np.minimum(_mix(sums) >> np.uint64(32), np.uint64(LARGEST)).astype(np.uint32)
     first = np.searchsorted(text_no[begins], np.arange(len(texts)))
     return hashes, first, loose[begins]
