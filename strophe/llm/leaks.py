@@ -432,6 +432,47 @@ def aligned_share(item: np.ndarray, part: np.ndarray) -> float:
     return float(aligned_shares([(item, part)])[0])
 
 
+def matched_span(item: np.ndarray, part: np.ndarray) -> tuple[int, int]:
+    """Where in the part the best local alignment with the item begins and ends."""
+    n, m = len(item), len(part)
+    place = np.arange(1, m + 1, dtype=np.int32)
+    table = np.zeros((n + 1, m + 1), dtype=np.int32)
+    for i in range(n):
+        best = np.where(part == item[i], 1, -1).astype(np.int32) + table[i, :-1]
+        best = np.maximum(np.maximum(best, table[i, 1:] - 1), 0) + place
+        table[i + 1, 1:] = np.maximum.accumulate(best) - place
+    i, j = (int(x) for x in np.unravel_index(int(table.argmax()), table.shape))
+    end = j
+    while i and j and table[i, j] > 0:
+        if table[i, j] == table[i - 1, j - 1] + (1 if item[i - 1] == part[j - 1] else -1):
+            i, j = i - 1, j - 1
+        elif table[i, j] == table[i - 1, j] - 1:
+            i -= 1
+        else:
+            j -= 1
+    return j, end
+
+
+def _interrupted(index: LeakIndex, units: np.ndarray, begin: int, finish: int, others: list[int], found: list[tuple[int, int, int]], rules: LeakRules) -> Iterator[tuple[int, float, int]]:
+    """Items (with share and window) of one document that are whole enough once a leak that stands inside them is taken out. found: verbatim items and their windows."""
+    spans: dict[int, tuple[int, int]] = {}
+    for i in others:
+        item = index.units[i]
+        n = len(item)
+        for k, (leak, low, high) in enumerate(found):
+            if common_length(item, units[max(begin, low - 2 * n) : min(finish, high + 2 * n)]) < rules.share * n - 1e-9:
+                continue
+            if k not in spans:
+                a, b = matched_span(index.units[leak], units[low:high])
+                spans[k] = low + a, low + b
+            a, b = spans[k]
+            start = max(begin, a - n - n // 4)
+            share = aligned_share(item, np.concatenate((units[start:a], units[b : min(finish, b + n + n // 4)])))
+            if share >= rules.share - 1e-9:
+                yield i, share, start
+                break
+
+
 def _rarest(index: LeakIndex, i: int) -> frozenset[int]:
     """The quarter of an item's units (three at least) whose pairs are the rarest: what an answer would hold."""
     units = index.units[i]
@@ -496,6 +537,18 @@ def _search(table: DataFrame, shared: Broadcast, rules: LeakRules, schema: str)
                 wanted = index.answers[i]
                 if len(wanted.intersection(near.tolist())) >= rules.answer * len(wanted) and (common := common_length(item, near) / len(item)) >= rules.reworded:
                     best[r, i] = ("reworded", common, low)
+            # A leak may stand inside another one, which is then still one passage.
+            whole: dict[int, list[tuple[int, int, int]]] = {}
+            for r, i, _, low, high in windows:
+                if best.get((r, i), ("", 0, -1))[::2] == ("verbatim", low):
+                    whole.setdefault(r, []).append((i, low, high))
+            left: dict[int, list[int]] = {}
+            for r, i in dict.fromkeys(w[:2] for w in windows):
+                if r in whole and best.get((r, i), ("",))[0] != "verbatim":
+                    left.setdefault(r, []).append(i)
+            for r, others in left.items():
+                for i, share, low in _interrupted(index, units, int(first[r]), int(ends[r]), others, whole[r], rules):
+                    best[r, i] = ("verbatim", share, low)
             out = [(r, i, kind, share, low - int(first[r])) for (r, i), (kind, share, low) in best.items()]
             if out:
                 ids = batch.column(0).take(pa.array([o[0] for o in out]))
@@ -520,7 +573,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, rules: LeakRules = LeakRu
     """doc_id, item_id, kind, share, from_unit: documents that hold test items.
 
     kind is verbatim if the document holds, as one passage and in order, at least rules.share of the item's units, with fewer strange ones
-    between them than that; reworded if that is not so but a passage near the item has rules.reworded of them in order and rules.answer of its rarest ones. documents needs doc_id and
+    between them than that (a leak of another item in between doesn't count); reworded if that is not so but a passage near the item has rules.reworded of them in order and rules.answer of its rarest ones. documents needs doc_id and
     text, items item_id, text and lang. Null and empty texts neither leak nor hold leaks; an item given twice is reported under each of
     its ids, a document under each of its. lang needn't be right or known. Statistics are counted over all documents. There may be any
     number of items: each batch of rules.batch is a pass over the documents' hashed units, which are written once and never shuffled.

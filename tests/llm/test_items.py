@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strophe.llm.leaks import LeakRules, aligned_share, aligned_shares, common_length, find_leaks
+from strophe.llm.leaks import LeakRules, aligned_share, aligned_shares, common_length, find_leaks, matched_span
 from strophe.llm.packing import PackRules, count_tokens, pack, plan_patterns
 from strophe.llm.splitting import SplitRules, cohesion_depths, earliest_safe, pauses, split_long, split_segment
 from strophe.llm.turns import FEATURES, TurnRules, boundary_chances, examples, fit_boundaries, read_segments, speaker_turns
@@ -291,6 +291,18 @@ def test_leaks_need_no_language(spark):
     assert got == {(d, i) for d in (1, 7) for i in (1, 2, 3, 4)} | {(3, 5), (3, 6), (4, 8), (4, 9), (5, 7), (6, 10)}
 
 
+def test_a_leak_inside_another_one(spark):
+    """Both items are found if one interrupts the other; the same two parts around other text are no passage."""
+    random.seed(4)
+    word = lambda: "".join(random.choice("abcdefghij") for _ in range(6))
+    a, b, other = ([word() for _ in range(60)] for _ in range(3))
+    docs = [(1, a[:25] + b + a[25:50]), (2, a[:25] + other + a[25:50]), (3, other + a[5:20] + b[10:50] + a[20:50] + other), (4, a[25:50] + b + a[:25]), (5, a[:29] + b + other)]
+    items = spark.createDataFrame([(1, " ".join(a), None), (2, " ".join(b), None)], "item_id long, text string, lang string")
+    rows = find_leaks(spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string"), items).filter("kind = 'verbatim'").collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(1, 1), (1, 2), (3, 1), (3, 2), (4, 2), (5, 2)}
+    assert matched_span(np.array([1, 2, 3]), np.array([9, 1, 2, 8, 3, 9, 9])) in ((1, 3), (1, 5))
+
+
 def test_reworded_items_need_their_rarest_units(spark):
     random.seed(9)
     common = [f"c{i}" for i in range(60)]

@@ -8,8 +8,8 @@ import pytest
 
 from strophe.llm.boosting import BoostedTrees
 from strophe.llm.fillers import FillerModel, filler_examples
-from strophe.llm.hyper import bundle, ngram_vectors
-from strophe.llm.language import analyse, fit_languages, stretches, with_languages
+from strophe.llm.hyper import bundle, count_ngrams, ngram_vectors
+from strophe.llm.language import analyse, cosines, fit_languages, stretches, with_languages
 from strophe.llm.markup import label_number, read_line
 from strophe.llm.sentences import ChainModel, find_sentences, sentence_ends, stripped_chain, train_sentences
 from strophe.llm.skeleton import look_alike_pairs, plain, skeleton
@@ -82,6 +82,29 @@ def test_vectors_are_nearly_orthogonal():
     assert np.allclose(np.diag(like), 1) and np.abs(like - np.eye(len(v))).max() < 0.12
 
 
+def test_cosines_are_those_of_bundled_vectors():
+    """Prototypes are unit vectors, and the cosine of a text is that of the vectors of its n-grams, really put together."""
+    by = {"a": ["the cat sat on the mat", "a dog and a cat"], "b": ["der hund und die katze", "eine matte"], "c": ["猫坐在垫子上", "狗和猫"]}
+    model = bundle(by)
+    assert np.allclose(np.linalg.norm(model.prototypes, axis=1), 1, atol=1e-5)
+    texts = ["the dog sat and sat and sat on a mat", "die katze und der hund", "猫和狗猫和狗", "", "x", "the katze 猫 on der mat " * 30]
+    like, found = cosines(texts, model)
+    for i, text in enumerate(texts):
+        keys, counts = count_ngrams([text])
+        vector = (ngram_vectors(keys) * counts[:, None]).sum(axis=0)
+        length = np.linalg.norm(vector)
+        if length:
+            assert np.abs(like[i] - model.prototypes @ vector / length).max() < 0.05 * max(0.1, np.abs(like[i]).max()) + 0.01
+    assert like.argmax(axis=1)[:3].tolist() == [0, 1, 2] and len(found) == 6
+
+
+def test_fillers_of_any_length():
+    long = "what i am trying to say here"
+    model = FillerModel().fit(filler_examples([(long, 0)] * 4 + [("a house by the sea where nobody lives any more", 10)] * 4))
+    assert model.is_filler(long) and not model.is_filler("a house by the sea where nobody lives any more")
+    assert model.without(f"{long}, we left") == "we left" and not model.has_words(f"{long}, uh")
+
+
 def test_languages(spark, medium):
     segments = spark.read.parquet(f"{medium}/segments.parquet")
     model = fit_languages(segments, frozenset(ALIASES), FillerModel())
