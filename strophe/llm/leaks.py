@@ -59,6 +59,7 @@ class Space:
     basis: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), dtype=np.float32))
     passages: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), dtype=np.float32))
     item_of: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    offset: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
 
 
 @dataclass
@@ -320,9 +321,9 @@ def _summed(sample: DataFrame, shared: Broadcast, outer: bool) -> dict[int, np.n
     return {r.block: np.frombuffer(bytes(r.sums), dtype=np.float32) for r in rows}
 
 
-def _item_passages(index: LeakIndex, space: Space) -> tuple[np.ndarray, np.ndarray]:
-    """The block's passages as unit vectors over its features, half a stride apart, and their items."""
-    rows, items = [], []
+def _item_passages(index: LeakIndex, space: Space) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The block's passages as unit vectors over its features, half a stride apart, their items, and where in the item each begins."""
+    rows, items, offsets = [], [], []
     width, step = 2 * space.stride, max(1, space.stride // 2)
     for i in space.items:
         pairs = np.searchsorted(space.features, index.features(unit_pairs(index.units[i], _ONE)[:-1]))
@@ -332,7 +333,8 @@ def _item_passages(index: LeakIndex, space: Space) -> tuple[np.ndarray, np.ndarr
                 vector = np.bincount(got, index.idf[space.features[got]], len(space.features))
                 rows.append((vector / max(float(np.linalg.norm(vector)), 1e-9)).astype(np.float32))
                 items.append(i)
-    return np.stack(rows), np.array(items, dtype=np.int64)
+                offsets.append(a)
+    return np.stack(rows), np.array(items, dtype=np.int64), np.array(offsets, dtype=np.int64)
 
 
 def fit_spaces(table: DataFrame, index: LeakIndex, rules: LeakRules) -> None:
@@ -361,18 +363,18 @@ def fit_spaces(table: DataFrame, index: LeakIndex, rules: LeakRules) -> None:
         return sums
 
     sums = corpus_sums(start, True)
-    basis = [np.linalg.qr(joint(a.T @ (a @ omega), sums.get(b)))[0] for b, ((a, _), omega) in enumerate(zip(passages, start, strict=True))]
+    basis = [np.linalg.qr(joint(a.T @ (a @ omega), sums.get(b)))[0] for b, ((a, _, _), omega) in enumerate(zip(passages, start, strict=True))]
     # Once more over the items alone: their own directions must not be lost among the documents'.
-    basis = [np.linalg.qr(a.T @ (a @ q) + np.float32(1e-3) * q)[0] for (a, _), q in zip(passages, basis, strict=True)]
+    basis = [np.linalg.qr(a.T @ (a @ q) + np.float32(1e-3) * q)[0] for (a, _, _), q in zip(passages, basis, strict=True)]
     sums = corpus_sums(basis, False)
-    for b, (space, (a, items), q) in enumerate(zip(index.spaces, passages, basis, strict=True)):
+    for b, (space, (a, items, offsets), q) in enumerate(zip(index.spaces, passages, basis, strict=True)):
         z = a @ q
         values, vectors = np.linalg.eigh(joint(z.T @ z, sums.get(b)).astype(np.float64))
         kept = q @ vectors[:, np.argsort(-values)[: rules.rank]].astype(np.float32)
         latent = a @ kept
         space.basis = (kept * index.idf[space.features][:, None]).astype(np.float32)
         space.passages = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).astype(np.float32)
-        space.item_of = items
+        space.item_of, space.offset = items, offsets
 
 
 def common_length(item: np.ndarray, part: np.ndarray) -> int:
@@ -487,7 +489,7 @@ def _rarest(index: LeakIndex, i: int) -> frozenset[int]:
 
 
 def _candidates(index: LeakIndex, units: np.ndarray, first: np.ndarray, rules: LeakRules) -> dict[tuple[int, int], list[int]]:
-    """For each (row, item) the positions where a passage is near one of the item's."""
+    """For each (row, item) where the item would begin if a passage that is near one of its own stands in its place."""
     found: dict[tuple[int, int], list[int]] = {}
     for b, at, local in _by_block(index, *_hits(index, units, first)):
         space = index.spaces[b]
@@ -495,9 +497,7 @@ def _candidates(index: LeakIndex, units: np.ndarray, first: np.ndarray, rules: L
         for i in range(0, len(p.start), 4096):
             cosine = (p.vectors[i : i + 4096] @ space.passages.T) / p.norm[i : i + 4096, None]
             for a, c in zip(*np.nonzero(cosine >= rules.near), strict=True):
-                places = found.setdefault((int(p.row[i + a]), int(space.item_of[c])), [])
-                if not places or places[-1] != int(p.start[i + a]):
-                    places.append(int(p.start[i + a]))
+                found.setdefault((int(p.row[i + a]), int(space.item_of[c])), []).append(int(p.start[i + a] - space.offset[c]))
     if index.tiny:
         names = np.array(sorted(index.tiny), dtype=np.uint32)
         place = np.minimum(np.searchsorted(names, units), len(names) - 1)
@@ -518,11 +518,13 @@ def _search(table: DataFrame, shared: Broadcast, rules: LeakRules, schema: str)
             ends = np.concatenate((first[1:], [len(units)]))
             windows: list[tuple[int, int, int, int, int]] = []
             for (r, i), places in sorted(_candidates(index, units, first, rules).items()):
-                n, until = len(index.units[i]), -1
+                n, until = len(index.units[i]), None
                 for p in sorted(set(places)):
-                    if p > until:
-                        windows.append((r, i, p, max(int(first[r]), p - n - n // 4), min(int(ends[r]), p + 2 * n + n // 4)))
-                        until = p + n // 2
+                    if until is None or p > until:
+                        low, high = max(int(first[r]), p - n // 2 - 2), min(int(ends[r]), p + n + 3 * n // 4 + 2)
+                        if low < high:
+                            windows.append((r, i, p, low, high))
+                        until = p + n // 4
             shares = aligned_shares([(index.units[i], units[low:high]) for _, i, _, low, high in windows])
             best: dict[tuple[int, int], tuple[str, float, int]] = {}
             for (r, i, p, low, high), share in zip(windows, shares.tolist(), strict=True):
@@ -533,7 +535,7 @@ def _search(table: DataFrame, shared: Broadcast, rules: LeakRules, schema: str)
                     best[r, i] = ("verbatim", share, low)
                     continue
                 item = index.units[i]
-                near = units[max(low, p - len(item) // 2) : min(high, p + len(item))]
+                near = units[max(low, p - len(item) // 4) : min(high, p + len(item) + len(item) // 4)]
                 wanted = index.answers[i]
                 if len(wanted.intersection(near.tolist())) >= rules.answer * len(wanted) and (common := common_length(item, near) / len(item)) >= rules.reworded:
                     best[r, i] = ("reworded", common, low)
@@ -543,7 +545,8 @@ def _search(table: DataFrame, shared: Broadcast, rules: LeakRules, schema: str)
                 if best.get((r, i), ("", 0, -1))[::2] == ("verbatim", low):
                     whole.setdefault(r, []).append((i, low, high))
             left: dict[int, list[int]] = {}
-            for r, i in dict.fromkeys(w[:2] for w in windows):
+            # The larger one of two parts has at least half of what both must have.
+            for r, i in dict.fromkeys(w[:2] for w, share in zip(windows, shares, strict=True) if share >= rules.share / 2):
                 if r in whole and best.get((r, i), ("",))[0] != "verbatim":
                     left.setdefault(r, []).append(i)
             for r, others in left.items():
