@@ -27,6 +27,11 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_spikes(spark, sf_dir).select("segment_id")
 
 
+def p2_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why each implausible average_duration can't be believed."""
+    return p2_spikes(spark, sf_dir).select("segment_id", "reason")
+
+
 def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_rows(table(spark, sf_dir, "segments"), "segment_id", "loaded_at", song_id="song_id", start_ms=millis(F.col("start")), end_ms=millis(F.col("end")))
 
@@ -49,7 +54,7 @@ def gaps_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streamed_gaps(rows, "song_id", "s", "e", shared_folder(spark))
 
 
-QUERIES = {"gaps_stream": gaps_stream, "p2_found": p2_found, "p2_spikes": p2_spikes, "p3_found": p3_found, "p3_periods": p3_periods}
+QUERIES = {"gaps_stream": gaps_stream, "p2_found": p2_found, "p2_spikes": p2_spikes, "p2_reasons": p2_reasons, "p3_found": p3_found, "p3_periods": p3_periods}
 
 _LAST = "last_rows AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY loaded_at DESC) AS rn FROM segments) WHERE rn = 1)"
 _COVER = f"""
@@ -69,3 +74,4 @@ reach AS (SELECT *, max(e) OVER (PARTITION BY song_id ORDER BY s, e ROWS BETWEEN
 parts AS (SELECT *, sum(CASE WHEN r IS NULL OR s > r THEN 1 ELSE 0 END) OVER (PARTITION BY song_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS part FROM reach)
 SELECT song_id, min(s) AS from_ms, max(e) AS to_ms FROM parts GROUP BY song_id, part""",
 }
+ORACLE["p2_reasons"] = ORACLE["p2_found"].replace("SELECT segment_id FROM r WHERE", "SELECT segment_id, CASE WHEN v <= 0 OR NOT isfinite(v) THEN 'limit' WHEN v >= 3 * m OR v <= m / 3 THEN 'spike' ELSE 'stuck' END AS reason FROM r WHERE")
