@@ -7,8 +7,10 @@ import unicodedata
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strophe.llm.fillers import SEEDS
 from strophe.llm.language import fit_languages, label_code, with_languages
 from strophe.llm.leaks import find_leaks
+from strophe.llm.markup import SPEAKER_WORDS
 from strophe.llm.packing import pack_texts
 from strophe.llm.sentences import find_sentences
 from strophe.llm.skeleton import look_alike_pairs, look_classes, skeleton, skeletons
@@ -173,7 +175,37 @@ def _looks(text: str) -> str:
     return f"CASE WHEN regexp_matches({text}, '[^\\x00-\\x7f]') THEN nfc_normalize(array_to_string(list_transform(regexp_extract_all(nfc_normalize({text}), '(?s).'), lambda x: coalesce({looks}[x], x)), '')) ELSE replace({text}, chr(9), ' ') END"
 
 
+# Marks around the words of a line, for an engine whose patterns know no look-around. Labels, names and notes as in markup.
+_TIME = r"(?:\[\d{1,3}:\d{2}(?:[:.,]\d+)*\]|\(\d{1,3}:\d{2}(?:[:.,]\d+)*\)|<\d+(?:\.\d+)?s>|\d{1,2}:\d{2}:\d{2}(?:[.,]\d{1,3})?(?:\s*-->\s*\d{1,2}:\d{2}:\d{2}(?:[.,]\d{1,3})?)?)"
+_ONE = r"(?:[a-zà-öø-ɏа-я]{1,14}|[\x{3040}-\x{9fff}\x{ac00}-\x{d7af}]{1,4}|[\x{0e00}-\x{0e7f}]{1,10})"
+_NOTE = rf"(?:\[[^\[\]]*\]|[(（]{_ONE}[)）]|<[^\W\d_]{{2,14}}>|\*[^*\n]{{1,30}}\*|[♪♫♬]+)"
+_CALLED = "(?:" + "|".join(sorted(SPEAKER_WORDS, key=lambda w: (-len(w), w))) + ")"
+_CALLED_SQL = _CALLED.replace("спикер", "(?:спикер|cпикep|cпикер)")
+
+
+def _turns_sql() -> str:
+    seeds = "[" + ", ".join("'" + " ".join(x.split()) + "'" for x in sorted(SEEDS)) + "]"
+    key = lambda x: rf"trim(regexp_replace({x}, '[,，、;；.。…!?！？\s]+', ' ', 'g'))"
+    seed = f"list_transform({seeds}, lambda x: {_looks('x')})"
+    return rf"""WITH RECURSIVE {_LAST}, music AS (SELECT song_id FROM (SELECT song_id, media, row_number() OVER (PARTITION BY song_id ORDER BY loaded_at DESC) AS k FROM songs) WHERE k = 1 AND media = 'music'),
+names AS (SELECT trim(lower({_looks('alias')})) AS name, min(speaker_no) AS no FROM voices GROUP BY 1), seeds AS (SELECT {seed} AS fillers),
+talk AS (SELECT segment_id, song_id, seg_no, "start", is_lyric, lower({_looks("coalesce(text, '')")}) AS t, trim(regexp_replace(lower({_looks("coalesce(speaker, '')")}), '\s+', ' ', 'g')) AS sp FROM last_rows ANTI JOIN music USING (song_id)),
+lead AS (SELECT segment_id, t AS rest, CAST(NULL AS INT) AS who, false AS done FROM talk
+UNION ALL SELECT segment_id, CASE WHEN stop THEN rest ELSE substr(rest, 1 + length(hit)) END, coalesce(who, label), stop FROM (
+    SELECT segment_id, rest, who, hit, label, hit = '' OR (label IS NOT NULL AND who IS NOT NULL) OR (name IS NOT NULL AND label IS NULL AND NOT regexp_matches(hit, '^\s*\[')) AS stop FROM (
+    SELECT a.*, coalesce(CAST(nullif(regexp_extract(hit, '^\s*\[?{_CALLED_SQL}[\s_\-]*(\d{{1,3}})(?:\]|\s*[:：]|\s+-\s)', 1), '') AS INT), no) AS label FROM (
+    SELECT *, CASE WHEN NOT regexp_matches(hit, '^\s*{_TIME}') THEN nullif(coalesce(nullif(regexp_extract(hit, '^\s*\[([^\s:：\[\]()<>*♪]{{2,30}})\]', 1), ''), regexp_extract(hit, '^\s*([^\s:：\[\]()<>*♪]{{2,30}})(?:\s*[:：]|\s+-\s)', 1)), '') END AS name FROM (
+    SELECT segment_id, rest, who, regexp_extract(rest, '^\s*(?:{_TIME}|>>|\[{_CALLED_SQL}[\s_\-]*\d{{1,3}}\]|\[[^\s:：\[\]()<>*♪]{{2,30}}\]|{_CALLED_SQL}[\s_\-]*\d{{1,3}}(?:\s*[:：]|\s+-\s)|[^\s:：\[\]()<>*♪]{{2,30}}(?:\s*[:：]|\s+-\s)|{_NOTE})\s*') AS hit FROM lead WHERE NOT done)) a LEFT JOIN names ON names.name = a.name))),
+said AS (SELECT segment_id, who, regexp_replace(rest, '{_TIME}|{_NOTE}', ' ', 'g') AS words FROM lead WHERE done),
+units AS (SELECT segment_id, who, list_filter(list_transform(regexp_extract_all(words, '[^,，、]+'), lambda u: {key('u')}), lambda u: regexp_matches(u, '[\p{{L}}\p{{N}}]')) AS u FROM said),
+read AS (SELECT t.*, coalesce(u.who, n.no, CAST(nullif(regexp_extract(sp, '^(?:{_CALLED_SQL})?[\s_\-]*(\d{{1,4}})(?:\.0*)?(?:_outlier)?$', 1), '') AS INT)) AS who, is_lyric IS DISTINCT FROM false AND len(list_filter(u.u, lambda x: NOT list_contains(fillers, x) AND len(list_filter(string_split(x, ' '), lambda p: NOT list_contains(fillers, p))) > 0)) > 0 AS spoken FROM talk t JOIN units u USING (segment_id) LEFT JOIN names n ON n.name = sp CROSS JOIN seeds),
+said_by AS (SELECT *, last_value(who IGNORE NULLS) OVER w AS now, row_number() OVER w AS i FROM read WHERE spoken WINDOW w AS (PARTITION BY song_id ORDER BY "start" NULLS FIRST, seg_no ROWS UNBOUNDED PRECEDING)),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY song_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS turn FROM (SELECT *, CASE WHEN i = 1 OR now IS DISTINCT FROM lag(now) OVER (PARTITION BY song_id ORDER BY i) THEN 1 ELSE 0 END AS new FROM said_by))
+SELECT song_id, arg_min(seg_no, i) AS first_seg_no, arg_max(seg_no, i) AS last_seg_no, any_value(now) AS speaker_no FROM runs GROUP BY song_id, turn"""
+
+
 ORACLE: dict[str, str] = {
+    "p4_found": _turns_sql(),
     "p5_found": f"WITH {_LAST}, k AS (SELECT segment_id, song_id, text, {_looks('text')} AS look FROM last_rows WHERE text IS NOT NULL AND song_id IS NOT NULL) SELECT a.segment_id AS segment_a, b.segment_id AS segment_b FROM k a JOIN k b ON a.song_id = b.song_id AND a.look = b.look AND a.segment_id < b.segment_id AND a.text <> b.text",
     "p5_varied": f"WITH {_LAST}, k AS (SELECT song_id, text, {_looks('text')} AS look FROM last_rows WHERE text IS NOT NULL AND song_id IS NOT NULL), c AS (SELECT song_id, look, count(*) AS rows, count(DISTINCT text) AS spellings FROM k GROUP BY ALL) SELECT song_id, count(*) AS looks, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(spellings) AS BIGINT) AS spellings, count_if(spellings > 1) AS varied FROM c GROUP BY song_id",
     "p6_audit": f"""WITH {_LAST}, long AS (SELECT segment_id, CAST(round("start" * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e FROM last_rows) SELECT segment_id, s AS from_ms, e AS to_ms, true AS fits, true AS overlaps FROM long WHERE e - s > 30000""",
