@@ -110,8 +110,16 @@ def candidates(text: str, a: int, b: int, lead: int, caseless: bool) -> list[tup
     """Positions in text[a:b] that may end a sentence, with what the model sees there."""
     out = []
     words: dict[int, int] = {}
-    openers: dict[str, list[int]] = {}
+    places: dict[str, list[int]] = {}
     intros: dict[int, str] = {}
+
+    def last(char: str, i: int) -> int:
+        """The last place of a character in text[a:i], -1 if there is none."""
+        if char not in places:
+            places[char] = [m.start() for m in re.finditer(re.escape(char), text[a:b])]
+        k = bisect_left(places[char], i - a) - 1
+        return a + places[char][k] if k >= 0 else -1
+
     for found in _MARK.finditer(text, a, b):
         i, j = found.span()
         first = text[i]
@@ -119,6 +127,10 @@ def candidates(text: str, a: int, b: int, lead: int, caseless: bool) -> list[tup
             word = text[max(text.rfind(" ", a, i), text.rfind("\xa0", a, i), text.rfind("　", a, i), a - 1) + 1 : i]
             out.append((i, ("space", "", "go" if word in GO_ON else "word", _beside(text[j]), "", 1, _beside(text[i - 1]), "", False)))
             continue
+        turned = text.find("“", i, j)
+        if turned >= 0 and last("„", i) <= last("“", i):
+            # It closes nothing that „ opened, so it opens what follows.
+            j = turned
         if j >= b:
             continue
         after = text[j]
@@ -155,12 +167,8 @@ def candidates(text: str, a: int, b: int, lead: int, caseless: bool) -> list[tup
         quote, intro = "", ""
         if closing in _OPENERS:
             quote = "close"
-            opens = _OPENERS[closing]
-            if opens not in openers:
-                openers[opens] = [m.start() for m in re.finditer(re.escape(opens), text[a:b])]
-            k = bisect_left(openers[opens], i - a) - 1
-            if k >= 0:
-                opener = a + openers[opens][k]
+            opener = last(_OPENERS[closing], i)
+            if opener >= 0:
                 if opener not in intros:
                     k = opener - 1
                     while k >= a and text[k].isspace():
