@@ -198,7 +198,7 @@ def by_rule(seen: tuple, text: str = "") -> bool:
     if sort in ("mark", "dash"):
         return False
     if quote == "close":
-        return intro == "colon" and (blank > 0 or sort in ("han", "upper"))
+        return intro == "colon" and (blank > 0 or sort in ("han", "upper", "open"))
     if kind == "." and shape == "go":
         return False
     if kind == "." and sort in ("thai", "han") and shape != "none":
