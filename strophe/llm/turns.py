@@ -154,9 +154,10 @@ def fit_boundaries(read: DataFrame, rules: TurnRules = TurnRules()) -> BoostedTr
 
 
 def _blocks(read: DataFrame, rules: TurnRules, *more: str) -> DataFrame:
-    """Spoken rows by song and block of time; those without a start are first, and spread by number."""
-    block = F.coalesce(F.floor(F.col("start") / rules.block), F.floor(F.col("seg_no") / 4096) - F.lit(2**40), F.lit(-(2**41))).cast("long")
-    return read.filter("spoken").select("song_id", block.alias("block"), F.coalesce("start", F.lit(-1e300)).alias("start"), "seg_no", F.coalesce("who", F.lit(-1)).alias("who"), "in_text", "cue", *more)
+    """Spoken rows by song and block of time, starts in whole milliseconds (what is less is noise, and would upset the order); those without a start are first, and spread by number."""
+    start = F.round("start", 3)
+    block = F.coalesce(F.floor(start / rules.block), F.floor(F.col("seg_no") / 4096) - F.lit(2**40), F.lit(-(2**41))).cast("long")
+    return read.filter("spoken").select("song_id", block.alias("block"), F.coalesce(start, F.lit(-1e300)).alias("start"), "seg_no", F.coalesce("who", F.lit(-1)).alias("who"), "in_text", "cue", *more)
 
 
 def _seen(table: pa.Table, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
